@@ -1 +1,6 @@
 """Registered queries: inputs derived from the given tables, wired to the jobs."""
+
+from tagloom.plans import fact_queries  # noqa: F401
+from tagloom.plans.registry import REGISTRY, run
+
+__all__ = ["REGISTRY", "run"]
