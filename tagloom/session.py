@@ -11,6 +11,7 @@ def local_session(cores: str | int = "*", name: str = "tagloom") -> SparkSession
     spark = (
         SparkSession.builder.master(f"local[{cores}]").appName(name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
