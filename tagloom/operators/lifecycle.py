@@ -14,7 +14,9 @@ from tagloom.operators.facts import with_calendar
 from tagloom.operators.keyed import best_by_group, last_k_per_group, run_length_dedup
 
 WEEK = ["fin_year", "fin_month", "fin_week"]
-never = day(NEVER)
+
+def never() -> Column:
+    return day(NEVER)
 
 
 # -- activity -----------------------------------------------------------------
@@ -54,8 +56,8 @@ def user_operate(login: DataFrame, deposits: DataFrame, bets: DataFrame, start:
         activity_rows(inside(login), inside(deposits), inside(bets))
         .groupBy(*KEYS).agg(*_totals())
         .select(
-            *KEYS, F.coalesce("login_date", never).alias("last_login_date"),
-            F.coalesce("activated", never).alias("activated_date"), "deposit_count", "wagers_total")
+            *KEYS, F.coalesce("login_date", never()).alias("last_login_date"),
+            F.coalesce("activated", never()).alias("activated_date"), "deposit_count", "wagers_total")
     )
 
 
@@ -74,8 +76,8 @@ def lifecycle_code(on: Column, activated: Column, visited: Column, deposits: Col
     regular = (deposits >= 3) & (wagers > 0)
     some = (deposits > 0) & (wagers > 0)
     return (
-        F.when((activated == never) & (visited < gone), C.DORMANT_VISITOR)
-        .when((activated == never) & (visited >= gone), C.VISITOR)
+        F.when((activated == never()) & (visited < gone), C.DORMANT_VISITOR)
+        .when((activated == never()) & (visited >= gone), C.VISITOR)
         .when((activated < gone) & ((deposits > 0) | (wagers > 0)), C.ARCHIVED)
         .when((activated < idle) & regular, C.POTENTIAL)
         .when((activated < idle) & some, C.LEAVING)
@@ -90,8 +92,8 @@ def lifecycle_tag(members: DataFrame, operate: DataFrame, as_of: date) -> DataFr
     """Code of every member on one day. ``members`` as from :func:`lifecycle_members`."""
     joined = members.join(operate, KEYS, "left").select(
         *KEYS, "user_name",
-        F.greatest(F.col("register_day"), F.coalesce("last_login_date", never)).alias("visited_date"),
-        F.coalesce("activated_date", never).alias("activated_date"),
+        F.greatest(F.col("register_day"), F.coalesce("last_login_date", never())).alias("visited_date"),
+        F.coalesce("activated_date", never()).alias("activated_date"),
         F.coalesce("deposit_count", F.lit(0)).alias("deposit_count"),
         F.coalesce("wagers_total", F.lit(0)).alias("wagers_total"))
     return joined.withColumn("tag_code", lifecycle_code(
@@ -132,8 +134,8 @@ def lifecycle_changes(
     states = daily.select(
         *KEYS, "user_name", "on",
         F.coalesce(F.lead("on").over(by_day), day(end + timedelta(days=1))).alias("until"),
-        F.coalesce(F.max("activated").over(so_far), never).alias("activated_date"),
-        F.greatest(F.col("register_day"), F.coalesce(F.max("login_date").over(so_far), never)).alias("visited_date"),
+        F.coalesce(F.max("activated").over(so_far), never()).alias("activated_date"),
+        F.greatest(F.col("register_day"), F.coalesce(F.max("login_date").over(so_far), never())).alias("visited_date"),
         F.sum("deposit_count").over(so_far).alias("deposit_count"),
         F.sum("wagers_total").over(so_far).alias("wagers_total"))
 
