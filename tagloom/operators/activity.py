@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.functions.codes import KEYS, WHO
 from tagloom.functions.columns import days_before
-from tagloom.operators.keyed import last_k_per_group, salted_join
+from tagloom.operators.keyed import hot_keys, repeat_hot, spread_hot
 
 ACTIVE_DAYS = 15
 
@@ -36,20 +36,51 @@ def deposit_days(deposits: DataFrame, members: DataFrame) -> DataFrame:
     )
 
 
+def bet_state(bets: DataFrame, members: DataFrame, n: int = ACTIVE_DAYS) -> DataFrame:
+    """First state of the turnover rows: old days are dropped before aggregating and joining."""
+    recent = last_n_active_days(
+        bets.filter(F.col("commissionable") > 0)
+        .select(*KEYS, "lobby_group", "lobby", "game_type", "data_date", "wagers_total", "bet_amount", "commissionable", "payoff"),
+        n=n)
+    return (
+        recent.groupBy(*KEYS, "lobby_group", "lobby", "game_type", "data_date", "top_activate_date")
+        .agg(*[F.sum(c).alias(c) for c in ("wagers_total", "bet_amount", "commissionable", "payoff")])
+        .join(named_members(members), KEYS)
+    )
+
+
+def deposit_state(deposits: DataFrame, members: DataFrame, n: int = ACTIVE_DAYS) -> DataFrame:
+    paid = deposits.filter(F.col("deposit_amount") > 0).select(*KEYS, "deposit_amount", "deposit_count", "data_date")
+    return last_n_active_days(paid, n=n).join(named_members(members), KEYS)
+
+
 def last_n_active_days(fact: DataFrame, keys: list[str] = KEYS, n: int = ACTIVE_DAYS) -> DataFrame:
     """Rows dated on one of the member's n latest active dates.
 
-    The dates are made distinct first, so ranking sorts one row per member and
-    day; the fact rows then meet a single cut-off row per member.
+    Old rows are dropped by a rank limit that Spark applies before the one
+    shuffle. Members holding a large part of the rows are ranked per salt: a row
+    within the member's n latest dates is also within those of its salt. Their
+    exact cut-off comes from the distinct dates, one row per member and day, and
+    joins rows that are already partitioned for it.
     """
+    newest = F.col("data_date").desc()
+
+    def limited(df: DataFrame, groups: list[str]) -> DataFrame:
+        place = F.dense_rank().over(Window.partitionBy(*groups).orderBy(newest))
+        return df.withColumn("_place", place).filter(F.col("_place") <= n).drop("_place")
+
+    hot = hot_keys(fact, keys)
+    if hot is None:
+        first = F.min("data_date").over(Window.partitionBy(*keys))
+        return limited(fact, keys).withColumn("top_activate_date", first)
     dates = fact.select(*keys, "data_date").distinct()
-    cutoff = (
-        last_k_per_group(dates, keys, [F.col("data_date").desc()], n)
-        .groupBy(*keys)
-        .agg(F.min("data_date").alias("top_activate_date"))
+    cutoff = limited(dates, keys).groupBy(*keys).agg(F.min("data_date").alias("top_activate_date"))
+    salted = [*keys, "_salt"]
+    return (
+        limited(spread_hot(fact, keys, hot), salted)
+        .join(repeat_hot(cutoff, keys, hot), salted)
+        .filter(F.col("data_date") >= F.col("top_activate_date")).drop("_salt")
     )
-    return salted_join(
-        fact, cutoff, keys, condition=lambda c: F.col("data_date") >= c("top_activate_date"))
 
 
 def advance_active_days(state: DataFrame, new_fact: DataFrame, keys: list[str] = KEYS, n: int = ACTIVE_DAYS) -> DataFrame:
@@ -64,12 +95,16 @@ def advance_active_days(state: DataFrame, new_fact: DataFrame, keys: list[str] =
 
 
 def min_active_days(fact: DataFrame, k: int = 3) -> DataFrame:
-    """Rows of users with at least k distinct active days (matched by user_id alone)."""
+    """Rows of users with at least k distinct active days (matched by user_id alone).
+
+    ``fact`` is a state of few days per member, so the join needs no salting
+    and later groupings by member keep its partitioning.
+    """
     busy = (
         fact.select(*KEYS, "data_date").distinct()
         .groupBy(*KEYS).agg(F.count(F.lit(1)).alias("days")).filter(F.col("days") >= k)
     )
-    return salted_join(fact, busy.select("user_id").distinct(), ["user_id"], "left_semi")
+    return fact.join(busy.select("user_id").distinct(), "user_id", "left_semi")
 
 
 def deposit_page_visits(ga_page: DataFrame, members: DataFrame, as_of: date, days: int = 14) -> DataFrame:

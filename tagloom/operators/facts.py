@@ -15,7 +15,7 @@ from tagloom.functions import codes as C
 from tagloom.functions.columns import (
     any_of, code_for, contains_any, day, days_before, ingest_timestamp, ip_to_long, zero_if_null,
 )
-from tagloom.operators.keyed import last_k_per_group, salted_join
+from tagloom.operators.keyed import hot_key_join, last_k_per_group, salted_join
 
 FISCAL = ["financial_year", "financial_month", "financial_week"]
 USER_DAY = ["user_id", "data_date", *FISCAL]
@@ -71,14 +71,12 @@ def member_info(users: DataFrame, start: date, end: date) -> DataFrame:
 
 def new_members(users: DataFrame, created: DataFrame, start: date, end: date) -> DataFrame:
     """Players created in the range by the profile or by the creation log."""
-    log = created.select("user_id", "created_time").distinct()
+    logged = created.filter(in_range(F.col("created_time").cast("date"), start, end)).select(
+        "user_id", F.lit(True).alias("logged")).distinct()
     return (
-        players(users)
-        .drop("created_time")
-        .join(log, "user_id", "left")
-        .filter(changed_between(start, end))
+        players(users).join(logged, "user_id", "left")
+        .filter(in_range(F.col("created_at").cast("date"), start, end) | F.col("logged"))
         .select("user_id", F.col("username").alias("user_name"))
-        .distinct()
     )
 
 
@@ -144,8 +142,7 @@ def game_flags(name: str) -> list[Column]:
 def game_dict(games: DataFrame, vendors: DataFrame) -> DataFrame:
     """Games with their vendor, where the vendor's kind does not contradict."""
     return (
-        games.withColumn("lobby", F.col("vendor_id"))
-        .join(vendors_by_kind(vendors), "lobby")
+        salted_join(games.withColumn("lobby", F.col("vendor_id")), vendors_by_kind(vendors), ["lobby"])
         .filter(fits_vendor(F.col("kind")))
         .select(
             "lobby", "lobby_name", "lobby_name_cn", "lobby_name_en",
@@ -161,11 +158,10 @@ def game_dict(games: DataFrame, vendors: DataFrame) -> DataFrame:
 
 def game_dict_by_lobby(games: DataFrame, lobbies: DataFrame) -> DataFrame:
     """Same dictionary for the family keyed by lobby and lobby group."""
-    return games.join(
-        lobbies.select("lobby", F.col("tc_name").alias("lobby_name"), F.col("sc_name").alias("lobby_name_cn"),
-                       F.col("en_name").alias("lobby_name_en")),
-        "lobby",
-    ).select(
+    names = lobbies.select(
+        "lobby", F.col("tc_name").alias("lobby_name"), F.col("sc_name").alias("lobby_name_cn"),
+        F.col("en_name").alias("lobby_name_en"))
+    return salted_join(games, names, ["lobby"]).select(
         "lobby", "lobby_name", "lobby_name_cn", "lobby_name_en", "lobby_group",
         code_for(F.col("lobby_group"), C.LOBBY_GROUP_NAMES, None).alias("lobby_group_name"),
         F.col("game_code").alias("game_type"),
@@ -231,7 +227,7 @@ def bet_analysis_by_lobby(
     names = games.select("lobby", "game_code", F.col("sc_name").alias("game_name_cn"), F.col("en_name").alias("game_name_en"))
     vendor = lobbies.select("lobby", F.col("sc_name").alias("lobby_name_cn"), F.col("en_name").alias("lobby_name_en"))
     # the vendor hangs on the matched game, so unmatched games have no vendor names
-    dictionary = names.join(vendor, "lobby", "left")
+    dictionary = salted_join(names, vendor, ["lobby"], "left")
     return salted_join(totals, dictionary, ["lobby", "game_code"], "left").select(
         "user_id", F.col("parent_username").alias("ag_name"), "lobby", "lobby_name_cn", "lobby_name_en",
         zero_if_null("lobby_group"), F.col("game_code").alias("game_type"), "game_name_cn", "game_name_en",
@@ -261,10 +257,10 @@ def deposit_withdraw(deposits: DataFrame, withdrawals: DataFrame, users: DataFra
 
 
 def offer_info(offers: DataFrame, users: DataFrame, start: date, end: date) -> DataFrame:
-    """Granted offers with the member's agent and level; one row per offer, so the join is salted."""
+    """Granted offers with the member's agent and level, one row per offer."""
     wanted = offers.filter(in_range("data_date", start, end)).select(
         "user_id", "opcode", "opcode_name", "premium_total", "premium_amount", "data_date", *FISCAL)
-    return salted_join(wanted, member_levels(users), ["user_id"])
+    return hot_key_join(wanted, member_levels(users), ["user_id"])
 
 
 def offer_dispatch(dispatch: DataFrame, start: date, end: date) -> DataFrame:
@@ -285,12 +281,17 @@ def offer_applicant(
     granted = dispatch.groupBy("promotion_id", "user_id", "data_date", "premium_total", "premium_amount").agg(
         F.count(F.lit(1)).alias("grants"))
     names = promotions.select("promotion_id", F.col("name").alias("promotion_name"))
+    named = salted_join(applied, names, ["promotion_id"])
+    key = ["promotion_id", "user_id", "data_date"]
+    # an outer join could not split a key with very many different premiums
+    paid = hot_key_join(granted, named, key)
+    unpaid = named.join(granted.select(*key).distinct(), key, "left_anti").select(
+        "*", F.lit(None).alias("premium_total"), F.lit(None).alias("premium_amount"), F.lit(1).alias("grants"))
     return (
-        salted_join(applied, names, ["promotion_id"])
-        .join(granted, ["promotion_id", "user_id", "data_date"], "left")
+        paid.unionByName(unpaid)
         .groupBy("user_id", "promotion_id", "promotion_name", "data_date", *FISCAL, zero_if_null("premium_total"),
                  zero_if_null("premium_amount"))
-        .agg(F.sum(F.col("applications") * F.coalesce("grants", F.lit(1))).alias("application_count"))
+        .agg(F.sum(F.col("applications") * F.col("grants")).alias("application_count"))
     )
 
 
@@ -379,7 +380,7 @@ def login_location(logins: DataFrame, ip_ranges: DataFrame) -> DataFrame:
         .filter(F.col("ip_number").between(F.col("ip_from"), F.col("ip_to")))
         .select("ip", "geo_country", "geo_city")
     )
-    return salted_join(logins, located, ["ip"], "left")
+    return hot_key_join(logins, located, ["ip"], "left")
 
 
 def member_names(users: DataFrame) -> DataFrame:

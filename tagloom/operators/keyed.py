@@ -3,43 +3,111 @@
 Raw facts may put a third of all rows on one key, so nothing here sorts or
 gathers raw rows of a key in one task: extremes are aggregates with map-side
 combine, top-k filters are rank limits that Spark applies before the shuffle,
-and row-level joins spread the fact side over salts.
+and row-level joins split the hot keys over salts. Inputs small enough for one
+task skip the salting; ``tagloom.smallBytes`` sets that limit.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 SALTS = 16
+HOT_SHARE = 1000
+SMALL_BYTES = 256 << 20
+
+
+def is_small(df: DataFrame) -> bool:
+    """Whether all data the frame reads would fit one task."""
+    limit = int(df.sparkSession.conf.get("tagloom.smallBytes", str(SMALL_BYTES)))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())) <= limit
 
 
 def salted_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    keys: Sequence[str],
-    how: str = "inner",
-    condition=None,
-    salts: int = SALTS,
+    fact: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "inner", condition=None, salts: int = SALTS
 ) -> DataFrame:
-    """Join rows of ``fact`` to few ``dim`` rows per key without a hot reducer.
+    """Join to a dimension of few rows on a key of few values (day, game, promotion, code).
+
+    Small dimensions are broadcast by Spark's own size check. Beyond it, the
+    dimension is repeated per salt and the fact rows of one value spread over
+    the salts; as the output is partitioned by the salt, nothing later relies on
+    it and adaptive execution is free to split partitions further.
 
     The salt is a hash of the whole row, so a re-run of a lost task places its
     rows as before. ``condition(dim_column)`` adds a non-equality test; it gets
     a function returning the dim side of a column and may use fact columns by
     plain name.
     """
+    if is_small(fact):
+        return _join(fact, dim, keys, how, condition)
     left = fact.withColumn("_salt", F.pmod(F.xxhash64(*fact.columns), F.lit(salts)).cast("int"))
     right = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return _join(left, right, [*keys, "_salt"], how, condition).drop("_salt")
+
+
+def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, condition) -> DataFrame:
     if condition is None:
-        return left.join(right, [*keys, "_salt"], how).drop("_salt")
-    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in [*keys, "_salt"] else F.col(c) for c in right.columns])
-    on = (F.col("_salt") == F.col("_r__salt")) & condition(lambda c: F.col(f"_r_{c}") if c in keys else F.col(c))
+        return left.join(right, list(keys), how)
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    on = condition(lambda c: F.col(f"_r_{c}") if c in keys else F.col(c))
     for k in keys:
         on = on & (F.col(k) == F.col(f"_r_{k}"))
-    return left.join(renamed, on, how).drop("_salt", "_r__salt", *[f"_r_{k}" for k in keys])
+    return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
+
+
+def hot_keys(fact: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> DataFrame | None:
+    """Keys holding more than 1/share of the rows, with the number of salts each needs.
+
+    None when there are none. Counting reads only the key columns and combines
+    before the shuffle. Fewer than ``share`` keys can each hold more than that
+    part, which bounds the list the driver takes and later broadcasts.
+    """
+    if is_small(fact):
+        return None
+    seen = Observation()
+    counts = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    largest = counts.observe(seen, F.sum("_n").alias("total")).orderBy(F.desc("_n")).limit(share).collect()
+    total = seen.get["total"] or 0
+    hot = [(*row[:-1], -(-row["_n"] * share // total)) for row in largest if row["_n"] * share > total]
+    if not hot:
+        return None
+    schema = fact.select(*keys).withColumn("_salts", F.lit(0).cast("long")).schema
+    return fact.sparkSession.createDataFrame(hot, schema)
+
+
+def _with_salts(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
+    renamed = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_salts")
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_h_{k}"))
+    return df.join(F.broadcast(renamed), on, "left").drop(*[f"_h_{k}" for k in keys])
+
+
+def spread_hot(fact: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
+    """Add ``_salt``: rows of hot keys are spread by row hash, others get 0."""
+    salt = F.pmod(F.xxhash64(*fact.columns), F.coalesce("_salts", F.lit(1))).cast("int")
+    return _with_salts(fact, keys, hot).withColumn("_salt", salt).drop("_salts")
+
+
+def repeat_hot(dim: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
+    """Repeat the rows of hot keys once per salt."""
+    salts = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)).cast("int") - 1)
+    return _with_salts(dim, keys, hot).withColumn("_salt", F.explode(salts)).drop("_salts")
+
+
+def hot_key_join(fact: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join row-level ``fact`` to a large ``dim`` with few rows per key.
+
+    Only keys found hot are salted, so the large side is not repeated as a
+    whole; without hot keys it is a plain join.
+    """
+    hot = hot_keys(fact, keys)
+    if hot is None:
+        return fact.join(dim, list(keys), how)
+    return spread_hot(fact, keys, hot).join(repeat_hot(dim, keys, hot), [*keys, "_salt"], how).drop("_salt")
 
 
 def best_by_group(

@@ -298,7 +298,7 @@ def lifecycle_week(
         first_day = target.agg(F.date_sub(F.min("date"), back)).scalar()
         wanted = calendar.filter(F.col("date") == first_day).agg(F.max(F.struct(*WEEK))).scalar()
         return best_by_group(
-            df.filter(F.struct(*WEEK) == wanted), [*KEYS, "user_name"], [F.col("created_time")], keep, smallest=True)
+            df.filter(all_of(F.col(c) == wanted[c] for c in WEEK)), [*KEYS, "user_name"], [F.col("created_time")], keep, smallest=True)
 
     def code(back: int, name: str) -> DataFrame:
         return week(ods_week, back, ["tag_code"]).withColumnRenamed("tag_code", name)

@@ -46,7 +46,7 @@ def insert_ignore(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
 
 
 def delete_keys(target: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return target.join(keys_df.select(*keys), list(keys), "left_anti")
+    return target.join(keys_df.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def delete_key_range(target: DataFrame, keys: Sequence[str], low: Sequence, high: Sequence) -> DataFrame:

@@ -19,7 +19,7 @@ from tagloom.functions import codes as C
 from tagloom.functions.codes import KEYS, ODS_COLUMNS, WHO
 from tagloom.functions.columns import band_by_threshold, code_for, day, days_before, holds, iso_date
 from tagloom.operators.activity import deposit_page_visits, min_active_days
-from tagloom.operators.keyed import best_by_group, last_k_per_group, salted_join
+from tagloom.operators.keyed import best_by_group, hot_key_join, last_k_per_group, salted_join
 
 
 def exact(number: str) -> Column:
@@ -401,7 +401,7 @@ def custom_upload_rows(upload: DataFrame, members: DataFrame, tag_code: int) ->
         F.col(upload.columns[0]).alias("user_name"),
         iso_date(F.col(upload.columns[1])).alias("data_date"),
         (F.col(upload.columns[2]) != 0).alias("enable"))
-    matched = salted_join(lines, members.select(*WHO), ["user_name"])
+    matched = hot_key_join(lines, members.select(*WHO), ["user_name"])
     return matched.select(
         *WHO, F.lit(tag_code).alias("tag_code"), F.lit(int(str(tag_code)[0])).alias("tag_type"), "data_date", "enable")
 

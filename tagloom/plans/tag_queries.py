@@ -44,26 +44,29 @@ BETS = {**BETS15, **BUSY}
 
 
 def bets15(i):
-    return activity.last_n_active_days(activity.bet_days(i["bet_analysis"], i["member_info"]))
+    return activity.bet_state(i["bet_analysis"], i["member_info"])
 
 
 def deposits15(i):
-    return activity.last_n_active_days(activity.deposit_days(i["deposit_withdraw_record"], i["member_info"]))
+    return activity.deposit_state(i["deposit_withdraw_record"], i["member_info"])
 
 
-def member_days(df, i, *dims, amount):
-    """Sums per named member, day and ``dims``: reduced before the member join."""
-    named = activity.named_members(i["member_info"])
-    return df.groupBy(*C.KEYS, *dims, "data_date").agg(F.sum(amount[0]).alias(amount[1])).join(named, C.KEYS)
+def recent_sums(df, i, *dims, amount):
+    """Sums per named member, day and ``dims`` over the last active days."""
+    recent = activity.last_n_active_days(df.select(*C.KEYS, *dims, "data_date", amount[0]))
+    return (
+        recent.groupBy(*C.KEYS, *dims, "data_date", "top_activate_date").agg(F.sum(amount[0]).alias(amount[1]))
+        .join(activity.named_members(i["member_info"]), C.KEYS)
+    )
 
 
 def bet_time15(i):
-    days = member_days(i["wager"], i, "bet_hour", amount=("valid_bet", "commissionable"))
-    return activity.last_n_active_days(days.withColumn("data_weekday", F.dayofweek("data_date")))
+    return recent_sums(i["wager"], i, "bet_hour", amount=("valid_bet", "commissionable")).withColumn(
+        "data_weekday", F.dayofweek("data_date"))
 
 
 def cash15(i):
-    return activity.last_n_active_days(member_days(i["cash_entry"], i, "opcode", amount=("amount", "amount")))
+    return recent_sums(i["cash_entry"], i, "opcode", amount=("amount", "amount"))
 
 
 query("last_active_bets", "SELECT * FROM bets15", BETS15)(bets15)
@@ -75,7 +78,8 @@ query("last_active_cash", "SELECT * FROM cash15", CASH15)(cash15)
 @query("advance_active_days", "SELECT * FROM bets15", BETS15)
 def _(i):
     fact = activity.bet_days(i["bet_analysis"], i["member_info"])
-    state = next_state(None, fact.filter(F.col("data_date") <= "2024-01-20"))
+    earlier = i["bet_analysis"].filter(F.col("data_date") <= F.lit("2024-01-20").cast("date"))
+    state = materialise(activity.bet_state(earlier, i["member_info"]))
     return next_state(state, fact)
 
 

@@ -89,10 +89,10 @@ FROM (SELECT {USER}, STRING_AGG(CAST(tag_code AS VARCHAR), ',' ORDER BY tag_code
 JOIN member_info m USING ({USER})"""
 query("ods_to_dw", WIDE.format(more="", trigger=""), {"names": TAG_NAMES})(
     lambda i: warehouse.ods_to_dw(i["ods"], i["member_info"], i["tag_dim"]))
-query("ods_to_dw_one_tag", WIDE.format(more=", last_activated_date", trigger="AND tag_code = 40006")
+query("ods_to_dw_one_tag", WIDE.format(more=", last_activated_date", trigger="AND tag_code = 10001")
       + f" LEFT JOIN (SELECT {USER}, MAX(data_date) AS last_activated_date FROM bet_analysis GROUP BY {USER}) b USING ({USER})",
       {"names": TAG_NAMES})(
-    lambda i: warehouse.ods_to_dw(i["ods"], i["member_info"], i["tag_dim"], 40006, i["bet_analysis"]))
+    lambda i: warehouse.ods_to_dw(i["ods"], i["member_info"], i["tag_dim"], 10001, i["bet_analysis"]))
 
 query("dw_stale_users", f"""
 SELECT {USER} FROM ods WHERE user_id IN (SELECT user_id FROM dw) GROUP BY {USER} HAVING COUNT(*) FILTER (tag_enabled) = 0""")(
