@@ -63,7 +63,8 @@ def hot_keys(fact: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> Da
 
     None when there are none. Counting reads only the key columns and combines
     before the shuffle. Fewer than ``share`` keys can each hold more than that
-    part, which bounds the list the driver takes and later broadcasts.
+    part, which bounds the list the driver takes and later broadcasts. The list
+    decides how rows are spread, never which rows there are.
     """
     if is_small(fact):
         return None

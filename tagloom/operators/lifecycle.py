@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from tagloom.functions import codes as C
 from tagloom.functions.codes import KEYS, NEVER
-from tagloom.functions.columns import all_of, day, days_before, holds, tenant_date
-from tagloom.operators.facts import with_calendar
-from tagloom.operators.keyed import best_by_group, last_k_per_group, run_length_dedup
+from tagloom.functions.columns import all_of, any_of, day, days_before, holds, tenant_date
+from tagloom.operators.keyed import best_by_group, last_k_per_group, run_length_dedup, salted_join
 
 WEEK = ["fin_year", "fin_month", "fin_week"]
 
@@ -249,13 +248,13 @@ def lifecycle_day(log: DataFrame, members: DataFrame, calendar: DataFrame, on: d
     }).filter(F.col("this_day_step") != 0)
     started = (changed == day(on)) | ((F.col("this_day_step") == 1) & (F.col("last_day_step") != 1))
     named = stepped.join(members.select(*KEYS, "ag_name"), KEYS)
-    return with_calendar(
-        named.select(
-            *KEYS, "ag_name", "user_name", day(on).alias("data_date"),
-            *[F.coalesce(c, F.lit(0)).alias(f"{n}_tag_code")
-              for n, c in (("this", this), ("last", last), ("last_two", two), ("last_three", three))],
-            "this_day_step", "last_day_step", "last_two_day_step", started.alias("init_flag")),
-        calendar)
+    fiscal = calendar.filter(F.col("date") == day(on)).agg(F.max(F.struct(*WEEK))).scalar()
+    return named.select(
+        *KEYS, "ag_name", "user_name", day(on).alias("data_date"),
+        *[F.coalesce(c, F.lit(0)).alias(f"{n}_tag_code")
+          for n, c in (("this", this), ("last", last), ("last_two", two), ("last_three", three))],
+        "this_day_step", "last_day_step", "last_two_day_step", started.alias("init_flag"),
+        *[fiscal[c].alias(c) for c in WEEK])
 
 
 def lifecycle_week_snapshot(log: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -264,21 +263,22 @@ def lifecycle_week_snapshot(log: DataFrame, calendar: DataFrame) -> DataFrame:
     A log row is the latest one from its own week to the week before the next
     row's, so rows are placed in their week and spread over the weeks they
     cover; the result size is the only blow-up. The list of fiscal weeks is a
-    calendar (about 52 rows a year), hence ordered in one task and broadcast.
+    calendar (about 52 rows a year), hence ordered in one task.
     """
     week_order = Window.orderBy("fin_week_end")
     weeks = calendar.select(*WEEK, "fin_week_end").distinct().select(
         *WEEK, "fin_week_end", F.row_number().over(week_order).alias("week_no"),
         F.lag("fin_week_end").over(week_order).alias("previous_end"))
-    last_week = weeks.agg(F.max("week_no")).scalar()
-    in_week = (F.col("data_date") <= F.col("fin_week_end")) & (
-        F.col("previous_end").isNull() | (F.col("data_date") > F.col("previous_end")))
-    placed = log.join(F.broadcast(weeks.select("week_no", "fin_week_end", "previous_end")), in_week)
+    bounds = weeks.agg(F.struct(F.min("fin_week_end").alias("first_end"), F.max("week_no").alias("last_no"))).scalar()
+    first_day = F.coalesce(F.date_add("previous_end", 1), F.col("fin_week_end"))
+    week_of_day = weeks.select("week_no", F.explode(F.sequence(first_day, F.col("fin_week_end"))).alias("in_day"))
+    # days up to the end of the first week all belong to it
+    placed = salted_join(log.withColumn("in_day", F.greatest(F.col("data_date"), bounds["first_end"])), week_of_day, ["in_day"])
     newest = best_by_group(placed, [*KEYS, "week_no"], [F.col("data_date"), F.col("tag_code")], ["user_name", "tag_code"])
     following = F.lead("week_no").over(Window.partitionBy(*KEYS).orderBy("week_no"))
-    spread = newest.withColumn("until", F.coalesce(following - 1, last_week)).select(
+    spread = newest.withColumn("until", F.coalesce(following - 1, bounds["last_no"])).select(
         *KEYS, "user_name", "tag_code", F.explode(F.sequence("week_no", "until")).alias("week_no"))
-    return spread.join(F.broadcast(weeks.select("week_no", *WEEK)), "week_no").drop("week_no")
+    return salted_join(spread, weeks.select("week_no", *WEEK), ["week_no"]).drop("week_no")
 
 
 def lifecycle_week(
@@ -294,24 +294,23 @@ def lifecycle_week(
     target = calendar.filter(
         (F.col("fin_year") == fin_year) & (F.col("fin_month") == fin_month) & (F.col("fin_week") == fin_week))
 
-    def week(df: DataFrame, back: int, keep: list[str]) -> DataFrame:
+    def in_week(back: int) -> Column:
         first_day = target.agg(F.date_sub(F.min("date"), back)).scalar()
         wanted = calendar.filter(F.col("date") == first_day).agg(F.max(F.struct(*WEEK))).scalar()
-        return best_by_group(
-            df.filter(all_of(F.col(c) == wanted[c] for c in WEEK)), [*KEYS, "user_name"], [F.col("created_time")], keep, smallest=True)
+        return holds(all_of(F.col(c) == wanted[c] for c in WEEK))
 
-    def code(back: int, name: str) -> DataFrame:
-        return week(ods_week, back, ["tag_code"]).withColumnRenamed("tag_code", name)
-
-    carried = ["last_week_step", "this_week_step", "two_weeks_tag_code", "one_weeks_tag_code", "week_tag_code"]
-    previous = week(dw_previous, 7, carried)
-    for c in carried:
-        previous = previous.withColumnRenamed(c, f"dw_{c}")
     who = [*KEYS, "user_name"]
-    joined = (
-        code(0, "week_tag_code").join(code(7, "one_weeks_tag_code"), who, "left")
-        .join(code(14, "two_weeks_tag_code"), who, "left").join(previous, who, "left")
+    backs = {"week_tag_code": 0, "one_weeks_tag_code": 7, "two_weeks_tag_code": 14}
+    carried = ["last_week_step", "this_week_step", "two_weeks_tag_code", "one_weeks_tag_code", "week_tag_code"]
+    first_of = lambda back: F.min(F.when(in_week(back), F.struct("created_time", "tag_code")))["tag_code"]
+    codes = (
+        ods_week.filter(any_of(in_week(b) for b in backs.values())).groupBy(*who)
+        .agg(*[first_of(b).alias(name) for name, b in backs.items()]).filter(F.col("week_tag_code").isNotNull())
     )
+    previous = best_by_group(
+        dw_previous.filter(in_week(7)), who, [F.col("created_time")], carried, smallest=True
+    ).withColumnsRenamed({c: f"dw_{c}" for c in carried})
+    joined = codes.join(previous, who, "left")
     now, one, two = (F.col(c) for c in ("week_tag_code", "one_weeks_tag_code", "two_weeks_tag_code"))
     stepped = joined.withColumns({
         "last_week_step": step_of(two, one, WEEK_RULES, first_match),

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tagloom.functions import codes as C
 from tagloom.functions.codes import KEYS, ODS_COLUMNS, WHO
 from tagloom.functions.columns import band_by_threshold, code_for, day, days_before, holds, iso_date
-from tagloom.operators.activity import deposit_page_visits, min_active_days
+from tagloom.operators.activity import deposit_page_visits
 from tagloom.operators.keyed import best_by_group, hot_key_join, last_k_per_group, salted_join
 
 
@@ -76,9 +76,27 @@ def tag_login_pc(login, members, as_of):
 
 
 # -- winning and losing -------------------------------------------------------
-def _result(bets15: DataFrame, *extra: str) -> DataFrame:
-    return per_member(min_active_days(bets15), *extra).agg(
-        F.sum("commissionable").alias("commissionable"), F.sum("payoff").alias("payoff"))
+# these rules need members with three active days: the days are counted in the
+# grouping that sums them, per member of a tenant
+ACTIVE_DAYS_NEEDED = 3
+
+
+def _sums() -> list[Column]:
+    return [F.sum("commissionable").alias("commissionable"), F.sum("payoff").alias("payoff")]
+
+
+def _daily(bets15: DataFrame) -> DataFrame:
+    return per_member(bets15, "data_date").agg(*_sums())
+
+
+def _result(bets15: DataFrame) -> DataFrame:
+    """Totals of members with enough active days, and their winning and losing days."""
+    return (
+        _daily(bets15).groupBy(*WHO)
+        .agg(*_sums(), F.count(F.lit(1)).alias("days"), F.count_if(F.col("payoff") >= 0).alias("wins"),
+             F.count_if(F.col("payoff") < 0).alias("losses"))
+        .filter(F.col("days") >= ACTIVE_DAYS_NEEDED)
+    )
 
 
 def tag_huge_winner(bets15: DataFrame) -> DataFrame:
@@ -92,12 +110,8 @@ def tag_huge_loser(bets15: DataFrame) -> DataFrame:
 
 def tag_frequent_loser(bets15: DataFrame) -> DataFrame:
     """More losing than winning days (zero wins) and over 5 % of turnover lost."""
-    daily = _result(bets15, "data_date")
-    total = daily.groupBy(*WHO).agg(
-        F.sum("commissionable").alias("commissionable"), F.sum("payoff").alias("total"),
-        F.count_if(F.col("payoff") >= 0).alias("wins"), F.count_if(F.col("payoff") < 0).alias("losses"))
-    often = (F.col("wins") < F.col("losses")) & (F.col("total") < F.col("commissionable") * exact("-0.05"))
-    return ods_rows(total.filter(often), C.FREQUENT_LOSER)
+    often = (F.col("wins") < F.col("losses")) & (F.col("payoff") < F.col("commissionable") * exact("-0.05"))
+    return ods_rows(_result(bets15).filter(often), C.FREQUENT_LOSER)
 
 
 def tag_win_lose_reaction(bets15: DataFrame) -> DataFrame:
@@ -105,10 +119,13 @@ def tag_win_lose_reaction(bets15: DataFrame) -> DataFrame:
 
     Ties go to the class seen last.
     """
-    by_day = Window.partitionBy(*KEYS).orderBy("data_date")
-    before = F.lag("payoff").over(by_day)
-    change = F.col("commissionable") - F.lag("commissionable").over(by_day)
-    moves = _result(bets15, "data_date").withColumns({"before": before, "change": change})
+    member = Window.partitionBy(*KEYS)
+    by_day = member.orderBy("data_date")
+    moves = _daily(bets15).withColumns({
+        "days": F.count(F.lit(1)).over(member),
+        "before": F.lag("payoff").over(by_day),
+        "change": F.col("commissionable") - F.lag("commissionable").over(by_day),
+    }).filter(F.col("days") >= ACTIVE_DAYS_NEEDED)
     b, c = F.col("before"), F.col("change")
     reaction = (
         F.when((b > 0) & (c > 0), C.WIN_ADD).when((b > 0) & (c < 0), C.WIN_LEAVE)
@@ -124,8 +141,13 @@ def tag_win_lose_reaction(bets15: DataFrame) -> DataFrame:
 # -- favourites ---------------------------------------------------------------
 def tag_game_lover(bets15: DataFrame, codes: dict = C.GAME_LOVER) -> DataFrame:
     """Lobby group with most turnover (tie: larger group); unlisted groups get code 0."""
-    top = best_by_group(_result(bets15, "lobby_group"), WHO, [F.col("commissionable"), F.col("lobby_group")], ["lobby_group"])
-    return ods_rows(top, code_for(F.col("lobby_group"), codes, 0))
+    groups = per_member(bets15, "lobby_group").agg(
+        F.sum("commissionable").alias("commissionable"), F.collect_set("data_date").alias("dates"))
+    favourite = groups.groupBy(*WHO).agg(
+        F.max(F.struct("commissionable", "lobby_group")).alias("top"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("dates")))).alias("days"))
+    return ods_rows(
+        favourite.filter(F.col("days") >= ACTIVE_DAYS_NEEDED), code_for(F.col("top.lobby_group"), codes, 0))
 
 
 def _favourite_time(bet_time15: DataFrame, column: str) -> DataFrame:
@@ -199,20 +221,17 @@ def _good_depositor(threshold) -> Column:
 
 def tag_good_customer(bets15: DataFrame, dep_all: DataFrame, threshold, as_of: date) -> DataFrame:
     """Depositors playing mostly house-favourable games, or members losing on most days and lobbies."""
-    bets = min_active_days(bets15)
     game = ["hall_id", "domain_id", "lobby", "lobby_group", "game_type"]
-    bitten = salted_join(bets, bite_games(bets15).withColumn("bite", F.lit(True)), game, "left")
+    bitten = salted_join(bets15, bite_games(bets15).withColumn("bite", F.lit(True)), game, "left")
     share = per_member(bitten).agg(
         F.sum("commissionable").alias("commissionable"),
-        F.sum(F.when(F.col("bite"), F.col("commissionable")).otherwise(0)).alias("bite_commissionable"))
+        F.sum(F.when(F.col("bite"), F.col("commissionable")).otherwise(0)).alias("bite_commissionable"),
+        F.size(F.collect_set("data_date")).alias("days")).filter(F.col("days") >= ACTIVE_DAYS_NEEDED)
     players = share.join(deposit_history(dep_all, as_of), KEYS, "left").filter(
         (F.col("bite_commissionable") * 2 > F.col("commissionable")) & _good_depositor(threshold)).select(*WHO)
 
-    daily = per_member(bets, "data_date").agg(F.sum("payoff").alias("payoff"))
-    losing_days = daily.groupBy(*WHO).agg(
-        F.count(F.lit(1)).alias("days"), F.count_if(F.col("payoff") < 0).alias("lost")
-    ).filter(F.col("lost") * 10 >= F.col("days") * 6).select(*WHO)
-    lobbies = per_member(bets, "lobby").agg(F.sum("payoff").alias("payoff"))
+    losing_days = _result(bets15).filter(F.col("losses") * 10 >= F.col("days") * 6).select(*WHO)
+    lobbies = per_member(bets15, "lobby").agg(F.sum("payoff").alias("payoff"))
     losing_lobbies = lobbies.groupBy(*WHO).agg(
         F.count_if(F.col("payoff") > 0).alias("won"), F.count_if(F.col("payoff") <= 0).alias("lost")
     ).filter(F.col("won") < F.col("lost")).select(*WHO)
@@ -323,29 +342,32 @@ def tag_hesitate(
     Never deposited but logged in, or looked at deposit pages, three times in
     two weeks; or no bet and no deposit after the fifth-last login day.
     """
-    depositors = deposits15.groupBy(*KEYS).agg(F.sum("deposit_count").alias("n")).filter(F.col("n") != 0)
     logged_in = (
         login.filter(F.col("data_date") >= days_before(as_of, days)).groupBy(*KEYS)
         .agg(F.sum("login_count").alias("n")).filter(F.col("n") >= visits)
-        .join(depositors, KEYS, "left_anti").select(*KEYS)
     )
     browsed = (
         deposit_page_visits(ga_page, members, as_of, days).groupBy(*KEYS)
         .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= visits)
-        .join(depositors, KEYS, "left_anti").select(*KEYS)
     )
     login_days = login_raw.filter(F.col("result") == 1).select(*KEYS, "data_date").distinct()
     oldest = (
         last_k_per_group(login_days, KEYS, [F.col("data_date").desc()], recent_logins)
         .groupBy(*KEYS).agg(F.min("data_date").alias("oldest"))
     )
-    last = lambda df, name: df.groupBy(*KEYS).agg(F.max("data_date").alias(name))
-    idle = (
-        oldest.join(last(deposits15, "deposited"), KEYS).join(last(bets15, "betted"), KEYS)
-        .filter((F.col("oldest") >= F.col("deposited")) & (F.col("oldest") >= F.col("betted"))).select(*KEYS)
+    signal = lambda df, interested, day_: df.select(*KEYS, interested.alias("interested"), day_.alias("oldest"))
+    no_day = F.lit(None).cast("date")
+    signals = (
+        signal(logged_in, F.lit(True), no_day).unionByName(signal(browsed, F.lit(True), no_day))
+        .unionByName(signal(oldest, F.lit(False), F.col("oldest")))
+        .groupBy(*KEYS).agg(F.bool_or("interested").alias("interested"), F.max("oldest").alias("oldest"))
     )
-    found = logged_in.unionByName(browsed).unionByName(idle).distinct()
-    return ods_rows(found.join(members.select(*WHO), KEYS), C.HESITATE)
+    paid = deposits15.groupBy(*KEYS).agg(F.sum("deposit_count").alias("deposits"), F.max("data_date").alias("paid_on"))
+    bet = bets15.groupBy(*KEYS).agg(F.max("data_date").alias("bet_on"))
+    never_paid = F.coalesce("deposits", F.lit(0)) == 0
+    idle = holds((F.col("oldest") >= F.col("paid_on")) & (F.col("oldest") >= F.col("bet_on")))
+    found = signals.join(paid, KEYS, "left").join(bet, KEYS, "left").filter((F.col("interested") & never_paid) | idle)
+    return ods_rows(found.select(*KEYS).join(members.select(*WHO), KEYS), C.HESITATE)
 
 
 def tag_term(bets15: DataFrame, today: date, terms: list = C.TERM) -> DataFrame:

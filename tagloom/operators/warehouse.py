@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions import codes as C
 from tagloom.functions.codes import KEYS, NEVER
-from tagloom.functions.columns import day, tenant_date
+from tagloom.functions.columns import between_zones, tenant_date
 from tagloom.operators.keyed import salted_join
 from tagloom.operators.merge import upsert
 
@@ -44,13 +42,10 @@ def tag_dim_names(tag_dim: DataFrame) -> DataFrame:
         *[F.when(F.col("can_access_env").contains(word), F.col(name)).alias(out) for out, word, name in tag_name_columns()])
 
 
-def comma_list(value: Column, order: Column) -> Column:
-    """Values of a group joined by commas, by ``order``; NULL values are left out.
-
-    A member's tags are bounded by the tag dictionary, so the group is small.
-    """
-    pairs = F.array_sort(F.collect_list(F.when(value.isNotNull(), F.struct(order.alias("o"), value.alias("v")))))
-    return F.when(F.size(pairs) > 0, F.array_join(F.transform(pairs, lambda p: p["v"]), ","))
+def comma_list(items, field: str):
+    """One field of a member's tags joined by commas; NULL when all are NULL."""
+    values = F.transform(items, lambda t: t[field].cast("string"))
+    return F.when(F.exists(values, lambda v: v.isNotNull()), F.array_join(values, ","))
 
 
 def ods_to_dw(
@@ -61,19 +56,21 @@ def ods_to_dw(
     Recent means on or after the day before the latest update (tenant days).
     With ``tag_code`` only that tag counts as the trigger and the last bet date
     is attached. Lists are ordered by code.
+
+    A member's tags are gathered once, with the date of the latest trigger; they
+    are bounded by the tag dictionary.
     """
     last_update = ods.agg(F.date_sub(F.max(tenant_date(F.col("updated_time"))), 1)).scalar()
-    enabled = ods.filter("tag_enabled")
-    changed = enabled.filter(tenant_date(F.col("updated_time")) >= last_update)
-    if tag_code is not None:
-        changed = changed.filter(F.col("tag_code") == tag_code)
+    outputs = [out for out, _, _ in tag_name_columns()]
+    trigger = F.lit(True) if tag_code is None else F.col("tag_code") == tag_code
     named = salted_join(
-        enabled.join(changed.select(*KEYS).distinct(), KEYS, "left_semi").select(*KEYS, "tag_code"),
+        ods.filter("tag_enabled").select(*KEYS, "tag_code", F.when(trigger, tenant_date(F.col("updated_time"))).alias("day")),
         tag_dim_names(tag_dim), ["hall_id", "domain_id", "tag_code"], "left")
-    code = F.col("tag_code")
-    lists = named.groupBy(*KEYS).agg(
-        comma_list(code.cast("string"), code).alias("tag_str"),
-        *[comma_list(F.col(out), code).alias(out) for out, _, _ in tag_name_columns()])
+    gathered = named.groupBy(*KEYS).agg(
+        F.array_sort(F.collect_list(F.struct("tag_code", *outputs))).alias("tags"), F.max("day").alias("day"))
+    lists = gathered.filter(F.col("day") >= last_update).select(
+        *KEYS, comma_list(F.col("tags"), "tag_code").alias("tag_str"),
+        *[comma_list(F.col("tags"), out).alias(out) for out in outputs])
     wide = lists.join(
         members.select(*KEYS, "user_name", "ag_name", "user_level_id", "user_level", "register_date"), KEYS)
     if tag_code is not None and bets is not None:
@@ -138,8 +135,6 @@ def export_rule_tags(ods: DataFrame, tenant: dict, start, end) -> DataFrame:
 
 def snapshot_table(src: DataFrame, timestamps: list[str] = (), zone: str = "Asia/Taipei") -> DataFrame:
     """Whole-table copy: domain 0 becomes NULL, local times become UTC."""
-    from tagloom.functions.columns import between_zones
-
     def copied(c: str) -> Column:
         if c == "domain_id":
             return F.nullif(F.col(c), F.lit(0)).alias(c)
@@ -148,7 +143,3 @@ def snapshot_table(src: DataFrame, timestamps: list[str] = (), zone: str = "Asia
         return F.col(c)
 
     return src.select(*[copied(c) for c in src.columns])
-
-
-def updated_since(df: DataFrame, start: date, end: date) -> DataFrame:
-    return df.filter(tenant_date(F.col("updated_time")).between(day(start), day(end)))

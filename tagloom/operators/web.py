@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.functions import codes as C
@@ -10,14 +10,16 @@ from tagloom.functions.columns import any_of, base24_to_long, contains_any
 from tagloom.operators.facts import with_calendar
 
 
-def _has_dimension(hit: Column, index: int, value) -> Column:
-    return F.exists(
-        hit["customDimensions"], lambda d: (d["index"] == index) & (d["value"] == F.lit(str(value))))
+def _tenant_hit(sessions: DataFrame, hall_id, domain_id) -> Column:
+    """Both tenant dimensions on the same ``hit``."""
+    dimension = sessions.schema["hits"].dataType.elementType["customDimensions"].dataType.elementType
 
+    def carried(index: int, value) -> Column:
+        wanted = F.struct(F.lit(index).alias("index"), F.lit(str(value)).alias("value")).cast(dimension)
+        return F.array_contains("hit.customDimensions", wanted)
 
-def _tenant_hit(hit: Column, hall_id, domain_id) -> Column:
-    """Both tenant dimensions on the same hit."""
-    return _has_dimension(hit, C.HALL_DIMENSION, hall_id) & _has_dimension(hit, C.DOMAIN_DIMENSION, domain_id)
+    return F.coalesce(
+        carried(C.HALL_DIMENSION, hall_id) & carried(C.DOMAIN_DIMENSION, domain_id), F.lit(False))
 
 
 def _known_client() -> Column:
@@ -32,53 +34,46 @@ def ga_data_set(sessions: DataFrame, hall_id, domain_id) -> DataFrame:
     """Page views, sessions, bounces, time and four click counts per client.
 
     The totals cover all sessions of a client that ever hit the tenant, the
-    clicks only tenant hits. Hits are counted inside their session's array, so
-    a session stays one row and one aggregation per client and day suffices.
+    clicks only tenant hits. One pass over the hits feeds both: a session's
+    totals are taken with its first hit (or none).
     """
-    tenant_hits = F.filter("hits", lambda h: _tenant_hit(h, hall_id, domain_id))
-
-    def clicks(category, label, action=None, kind=None):
-        def matches(h):
-            info = h["eventInfo"]
-            test = (info["eventCategory"] == category) & (info["eventLabel"] == label)
-            if action:
-                test = test & (info["eventAction"] == action)
-            if kind:
-                test = test & (h["type"] == kind)
-            return F.coalesce(test, F.lit(False))
-        return F.size(F.filter("tenant_hits", matches)).cast("long")
-
-    per_day = (
+    hits = (
         sessions.filter(_known_client())
-        .withColumn("tenant_hits", F.coalesce(tenant_hits, F.array()))
-        .select(
-            "clientId", "date", (F.size("tenant_hits") > 0).alias("seen"),
-            clicks("enhanced_ecommerce", "productClick", "click", "EVENT").alias("product_clicks"),
-            clicks("enhanced_ecommerce", "promotionClick", "click", "EVENT").alias("promotion_clicks"),
-            clicks("online_service", "online_service_contact").alias("service_contact"),
-            clicks("online_service", "online_service_contact_mobile").alias("service_contact_mobile"),
-            F.col("totals.pageviews").alias("page_views"),
-            F.col("visitNumber").isNotNull().cast("long").alias("total_sessions"),
-            F.coalesce("totals.bounces", F.lit(0)).alias("total_bounces"),
-            F.coalesce("totals.timeOnSite", F.lit(0)).alias("time_on_site"),
-        )
-        .groupBy("clientId", "date")
-        .agg(
-            F.bool_or("seen").alias("seen"),
-            *[F.sum(c).alias(c) for c in (
-                "product_clicks", "promotion_clicks", "service_contact", "service_contact_mobile",
-                "page_views", "total_sessions", "total_bounces", "time_on_site")],
-        )
+        .select("clientId", "date", "visitNumber", "totals", F.posexplode_outer("hits").alias("place", "hit"))
+        .withColumn("tenant", _tenant_hit(sessions, hall_id, domain_id))
+    )
+
+    def clicks(name, category, label, action=None, kind=None):
+        info = F.col("hit.eventInfo")
+        test = F.col("tenant") & (info["eventCategory"] == category) & (info["eventLabel"] == label)
+        if action:
+            test = test & (info["eventAction"] == action)
+        if kind:
+            test = test & (F.col("hit.type") == kind)
+        return F.count_if(test).alias(name)
+
+    first = F.coalesce(F.col("place") == 0, F.lit(True))
+    total = lambda name, value: F.sum(F.when(first, value)).alias(name)
+    per_day = hits.groupBy("clientId", "date").agg(
+        F.bool_or("tenant").alias("seen"),
+        clicks("product_clicks", "enhanced_ecommerce", "productClick", "click", "EVENT"),
+        clicks("promotion_clicks", "enhanced_ecommerce", "promotionClick", "click", "EVENT"),
+        clicks("service_contact", "online_service", "online_service_contact"),
+        clicks("service_contact_mobile", "online_service", "online_service_contact_mobile"),
+        total("page_views", F.col("totals.pageviews")),
+        F.count_if(first & F.col("visitNumber").isNotNull()).alias("total_sessions"),
+        total("total_bounces", F.col("totals.bounces")),
+        total("time_on_site", F.col("totals.timeOnSite")),
     )
-    # second level over at most one row per client and day
-    per_client = per_day.groupBy("clientId").agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("page_views", "total_sessions", "total_bounces", "time_on_site")])
+    # one row per client and day is left, so a client's rows are few
+    client = Window.partitionBy("clientId")
     return (
-        per_day.filter("seen")
-        .select("clientId", _session_date().alias("data_date"), "product_clicks", "promotion_clicks",
-                "service_contact", "service_contact_mobile")
-        .join(per_client, "clientId")
-        .withColumnRenamed("clientId", "user_id")
+        per_day.select(
+            F.col("clientId").alias("user_id"), _session_date().alias("data_date"), "seen", "product_clicks",
+            "promotion_clicks", "service_contact", "service_contact_mobile",
+            *[F.coalesce(F.sum(c).over(client), F.lit(0)).alias(c)
+              for c in ("page_views", "total_sessions", "total_bounces", "time_on_site")])
+        .filter("seen").drop("seen")
     )
 
 
@@ -93,10 +88,10 @@ def _listed_path(path: Column) -> Column:
 
 def ga_page_path(sessions: DataFrame, hall_id, domain_id) -> DataFrame:
     """Tenant hits on the listed paths, counted per client, page and day."""
-    hits = sessions.filter(_known_client()).select("clientId", "date", F.explode("hits").alias("hit"))
+    hits = sessions.filter(_known_client()).select("clientId", "date", F.explode_outer("hits").alias("hit"))
     page = F.col("hit.page")
     return (
-        hits.filter(_tenant_hit(F.col("hit"), hall_id, domain_id) & page["pagePath"].isNotNull()
+        hits.filter(_tenant_hit(sessions, hall_id, domain_id) & page["pagePath"].isNotNull()
                     & _listed_path(page["pagePath"]))
         .groupBy("clientId", page["hostname"].alias("host"), page["pagePath"].alias("path"),
                  page["pageTitle"].alias("title"), "date")

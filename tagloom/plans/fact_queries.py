@@ -1,5 +1,7 @@
 """Fact builders."""
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from tagloom.functions.columns import tenant_columns
@@ -12,8 +14,6 @@ PLATFORMS = {0: "web", 1: "ios", 2: "android"}
 PLATFORM_NAME = "CASE {0} WHEN 0 THEN 'web' WHEN 1 THEN 'ios' WHEN 2 THEN 'android' ELSE '' END"
 LEVELS = "parent_username AS ag_name, COALESCE(level_id, 0) AS user_level_id, level_name AS user_level"
 MEMBER_RANGE = "BETWEEN DATE '2023-07-01' AND DATE '2023-09-30'"
-from datetime import date  # noqa: E402
-
 MEMBER_START, MEMBER_END = date(2023, 7, 1), date(2023, 9, 30)
 
 
@@ -295,22 +295,25 @@ TENANT_HIT = "hall = '1' AND domain = '1'"
 CLIENT = "lower(to_base(user_id, 24))"
 
 
+def hit_sql() -> str:
+    """Struct of hit ``k``; the domain dimension is absent for some hits."""
+    v = {name: f"({sql})" for name, sql in HIT_FIELDS.items()}
+    hall = f"named_struct('index', 4, 'value', {v['hall']})"
+    domain = f"named_struct('index', 15, 'value', {v['domain']})"
+    return f"""named_struct('type', {v['kind']},
+      'eventInfo', named_struct('eventCategory', {v['category']}, 'eventAction', {v['action']}, 'eventLabel', {v['label']}),
+      'page', named_struct('hostname', {v['host']}, 'pagePath', {v['path']}, 'pageTitle', {v['title']}),
+      'customDimensions', IF({v['domain']} IS NULL, array({hall}), array({hall}, {domain})))"""
+
+
 def sessions(i):
-    # a hit struct from its number; the domain dimension is absent for some hits
-    hit = f"""named_struct('type', kind, 'eventInfo', named_struct('eventCategory', category, 'eventAction', action, 'eventLabel', label),
-      'page', named_struct('hostname', host, 'pagePath', path, 'pageTitle', title),
-      'customDimensions', filter(array(named_struct('index', 4, 'value', hall), named_struct('index', 15, 'value', domain)),
-                                 d -> d.value IS NOT NULL))"""
-    for name, sql in HIT_FIELDS.items():
-        import re
-        hit = re.sub(rf"\b{name}\b(?!')", f"({sql})", hit)
-    flat = i["web_session"]
-    return flat.select(
+    hits = f"transform(sequence(event_id * 3, event_id * 3 + n_hits - 1), k -> {hit_sql()})"
+    return i["web_session"].select(
         F.expr("""CASE WHEN event_id % 37 = 0 THEN 'undefined' WHEN event_id % 41 = 0 THEN 'zzzzzzzzzzzz'
                        ELSE lower(conv(user_id, 10, 24)) END""").alias("clientId"),
         F.date_format("ts", "yyyyMMdd").alias("date"), F.col("visit_number").alias("visitNumber"),
         F.struct("pageviews", "bounces", F.col("time_on_site").alias("timeOnSite")).alias("totals"),
-        F.expr(f"transform(sequence(0L, n_hits - 1L), h -> transform(array(event_id * 3 + h), k -> {hit})[0])").alias("hits"))
+        F.expr(hits).alias("hits"))
 
 
 GA_DATA = f"""

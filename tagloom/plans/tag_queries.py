@@ -189,7 +189,7 @@ query("tag_good_customer", f"""
  SELECT {NAMED} FROM (SELECT {NAMED} FROM days GROUP BY {NAMED} HAVING COUNT(*) FILTER (p < 0) / COUNT(*) >= 0.6) a
  JOIN (SELECT {NAMED} FROM halls GROUP BY {NAMED} HAVING COUNT(*) FILTER (p > 0) < COUNT(*) FILTER (p <= 0)) b
  USING ({NAMED})) t""", GOOD)(
-    lambda i: tags.tag_good_customer(bets15(i), i["deposit_withdraw_record"], GOOD_DEPOSIT, AS_OF))
+    lambda i: tags.tag_good_customer(materialise(bets15(i)), i["deposit_withdraw_record"], GOOD_DEPOSIT, AS_OF))
 
 query("tag_good_customer_v1", f"""
 {tag_row(30015)} FROM (SELECT {NAMED}, SUM(commissionable) AS c, SUM(CASE WHEN is_pvp THEN commissionable ELSE 0 END) AS pvp,
