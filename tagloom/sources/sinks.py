@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,15 +49,24 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True)
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage by a checkpoint in the shared folder of the cluster.
-
-    Only a local session without such a folder gets one of its own.
-    """
-    sc = df.sparkSession.sparkContext
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder all executors share; only a local session gets one of its own."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        shared = spark.conf.get("spark.checkpoint.dir", None)
         if shared is None and not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint()
+    return sc.getCheckpointDir()
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Cut the lineage by writing a table in the shared checkpoint folder.
+
+    Compared with a checkpoint the rows are computed once, later readers take
+    only the columns they need, and sizes are known to the planner.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark)}/{uuid.uuid4()}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -42,19 +42,21 @@ def test_family_of_tables_reads_as_one(spark, tmp_path):
     assert rows(tables.read_matching(spark, [f"{tmp_path}/a", f"{tmp_path}/b"])) == sorted([(0, None), (0, "y"), (1, None)], key=repr)
 
 
-def test_materialise_uses_a_checkpoint(spark):
-    cut = sinks.materialise(spark.range(3))
-    assert cut.count() == 3
-    assert spark.sparkContext.getCheckpointDir() is not None
+def test_materialise_reads_back_from_the_checkpoint_folder(spark):
+    made = spark.range(3).withColumn("day", F.lit("2024-01-01").cast("date"))
+    cut = sinks.materialise(made)
+    assert cut.schema.simpleString() == made.schema.simpleString() and rows(cut) == rows(made)
+    folder = spark.sparkContext.getCheckpointDir().split(":")[-1]
+    assert all(folder in f for f in cut.inputFiles())
 
 
 def test_checkpoint_folder_must_be_shared_on_a_cluster():
-    frame = Mock()
-    frame.sparkSession.sparkContext.master = "yarn"
-    frame.sparkSession.sparkContext.getCheckpointDir.return_value = None
-    frame.sparkSession.conf.get.return_value = None
+    session = Mock()
+    session.sparkContext.master = "yarn"
+    session.sparkContext.getCheckpointDir.return_value = None
+    session.conf.get.return_value = None
     with pytest.raises(RuntimeError):
-        sinks.materialise(frame)
-    frame.sparkSession.conf.get.return_value = "/shared/checkpoints"
-    sinks.materialise(frame)
-    frame.sparkSession.sparkContext.setCheckpointDir.assert_called_once_with("/shared/checkpoints")
+        sinks.checkpoint_folder(session)
+    session.conf.get.return_value = "/shared/checkpoints"
+    sinks.checkpoint_folder(session)
+    session.sparkContext.setCheckpointDir.assert_called_once_with("/shared/checkpoints")
