@@ -15,7 +15,7 @@ from tagloom.functions import codes as C
 from tagloom.functions.columns import (
     any_of, code_for, contains_any, day, days_before, ingest_timestamp, ip_to_long, zero_if_null,
 )
-from tagloom.operators.keyed import hot_key_join, last_k_per_group, salted_join
+from tagloom.operators.keyed import hot_key_join, latest_with_ties, salted_join
 
 FISCAL = ["financial_year", "financial_month", "financial_week"]
 USER_DAY = ["user_id", "data_date", *FISCAL]
@@ -361,7 +361,7 @@ def latest_login(login: DataFrame, start: date, end: date) -> DataFrame:
     wanted = login.filter(
         in_range(data_date, start, end) & (F.col("result") == 1) & (F.col("role") == PLAYER_ROLE)
     ).select("user_id", data_date.alias("data_date"), "at_ts", "ip", "country_code", "city", "client_os", "client_browser")
-    return last_k_per_group(wanted, ["user_id", "data_date"], [F.col("at_ts").desc()], 1, ties=True).drop("at_ts")
+    return latest_with_ties(wanted, ["user_id", "data_date"], "at_ts").drop("at_ts")
 
 
 def login_location(logins: DataFrame, ip_ranges: DataFrame) -> DataFrame:

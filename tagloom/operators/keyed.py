@@ -36,18 +36,25 @@ def salted_join(
     the salts; as the output is partitioned by the salt, nothing later relies on
     it and adaptive execution is free to split partitions further.
 
-    The salt is a hash of the whole row, so a re-run of a lost task places its
-    rows as before. ``condition(dim_column)`` adds a non-equality test; it gets
-    a function returning the dim side of a column and may use fact columns by
-    plain name.
+    ``condition(dim_column)`` adds a non-equality test; it gets a function
+    returning the dim side of a column and may use fact columns by plain name.
     """
     if is_small(fact):
         return _join(fact, dim, keys, how, condition)
-    left = fact.withColumn("_salt", F.pmod(F.xxhash64(*fact.columns), F.lit(salts)).cast("int"))
+    left = fact.withColumn("_salt", _salt(fact, F.lit(salts)))
     right = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return _join(left, right, [*keys, "_salt"], how, condition).drop("_salt")
 
 
+def _salt(fact: DataFrame, salts: Column) -> Column:
+    """Salt from the row and the partition it is read in.
+
+    Copies of one row spread as well, and a re-run of a lost task, which has the
+    same partition and rows in whatever order, places them as before.
+    """
+    return F.pmod(F.xxhash64(*fact.columns, F.spark_partition_id()), salts).cast("int")
+
+
 def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, condition) -> DataFrame:
     if condition is None:
         return left.join(right, list(keys), how)
@@ -88,9 +95,8 @@ def _with_salts(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame
 
 
 def spread_hot(fact: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
-    """Add ``_salt``: rows of hot keys are spread by row hash, others get 0."""
-    salt = F.pmod(F.xxhash64(*fact.columns), F.coalesce("_salts", F.lit(1))).cast("int")
-    return _with_salts(fact, keys, hot).withColumn("_salt", salt).drop("_salts")
+    """Add ``_salt``: rows of hot keys are spread, others get 0."""
+    return _with_salts(fact, keys, hot).withColumn("_salt", _salt(fact, F.coalesce("_salts", F.lit(1)))).drop("_salts")
 
 
 def repeat_hot(dim: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
@@ -121,17 +127,35 @@ def best_by_group(
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{c}").alias(c) for c in keep])
 
 
-def last_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, ties: bool = False) -> DataFrame:
-    """The k first rows per key in ``order``; with ``ties`` every row ranked within k.
+def last_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
+    """The k first rows per key in ``order``.
 
     ``rank <= k`` directly over the window lets Spark drop rows beyond local
     rank k before the shuffle.
     """
+    return _ranked(df, keys, order, F.row_number(), k)
+
+
+def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], rank: Column, k: int) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*order)
-    rank = F.rank() if ties else F.row_number()
     return df.withColumn("_rank", rank.over(w)).filter(F.col("_rank") <= k).drop("_rank")
 
 
+def latest_with_ties(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
+    """All rows carrying their key's largest ``column``.
+
+    Hot keys (a third of all rows may be copies of the latest one) are limited
+    per salt first and then compared with the exact maximum.
+    """
+    newest = [F.col(column).desc()]
+    hot = hot_keys(df, keys)
+    if hot is None:
+        return _ranked(df, keys, newest, F.rank(), 1)
+    largest = df.groupBy(*keys).agg(F.max(column).alias(column))
+    limited = _ranked(spread_hot(df, keys, hot), [*keys, "_salt"], newest, F.rank(), 1)
+    return limited.join(repeat_hot(largest, keys, hot), [*keys, "_salt", column], "left_semi").drop("_salt")
+
+
 def run_length_dedup(df: DataFrame, keys: Sequence[str], order: str, column: str) -> DataFrame:
     """Keep the last row of every run of equal ``column`` values."""
     w = Window.partitionBy(*keys).orderBy(order)

@@ -259,23 +259,24 @@ SELECT CAST(o_orderkey AS BIGINT) AS hall_id, CAST(o_custkey % 4 AS BIGINT) AS d
        o_orderdate AS created_time FROM orders"""
 
 INPUTS["activated_tag_day"] = f"""
-SELECT DISTINCT {TENANT}, e.user_id, m.user_name, CAST(ts AS DATE) AS data_date,
-       CAST(50100 + (e.user_id + day(ts) - day(ts) % 4) * 5 % 9 AS INT) AS tag_code,
-       CAST(CAST(ts AS DATE) AS {{NTZ}}) + INTERVAL 2 HOUR AS updated_time
-FROM events e JOIN member_info m ON e.user_id = m.user_id
-WHERE e.event_type = 'view' AND NOT (e.user_id % 6 = 0 AND e.ts >= DATE '2024-01-23')"""
+SELECT {TENANT}, e.user_id, m.user_name, data_date,
+       CAST(50100 + (e.user_id + day(data_date) - day(data_date) % 4) * 5 % 9 AS INT) AS tag_code,
+       CAST(data_date AS {{NTZ}}) + INTERVAL 2 HOUR AS updated_time
+FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) AS data_date FROM events
+      WHERE event_type = 'view' AND NOT (user_id % 6 = 0 AND ts >= DATE '2024-01-23')) e
+JOIN member_info m ON e.user_id = m.user_id"""
 
 INPUTS["activated_tag_ods_week"] = f"""
-SELECT {TENANT}, e.user_id, c.c_name AS user_name, CAST(50100 + event_id % 9 AS INT) AS tag_code, CAST(year(ts) AS INT) AS fin_year,
+SELECT {TENANT}, user_id, concat('Customer#', lpad(CAST(user_id AS STRING), 9, '0')) AS user_name, CAST(50100 + event_id % 9 AS INT) AS tag_code, CAST(year(ts) AS INT) AS fin_year,
        CAST(month(ts) AS INT) AS fin_month, CAST(weekofyear(ts) AS INT) AS fin_week, ts AS created_time
-FROM events e JOIN customer c ON e.user_id = c.c_custkey WHERE event_type = 'view'"""
+FROM events WHERE event_type = 'view'"""
 
 INPUTS["activated_tag_dw_week"] = f"""
-SELECT {TENANT}, e.user_id, c.c_name AS user_name, CAST(event_id % 4 AS INT) AS last_week_step, CAST(event_id % 3 AS INT) AS this_week_step,
+SELECT {TENANT}, user_id, concat('Customer#', lpad(CAST(user_id AS STRING), 9, '0')) AS user_name, CAST(event_id % 4 AS INT) AS last_week_step, CAST(event_id % 3 AS INT) AS this_week_step,
        CAST(50100 + event_id % 7 AS INT) AS two_weeks_tag_code, CAST(50100 + event_id % 6 AS INT) AS one_weeks_tag_code,
        CAST(50100 + event_id % 5 AS INT) AS week_tag_code, CAST(year(ts) AS INT) AS fin_year,
        CAST(month(ts) AS INT) AS fin_month, CAST(weekofyear(ts) AS INT) AS fin_week, ts AS created_time
-FROM events e JOIN customer c ON e.user_id = c.c_custkey WHERE event_type = 'click'"""
+FROM events WHERE event_type = 'click'"""
 
 INPUTS["batches"] = """
 SELECT o_orderkey AS batch_id, CAST(o_orderkey % 3 AS INT) AS sync_date_type, o_orderkey % 5 <> 0 AS tag_enabled,

@@ -20,11 +20,11 @@ def truncate_load(df: DataFrame, path: str) -> None:
 def replace_days(df: DataFrame, path: str, column: str = "data_date") -> None:
     """Overwrite only the days present in ``df``.
 
-    Rows are spread by day and row hash, so a day holding most of the data is
-    written by several tasks.
+    Rebalancing writes few files per day and still splits a day holding most of
+    the data.
     """
-    spread = df.repartition(F.col(column), F.pmod(F.xxhash64(*df.columns), F.lit(16)))
-    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+    balanced = df.hint("rebalance", F.col(column))
+    balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
 
 
 def append_checked(df: DataFrame, path: str) -> int:

@@ -51,7 +51,7 @@ def test_best_by_group_breaks_ties_by_order(spark):
 
 def test_top_k_is_limited_before_the_shuffle(spark):
     df = spark.range(100).select((F.col("id") % 4).alias("k"), F.col("id").alias("v"))
-    top = keyed.last_k_per_group(df, ["k"], [F.desc("v")], 1, ties=True)
+    top = keyed.latest_with_ties(df, ["k"], "v")
     plan = top._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
     assert rows(top) == [(0, 96), (1, 97), (2, 98), (3, 99)]
@@ -61,3 +61,25 @@ def test_run_length_dedup_keeps_last_of_run(spark):
     data = [(1, 1, 7), (1, 2, 7), (1, 3, None), (1, 4, None), (1, 5, 7), (2, 1, 7)]
     df = spark.createDataFrame(data, "k int, t int, c int")
     assert rows(keyed.run_length_dedup(df, ["k"], "t", "c")) == sorted([(1, 2, 7), (1, 4, None), (1, 5, 7), (2, 1, 7)], key=repr)
+
+
+def test_latest_with_ties_keeps_all_copies(skewed):
+    rows_in = [(1, 5, "x")] * 40 + [(1, 4, "y")] * 40 + [(2, 1, "z"), (None, 3, "n"), (None, 3, "n")]
+    df = skewed.createDataFrame(rows_in, "k int, v int, s string").repartition(6)
+    got = keyed.latest_with_ties(df, ["k"], "v").groupBy("k", "v", "s").count()
+    assert {(r.k, r.v, r.s): r["count"] for r in got.collect() if r.k is not None} == {(1, 5, "x"): 40, (2, 1, "z"): 1}
+
+
+def test_copies_of_one_row_are_spread(skewed):
+    copies = skewed.range(4000, numPartitions=40).select(F.lit(1).alias("k"), F.lit("same").alias("v"))
+    spread = keyed.spread_hot(copies, ["k"], keyed.hot_keys(copies, ["k"], share=8))
+    sizes = [r["count"] for r in spread.groupBy("_salt").count().collect()]
+    assert len(sizes) >= 6 and max(sizes) <= 1600
+    dim = skewed.createDataFrame([(1, "d")], "k int, d string")
+    assert keyed.hot_key_join(copies, dim, ["k"]).count() == 4000
+
+
+def test_salts_repeat_on_recomputation(skewed):
+    facts = skewed_facts(skewed).repartition(8, "v")
+    spread = keyed.spread_hot(facts, ["k"], keyed.hot_keys(facts, ["k"], share=100))
+    assert rows(spread) == rows(spread)
