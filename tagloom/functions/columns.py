@@ -10,6 +10,8 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.functions import codes as C
+
 
 def day(value: date | str) -> Column:
     return F.lit(str(value)).cast("date")
@@ -96,3 +98,22 @@ def tenant_columns(df: DataFrame, tenant: Mapping) -> DataFrame:
     names = ["hall_id", "hall_name", "domain_id", "domain_name"]
     constants = [F.lit(tenant[n]).alias(n) for n in names if n in tenant]
     return df.select(*constants, *[c for c in df.columns if c not in tenant])
+
+
+def conform_types(df: DataFrame) -> DataFrame:
+    """Cast loaded columns by name: whole numbers (NULL is 0), text, amounts, dates and times."""
+    def conformed(name: str) -> Column:
+        column = F.col(name)
+        if name in C.WHOLE_COLUMNS:
+            column = F.coalesce(column.cast("long"), F.lit(0))
+        elif name in C.TEXT_COLUMNS:
+            column = column.cast("string")
+        elif name in C.AMOUNT_COLUMNS:
+            column = column.cast("decimal(18,2)")
+        elif name == "data_date":
+            column = column.cast("date")
+        elif name == "register_date":
+            column = column.cast("timestamp_ntz")
+        return column.alias(name)
+
+    return df.select(*[conformed(c) for c in df.columns])

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions import codes as C
 from tagloom.functions.codes import KEYS
 from tagloom.functions.columns import all_of, any_of, day, days_before, tenant_date
-from tagloom.operators.keyed import salted_join, set_difference, set_intersection
+from tagloom.operators.keyed import hash_places, set_difference, set_intersection
 from tagloom.operators.merge import delete_keys, update_where, upsert
 
 GROUP_KEY = ["hall_id", "domain_id", "batch_id", "tag_id", "user_id"]
@@ -117,21 +117,9 @@ def ab_split(users: DataFrame, existing: DataFrame, test_percent: int = 20, seed
     With five or more members, or no earlier groups, exactly ceil(20 %) become
     group 2, in the order of a seeded hash of the member id. Otherwise all go to
     group 2 when it lags 60 points behind group 1, else to group 1.
-
-    The hash order is cut into 65,536 ranges by its leading digits. Their counts
-    (a table of fixed size) give each range its start position, so positions are
-    counted within ranges and no task sees the whole list.
     """
-    hashed = users.select(*KEYS).distinct().withColumn(
-        "h", F.md5(F.concat_ws(":", F.col("user_id").cast("string"), F.lit(str(seed))))
-    ).withColumn("bucket", F.substring("h", 1, 4))
-    counts = hashed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    starts = counts.select("bucket", (F.sum("n").over(before) - F.col("n")).alias("start"))
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
-    within = Window.partitionBy("bucket").orderBy("h", *KEYS)
-    placed = hashed.withColumn("place", F.row_number().over(within)).join(F.broadcast(starts), "bucket")
-    in_test = (F.col("start") + F.col("place")) <= F.ceil(total * test_percent / 100)
+    placed, total = hash_places(users, KEYS, "user_id", seed)
+    in_test = F.col("place") <= F.ceil(total * test_percent / 100)
 
     share = lambda g: F.sum(F.when(F.col("group_id") == g, F.col("group_count")).otherwise(0))
     lead = existing.agg(((share(1) - share(2)) * 100 / F.sum("group_count")).alias("lead")).scalar()

@@ -7,6 +7,7 @@ member attributes afterwards, so raw rows shuffle once, already combined.
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,14 +54,20 @@ def member_info(users: DataFrame, start: date, end: date) -> DataFrame:
         F.col("username").alias("user_name"),
         F.col("name").alias("name_real"),
         ingest_timestamp(F.col("created_at")).alias("register_date"),
+        F.col("created_ip").alias("register_ip"),
+        F.col("created_country").alias("register_country"),
+        F.col("created_city").alias("register_city"),
         F.coalesce("created_by", F.lit(0)).alias("register_by"),
         F.col("phone").alias("user_phone"),
         F.col("email").alias("user_mail"),
         "balance",
         ingest_timestamp(F.col("last_login")).alias("last_login"),
         "last_ip",
-        F.coalesce("last_city_id", F.lit(0)).alias("last_city_id"),
+        "last_country",
+        zero_if_null("last_city_id"),
         ingest_timestamp(F.col("last_online")).alias("last_online"),
+        "zalo",
+        "facebook",
         F.lit(0).alias("arbitrage_flag"),
         F.coalesce("level_id", F.lit(0)).alias("user_level_id"),
         F.col("level_name").alias("user_level"),
@@ -69,6 +76,26 @@ def member_info(users: DataFrame, start: date, end: date) -> DataFrame:
     )
 
 
+def member_contacts(users: DataFrame, start: date, end: date) -> DataFrame:
+    """Member rows of the family without roles and confirmations but other contacts."""
+    return users.filter(changed_between(start, end)).select(
+        "user_id",
+        F.col("parent_username").alias("ag_name"),
+        F.col("username").alias("user_name"),
+        F.col("name").alias("name_real"),
+        ingest_timestamp(F.col("created_at")).alias("register_date"),
+        F.col("phone").alias("user_phone"),
+        F.col("email").alias("user_mail"),
+        "balance",
+        ingest_timestamp(F.col("last_login")).alias("last_login"),
+        "last_ip",
+        "qq_num",
+        "wechat",
+        F.coalesce("level_id", F.lit(0)).alias("user_level_id"),
+        F.col("level_name").alias("user_level"),
+    )
+
+
 def new_members(users: DataFrame, created: DataFrame, start: date, end: date) -> DataFrame:
     """Players created in the range by the profile or by the creation log."""
     logged = created.filter(in_range(F.col("created_time").cast("date"), start, end)).select(
@@ -221,16 +248,17 @@ def bet_analysis_by_lobby(
     wager: DataFrame, lobbies: DataFrame, games: DataFrame, platforms: dict, start: date, end: date
 ) -> DataFrame:
     """Turnover of the lobby-group family: no member join, group NULL counts as 0."""
-    dims = ["user_id", "parent_username", "lobby", "lobby_group", "game_code", "platform", "data_date", *FISCAL,
-            "level_id", "level_name"]
+    dims = ["user_id", "parent_username", "lobby", "lobby_name", "lobby_group", "lobby_group_name", "game_code", "game_name",
+            "platform", "data_date", *FISCAL, "level_id", "level_name"]
     totals = bet_totals(wager.filter(in_range("data_date", start, end)), dims)
     names = games.select("lobby", "game_code", F.col("sc_name").alias("game_name_cn"), F.col("en_name").alias("game_name_en"))
     vendor = lobbies.select("lobby", F.col("sc_name").alias("lobby_name_cn"), F.col("en_name").alias("lobby_name_en"))
     # the vendor hangs on the matched game, so unmatched games have no vendor names
     dictionary = salted_join(names, vendor, ["lobby"], "left")
     return salted_join(totals, dictionary, ["lobby", "game_code"], "left").select(
-        "user_id", F.col("parent_username").alias("ag_name"), "lobby", "lobby_name_cn", "lobby_name_en",
-        zero_if_null("lobby_group"), F.col("game_code").alias("game_type"), "game_name_cn", "game_name_en",
+        "user_id", F.col("parent_username").alias("ag_name"), "lobby", "lobby_name", "lobby_name_cn", "lobby_name_en",
+        zero_if_null("lobby_group"), "lobby_group_name", F.col("game_code").alias("game_type"),
+        "game_name", "game_name_cn", "game_name_en",
         "wagers_total", "bet_amount", "commissionable", "payoff", "win_rate",
         "platform", code_for(F.col("platform"), platforms, "").alias("platform_name"),
         "data_date", *FISCAL, F.coalesce("level_id", F.lit(0)).alias("user_level_id"),
@@ -355,11 +383,12 @@ def vip_login_tagged(
     return with_calendar(counted, calendar)
 
 
-def latest_login(login: DataFrame, start: date, end: date) -> DataFrame:
-    """The successful player login(s) at the latest time of each day; ties stay."""
+def latest_login(login: DataFrame, start: date, end: date, role: int | None = PLAYER_ROLE) -> DataFrame:
+    """The successful login(s) of a role (None: any) at the latest time of each day; ties stay."""
     data_date = F.col("at_ts").cast("date")
     wanted = login.filter(
-        in_range(data_date, start, end) & (F.col("result") == 1) & (F.col("role") == PLAYER_ROLE)
+        in_range(data_date, start, end) & (F.col("result") == 1) & F.col("user_id").isNotNull()
+        & (F.lit(True) if role is None else F.col("role") == role)
     ).select("user_id", data_date.alias("data_date"), "at_ts", "ip", "country_code", "city", "client_os", "client_browser")
     return latest_with_ties(wanted, ["user_id", "data_date"], "at_ts").drop("at_ts")
 
@@ -408,6 +437,14 @@ def bet_time(wager: DataFrame, users: DataFrame, as_of: date, settled: DataFrame
     )
 
 
+def bet_time_of_vendors(vendor_tables: list[DataFrame], users: DataFrame, as_of: date, hours: int = -12) -> DataFrame:
+    """Same over one wager table per vendor, whose clocks are shifted; weekday 0 is Monday."""
+    moved = F.col("at_ts") + F.make_dt_interval(hours=F.lit(hours))
+    every = reduce(DataFrame.unionByName, [
+        t.select("user_id", "valid_bet", moved.alias("at_ts")) for t in vendor_tables])
+    return bet_time(every, users, as_of).withColumn("data_weekday", F.weekday("data_date"))
+
+
 def cash_by_opcode(cash: DataFrame, users: DataFrame, as_of: date) -> DataFrame:
     data_date = F.col("created_at").cast("date")
     return (

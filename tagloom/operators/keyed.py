@@ -173,3 +173,28 @@ def set_difference(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame
 
 def set_intersection(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     return a.select(*keys).distinct().join(b.select(*keys), list(keys), "left_semi")
+
+
+def hash_places(df: DataFrame, keys: Sequence[str], on: str, seed: int = 0) -> tuple[DataFrame, Column]:
+    """Distinct keys with their 1-based ``place`` in the order of a seeded hash of ``on``, and their number.
+
+    The hash order is cut into 65,536 ranges by its leading digits. Their counts
+    (a table of fixed size) give each range its start, so places are counted
+    within ranges and no task sees the whole list.
+    """
+    hashed = df.select(*keys).distinct().withColumn(
+        "_h", F.md5(F.concat_ws(":", F.col(on).cast("string"), F.lit(str(seed))))
+    ).withColumn("_range", F.substring("_h", 1, 4))
+    counts = hashed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    so_far = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    starts = counts.select("_range", (F.sum("_n").over(so_far) - F.col("_n")).alias("_start"))
+    within = F.row_number().over(Window.partitionBy("_range").orderBy("_h", *keys))
+    placed = hashed.withColumn("_within", within).join(F.broadcast(starts), "_range")
+    total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
+    return placed.select(*keys, (F.col("_start") + F.col("_within")).alias("place")), total
+
+
+def equal_parts(df: DataFrame, keys: Sequence[str], on: str, parts: int, seed: int = 0) -> DataFrame:
+    """Distinct keys split into ``parts`` whose sizes differ by one at most."""
+    placed, total = hash_places(df, keys, on, seed)
+    return placed.select(*keys, F.floor((F.col("place") * parts - 1) / total).cast("int").alias("part"))

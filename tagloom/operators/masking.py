@@ -31,6 +31,7 @@ AMOUNTS = [
 DATED_BY = {
     "member_info": "register_date!",
     "login_log": "data_date",
+    "game_type_dict": None,
     "bet_analysis": "data_date",
     "deposit_withdraw_record": "data_date",
     "offer_info": "data_date",

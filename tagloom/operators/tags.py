@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions import codes as C
 from tagloom.functions.codes import KEYS, ODS_COLUMNS, WHO
-from tagloom.functions.columns import band_by_threshold, code_for, day, days_before, holds, iso_date
+from tagloom.functions.columns import band_by_threshold, code_for, day, days_before, holds, iso_date, mask_prefix
 from tagloom.operators.activity import deposit_page_visits
 from tagloom.operators.keyed import best_by_group, hot_key_join, last_k_per_group, salted_join
 
@@ -417,26 +417,31 @@ def rule_codes() -> list[int]:
 
 
 # -- uploads ------------------------------------------------------------------
-def custom_upload_rows(upload: DataFrame, members: DataFrame, tag_code: int) -> DataFrame:
-    """Uploaded (name, date, enable) lines, matched to members by name."""
-    lines = upload.select(
+def _upload_lines(upload: DataFrame) -> DataFrame:
+    return upload.select(
         F.col(upload.columns[0]).alias("user_name"),
         iso_date(F.col(upload.columns[1])).alias("data_date"),
         (F.col(upload.columns[2]) != 0).alias("enable"))
-    matched = hot_key_join(lines, members.select(*WHO), ["user_name"])
-    return matched.select(
-        *WHO, F.lit(tag_code).alias("tag_code"), F.lit(int(str(tag_code)[0])).alias("tag_type"), "data_date", "enable")
 
 
-def custom_upload_tags(upload: DataFrame, members: DataFrame, tag_code: int) -> DataFrame:
-    """Tag rows of an upload; of a member's lines the latest date decides (tie: enabled)."""
-    rows = custom_upload_rows(upload, members, tag_code)
-    latest = best_by_group(rows, [*WHO, "tag_code", "tag_type"], [F.col("data_date"), F.col("enable")], ["enable"])
-    return latest.withColumnRenamed("enable", "tag_enabled").select(*ODS_COLUMNS)
+def custom_upload_tags(upload: DataFrame, members: DataFrame, tag_code: int, masked: bool = False) -> DataFrame:
+    """Tag rows of an uploaded (name, date, enable) file for the members so named.
+
+    Of the lines of one name the latest date decides (tie: enabled). With
+    ``masked`` the members carry masked names, and names are matched masked.
+    """
+    lines = _upload_lines(upload)
+    if masked:
+        lines = lines.withColumn("user_name", mask_prefix("user_name", 3))
+    latest = best_by_group(lines, ["user_name"], [F.col("data_date"), F.col("enable")], ["enable"])
+    matched = hot_key_join(members.select(*WHO), latest, ["user_name"])
+    return ods_rows(matched, tag_code, int(str(tag_code)[0]), F.col("enable"))
 
 
 def custom_upload_dates(upload: DataFrame, members: DataFrame, tag_code: int) -> DataFrame:
-    return custom_upload_rows(upload, members, tag_code).select(*KEYS, "tag_code", "data_date", "enable").distinct()
+    """Log of the uploaded lines of known members."""
+    matched = hot_key_join(_upload_lines(upload), members.select(*KEYS, "user_name"), ["user_name"])
+    return matched.select(*KEYS, F.lit(tag_code).alias("tag_code"), "data_date", "enable").distinct()
 
 
 def custom_upload_counts(upload: DataFrame) -> DataFrame:

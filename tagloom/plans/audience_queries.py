@@ -4,8 +4,10 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from tagloom.functions.codes import KEYS
 from tagloom.operators import audience, masking
-from tagloom.plans.registry import AS_OF, NOW, TENANT, TODAY, USER, query
+from tagloom.operators.keyed import equal_parts
+from tagloom.plans.registry import NOW, TENANT, TODAY, USER, query
 
 OPEN = "tag_enabled AND (sync_date_type = 2 OR (sync_date_type = 1 AND DATE '2024-01-31' BETWEEN sync_date_begin AND sync_date_end))"
 query("active_batches", f"SELECT * FROM batches WHERE {OPEN}")(lambda i: audience.active_batches(i["batches"], NOW))
@@ -68,19 +70,24 @@ SELECT {USER}, CASE WHEN ROW_NUMBER() OVER (ORDER BY md5(concat(CAST(user_id AS
  THEN 2 ELSE 1 END AS group_id FROM tagged""")(
     lambda i: audience.ab_split(i["tagged"], i.sql(GROUPS), seed=7))
 
+query("equal_parts", f"""
+SELECT {USER}, CAST((place * 3 - 1) // n AS INT) AS part FROM (
+ SELECT {USER}, ROW_NUMBER() OVER (ORDER BY md5(concat(CAST(user_id AS VARCHAR), ':0')), user_id) AS place, COUNT(*) OVER () AS n FROM tagged) t""")(
+    lambda i: equal_parts(i["tagged"], KEYS, "user_id", 3))
+
 NEW_GROUP = f"SELECT {USER}, CASE WHEN user_id % 5 = 0 THEN 2 ELSE 1 END AS group_id FROM tagged WHERE user_id % 2 = 0"
 SYNC = {
     "matched": f"SELECT {USER} FROM tagged WHERE user_id % 4 <> 3",
     "new_group": NEW_GROUP,
     "kept": """SELECT * FROM sync_group g WHERE NOT (batch_id = 1 AND tag_id = 11 AND user_id NOT IN (SELECT user_id FROM matched))""",
 }
-KEY = "hall_id, domain_id, batch_id, tag_id, user_id"
+GROUP_KEY = "hall_id, domain_id, batch_id, tag_id, user_id"
 
 
 def sync_sql(table: str) -> str:
-    return f"""SELECT {KEY}, COALESCE(n.tag_name, g.tag_name) AS tag_name, COALESCE(n.group_id, g.group_id) AS group_id,
+    return f"""SELECT {GROUP_KEY}, COALESCE(n.tag_name, g.tag_name) AS tag_name, COALESCE(n.group_id, g.group_id) AS group_id,
  CASE WHEN n.user_id IS NOT NULL THEN TRUE WHEN batch_id = 1 AND tag_id = 11 THEN FALSE ELSE g.latest_tag END AS latest_tag
-FROM {table} g FULL OUTER JOIN (SELECT {USER}, 1 AS batch_id, 11 AS tag_id, 'spring' AS tag_name, group_id FROM new_group) n USING ({KEY})"""
+FROM {table} g FULL OUTER JOIN (SELECT {USER}, 1 AS batch_id, 11 AS tag_id, 'spring' AS tag_name, group_id FROM new_group) n USING ({GROUP_KEY})"""
 
 
 for mode, table in [(1, "sync_group"), (2, "kept")]:
@@ -177,6 +184,7 @@ copy("member_info", f"""SELECT hall_id, domain_id, {MASKED_USER}, register_date,
 copy("login_log", f"SELECT * FROM login_log WHERE data_date {IN_DAYS}")
 copy("bet_analysis", f"""SELECT * REPLACE ({scaled('bet_amount')}, {scaled('commissionable')}, {scaled('payoff')}) FROM bet_analysis
  WHERE data_date {IN_DAYS}""")
+copy("game_type_dict", "SELECT * FROM game_flags", "game_flags")
 copy("deposit_withdraw_record", f"""SELECT * REPLACE ({scaled('deposit_amount')}, {scaled('withdraw_amount')}) FROM deposit_withdraw_record
  WHERE data_date {IN_DAYS}""")
 OFFER_ROWS = "SELECT 1 AS hall_id, 1 AS domain_id, o.* FROM offers o"

@@ -4,7 +4,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from tagloom.functions.columns import tenant_columns
+from tagloom.functions.columns import conform_types, tenant_columns
 from tagloom.operators import facts, web
 from tagloom.plans.registry import AS_OF, END, START, TENANT, TODAY, query
 
@@ -20,9 +20,10 @@ MEMBER_START, MEMBER_END = date(2023, 7, 1), date(2023, 9, 30)
 @query("member_info", f"""
 SELECT 1 AS hall_id, 'hall' AS hall_name, 1 AS domain_id, 'domain' AS domain_name,
        user_id, parent_username AS ag_name, username AS user_name, name AS name_real,
-       created_at + INTERVAL 4 HOUR AS register_date, COALESCE(created_by, 0) AS register_by, phone AS user_phone,
-       email AS user_mail, balance, last_login + INTERVAL 4 HOUR AS last_login, last_ip,
-       COALESCE(last_city_id, 0) AS last_city_id, last_online + INTERVAL 4 HOUR AS last_online, 0 AS arbitrage_flag,
+       created_at + INTERVAL 4 HOUR AS register_date, created_ip AS register_ip, created_country AS register_country,
+       created_city AS register_city, COALESCE(created_by, 0) AS register_by, phone AS user_phone,
+       email AS user_mail, balance, last_login + INTERVAL 4 HOUR AS last_login, last_ip, last_country,
+       COALESCE(last_city_id, 0) AS last_city_id, last_online + INTERVAL 4 HOUR AS last_online, zalo, facebook, 0 AS arbitrage_flag,
        COALESCE(level_id, 0) AS user_level_id, level_name AS user_level, COALESCE(email_confirm, 0) AS email_confirm,
        COALESCE(phone_confirm, 0) AS phone_confirm
 FROM users WHERE role = 1 AND (CAST(created_at AS DATE) {MEMBER_RANGE} OR CAST(created_time AS DATE) {MEMBER_RANGE})""")
@@ -30,6 +31,26 @@ def _(i):
     return tenant_columns(facts.member_info(i["users"], MEMBER_START, MEMBER_END), TENANT)
 
 
+@query("member_contacts", f"""
+SELECT user_id, parent_username AS ag_name, username AS user_name, name AS name_real, created_at + INTERVAL 4 HOUR AS register_date,
+       phone AS user_phone, email AS user_mail, balance, last_login + INTERVAL 4 HOUR AS last_login, last_ip, qq_num, wechat,
+       COALESCE(level_id, 0) AS user_level_id, level_name AS user_level
+FROM users WHERE CAST(created_at AS DATE) {MEMBER_RANGE} OR CAST(created_time AS DATE) {MEMBER_RANGE}""")
+def _(i):
+    return facts.member_contacts(i["users"], MEMBER_START, MEMBER_END)
+
+
+@query("conform_types", """
+SELECT CAST(user_id AS BIGINT) AS user_id, user_name, CAST(COALESCE(user_level_id, 0) AS BIGINT) AS user_level_id,
+       CAST(balance AS DECIMAL(18, 2)) AS balance, CAST(register_date AS TIMESTAMP) AS register_date
+FROM (SELECT user_id, username AS user_name, level_id AS user_level_id, balance / 100 AS balance, CAST(created_at AS DATE) AS register_date
+      FROM users) u""")
+def _(i):
+    loaded = i.sql("""SELECT CAST(user_id AS STRING) AS user_id, username AS user_name, level_id AS user_level_id,
+        CAST(balance / 100 AS STRING) AS balance, CAST(CAST(created_at AS DATE) AS STRING) AS register_date FROM users""")
+    return conform_types(loaded)
+
+
 @query("new_members", f"""
 SELECT DISTINCT u.user_id, u.username AS user_name FROM users u LEFT JOIN created_log l ON u.user_id = l.user_id
 WHERE role = 1 AND (CAST(u.created_at AS DATE) {MEMBER_RANGE} OR CAST(l.created_time AS DATE) {MEMBER_RANGE})""")
@@ -103,13 +124,13 @@ def _(i):
 
 
 @query("bet_analysis_by_lobby", f"""
-SELECT b.user_id, b.parent_username AS ag_name, b.lobby, v.sc_name AS lobby_name_cn, v.en_name AS lobby_name_en,
-       COALESCE(b.lobby_group, 0) AS lobby_group, b.game_code AS game_type, g.sc_name AS game_name_cn, g.en_name AS game_name_en,
+SELECT b.user_id, b.parent_username AS ag_name, b.lobby, b.lobby_name, v.sc_name AS lobby_name_cn, v.en_name AS lobby_name_en,
+       COALESCE(b.lobby_group, 0) AS lobby_group, b.lobby_group_name, b.game_name, b.game_code AS game_type, g.sc_name AS game_name_cn, g.en_name AS game_name_en,
        {SUMS}, platform, {PLATFORM_NAME.format('platform')} AS platform_name, data_date, {FISCAL},
        COALESCE(level_id, 0) AS user_level_id, level_name AS user_level
 FROM wager_raw b LEFT JOIN lobby_games g ON b.lobby = g.lobby AND b.game_code = g.game_code
 LEFT JOIN lobbies v ON g.lobby = v.lobby WHERE data_date {RANGE}
-GROUP BY b.user_id, b.parent_username, b.lobby, v.sc_name, v.en_name, b.lobby_group, b.game_code, g.sc_name, g.en_name,
+GROUP BY b.user_id, b.parent_username, b.lobby, b.lobby_name, b.lobby_group_name, b.game_name, v.sc_name, v.en_name, b.lobby_group, b.game_code, g.sc_name, g.en_name,
          platform, data_date, {FISCAL}, level_id, level_name""")
 def _(i):
     return facts.bet_analysis_by_lobby(i["wager_raw"], i["lobbies"], i["lobby_games"], PLATFORMS, START, END)
@@ -207,6 +228,11 @@ def _(i):
     return facts.vip_login_tagged(i["login_raw"], i["users"], i["ods"], i["calendar"], START, END)
 
 
+LATEST_ANY = f"""SELECT user_id, data_date, ip, country_code, city, client_os, client_browser FROM (
+ SELECT *, MAX(at_ts) OVER (PARTITION BY user_id, data_date) AS latest FROM login_raw
+ WHERE data_date {RANGE} AND result = 1) t WHERE at_ts = latest"""
+query("latest_login_any_role", LATEST_ANY)(lambda i: facts.latest_login(i["login_raw"], START, END, role=None))
+
 LATEST = f"""SELECT user_id, data_date, ip, country_code, city, client_os, client_browser FROM (
  SELECT *, MAX(at_ts) OVER (PARTITION BY user_id, data_date) AS latest FROM login_raw
  WHERE data_date {RANGE} AND result = 1 AND role = 1) t WHERE at_ts = latest"""
@@ -244,6 +270,18 @@ def _(i):
     return facts.bet_time(i["wager"], i["users"], AS_OF, settled=i["wager"])
 
 
+@query("bet_time_of_vendors", """
+SELECT t.user_id, bet_hour, data_date, CAST(isodow(data_date) - 1 AS INT) AS data_weekday, CAST(SUM(valid_bet) AS BIGINT) AS commissionable,
+       username AS user_name, created_at + INTERVAL 12 HOUR AS register_date
+FROM (SELECT user_id, valid_bet, CAST(hour(at_ts - INTERVAL 12 HOUR) AS INT) AS bet_hour, CAST(at_ts - INTERVAL 12 HOUR AS DATE) AS data_date
+      FROM wager) t JOIN users u ON t.user_id = u.user_id WHERE data_date <= DATE '2024-01-30'
+GROUP BY t.user_id, bet_hour, data_date, username, created_at""")
+def _(i):
+    wager = i["wager"]
+    per_vendor = [wager.filter(F.col("lobby") == lobby) for lobby in range(1, 8)]
+    return facts.bet_time_of_vendors(per_vendor, i["users"], AS_OF)
+
+
 @query("cash_by_opcode", """
 SELECT c.user_id, opcode, data_date, CAST(SUM(amount) AS BIGINT) AS amount, username AS user_name,
        u.created_at + INTERVAL 12 HOUR AS register_date

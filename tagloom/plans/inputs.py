@@ -48,6 +48,11 @@ SELECT c.c_custkey AS user_id,
        CASE WHEN c.c_custkey % 9 = 0 THEN NULL
             ELSE CAST(DATE '2024-01-02' + CAST(c.c_custkey % 30 AS INT) AS {NTZ}) + INTERVAL 21 HOUR END AS last_online,
        concat('10.', CAST(c.c_custkey % 256 AS STRING), '.0.1') AS last_ip,
+       concat('10.0.', CAST(c.c_custkey % 256 AS STRING), '.2') AS created_ip,
+       concat('C', CAST(c.c_custkey % 6 AS STRING)) AS created_country, concat('city ', CAST(c.c_custkey % 9 AS STRING)) AS created_city,
+       concat('C', CAST(c.c_custkey % 5 AS STRING)) AS last_country, concat('z', CAST(c.c_custkey AS STRING)) AS zalo,
+       CASE WHEN c.c_custkey % 3 = 1 THEN NULL ELSE concat('f', CAST(c.c_custkey AS STRING)) END AS facebook,
+       concat('88', CAST(c.c_custkey AS STRING)) AS qq_num, concat('wx', CAST(c.c_custkey AS STRING)) AS wechat,
        CASE WHEN c.c_custkey % 3 = 0 THEN NULL ELSE CAST(c.c_custkey % 50 AS INT) END AS last_city_id,
        CASE WHEN c.c_custkey % 13 = 0 THEN NULL ELSE c.c_nationkey END AS level_id, c.c_mktsegment AS level_name,
        CASE WHEN c.c_custkey % 4 = 1 THEN NULL ELSE CAST(c.c_custkey % 2 AS INT) END AS email_confirm,
@@ -74,6 +79,9 @@ SELECT user_id, concat('AG', CAST(user_id % 5 AS STRING)) AS parent_username, CA
        CASE WHEN event_id % 31 = 0 THEN 'settlement01' ELSE concat('G', CAST(event_id % 20 AS STRING)) END AS game_code,
        CAST(event_id % 6 + 1 AS INT) AS kind,
        CASE WHEN event_id % 12 = 0 THEN NULL ELSE CAST(event_id % 6 + 1 AS INT) END AS lobby_group,
+       concat('lobby ', CAST(event_id % 7 + 1 AS STRING)) AS lobby_name,
+       CASE WHEN event_id % 12 = 0 THEN NULL ELSE concat('group ', CAST(event_id % 6 + 1 AS STRING)) END AS lobby_group_name,
+       concat('game ', CAST(event_id % 20 AS STRING)) AS game_name,
        CAST(1 AS BIGINT) AS wagers_total, CAST(ROUND(value * 100) AS BIGINT) * 11 AS bet,
        CAST(ROUND(value * 100) AS BIGINT) * 10 AS valid_bet,
        CAST(ROUND(value * 100) AS BIGINT) * (event_id * 7919 % 21 - 11) AS payoff,

@@ -3,13 +3,12 @@
 from pyspark.sql import functions as F
 
 from tagloom.functions import codes as C
-from tagloom.operators import activity, facts, rules, tags
+from tagloom.operators import activity, rules, tags
+from tagloom.operators.masking import MASKS, mask_columns
 from tagloom.plans.registry import AS_OF, NAMED, NOW, TODAY, USER, query
 from tagloom.sources.sinks import materialise
 from tagloom.streaming.incremental import next_state
 
-from datetime import date  # noqa: E402
-
 # the rule book's thresholds lie above the amounts in the inputs, so bands are scaled
 DEPOSIT_BANDS = {100000: 30069, 200000: 30070, 300000: 30071, 400000: 30072, 450000: 30073}
 BET_BANDS = {100000: 30074, 250000: 30075, 400000: 30076, 470000: 30077, 900000: 30078}
@@ -280,6 +279,15 @@ query("tag_custom_upload", f"""
 SELECT {NAMED}, 40032 AS tag_code, 4 AS tag_type, enable AS tag_enabled FROM uploaded
 QUALIFY ROW_NUMBER() OVER (PARTITION BY {USER} ORDER BY data_date DESC, enable DESC) = 1""", {"uploaded": UPLOADED})(
     lambda i: tags.custom_upload_tags(i["upload"], i["member_info"], 40032))
+MASKED = "SELECT * REPLACE (substr(user_name, 1, 3) || '*****' AS user_name) FROM member_info"
+query("tag_custom_upload_masked", f"""
+SELECT {NAMED}, 40032 AS tag_code, 4 AS tag_type, enable <> 0 AS tag_enabled
+FROM masked JOIN (SELECT substr(user_name, 1, 3) || '*****' AS user_name, enable, make_date(CAST(split_part(d, '-', 1) AS INT),
+   CAST(split_part(d, '-', 2) AS INT), CAST(split_part(d, '-', 3) AS INT)) AS day
+  FROM (SELECT *, replace(data_date, '/', '-') AS d FROM upload) u
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY substr(user_name, 1, 3) ORDER BY day DESC, enable DESC) = 1) l USING (user_name)""",
+      {"masked": MASKED})(
+    lambda i: tags.custom_upload_tags(i["upload"], mask_columns(i["member_info"], {"user_name": MASKS["user_name"]}), 40032, masked=True))
 query("tag_custom_upload_dates", f"SELECT DISTINCT {USER}, 40032 AS tag_code, data_date, enable FROM uploaded",
       {"uploaded": UPLOADED})(lambda i: tags.custom_upload_dates(i["upload"], i["member_info"], 40032))
 query("tag_custom_upload_counts", """

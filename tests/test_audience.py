@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagloom.operators import audience
+from tagloom.operators.keyed import equal_parts
 from conftest import rows
 
 KEY = "hall_id int, domain_id int, user_id long"
@@ -97,3 +98,10 @@ def test_group_state_mode_two_removes_stale(spark):
     batch = {"batch_id": 9, "tag_id": 3, "tag_name": "t"}
     after = audience.sync_group_state(group, new, people(spark, [2, 3]), batch, 2)
     assert {(r.batch_id, r.user_id): r.latest_tag for r in after.collect()} == {(9, 2): False, (9, 3): True, (8, 1): True}
+
+
+@pytest.mark.parametrize("n, parts", [(10, 3), (7, 7), (3, 5), (1000, 6)])
+def test_equal_parts_differ_by_one_at_most(spark, n, parts):
+    split = equal_parts(people(spark, range(n)), ["hall_id", "domain_id", "user_id"], "user_id", parts)
+    sizes = [r["count"] for r in split.groupBy("part").count().collect()]
+    assert sum(sizes) == n and max(sizes) - min(sizes) <= 1 and max(sizes) == math.ceil(n / parts)

@@ -166,3 +166,15 @@ def test_manual_edit_tie_takes_larger_type(spark):
          (1, 1, 3, 30015, 7, at)],
         "hall_id int, domain_id int, user_id long, tag_code int, edit_type int, updated_time timestamp_ntz")
     assert {r.user_id: r.tag_enabled for r in tags.tag_manual_edits(edits, [30015]).collect()} == {1: False, 2: True, 3: None}
+
+
+def test_upload_of_masked_members_uses_latest_line(spark):
+    upload = spark.createDataFrame(
+        [("anna", "2024/1/5", 1), ("anne", "2024-1-6", 0), ("bob", "2024/01/01", 1), ("bob", "2024/01/01", 0)],
+        "n string, d string, e int")
+    masked = spark.createDataFrame(
+        [(1, 1, 1, "ann*****", REGISTERED), (1, 1, 2, "ann*****", REGISTERED), (1, 1, 3, "bob*****", REGISTERED), (1, 1, 4, None, REGISTERED)],
+        "hall_id int, domain_id int, user_id long, user_name string, register_date date")
+    got = tags.custom_upload_tags(upload, masked, 40032, masked=True).collect()
+    assert {(r.user_id, r.tag_type): r.tag_enabled for r in got} == {(1, 4): False, (2, 4): False, (3, 4): True}
+    assert tuple(tags.custom_upload_counts(upload).first()) == (2, 2)
