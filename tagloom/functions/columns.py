@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 from functools import reduce
 from operator import and_, or_
 
@@ -17,6 +17,11 @@ def day(value: date | str) -> Column:
     return F.lit(str(value)).cast("date")
 
 
+def moment(value: datetime | str) -> Column:
+    """Zone-less time; a plain literal would be read in the session zone."""
+    return F.lit(str(value)).cast("timestamp_ntz")
+
+
 def days_before(value: date, n: int) -> Column:
     return day(value - timedelta(days=n))
 

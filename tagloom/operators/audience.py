@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions import codes as C
 from tagloom.functions.codes import KEYS
-from tagloom.functions.columns import all_of, any_of, day, days_before, tenant_date
+from tagloom.functions.columns import all_of, any_of, day, days_before, moment, tenant_date
 from tagloom.operators.keyed import hash_places, set_difference, set_intersection
 from tagloom.operators.merge import delete_keys, update_where, upsert
 
@@ -23,7 +23,7 @@ def active_batches(batches: DataFrame, now, edited_within: int | None = None) ->
 
     ``edited_within`` seconds keeps only recently edited ones.
     """
-    stamp = F.lit(now).cast("timestamp_ntz")
+    stamp = moment(now)
     today = tenant_date(stamp)
     open_now = (F.col("sync_date_type") == 2) | (
         (F.col("sync_date_type") == 1) & today.between(F.col("sync_date_begin"), F.col("sync_date_end")))

@@ -20,9 +20,12 @@ SMALL_BYTES = 256 << 20
 
 
 def is_small(df: DataFrame) -> bool:
-    """Whether all data the frame reads would fit one task."""
+    """Whether all data the frame reads would fit one task; unknown sizes do not."""
+    plan = getattr(df, "_jdf", None)
+    if plan is None:
+        return False
     limit = int(df.sparkSession.conf.get("tagloom.smallBytes", str(SMALL_BYTES)))
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    leaves = plan.queryExecution().optimizedPlan().collectLeaves()
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())) <= limit
 
 

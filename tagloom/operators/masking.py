@@ -69,15 +69,20 @@ def mask_message_text(df: DataFrame, column: str = "content") -> DataFrame:
 
     The amount loses its separators and is replaced wherever it occurs.
     """
-    masked = F.regexp_replace(
+    shortened = F.regexp_replace(
         F.col(column), r"(會員 #)(.{3})(.*)(@.*#)(.*)(¥)([0-9|,]+)(.*)", "$1$2*****$4$5℗$7$8")
-    shown = F.regexp_extract(masked, "℗([0-9|,]+)", 1)
-    cents = F.replace(shown, F.lit(","), F.lit("")).try_cast("long")
-    rest = F.pmod(cents, F.lit(100))
+    rest = F.pmod(F.col("_cents"), F.lit(100))
     digits = F.when(rest % 10 == 0, F.floor(rest / 10).cast("string")).otherwise(F.lpad(rest.cast("string"), 2, "0"))
-    divided = F.concat(F.floor(cents / 100).cast("string"), F.lit("."), digits)
-    text = F.when(cents.isNotNull(), F.replace(masked, shown, divided)).otherwise(masked)
-    return df.withColumn(column, text)
+    divided = F.concat(F.floor(F.col("_cents") / 100).cast("string"), F.lit("."), digits)
+    # one column per stage, so that the patterns are matched once per row
+    return (
+        df.withColumn(column, shortened)
+        .withColumn("_shown", F.regexp_extract(column, "℗([0-9|,]+)", 1))
+        .withColumn("_cents", F.replace(F.col("_shown"), F.lit(","), F.lit("")).try_cast("long"))
+        .withColumn(column, F.when(F.col("_cents").isNotNull(), F.replace(F.col(column), F.col("_shown"), divided))
+                    .otherwise(F.col(column)))
+        .drop("_shown", "_cents")
+    )
 
 
 def demo_copy(table: str, df: DataFrame, tenant: Mapping, start: date, end: date) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions import codes as C
 from tagloom.functions.codes import KEYS, NEVER
-from tagloom.functions.columns import between_zones, tenant_date
+from tagloom.functions.columns import between_zones, moment, tenant_date
 from tagloom.operators.keyed import salted_join
 from tagloom.operators.merge import upsert
 
@@ -18,7 +18,7 @@ LANGUAGES = {"": "tag_name", "_cn": "tag_name_cn", "_en": "tag_name_en"}
 
 def apply_tag_batch(ods: DataFrame, new_tags: DataFrame, reset_codes: list[int], now) -> DataFrame:
     """Disable every stored row of the reset codes, then replace by key, in one join."""
-    stamp = F.lit(now).cast("timestamp_ntz")
+    stamp = moment(now)
     reset = F.col("tag_code").isin(reset_codes)
     base = ods.withColumns({
         "tag_enabled": F.when(reset, F.lit(False)).otherwise(F.col("tag_enabled")),
@@ -126,7 +126,7 @@ def tag_monthly_counts(bets: DataFrame, ods: DataFrame) -> DataFrame:
 
 def export_rule_tags(ods: DataFrame, tenant: dict, start, end) -> DataFrame:
     """Rule tags (and the two exported hedge codes) updated in the range."""
-    updated = F.col("updated_time").between(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"))
+    updated = F.col("updated_time").between(moment(start), moment(end))
     wanted = (F.col("tag_type") == C.RULE_TAG_TYPE) | F.col("tag_code").isin(C.EXPORTED_EXTRA_CODES)
     return ods.filter(
         (F.col("hall_id") == tenant["hall_id"]) & (F.col("domain_id") == tenant["domain_id"]) & wanted & updated

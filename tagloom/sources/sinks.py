@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,10 +40,10 @@ def append_checked(df: DataFrame, path: str) -> int:
 
 
 def _rows(spark: SparkSession, path: str) -> int:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+    try:
+        return spark.read.parquet(path).count()
+    except AnalysisException:  # no table there yet
         return 0
-    return spark.read.parquet(path).count()
 
 
 def write_csv(df: DataFrame, path: str) -> None:

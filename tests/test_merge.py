@@ -49,3 +49,15 @@ def test_tag_batch_is_idempotent(spark):
     assert {(r.user_id, r.tag_code): r.tag_enabled for r in once.collect()} == {
         (1, 30019): True, (2, 30019): False, (2, 30017): True, (3, 30019): True}
     assert rows(apply_tag_batch(once, new, [30019], now)) == rows(once)
+
+
+def test_batch_time_does_not_follow_the_session_zone(spark):
+    schema = "hall_id int, domain_id int, user_id long, user_name string, tag_code int, tag_type int, tag_enabled boolean, register_date date"
+    new = spark.createDataFrame([(1, 1, 1, "a", 30019, 3, True, None)], schema)
+    ods = new.limit(0).withColumn("updated_time", F.lit(None).cast("timestamp_ntz"))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        assert apply_tag_batch(ods, new, [], datetime(2024, 1, 2, 3)).first().updated_time == datetime(2024, 1, 2, 3)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
