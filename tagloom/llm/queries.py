@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import simhash
+from tagloom.llm import simhash, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -28,3 +28,74 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", simhash.hex_digits(F.col("simhash")).alias("fingerprint"), F.col("component").alias("component_id")
     )
+
+
+URL_RULES = [
+    ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+
+
+@query
+def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """The pages have no labels of their own; the labels table is read as outcomes of the pages with its ids."""
+    labels = table(spark, folder, "labels")
+    bad = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)
+    outcomes = labels.select(F.col("doc_id").alias("id"), bad.alias("bad"))
+    judged = urls.judge(table(spark, folder, "pages"), outcomes, URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLE_SQL["op2_url_filter"] = """
+WITH parsed AS (
+    SELECT page_id,
+        coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+        coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+    FROM pages
+), known AS (
+    SELECT doc_id AS page_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad
+    FROM labels GROUP BY doc_id
+), hosts AS (
+    SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad,
+        array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS domain,
+        string_split(host, '.')[-1] AS suffix
+    FROM parsed LEFT JOIN known USING (page_id) GROUP BY host
+), domains0 AS (
+    SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY domain, suffix
+), suffixes0 AS (
+    SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains0 GROUP BY suffix
+), overall AS (
+    SELECT (coalesce(sum(bad), 0) + 1.0::DOUBLE) / (coalesce(sum(n), 0) + 2.0::DOUBLE) AS mu FROM suffixes0
+), suffixes1 AS (
+    SELECT s.*, mu FROM suffixes0 s, overall
+), suffixes2 AS (
+    SELECT *, (SELECT 1 / least(greatest(coalesce((sum(power(bad - n * mu, 2) / (n * mu * (1 - mu))) - count(n))
+        / greatest(sum(n) - count(n), 1), 0.001), 0.001), 0.5::DOUBLE) - 1 FROM suffixes1 WHERE n > 0) AS w
+    FROM suffixes1
+), domains1 AS (
+    SELECT d.*, (s.bad + s.w * s.mu) / (s.n + s.w) AS mu FROM domains0 d JOIN suffixes2 s USING (suffix)
+), domains2 AS (
+    SELECT *, (SELECT 1 / least(greatest(coalesce((sum(power(bad - n * mu, 2) / (n * mu * (1 - mu))) - count(n))
+        / greatest(sum(n) - count(n), 1), 0.001), 0.001), 0.5::DOUBLE) - 1 FROM domains1 WHERE n > 0) AS w
+    FROM domains1
+), hosts1 AS (
+    SELECT h.*, (d.bad + d.w * d.mu) / (d.n + d.w) AS mu FROM hosts h JOIN domains2 d USING (domain)
+), hosts2 AS (
+    SELECT *, (SELECT 1 / least(greatest(coalesce((sum(power(bad - n * mu, 2) / (n * mu * (1 - mu))) - count(n))
+        / greatest(sum(n) - count(n), 1), 0.001), 0.001), 0.5::DOUBLE) - 1 FROM hosts1 WHERE n > 0) AS w
+    FROM hosts1
+), shares AS (
+    SELECT host, n + w AS total, (bad + w * mu) / (n + w) AS share FROM hosts2
+), fitting AS (
+    SELECT p.*, CASE WHEN ends_with('.' || host, '.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+        WHEN ends_with('.' || host, '.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'
+        WHEN ends_with('.' || host, '.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
+        WHEN ends_with('.' || host, '.com') AND starts_with(path, '/de/') THEN 'com/de/'
+        WHEN ends_with('.' || host, '.org') AND starts_with(path, '/') THEN 'org/' END AS rule
+    FROM parsed p
+)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+    WHEN share - 1.645::DOUBLE * sqrt(share * (1 - share) / (total + 1)) > 0.25 THEN 'block' ELSE 'allow' END AS verdict
+FROM fitting JOIN shares USING (host)
+"""
