@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import simhash, urls
+from tagloom.llm import labelled, simhash, subwords, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -99,3 +99,23 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'al
     WHEN share - 1.645::DOUBLE * sqrt(share * (1 - share) / (total + 1)) > 0.25 THEN 'block' ELSE 'allow' END AS verdict
 FROM fitting JOIN shares USING (host)
 """
+
+
+QUALITY_SAMPLE = 2000  # labelled documents of each class that the classifier is fitted on, at any size
+REJECT_BELOW = 0.3
+
+
+def quality_model(spark: SparkSession, folder: str) -> subwords.Model:
+    """Fitted on a bounded sample of the labelled documents that are not held out."""
+    labels = table(spark, folder, "labels").filter(~labelled.held_out(F.col("doc_id"), 5, 0))
+    sample = labelled.training_sample(table(spark, folder, "documents"), labels, "quality", QUALITY_SAMPLE)
+    return subwords.train(sample.texts, sample.labels, sample.weights)
+
+
+@query
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    scored = subwords.score(table(spark, folder, "documents"), quality_model(spark, folder), keep=("doc_id",))
+    return scored.select(
+        "doc_id", labelled.held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score",
+        (F.col("score") >= REJECT_BELOW).cast("int").alias("predicted"),
+    )
