@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import labelled, simhash, subwords, urls
+from tagloom.llm import convnet, labelled, simhash, subwords, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -119,3 +119,21 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", labelled.held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score",
         (F.col("score") >= REJECT_BELOW).cast("int").alias("predicted"),
     )
+
+
+TOXIC_SAMPLE = 5000  # labelled documents of each class that the classifier is fitted on, at any size
+
+
+@query
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """``flagged`` uses the calibrated threshold of the document's language; the language is no input of the score."""
+    docs = table(spark, folder, "documents")
+    labels = table(spark, folder, "labels").filter(~labelled.held_out(F.col("doc_id"), 4, 2))
+    sample = labelled.training_sample(docs, labels, "toxic", TOXIC_SAMPLE, lang="lang")
+    model = convnet.train(sample.texts, sample.labels, sample.weights, sample.langs)
+    scored = convnet.score(docs, model, keep=("doc_id", "lang"))
+    return scored.select(
+        "doc_id", labelled.held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        convnet.flagged(F.col("score"), F.col("lang"), model).alias("flagged"),
+    )
