@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import convnet, labelled, simhash, subwords, urls
+from tagloom.llm import convnet, dac, labelled, simhash, subwords, urls
+from tagloom.llm.tokens import vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -137,3 +138,10 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
         convnet.flagged(F.col("score"), F.col("lang"), model).alias("flagged"),
     )
+
+
+@query
+def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = dac.write_corpus(table(spark, folder, "documents"), vocabulary())
+    read = dac.read_digests(spark.read.parquet(path))
+    return read.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.col("crc32").alias("ids_crc32"))
