@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import convnet, dac, labelled, simhash, subwords, urls
+from tagloom.llm import convnet, dac, labelled, simhash, subwords, urls, vptree
 from tagloom.llm.tokens import vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +145,26 @@ def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = dac.write_corpus(table(spark, folder, "documents"), vocabulary())
     read = dac.read_digests(spark.read.parquet(path))
     return read.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.col("crc32").alias("ids_crc32"))
+
+
+ANN_FACTOR = 1.0  # exact
+
+
+@query
+def op5_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return vptree.neighbours(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20, factor=ANN_FACTOR)
+
+
+ORACLE_SQL["op5_nearest"] = """
+WITH usable AS (
+    SELECT DISTINCT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+    FROM usable q JOIN usable c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
