@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import convnet, dac, labelled, simhash, subwords, urls, vptree
+from tagloom.llm import convnet, dac, decontaminate, labelled, simhash, subwords, urls, vptree
 from tagloom.llm.tokens import vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -168,3 +168,42 @@ WITH usable AS (
 )
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 20
 """
+
+
+@query
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"), window=13)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        decontaminate.contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
+    )
+
+
+ORACLE_SQL["op4_decontamination"] = r"""
+WITH item AS (
+    SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), cut AS (
+    SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS at FROM item WHERE len(w) > 0
+), windows AS (
+    SELECT DISTINCT item_id, least(len(w), 13) AS size, list_slice(w, at, at + 12) AS words FROM cut
+), doc AS (
+    SELECT row_number() OVER () AS row, doc_id, coalesce(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents
+), spread AS (
+    SELECT row, size, unnest(range(1, len(w) - size + 2)) AS at, w FROM doc, (SELECT DISTINCT size FROM windows)
+), found AS (
+    SELECT s.row, s.at, s.size, item_id FROM spread s JOIN windows v
+    ON s.size = v.size AND list_slice(s.w, s.at, s.at + s.size - 1) = v.words
+), hit AS (
+    SELECT row, count(DISTINCT place) AS n FROM (SELECT row, unnest(range(at, at + size)) AS place FROM found) GROUP BY row
+), named AS (
+    SELECT row, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT row, item_id::VARCHAR AS item FROM found WHERE item_id IS NOT NULL) GROUP BY row
+)
+SELECT doc_id, len(w) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN hit USING (row) LEFT JOIN named USING (row)
+"""
