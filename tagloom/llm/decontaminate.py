@@ -23,7 +23,7 @@ from tagloom.llm.urls import ascii_lower
 from tagloom.sources.sinks import materialise
 
 SHINGLE = 5
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # up to so many rows a table of hashes (8 bytes) or of windows (words of a benchmark text) is sent to all executors
 MOST_HASHES = 2_000_000
 MOST_WINDOWS = 200_000
@@ -32,7 +32,7 @@ MOST_WINDOWS = 200_000
 def words_of(text: Column) -> Column:
     """Words of a text, A-Z lower-cased; null has none. ASCII texts take the faster function."""
     lower = F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(ascii_lower(text))
-    return F.coalesce(F.regexp_extract_all(lower, F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
+    return F.coalesce(F.array_remove(F.split(lower, BETWEEN_WORDS), ""), F.array().cast("array<string>"))
 
 
 def _hash(words: Column, at: Column, size: int) -> Column:

@@ -185,20 +185,20 @@ WITH item AS (
     SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
 ), cut AS (
-    SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS at FROM item WHERE len(w) > 0
+    SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS pos FROM item WHERE len(w) > 0
 ), windows AS (
-    SELECT DISTINCT item_id, least(len(w), 13) AS size, list_slice(w, at, at + 12) AS words FROM cut
+    SELECT DISTINCT item_id, least(len(w), 13) AS size, list_slice(w, pos, pos + 12) AS words FROM cut
 ), doc AS (
     SELECT row_number() OVER () AS row, doc_id, coalesce(regexp_extract_all(
         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents
 ), spread AS (
-    SELECT row, size, unnest(range(1, len(w) - size + 2)) AS at, w FROM doc, (SELECT DISTINCT size FROM windows)
+    SELECT row, size, unnest(range(1, len(w) - size + 2)) AS pos, w FROM doc, (SELECT DISTINCT size FROM windows)
 ), found AS (
-    SELECT s.row, s.at, s.size, item_id FROM spread s JOIN windows v
-    ON s.size = v.size AND list_slice(s.w, s.at, s.at + s.size - 1) = v.words
+    SELECT s.row, s.pos, s.size, item_id FROM spread s JOIN windows v
+    ON s.size = v.size AND list_slice(s.w, s.pos, s.pos + s.size - 1) = v.words
 ), hit AS (
-    SELECT row, count(DISTINCT place) AS n FROM (SELECT row, unnest(range(at, at + size)) AS place FROM found) GROUP BY row
+    SELECT row, count(DISTINCT place) AS n FROM (SELECT row, unnest(range(pos, pos + size)) AS place FROM found) GROUP BY row
 ), named AS (
     SELECT row, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
     FROM (SELECT DISTINCT row, item_id::VARCHAR AS item FROM found WHERE item_id IS NOT NULL) GROUP BY row
