@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.llm.tokens import Encoder
+from tagloom.llm.tokens import encoder
 from tagloom.sources.sinks import checkpoint_folder
 
 BLOCK = 512
@@ -138,7 +138,7 @@ def write_corpus(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, seq = Encoder(vocabulary), TaskContext.get().partitionId(), 0
+        encode, part, seq = encoder(vocabulary), TaskContext.get().partitionId(), 0
         end = np.array([end_id], "<u4").tobytes()
         names, pieces, sizes, total = [], [], [], 0
 

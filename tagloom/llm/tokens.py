@@ -10,6 +10,8 @@ name of a special token go to the library whole.
 from __future__ import annotations
 
 import re
+import sys
+import types
 from array import array
 
 # fixed values: the vocabulary's own pre-tokenisation pattern, its classes written out for the plain characters
@@ -35,6 +37,14 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def encoder(path: str) -> Encoder:
+    """The encoder of this worker process, which keeps what it has learned for the tasks that follow."""
+    held = sys.modules.setdefault("_encoders_of_worker", types.ModuleType("_encoders_of_worker")).__dict__
+    if path not in held:
+        held[path] = Encoder(path)
+    return held[path]
+
+
 class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -44,6 +54,7 @@ class Encoder:
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.split, self.plain = re.compile(PIECES).findall, re.compile(PLAIN).fullmatch
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def __call__(self, text: str | None) -> bytes:
         if not text:
@@ -54,11 +65,16 @@ class Encoder:
         try:
             return b"".join(map(known.__getitem__, pieces))
         except KeyError:
-            if len(known) > _CACHE:
-                known.clear()
+            if len(known) > _CACHE:  # what is in use comes back from the older half
+                self.older, self.known = known, {}
+                known = self.known
+            older = self.older
             for p in set(pieces).difference(known):
-                named = p.replace(" ", "\u0120") if p.isascii() and p.isprintable() else _named(p)
-                known[p] = array("I", [t.id for t in self.merge(named)]).tobytes()
+                code = older.get(p)
+                if code is None:
+                    named = p.replace(" ", "\u0120") if p.isascii() and p.isprintable() else _named(p)
+                    code = array("I", [t.id for t in self.merge(named)]).tobytes()
+                known[p] = code
             return b"".join(map(known.__getitem__, pieces))
 
 
