@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import convnet, dac, decontaminate, labelled, simhash, subwords, urls, vptree
+from tagloom.llm import convnet, dac, decontaminate, doubling, labelled, simhash, subwords, suffixes, urls, vptree
 from tagloom.llm.tokens import vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -207,3 +207,18 @@ SELECT doc_id, len(w) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(named.n,
     sha256(coalesce(items, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(w) AS contaminated
 FROM doc LEFT JOIN hit USING (row) LEFT JOIN named USING (row)
 """
+
+
+@query
+def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = doubling.remove_repeats(table(spark, folder, "documents"), width=20, digest=True)
+    return found.select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
+
+
+@query
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffixes.remove_repeats(table(spark, folder, "documents"), width=100, digest=True)
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.col("kept").cast("string").alias("kept_sha256"),
+    )
