@@ -121,17 +121,18 @@ def find_windows(docs: DataFrame, windows: DataFrame, keep: list[str], words: st
 
 def contamination(
     docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-    item_text: str = "text", window: int = 13,
+    item_text: str = "text", window: int = 13, keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Per row of ``docs``: ``id``, ``n_words``, ``n_hit`` (words inside an occurrence), ``items`` (ids as sorted text).
+    """Per row of ``docs``: ``id``, the columns ``keep``, ``n_words``, ``n_hit`` (words inside an occurrence), ``items`` (ids as sorted text).
 
     Null and wordless texts have no words; null and wordless items have no
     windows. Items without id make hits but are not listed. Rows that repeat an
     id are judged one by one. Other columns are not read.
     """
     windows = materialise(item_windows(items, item_id, item_text, window).withColumn("wid", F.monotonically_increasing_id()))
-    parts = docs.select(F.col(id).alias("_id"), words_of(F.col(text)).alias("words"))
-    found = find_windows(parts, windows.select("wid", "w"), ["_id"], "words")
+    kept = {f"_k{i}": name for i, name in enumerate((id, *keep))}
+    parts = docs.select(*[F.col(n).alias(k) for k, n in kept.items()], words_of(F.col(text)).alias("words"))
+    found = find_windows(parts, windows.select("wid", "w"), list(kept), "words")
     hits = found.filter(F.col("start").isNotNull()).join(
         windows.select("wid", F.size("w").alias("len")), "wid"
     ).groupBy("row", "start").agg(F.max(F.col("start") + F.col("len")).alias("end"))
@@ -143,10 +144,10 @@ def contamination(
     names = met.select("row", F.explode_outer("items").alias("item")).groupBy("row").agg(
         F.array_sort(F.collect_set("item")).alias("items")
     )
-    rows = found.filter(F.col("start").isNull()).select("_id", "row", "n_words")
+    rows = found.filter(F.col("start").isNull()).select(*kept, "row", "n_words")
     joined = rows.join(covered, "row", "left").join(names, "row", "left")
     return joined.select(
-        F.col("_id").alias(id), "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+        *[F.col(k).alias(n) for k, n in kept.items()], "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
     )
 
@@ -154,3 +155,16 @@ def contamination(
 def contaminated(n_hit: Column, n_words: Column) -> Column:
     """At least a twentieth of the words are hit."""
     return (n_hit > 0) & (20 * n_hit >= n_words)
+
+
+def clean(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text", window: int = 13) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with all their columns.
+
+    Rows are found again by id and a hash of the text; rows equal in both get
+    the same verdict.
+    """
+    hashed = docs.withColumn("_hash", F.xxhash64(text))
+    found = contamination(hashed, items, id, text, window=window, keep=("_hash",))
+    bad = found.filter(contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col(id).alias("_id"), F.col("_hash").alias("_h"))
+    same = F.col(id).eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_h"))
+    return hashed.join(bad.distinct(), same, "left_anti").drop("_hash")

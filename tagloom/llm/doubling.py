@@ -14,6 +14,7 @@ keeps only the current group's first row, so a group may have any size.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +26,8 @@ from tagloom.llm.repeats import resolve, unpack
 from tagloom.llm.winnow import OTHER, SCHEMA, Powers, Records, Rolling, mix, numbered, sample, settle, union, word_tokens
 from tagloom.sources.sinks import materialise
 
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+
 
 class _Pass:
     """State of a pass over rows sorted by key, context, document and start."""
@@ -132,9 +135,19 @@ def _cut(text: bytes, start: np.ndarray, stop: np.ndarray) -> tuple[int, bytes]:
     return len(words), b" ".join(kept + words[at:])
 
 
+def _cut_in_layout(text: bytes, start: np.ndarray, stop: np.ndarray) -> tuple[int, bytes]:
+    """Kept words with the white space between them as it was; a space where words are missing."""
+    if not len(start):
+        return len(text.split()), text
+    places = [m.span() for m in _WORD.finditer(text)]
+    edges = [0, *np.stack([start, stop], axis=1).ravel().tolist(), len(places)]
+    runs = [(a, b) for a, b in zip(edges[::2], edges[1::2]) if a < b]
+    return len(places), b" ".join(text[places[a][0] : places[b - 1][1]] for a, b in runs)
+
+
 def remove_repeats(
     docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 20, keep: tuple[str, ...] = (),
-    digest: bool = False,
+    digest: bool = False, layout: bool = False,
 ) -> DataFrame:
     """Remove each word covered by ``width`` words in a row that also start earlier.
 
@@ -142,7 +155,8 @@ def remove_repeats(
     on the input. Returns, for each row of ``docs``, ``doc_id``-like column ``id``,
     the columns ``keep``, ``n_words``, ``n_removed``, ``spans`` (removed runs, as
     word places from and up to) and ``kept``: the words kept, joined by single
-    spaces, or with ``digest`` the SHA-256 of that text.
+    spaces, or with ``digest`` the SHA-256 of that text. With ``layout``, white space
+    between kept words stays as it was, and texts that lose nothing are unchanged.
 
     A null text has no words, and words are what spaces and tabs to carriage
     returns divide. Rows that repeat an id are ordered by a hash of their text
@@ -157,7 +171,7 @@ def remove_repeats(
         windows = waiting.select("doc", "z", "size", "marks").mapInArrow(_single_windows(width), SCHEMA)
         return compare_sorted(windows, width).filter(F.col("key").isNull())
 
-    done = resolve(rows, known, _cut, digest, single)
+    done = resolve(rows, known, _cut_in_layout if layout else _cut, digest, single)
     return done.select(
         F.col("c0").alias(id), *[F.col(f"c{i + 1}").alias(k) for i, k in enumerate(keep)], F.col("n").alias("n_words"),
         F.col("removed").alias("n_removed"), "spans", F.col("kept").cast("string").alias("kept"),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import convnet, dac, decontaminate, doubling, labelled, simhash, subwords, suffixes, urls, vptree
+from tagloom.llm import convnet, dac, decontaminate, doubling, labelled, packing, simhash, subwords, suffixes, urls, vptree
 from tagloom.llm.tokens import vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -222,3 +222,8 @@ def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
         F.col("kept").cast("string").alias("kept_sha256"),
     )
+
+
+@query
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(packing.token_counts(table(spark, folder, "documents"), vocabulary()))

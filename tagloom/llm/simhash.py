@@ -141,10 +141,12 @@ def keep_first(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle:
     ones count once; rows without an id stay only if their component has no id
     at all, again one of them.
     """
-    found = near_duplicates(docs, id, text, shingle, radius)
-    first = found.filter(F.col(id) == F.col("component")).select(F.col(id).alias("_keep")).distinct()
-    named = docs.join(first, docs[id] == first["_keep"], "left_semi")
-    counted = named.groupBy(id).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    found = materialise(near_duplicates(docs, id, text, shingle, radius))
+    first = found.filter(F.col(id) == F.col("component")).groupBy(F.col(id).alias("_keep")).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    named = docs.join(first.select("_keep"), docs[id] == F.col("_keep"), "left_semi")
+    counted = first.filter("_n > 1").select(F.col("_keep").alias(id))
     nameless = found.filter(F.col("component").isNull()).select("simhash").distinct()
     if counted.isEmpty() and nameless.isEmpty():
         return named
