@@ -28,10 +28,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without words in runs of 20 that start earlier elsewhere; a text may become empty."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    found = doubling.remove_repeats(docs, width=20, keep=others, layout=True).withColumnRenamed("kept", "text")
-    found = found.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in others else found
-    return found.select(*docs.columns)
+    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    rest = F.struct(F.lit(0).alias("_"), *others).alias("rest")  # one column, so that no name of theirs can clash
+    found = doubling.remove_repeats(docs.select("doc_id", "text", rest), width=20, keep=("rest",), layout=True)
+    new = {"doc_id": F.col("doc_id"), "text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
+    return found.select(*[new.get(c, F.col("rest").getField(c)).alias(c) for c in docs.columns])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -163,8 +163,10 @@ def clean(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "te
     Rows are found again by id and a hash of the text; rows equal in both get
     the same verdict.
     """
-    hashed = docs.withColumn("_hash", F.xxhash64(text))
-    found = contamination(hashed, items, id, text, window=window, keep=("_hash",))
-    bad = found.filter(contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col(id).alias("_id"), F.col("_hash").alias("_h"))
-    same = F.col(id).eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_h"))
-    return hashed.join(bad.distinct(), same, "left_anti").drop("_hash")
+    rows = docs.select(F.struct("*").alias("row"))  # one column, so that no name of theirs can clash
+    rows = rows.select("row", F.col("row").getField(id).alias("id"), F.xxhash64(F.col("row").getField(text)).alias("hash"))
+    texts = rows.select("id", "hash", F.col("row").getField(text).alias("text"))
+    found = contamination(texts, items, "id", "text", window=window, keep=("hash",))
+    bad = found.filter(contaminated(F.col("n_hit"), F.col("n_words"))).select(F.col("id").alias("i"), F.col("hash").alias("h"))
+    same = F.col("id").eqNullSafe(F.col("i")) & (F.col("hash") == F.col("h"))
+    return rows.join(bad.distinct(), same, "left_anti").select("row.*")

@@ -142,27 +142,24 @@ def keep_first(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle:
     at all, again one of them.
     """
     found = materialise(near_duplicates(docs, id, text, shingle, radius))
-    first = found.filter(F.col(id) == F.col("component")).groupBy(F.col(id).alias("_keep")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    named = docs.join(first.select("_keep"), docs[id] == F.col("_keep"), "left_semi")
-    counted = first.filter("_n > 1").select(F.col("_keep").alias(id))
+    found = found.select(F.col(id).alias("id"), "simhash", "component")
+    rows = docs.select(F.struct("*").alias("row"))  # one column, so that no name of theirs can clash
+    key = F.col("row").getField(id)
+    first = found.filter(F.col("id") == F.col("component")).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    named = rows.join(first, key == F.col("id"), "left_semi")
+    several = first.filter("n > 1").select("id")
     nameless = found.filter(F.col("component").isNull()).select("simhash").distinct()
-    if counted.isEmpty() and nameless.isEmpty():
-        return named
-    once = named.join(counted.select(F.col(id).alias("_keep")), F.col(id) == F.col("_keep"), "left_anti")
-    rest = named.join(counted.select(F.col(id).alias("_keep")), F.col(id) == F.col("_keep"), "left_semi")
-    alone = _with_simhash(docs.filter(F.col(id).isNull()), text, shingle)
+    if several.isEmpty() and nameless.isEmpty():
+        return named.select("row.*")
+    once = named.join(several, key == F.col("id"), "left_anti")
+    rest = _one(named.join(several, key == F.col("id"), "left_semi").withColumn("group", key))
+    texts = rows.filter(key.isNull()).withColumn("text", F.col("row").getField(text))
+    alone = with_fingerprints(texts, "text", shingle, ("row",)).join(nameless, "simhash", "left_semi")
     roots = components(links(nameless, radius)).withColumnRenamed("node", "simhash")
-    alone = alone.join(nameless, "simhash", "left_semi").join(roots, "simhash", "left")
-    alone = alone.withColumn("_g", F.coalesce("root", "simhash"))
-    return once.unionByName(_one(rest, [id], docs.columns)).unionByName(_one(alone, ["_g"], docs.columns))
-
-
-def _with_simhash(docs: DataFrame, text: str, shingle: int) -> DataFrame:
-    return with_fingerprints(docs.withColumn("_t", F.col(text)), "_t", shingle, tuple(docs.columns))
+    alone = _one(alone.join(roots, "simhash", "left").withColumn("group", F.coalesce("root", "simhash")))
+    return once.unionByName(rest).unionByName(alone).select("row.*")
 
 
-def _one(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
-    hashed = df.select(*by, F.xxhash64(*columns).alias("_h"), F.struct(*columns).alias("_row"))
-    return hashed.groupBy(*by).agg(F.min_by("_row", "_h").alias("_row")).select("_row.*")
+def _one(rows: DataFrame) -> DataFrame:
+    """The row of the smallest hash of each ``group``."""
+    return rows.groupBy("group").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row")

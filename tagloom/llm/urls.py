@@ -77,13 +77,14 @@ def reputations(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
 
     ``outcomes`` has ``host`` and ``bad`` (0, 1 or null for a page without label),
     a row for each page. Hosts without labelled pages take the posterior of
-    their domain as prior; with no labels at all the share is one half.
+    their domain as prior. With no labels at all there is no bound, and no host is blocked.
     """
     hosts = outcomes.groupBy("host").agg(
         F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).cast("long").alias("bad")
     ).withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))})
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    evidence = suffixes.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
     overall = suffixes.agg(
         ((F.coalesce(F.sum("bad"), F.lit(0)) + 1.0) / (F.coalesce(F.sum("n"), F.lit(0)) + 2.0)).alias("mu")
     ).scalar()
@@ -97,7 +98,7 @@ def reputations(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
     share = _share()
     return hosts.select(
         "host", "n", F.col("bad").alias("n_bad"), share.alias("bad_share"),
-        (share - z * F.sqrt(share * (1 - share) / (total + 1))).alias("bad_bound"),
+        F.when(evidence > 0, share - z * F.sqrt(share * (1 - share) / (total + 1))).alias("bad_bound"),
     )
 
 
