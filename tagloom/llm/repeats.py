@@ -71,8 +71,8 @@ def finish(docs: DataFrame, cut: Callable, digest: bool, more: DataFrame | None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, 250):
+                part = batch.slice(at, 250)
                 z, sizes, found = (part.column(part.schema.get_field_index(c)) for c in ("z", "size", "marks"))
                 lists = found.fill_null([]) if found.null_count else found
                 flat = lists.flatten()
@@ -100,8 +100,7 @@ def finish(docs: DataFrame, cut: Callable, digest: bool, more: DataFrame | None
                     kept.append(sha256(rest).hexdigest().encode() if digest else rest)
                     left.append(None)
                     size.append(None)
-                open_marks = pa.array([m if w else None for m, w in zip(found.to_pylist(), waits)], found.type) if (
-                    waits.any()) else pa.nulls(len(lists), found.type)
+                open_marks = found.take(pa.array(np.arange(len(lists)), mask=~waits))
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(part.column(part.schema.get_field_index(c)) for c in ("doc", *extra)),

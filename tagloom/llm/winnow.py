@@ -248,7 +248,7 @@ def settle(found: Records, width: int) -> Iterator[pa.RecordBatch]:
     yield as_batch(doc, np.zeros(len(doc), np.int64), doc, start, stop, True)
 
 
-def sample(docs: DataFrame, tokens: Callable, width: int, gram: int, most: int = 1 << 20) -> DataFrame:
+def sample(docs: DataFrame, tokens: Callable, width: int, gram: int, most: int = 1 << 18) -> DataFrame:
     """Records (``SCHEMA``) of ``docs`` with columns ``doc`` and ``text``.
 
     Rows with ``done`` are stretches ``start`` to ``n`` that are known to be
