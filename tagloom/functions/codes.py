@@ -4,7 +4,8 @@ Fixed values: results are only comparable when these match the rule book, so
 they are kept as plain text, in their natural order.
 """
 
-KEYS = ["hall_id", "domain_id", "user_id"]
+TENANT_KEYS = ["hall_id", "domain_id"]
+KEYS = [*TENANT_KEYS, "user_id"]
 WHO = KEYS + ["user_name", "register_date"]
 ODS_COLUMNS = KEYS + ["user_name", "tag_code", "tag_type", "tag_enabled", "register_date"]
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions import codes as C
+from tagloom.functions.codes import TENANT_KEYS
 
 
 def day(value: date | str) -> Column:
@@ -122,3 +123,8 @@ def conform_types(df: DataFrame) -> DataFrame:
         return column.alias(name)
 
     return df.select(*[conformed(c) for c in df.columns])
+
+
+def of_tenant(tenant) -> Column:
+    """Rows of one tenant, given by its ``hall_id`` and ``domain_id``."""
+    return all_of(F.col(k) == tenant[k] for k in TENANT_KEYS)

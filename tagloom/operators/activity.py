@@ -7,9 +7,9 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.functions.codes import KEYS, WHO
+from tagloom.functions.codes import KEYS, TENANT_KEYS, WHO
 from tagloom.functions.columns import days_before
-from tagloom.operators.keyed import hot_keys, repeat_hot, spread_hot
+from tagloom.operators.keyed import hot_key_join, salted_join
 
 ACTIVE_DAYS = 15
 
@@ -57,40 +57,26 @@ def deposit_state(deposits: DataFrame, members: DataFrame, n: int = ACTIVE_DAYS)
 def last_n_active_days(fact: DataFrame, keys: list[str] = KEYS, n: int = ACTIVE_DAYS) -> DataFrame:
     """Rows dated on one of the member's n latest active dates.
 
-    Old rows are dropped by a rank limit that Spark applies before the one
-    shuffle. Members holding a large part of the rows are ranked per salt: a row
-    within the member's n latest dates is also within those of its salt. Their
-    exact cut-off comes from the distinct dates, one row per member and day, and
-    joins rows that are already partitioned for it.
+    The cut-off comes from the distinct dates, which combine before the shuffle
+    to one row per member and day, whatever part of all rows a member holds.
+    Rows then join their member's cut-off, split by hot members.
     """
-    newest = F.col("data_date").desc()
-
-    def limited(df: DataFrame, groups: list[str]) -> DataFrame:
-        place = F.dense_rank().over(Window.partitionBy(*groups).orderBy(newest))
-        return df.withColumn("_place", place).filter(F.col("_place") <= n).drop("_place")
-
-    hot = hot_keys(fact, keys)
-    if hot is None:
-        first = F.min("data_date").over(Window.partitionBy(*keys))
-        return limited(fact, keys).withColumn("top_activate_date", first)
     dates = fact.select(*keys, "data_date").distinct()
-    cutoff = limited(dates, keys).groupBy(*keys).agg(F.min("data_date").alias("top_activate_date"))
-    salted = [*keys, "_salt"]
-    return (
-        limited(spread_hot(fact, keys, hot), salted)
-        .join(repeat_hot(cutoff, keys, hot), salted)
-        .filter(F.col("data_date") >= F.col("top_activate_date")).drop("_salt")
-    )
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("data_date").desc()))
+    newest = dates.withColumn("_place", place).filter(F.col("_place") <= n)
+    cutoff = newest.groupBy(*keys).agg(F.min("data_date").alias("top_activate_date"))
+    return hot_key_join(fact, cutoff, keys).filter(F.col("data_date") >= F.col("top_activate_date"))
 
 
 def advance_active_days(state: DataFrame, new_fact: DataFrame, keys: list[str] = KEYS, n: int = ACTIVE_DAYS) -> DataFrame:
-    """State after the rows newer than its latest date.
+    """State after the rows newer than the latest date of their tenant.
 
-    Rows dated on or before that date are not taken up again. The date enters
-    as a scalar subquery, so the scan of the new rows can skip older data.
+    Rows dated on or before that date are not taken up again; a tenant without
+    state takes up all of its rows.
     """
-    latest = state.agg(F.coalesce(F.max("data_date"), F.lit("1900-01-01").cast("date"))).scalar()
-    fresh = new_fact.filter(F.col("data_date") > latest)
+    latest = state.groupBy(*TENANT_KEYS).agg(F.max("data_date").alias("_latest"))
+    dated = salted_join(new_fact, latest, TENANT_KEYS, "left")
+    fresh = dated.filter(F.col("_latest").isNull() | (F.col("data_date") > F.col("_latest"))).drop("_latest")
     return last_n_active_days(state.drop("top_activate_date").unionByName(fresh), keys, n)
 
 

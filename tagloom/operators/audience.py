@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions import codes as C
-from tagloom.functions.codes import KEYS
-from tagloom.functions.columns import all_of, any_of, day, days_before, moment, tenant_date
-from tagloom.operators.keyed import hash_places, set_difference, set_intersection
+from tagloom.functions.codes import KEYS, TENANT_KEYS
+from tagloom.functions.columns import all_of, any_of, day, days_before, moment, of_tenant, tenant_date
+from tagloom.operators.keyed import hash_places, last_k_per_group, set_difference, set_intersection
 from tagloom.operators.merge import delete_keys, update_where, upsert
 
 GROUP_KEY = ["hall_id", "domain_id", "batch_id", "tag_id", "user_id"]
@@ -37,9 +37,10 @@ def batch_condition(batch: Mapping) -> Column:
     """Filter over the wide tag table described by a batch row.
 
     Levels: ``;`` any of, exclusions ``,`` none of. Tags: ``;`` any group, all
-    codes of a ``,`` group; exclusions: none of all codes.
+    codes of a ``,`` group; exclusions: none of all codes. A batch that names its
+    tenant matches only that tenant's members.
     """
-    parts = []
+    parts = [F.col(k) == batch[k] for k in TENANT_KEYS if batch.get(k) is not None]
     if batch.get("ag_name") is not None:
         parts.append(F.col("ag_name") == batch["ag_name"])
     if batch.get("user_level_id"):
@@ -62,9 +63,10 @@ def match_users(dw: DataFrame, batch: Mapping) -> DataFrame:
     return dw.filter(batch_condition(batch)).select(*KEYS)
 
 
-def match_uploaded_names(names: DataFrame, members: DataFrame) -> DataFrame:
+def match_uploaded_names(names: DataFrame, members: DataFrame, tenant: Mapping) -> DataFrame:
+    """Members of the tenant that uploaded the names; other tenants may use the same ones."""
     wanted = names.select(F.col(names.columns[0]).alias("user_name")).distinct()
-    return members.join(wanted, "user_name", "left_semi").select(*KEYS)
+    return members.filter(of_tenant(tenant)).join(wanted, "user_name", "left_semi").select(*KEYS)
 
 
 def match_by_step(users: DataFrame, dw_day: DataFrame, step: int, on: date) -> DataFrame:
@@ -92,13 +94,12 @@ def match_by_prediction(users: DataFrame, meta: DataFrame, low: int, high: int,
 
 
 def match_top_spenders(users: DataFrame, bets: DataFrame, n: int, start: date, end: date) -> DataFrame:
-    """Those among the n largest bettors of the range (tie: smaller user id)."""
-    top = (
+    """Those among their tenant's n largest bettors of the range (tie: smaller user id)."""
+    sums = (
         bets.filter(F.col("data_date").between(day(start), day(end)))
         .groupBy(*KEYS).agg(F.sum("bet_amount").alias("bet"))
-        .orderBy(F.desc("bet"), "user_id").limit(n)
     )
-    return set_intersection(users, top, KEYS)
+    return set_intersection(users, last_k_per_group(sums, TENANT_KEYS, [F.desc("bet"), F.col("user_id")], n), KEYS)
 
 
 def audience_diff(matched: DataFrame, tagged: DataFrame) -> DataFrame:

@@ -267,19 +267,22 @@ def bet_analysis_by_lobby(
 
 
 def deposit_withdraw(deposits: DataFrame, withdrawals: DataFrame, users: DataFrame, start: date, end: date) -> DataFrame:
-    """Deposits and withdrawals per member-day, either side alone kept."""
-    def settled(df):
-        return df.filter((F.col("status") != 0) & in_range("data_date", start, end))
-
-    paid_in = settled(deposits).groupBy(*USER_DAY).agg(
-        F.sum("amount").alias("deposit_amount"), F.sum("fee").alias("deposit_fee"),
-        F.sum("deposit_count").alias("deposit_count"))
-    paid_out = settled(withdrawals).groupBy(*USER_DAY).agg(
-        F.sum("real_amount").alias("withdraw_amount"), F.sum("fee").alias("withdraw_fee"),
-        F.sum("withdraw_count").alias("withdraw_count"))
+    """Deposits and withdrawals per member-day, either side alone kept.
+
+    A member-day is one row even if the fiscal columns are missing on one side.
+    """
+    def side(df, **columns):
+        settled = df.filter((F.col("status") != 0) & in_range("data_date", start, end))
+        return settled.select(*USER_DAY, *[F.col(c).alias(name) for name, c in columns.items()])
+
+    both = side(deposits, deposit_amount="amount", deposit_fee="fee", deposit_count="deposit_count").unionByName(
+        side(withdrawals, withdraw_amount="real_amount", withdraw_fee="fee", withdraw_count="withdraw_count"),
+        allowMissingColumns=True)
     members = member_levels(users).filter(F.col("ag_name").isNotNull())
     amounts = ["deposit_amount", "deposit_fee", "deposit_count", "withdraw_amount", "withdraw_fee", "withdraw_count"]
-    return paid_in.join(paid_out, USER_DAY, "full_outer").join(members, "user_id").select(
+    per_day = both.groupBy("user_id", "data_date").agg(
+        *[F.max(c).alias(c) for c in FISCAL], *[F.sum(c).alias(c) for c in amounts])
+    return per_day.join(members, "user_id").select(
         "user_id", "ag_name", *[zero_if_null(c) for c in amounts], "data_date", *FISCAL, "user_level_id", "user_level"
     )
 
@@ -306,7 +309,7 @@ def offer_applicant(
     """
     applied = applicants.filter(in_range("data_date", start, end)).groupBy("promotion_id", *USER_DAY).agg(
         F.count("user_id").alias("applications"))
-    granted = dispatch.groupBy("promotion_id", "user_id", "data_date", "premium_total", "premium_amount").agg(
+    granted = dispatch.filter(in_range("data_date", start, end)).groupBy("promotion_id", "user_id", "data_date", "premium_total", "premium_amount").agg(
         F.count(F.lit(1)).alias("grants"))
     names = promotions.select("promotion_id", F.col("name").alias("promotion_name"))
     named = salted_join(applied, names, ["promotion_id"])
@@ -332,12 +335,11 @@ def offer_promotion(promotions: DataFrame, start: date) -> DataFrame:
 
 def profit_loss(offers: DataFrame, wagers: DataFrame, start: date, end: date) -> DataFrame:
     """House result per member-day: minus premiums, minus customer winnings."""
-    premium = offers.filter(in_range("data_date", start, end)).groupBy(*USER_DAY).agg(
-        F.sum("premium_amount").alias("premium_amount"))
-    payoff = wagers.filter(in_range("data_date", start, end)).groupBy(*USER_DAY).agg(F.sum("payoff").alias("payoff"))
-    return payoff.join(premium, USER_DAY, "full_outer").select(
-        *USER_DAY, zero_if_null("payoff"), zero_if_null("premium_amount")
-    ).withColumn("profit_loss", -F.col("premium_amount") - F.col("payoff"))
+    both = wagers.filter(in_range("data_date", start, end)).select(*USER_DAY, "payoff").unionByName(
+        offers.filter(in_range("data_date", start, end)).select(*USER_DAY, "premium_amount"), allowMissingColumns=True)
+    sums = both.groupBy(*USER_DAY).agg(F.sum("payoff").alias("payoff"), F.sum("premium_amount").alias("premium_amount"))
+    return sums.select(*USER_DAY, zero_if_null("payoff"), zero_if_null("premium_amount")).withColumn(
+        "profit_loss", -F.col("premium_amount") - F.col("payoff"))
 
 
 def vip_level(users: DataFrame, user_vip: DataFrame, vip_dim: DataFrame) -> DataFrame:

@@ -3,47 +3,36 @@
 Raw facts may put a third of all rows on one key, so nothing here sorts or
 gathers raw rows of a key in one task: extremes are aggregates with map-side
 combine, top-k filters are rank limits that Spark applies before the shuffle,
-and row-level joins split the hot keys over salts. Inputs small enough for one
-task skip the salting; ``tagloom.smallBytes`` sets that limit.
+and row-level joins split the hot keys over salts. Inputs of any size take the
+same path; a key is split by its own number of rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SALTS = 16
-HOT_SHARE = 1000
-SMALL_BYTES = 256 << 20
-
-
-def is_small(df: DataFrame) -> bool:
-    """Whether all data the frame reads would fit one task; unknown sizes do not."""
-    plan = getattr(df, "_jdf", None)
-    if plan is None:
-        return False
-    limit = int(df.sparkSession.conf.get("tagloom.smallBytes", str(SMALL_BYTES)))
-    leaves = plan.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())) <= limit
+ROWS_PER_TASK = 1_000_000  # of one key; ``tagloom.rowsPerTask`` sets another
+MOST_HOT = 10_000
 
 
 def salted_join(
-    fact: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "inner", condition=None, salts: int = SALTS
+    fact: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "inner", condition=None, salts: int | None = None
 ) -> DataFrame:
     """Join to a dimension of few rows on a key of few values (day, game, promotion, code).
 
-    Small dimensions are broadcast by Spark's own size check. Beyond it, the
-    dimension is repeated per salt and the fact rows of one value spread over
-    the salts; as the output is partitioned by the salt, nothing later relies on
-    it and adaptive execution is free to split partitions further.
+    The dimension is repeated per salt and the fact rows of one value spread over
+    the salts, one for each shuffle partition unless given; as the output is
+    partitioned by the salt, nothing later relies on it and adaptive execution is
+    free to split partitions further. Small dimensions are broadcast by Spark's
+    own size check.
 
     ``condition(dim_column)`` adds a non-equality test; it gets a function
     returning the dim side of a column and may use fact columns by plain name.
     """
-    if is_small(fact):
-        return _join(fact, dim, keys, how, condition)
+    salts = salts or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     left = fact.withColumn("_salt", _salt(fact, F.lit(salts)))
     right = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return _join(left, right, [*keys, "_salt"], how, condition).drop("_salt")
@@ -68,21 +57,17 @@ def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, cond
     return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def hot_keys(fact: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> DataFrame | None:
-    """Keys holding more than 1/share of the rows, with the number of salts each needs.
+def hot_keys(fact: DataFrame, keys: Sequence[str], rows_per_task: int | None = None) -> DataFrame | None:
+    """Keys with more rows than one task should take, with the number of salts each needs.
 
     None when there are none. Counting reads only the key columns and combines
-    before the shuffle. Fewer than ``share`` keys can each hold more than that
-    part, which bounds the list the driver takes and later broadcasts. The list
-    decides how rows are spread, never which rows there are.
+    before the shuffle. The list that the driver takes and later broadcasts has
+    at most ``MOST_HOT`` keys, the hottest; others are left to adaptive
+    execution. The list decides how rows are spread, never which rows there are.
     """
-    if is_small(fact):
-        return None
-    seen = Observation()
-    counts = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    largest = counts.observe(seen, F.sum("_n").alias("total")).orderBy(F.desc("_n")).limit(share).collect()
-    total = seen.get["total"] or 0
-    hot = [(*row[:-1], -(-row["_n"] * share // total)) for row in largest if row["_n"] * share > total]
+    most = rows_per_task or int(fact.sparkSession.conf.get("tagloom.rowsPerTask", str(ROWS_PER_TASK)))
+    counts = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most)
+    hot = [(*row[:-1], -(-row["_n"] // most)) for row in counts.orderBy(F.desc("_n")).limit(MOST_HOT).collect()]
     if not hot:
         return None
     schema = fact.select(*keys).withColumn("_salts", F.lit(0).cast("long")).schema
@@ -147,16 +132,20 @@ def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], rank: C
 def latest_with_ties(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     """All rows carrying their key's largest ``column``.
 
-    Hot keys (a third of all rows may be copies of the latest one) are limited
-    per salt first and then compared with the exact maximum.
+    Rows are limited per salt first, before the shuffle, and then compared with
+    the exact maximum, so that copies of the latest row (a third of all rows may
+    be such copies) spread over the salts. Rows with a null key are kept as
+    the window keeps them, by a null-safe comparison.
     """
     newest = [F.col(column).desc()]
-    hot = hot_keys(df, keys)
-    if hot is None:
-        return _ranked(df, keys, newest, F.rank(), 1)
-    largest = df.groupBy(*keys).agg(F.max(column).alias(column))
-    limited = _ranked(spread_hot(df, keys, hot), [*keys, "_salt"], newest, F.rank(), 1)
-    return limited.join(repeat_hot(largest, keys, hot), [*keys, "_salt", column], "left_semi").drop("_salt")
+    salts = F.lit(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    limited = _ranked(df.withColumn("_salt", _salt(df, salts)), [*keys, "_salt"], newest, F.rank(), 1)
+    largest = df.groupBy(*keys).agg(F.max(column).alias(column)).select(
+        *[F.col(c).alias(f"_r_{c}") for c in [*keys, column]], F.explode(F.sequence(F.lit(0), salts - 1)).alias("_r_salt"))
+    on = F.col("_salt") == F.col("_r_salt")
+    for c in [*keys, column]:
+        on = on & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+    return limited.join(largest, on, "left_semi").drop("_salt")
 
 
 def run_length_dedup(df: DataFrame, keys: Sequence[str], order: str, column: str) -> DataFrame:

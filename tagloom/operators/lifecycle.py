@@ -287,7 +287,7 @@ def lifecycle_week(
 ) -> DataFrame:
     """Steps of a fiscal week against one and two weeks before, carried forward when nothing moved.
 
-    Only the earliest created row of a member and week counts. A missing code
+    Only the earliest created row of a member and week counts, with its name. A missing code
     before matches every rule; the last matching rule wins (``first_match``:
     the first).
     """
@@ -299,24 +299,25 @@ def lifecycle_week(
         wanted = calendar.filter(F.col("date") == first_day).agg(F.max(F.struct(*WEEK))).scalar()
         return holds(all_of(F.col(c) == wanted[c] for c in WEEK))
 
-    who = [*KEYS, "user_name"]
     backs = {"week_tag_code": 0, "one_weeks_tag_code": 7, "two_weeks_tag_code": 14}
     carried = ["last_week_step", "this_week_step", "two_weeks_tag_code", "one_weeks_tag_code", "week_tag_code"]
-    first_of = lambda back: F.min(F.when(in_week(back), F.struct("created_time", "tag_code")))["tag_code"]
+    first_of = lambda back: F.min(F.when(in_week(back), F.struct("created_time", "tag_code", "user_name")))
     codes = (
-        ods_week.filter(any_of(in_week(b) for b in backs.values())).groupBy(*who)
-        .agg(*[first_of(b).alias(name) for name, b in backs.items()]).filter(F.col("week_tag_code").isNotNull())
+        ods_week.filter(any_of(in_week(b) for b in backs.values())).groupBy(*KEYS)
+        .agg(first_of(0)["user_name"].alias("user_name"),
+             *[first_of(b)["tag_code"].alias(name) for name, b in backs.items()])
+        .filter(F.col("week_tag_code").isNotNull())
     )
     previous = best_by_group(
-        dw_previous.filter(in_week(7)), who, [F.col("created_time")], carried, smallest=True
+        dw_previous.filter(in_week(7)), KEYS, [F.col("created_time")], carried, smallest=True
     ).withColumnsRenamed({c: f"dw_{c}" for c in carried})
-    joined = codes.join(previous, who, "left")
+    joined = codes.join(previous, KEYS, "left")
     now, one, two = (F.col(c) for c in ("week_tag_code", "one_weeks_tag_code", "two_weeks_tag_code"))
     stepped = joined.withColumns({
         "last_week_step": step_of(two, one, WEEK_RULES, first_match),
         "this_week_step": step_of(one, now, WEEK_RULES, first_match),
     })
-    filled = stepped.select(*who, *[
+    filled = stepped.select(*KEYS, "user_name", *[
         F.coalesce(c, F.lit(0)).alias(c) for c in [*carried, *[f"dw_{c}" for c in carried]]])
     moved = filled.filter(" OR ".join(
         f"{c} <> 0" for c in ("dw_last_week_step", "dw_this_week_step", "last_week_step", "this_week_step")))
@@ -327,5 +328,5 @@ def lifecycle_week(
         "last_week_step": F.when(opened, F.col("dw_this_week_step")).otherwise(F.col("last_week_step")),
         "two_weeks_tag_code": F.when(opened, F.col("dw_one_weeks_tag_code")).otherwise(F.col("two_weeks_tag_code")),
     }).select(
-        *who, *carried, F.lit(fin_year).alias("fin_year"), F.lit(fin_month).alias("fin_month"),
+        *KEYS, "user_name", *carried, F.lit(fin_year).alias("fin_year"), F.lit(fin_month).alias("fin_month"),
         F.lit(fin_week).alias("fin_week"))

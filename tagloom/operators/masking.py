@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import date
+from datetime import date, timedelta
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tagloom.functions.columns import days_before, day, mask_prefix, tenant_date
+from tagloom.functions.columns import days_before, day, mask_prefix, moment, of_tenant, tenant_date
 
 STARS = "*****"
 # column -> (characters kept, suffix)
@@ -58,14 +59,20 @@ def mask_columns(df: DataFrame, masks: Mapping[str, tuple[int, str]] = MASKS) ->
 
 
 def scale_amounts(df: DataFrame, columns: Sequence[str] = tuple(AMOUNTS), divisor: int = 100) -> DataFrame:
-    """NULL counts as 0; the quotient is exact."""
-    factor = F.lit(Decimal(1) / divisor)
-    scaled = lambda c: (F.coalesce(F.col(c).cast("decimal(22,2)"), F.lit(0)) * factor).cast("decimal(24,4)").alias(c)
+    """NULL counts as 0. Exact numbers keep their digits and two more; floating ones are divided as such."""
+    def scaled(c: str) -> Column:
+        kind = df.schema[c].dataType
+        if isinstance(kind, (T.FloatType, T.DoubleType)):
+            return (F.coalesce(F.col(c), F.lit(0.0)) / divisor).cast(kind).alias(c)
+        digits = max(2, kind.scale) if isinstance(kind, T.DecimalType) else 2
+        amount = F.coalesce(F.col(c).cast(f"decimal({20 + digits},{digits})"), F.lit(0))
+        return (amount * F.lit(Decimal(1) / divisor)).cast(f"decimal({22 + digits},{digits + 2})").alias(c)
+
     return df.select(*[scaled(c) if c in columns else F.col(c) for c in df.columns])
 
 
 def mask_message_text(df: DataFrame, column: str = "content") -> DataFrame:
-    """Shorten the member name, swap the currency sign and divide the amount by 100.
+    """Shorten the member name (the pattern is a fixed value of the message format), swap the currency sign and divide the amount by 100.
 
     The amount loses its separators and is replaced wherever it occurs.
     """
@@ -87,12 +94,16 @@ def mask_message_text(df: DataFrame, column: str = "content") -> DataFrame:
 
 def demo_copy(table: str, df: DataFrame, tenant: Mapping, start: date, end: date) -> DataFrame:
     """Masked, scaled copy of one table's rows of a tenant and date range."""
-    rows = df.filter((F.col("hall_id") == tenant["hall_id"]) & (F.col("domain_id") == tenant["domain_id"]))
+    rows = df.filter(of_tenant(tenant))
     dated = DATED_BY[table]
     if dated is not None:
-        on = tenant_date(F.col(dated[:-1])) if dated.endswith("!") else F.col(dated)
         first = days_before(start, 2) if table == "member_info" else day(start)
-        rows = rows.filter(on.between(first, day(end)))
+        if dated.endswith("!"):  # bounds on the stored column as well, which the scan can use
+            stored = F.col(dated[:-1])
+            early, late = (moment(f"{d} 00:00:00") for d in (start - timedelta(days=4), end + timedelta(days=2)))
+            rows = rows.filter((stored >= early) & (stored < late) & tenant_date(stored).between(first, day(end)))
+        else:
+            rows = rows.filter(F.col(dated).between(first, day(end)))
     if table == "user_tag_ods_data":
         rows = rows.filter(F.col("tag_type") != 1)
     if table == "smart_message_notification_data":

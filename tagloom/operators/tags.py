@@ -8,6 +8,7 @@ without rounding.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date
 from decimal import Decimal
 from functools import reduce
@@ -17,7 +18,9 @@ from pyspark.sql import functions as F
 
 from tagloom.functions import codes as C
 from tagloom.functions.codes import KEYS, ODS_COLUMNS, WHO
-from tagloom.functions.columns import band_by_threshold, code_for, day, days_before, holds, iso_date, mask_prefix
+from tagloom.functions.columns import (
+    band_by_threshold, code_for, day, days_before, holds, iso_date, mask_prefix, of_tenant,
+)
 from tagloom.operators.activity import deposit_page_visits
 from tagloom.operators.keyed import best_by_group, hot_key_join, last_k_per_group, salted_join
 
@@ -274,11 +277,13 @@ def tag_arbitrage_suspect(bets15: DataFrame, deposits15: DataFrame) -> DataFrame
 
 
 def tag_hedge_arbitrage(
-    arbitrage: DataFrame, members: DataFrame, as_of: date, likely: int, certain: int, vendor: int = 19, rounds: int = 50
+    arbitrage: DataFrame, members: DataFrame, as_of: date, likely: int, certain: int, vendor: int = 19, rounds: int = 50,
+    stored: DataFrame | None = None,
 ) -> DataFrame:
     """Hedged rounds of one vendor: certain from ``rounds`` up, else likely.
 
-    A likely tag is disabled where the certain one is enabled as well.
+    A likely tag is disabled where the certain one is enabled as well, today or
+    among the ``stored`` tag rows; a stored likely one goes when the certain one comes.
     """
     code = F.when(F.col("hedge_round_count") < rounds, likely).otherwise(certain)
     flagged = (
@@ -286,10 +291,19 @@ def tag_hedge_arbitrage(
         .groupBy(*KEYS)
         .agg(F.bool_or(code == likely).alias("likely"), F.bool_or(code == certain).alias("certain"))
     )
+    flagged = flagged.withColumns({"was_likely": F.lit(False), "was_certain": F.lit(False)})
+    if stored is not None:
+        enabled = stored.filter(F.col("tag_enabled") & F.col("tag_code").isin(likely, certain)).groupBy(*KEYS).agg(
+            F.bool_or(F.col("tag_code") == likely).alias("was_likely"),
+            F.bool_or(F.col("tag_code") == certain).alias("was_certain"))
+        flagged = flagged.drop("was_likely", "was_certain").join(enabled, KEYS, "left").fillna(
+            False, ["was_likely", "was_certain"])
+    off = F.col("certain") | F.col("was_certain")
     tags = flagged.select(
         *KEYS,
         F.explode(F.array_compact(F.array(
-            F.when(F.col("likely"), F.struct(F.lit(likely).alias("tag_code"), (~F.col("certain")).alias("tag_enabled"))),
+            F.when(F.col("likely") | (F.col("certain") & F.col("was_likely")),
+                   F.struct(F.lit(likely).alias("tag_code"), (~off).alias("tag_enabled"))),
             F.when(F.col("certain"), F.struct(F.lit(certain).alias("tag_code"), F.lit(True).alias("tag_enabled"))),
         ))).alias("tag"),
     ).select(*KEYS, "tag.*")
@@ -424,8 +438,10 @@ def _upload_lines(upload: DataFrame) -> DataFrame:
         (F.col(upload.columns[2]) != 0).alias("enable"))
 
 
-def custom_upload_tags(upload: DataFrame, members: DataFrame, tag_code: int, masked: bool = False) -> DataFrame:
-    """Tag rows of an uploaded (name, date, enable) file for the members so named.
+def custom_upload_tags(
+    upload: DataFrame, members: DataFrame, tag_code: int, tenant: Mapping, masked: bool = False
+) -> DataFrame:
+    """Tag rows of an uploaded (name, date, enable) file for the tenant's members so named.
 
     Of the lines of one name the latest date decides (tie: enabled). With
     ``masked`` the members carry masked names, and names are matched masked.
@@ -434,13 +450,14 @@ def custom_upload_tags(upload: DataFrame, members: DataFrame, tag_code: int, mas
     if masked:
         lines = lines.withColumn("user_name", mask_prefix("user_name", 3))
     latest = best_by_group(lines, ["user_name"], [F.col("data_date"), F.col("enable")], ["enable"])
-    matched = hot_key_join(members.select(*WHO), latest, ["user_name"])
+    matched = hot_key_join(members.filter(of_tenant(tenant)).select(*WHO), latest, ["user_name"])
     return ods_rows(matched, tag_code, int(str(tag_code)[0]), F.col("enable"))
 
 
-def custom_upload_dates(upload: DataFrame, members: DataFrame, tag_code: int) -> DataFrame:
-    """Log of the uploaded lines of known members."""
-    matched = hot_key_join(_upload_lines(upload), members.select(*KEYS, "user_name"), ["user_name"])
+def custom_upload_dates(upload: DataFrame, members: DataFrame, tag_code: int, tenant: Mapping) -> DataFrame:
+    """Log of the uploaded lines of the tenant's known members."""
+    known = members.filter(of_tenant(tenant)).select(*KEYS, "user_name")
+    matched = hot_key_join(_upload_lines(upload), known, ["user_name"])
     return matched.select(*KEYS, F.lit(tag_code).alias("tag_code"), "data_date", "enable").distinct()
 
 

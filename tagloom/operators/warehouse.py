@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions import codes as C
-from tagloom.functions.codes import KEYS, NEVER
+from tagloom.functions.codes import KEYS, NEVER, TENANT_KEYS
 from tagloom.functions.columns import between_zones, moment, tenant_date
 from tagloom.operators.keyed import salted_join
 from tagloom.operators.merge import upsert
@@ -53,14 +53,15 @@ def ods_to_dw(
 ) -> DataFrame:
     """Wide row of every member with a recently updated enabled tag.
 
-    Recent means on or after the day before the latest update (tenant days).
+    Recent means on or after the day before the tenant's latest update (tenant days).
     With ``tag_code`` only that tag counts as the trigger and the last bet date
     is attached. Lists are ordered by code.
 
     A member's tags are gathered once, with the date of the latest trigger; they
     are bounded by the tag dictionary.
     """
-    last_update = ods.agg(F.date_sub(F.max(tenant_date(F.col("updated_time"))), 1)).scalar()
+    last_update = ods.groupBy(*TENANT_KEYS).agg(
+        F.date_sub(F.max(tenant_date(F.col("updated_time"))), 1).alias("last_update"))
     outputs = [out for out, _, _ in tag_name_columns()]
     trigger = F.lit(True) if tag_code is None else F.col("tag_code") == tag_code
     named = salted_join(
@@ -68,7 +69,7 @@ def ods_to_dw(
         tag_dim_names(tag_dim), ["hall_id", "domain_id", "tag_code"], "left")
     gathered = named.groupBy(*KEYS).agg(
         F.array_sort(F.collect_list(F.struct("tag_code", *outputs))).alias("tags"), F.max("day").alias("day"))
-    lists = gathered.filter(F.col("day") >= last_update).select(
+    lists = salted_join(gathered, last_update, TENANT_KEYS).filter(F.col("day") >= F.col("last_update")).select(
         *KEYS, comma_list(F.col("tags"), "tag_code").alias("tag_str"),
         *[comma_list(F.col("tags"), out).alias(out) for out in outputs])
     wide = lists.join(
@@ -86,11 +87,12 @@ def dw_stale_users(ods: DataFrame, dw: DataFrame) -> DataFrame:
 
 
 def dw_last_dates(bets: DataFrame, login: DataFrame, dw: DataFrame) -> DataFrame:
-    """Last bet and login date of wide-table members, over the 60 days before the table's own maxima."""
+    """Last bet and login date of wide-table members, over the 60 days before the table's own maxima of their tenant."""
     def recent(df: DataFrame, name: str, other: str) -> DataFrame:
-        floor = dw.agg(F.coalesce(F.date_sub(F.max(name), 60), F.lit(NEVER).cast("date"))).scalar()
-        return df.filter(F.col("data_date") >= floor).groupBy(*KEYS).agg(
-            F.max("data_date").alias(name), F.lit(None).cast("date").alias(other))
+        floor = dw.groupBy(*TENANT_KEYS).agg(
+            F.coalesce(F.date_sub(F.max(name), 60), F.lit(NEVER).cast("date")).alias("floor"))
+        last = df.groupBy(*KEYS).agg(F.max("data_date").alias(name), F.lit(None).cast("date").alias(other))
+        return salted_join(last, floor, TENANT_KEYS).filter(F.col(name) >= F.col("floor")).drop("floor")
 
     both = recent(bets, "last_activated_date", "last_login_date").unionByName(
         recent(login, "last_login_date", "last_activated_date"))

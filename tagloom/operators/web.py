@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions import codes as C
-from tagloom.functions.columns import any_of, base24_to_long, contains_any
+from tagloom.functions.columns import any_of, base24_to_long, contains_any, zero_if_null
 from tagloom.operators.facts import with_calendar
 
 
@@ -31,11 +31,11 @@ def _session_date() -> Column:
 
 
 def ga_data_set(sessions: DataFrame, hall_id, domain_id) -> DataFrame:
-    """Page views, sessions, bounces, time and four click counts per client.
+    """Page views, sessions, bounces, time and four click counts per client and day.
 
-    The totals cover all sessions of a client that ever hit the tenant, the
-    clicks only tenant hits. One pass over the hits feeds both: a session's
-    totals are taken with its first hit (or none).
+    The totals cover all of the day's sessions of a client that hit the tenant
+    that day, the clicks only tenant hits. One pass over the hits feeds both: a
+    session's totals are taken with its first hit (or none).
     """
     hits = (
         sessions.filter(_known_client())
@@ -65,16 +65,10 @@ def ga_data_set(sessions: DataFrame, hall_id, domain_id) -> DataFrame:
         total("total_bounces", F.col("totals.bounces")),
         total("time_on_site", F.col("totals.timeOnSite")),
     )
-    # one row per client and day is left, so a client's rows are few
-    client = Window.partitionBy("clientId")
-    return (
-        per_day.select(
-            F.col("clientId").alias("user_id"), _session_date().alias("data_date"), "seen", "product_clicks",
-            "promotion_clicks", "service_contact", "service_contact_mobile",
-            *[F.coalesce(F.sum(c).over(client), F.lit(0)).alias(c)
-              for c in ("page_views", "total_sessions", "total_bounces", "time_on_site")])
-        .filter("seen").drop("seen")
-    )
+    return per_day.filter("seen").select(
+        F.col("clientId").alias("user_id"), _session_date().alias("data_date"), "product_clicks", "promotion_clicks",
+        "service_contact", "service_contact_mobile",
+        *[zero_if_null(c) for c in ("page_views", "total_sessions", "total_bounces", "time_on_site")])
 
 
 def _listed_path(path: Column) -> Column:

@@ -44,7 +44,7 @@ query("batch_match_counts", " UNION ALL ".join(
     lambda i: audience.batch_match_counts(i["dw"], BATCHES))
 
 query("match_uploaded_names", f"SELECT {USER} FROM member_info WHERE user_name IN (SELECT user_name FROM upload)")(
-    lambda i: audience.match_uploaded_names(i["upload"], i["member_info"]))
+    lambda i: audience.match_uploaded_names(i["upload"], i["member_info"], TENANT))
 query("match_by_step", f"""{ALL_USERS} WHERE user_id IN (SELECT user_id FROM dw_day WHERE this_day_step = 3 AND data_date = DATE '2024-01-29')""")(
     lambda i: audience.match_by_step(i["dw"], i["dw_day"], 3, date(2024, 1, 29)))
 query("match_by_activity", f"""{ALL_USERS} WHERE user_id IN (SELECT user_id FROM user_active

@@ -364,9 +364,9 @@ FROM (SELECT user_id, day,
         COUNT(*) FILTER (category = 'online_service' AND label = 'online_service_contact') AS service_contact,
         COUNT(*) FILTER (category = 'online_service' AND label = 'online_service_contact_mobile') AS service_contact_mobile
       FROM hits WHERE {TENANT_HIT} GROUP BY user_id, day) c
-JOIN (SELECT user_id, SUM(pageviews) AS page_views, COUNT(visit_number) AS total_sessions,
+JOIN (SELECT user_id, CAST(ts AS DATE) AS day, SUM(pageviews) AS page_views, COUNT(visit_number) AS total_sessions,
              SUM(COALESCE(bounces, 0)) AS total_bounces, SUM(COALESCE(time_on_site, 0)) AS time_on_site
-      FROM web_session WHERE NOT unknown_client GROUP BY user_id) t USING (user_id)"""
+      FROM web_session WHERE NOT unknown_client GROUP BY user_id, day) t USING (user_id, day)"""
 
 
 @query("ga_data_set", GA_DATA.format(id=CLIENT, more=""), {"hits": HITS})

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tagloom.functions import codes as C
 from tagloom.operators import activity, rules, tags
 from tagloom.operators.masking import MASKS, mask_columns
-from tagloom.plans.registry import AS_OF, NAMED, NOW, TODAY, USER, query
+from tagloom.plans.registry import AS_OF, NAMED, NOW, TENANT, TODAY, USER, query
 from tagloom.sources.sinks import materialise
 from tagloom.streaming.incremental import next_state
 
@@ -278,7 +278,7 @@ UPLOADED = f"""SELECT {NAMED}, enable <> 0 AS enable, make_date(CAST(split_part(
 query("tag_custom_upload", f"""
 SELECT {NAMED}, 40032 AS tag_code, 4 AS tag_type, enable AS tag_enabled FROM uploaded
 QUALIFY ROW_NUMBER() OVER (PARTITION BY {USER} ORDER BY data_date DESC, enable DESC) = 1""", {"uploaded": UPLOADED})(
-    lambda i: tags.custom_upload_tags(i["upload"], i["member_info"], 40032))
+    lambda i: tags.custom_upload_tags(i["upload"], i["member_info"], 40032, TENANT))
 MASKED = "SELECT * REPLACE (substr(user_name, 1, 3) || '*****' AS user_name) FROM member_info"
 query("tag_custom_upload_masked", f"""
 SELECT {NAMED}, 40032 AS tag_code, 4 AS tag_type, enable <> 0 AS tag_enabled
@@ -287,9 +287,9 @@ FROM masked JOIN (SELECT substr(user_name, 1, 3) || '*****' AS user_name, enable
   FROM (SELECT *, replace(data_date, '/', '-') AS d FROM upload) u
   QUALIFY ROW_NUMBER() OVER (PARTITION BY substr(user_name, 1, 3) ORDER BY day DESC, enable DESC) = 1) l USING (user_name)""",
       {"masked": MASKED})(
-    lambda i: tags.custom_upload_tags(i["upload"], mask_columns(i["member_info"], {"user_name": MASKS["user_name"]}), 40032, masked=True))
+    lambda i: tags.custom_upload_tags(i["upload"], mask_columns(i["member_info"], {"user_name": MASKS["user_name"]}), 40032, TENANT, masked=True))
 query("tag_custom_upload_dates", f"SELECT DISTINCT {USER}, 40032 AS tag_code, data_date, enable FROM uploaded",
-      {"uploaded": UPLOADED})(lambda i: tags.custom_upload_dates(i["upload"], i["member_info"], 40032))
+      {"uploaded": UPLOADED})(lambda i: tags.custom_upload_dates(i["upload"], i["member_info"], 40032, TENANT))
 query("tag_custom_upload_counts", """
 SELECT COUNT(*) FILTER (enable = 1) AS add_count, COUNT(*) FILTER (enable = 0) AS remove_count FROM upload""")(
     lambda i: tags.custom_upload_counts(i["upload"]))

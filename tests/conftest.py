@@ -17,10 +17,10 @@ def spark():
 
 @pytest.fixture
 def skewed(spark):
-    """Take the salted plans even for small inputs."""
-    spark.conf.set("tagloom.smallBytes", "0")
+    """Split keys from few rows on, so that small inputs have hot keys."""
+    spark.conf.set("tagloom.rowsPerTask", "20")
     yield spark
-    spark.conf.unset("tagloom.smallBytes")
+    spark.conf.unset("tagloom.rowsPerTask")
 
 
 def rows(df, *columns):

@@ -11,12 +11,12 @@ def skewed_facts(spark, n=3000):
         F.col("id").alias("v"))
 
 
-def test_small_inputs_skip_salting(spark):
+def test_no_key_is_hot_below_the_rows_of_a_task(spark):
     assert keyed.hot_keys(skewed_facts(spark), ["k"]) is None
 
 
 def test_hot_keys_are_found_and_spread(skewed):
-    hot = keyed.hot_keys(skewed_facts(skewed), ["k"], share=100)
+    hot = keyed.hot_keys(skewed_facts(skewed), ["k"], 30)
     assert rows(hot) == sorted([(1, 34), (None, 34)], key=repr)
     spread = keyed.spread_hot(skewed_facts(skewed), ["k"], hot).groupBy("k").agg(F.countDistinct("_salt").alias("s"))
     assert {r.k: r.s for r in spread.collect() if r.s > 1} == {1: 34, None: 34}
@@ -24,7 +24,8 @@ def test_hot_keys_are_found_and_spread(skewed):
 
 def test_hot_list_is_bounded(skewed):
     even = skewed.range(200).select(F.col("id").alias("k"))
-    assert keyed.hot_keys(even, ["k"], share=100) is None
+    assert keyed.hot_keys(even, ["k"], 1) is None
+    assert keyed.hot_keys(even.unionAll(even), ["k"], 1).count() == 200
 
 
 def test_hot_key_join_equals_plain_join(skewed):
@@ -67,12 +68,12 @@ def test_latest_with_ties_keeps_all_copies(skewed):
     rows_in = [(1, 5, "x")] * 40 + [(1, 4, "y")] * 40 + [(2, 1, "z"), (None, 3, "n"), (None, 3, "n")]
     df = skewed.createDataFrame(rows_in, "k int, v int, s string").repartition(6)
     got = keyed.latest_with_ties(df, ["k"], "v").groupBy("k", "v", "s").count()
-    assert {(r.k, r.v, r.s): r["count"] for r in got.collect() if r.k is not None} == {(1, 5, "x"): 40, (2, 1, "z"): 1}
+    assert {(r.k, r.v, r.s): r["count"] for r in got.collect()} == {(1, 5, "x"): 40, (2, 1, "z"): 1, (None, 3, "n"): 2}
 
 
 def test_copies_of_one_row_are_spread(skewed):
     copies = skewed.range(4000, numPartitions=40).select(F.lit(1).alias("k"), F.lit("same").alias("v"))
-    spread = keyed.spread_hot(copies, ["k"], keyed.hot_keys(copies, ["k"], share=8))
+    spread = keyed.spread_hot(copies, ["k"], keyed.hot_keys(copies, ["k"], 500))
     sizes = [r["count"] for r in spread.groupBy("_salt").count().collect()]
     assert len(sizes) >= 6 and max(sizes) <= 1600
     dim = skewed.createDataFrame([(1, "d")], "k int, d string")
@@ -81,5 +82,5 @@ def test_copies_of_one_row_are_spread(skewed):
 
 def test_salts_repeat_on_recomputation(skewed):
     facts = skewed_facts(skewed).repartition(8, "v")
-    spread = keyed.spread_hot(facts, ["k"], keyed.hot_keys(facts, ["k"], share=100))
+    spread = keyed.spread_hot(facts, ["k"], keyed.hot_keys(facts, ["k"], 30))
     assert rows(spread) == rows(spread)

@@ -175,6 +175,6 @@ def test_upload_of_masked_members_uses_latest_line(spark):
     masked = spark.createDataFrame(
         [(1, 1, 1, "ann*****", REGISTERED), (1, 1, 2, "ann*****", REGISTERED), (1, 1, 3, "bob*****", REGISTERED), (1, 1, 4, None, REGISTERED)],
         "hall_id int, domain_id int, user_id long, user_name string, register_date date")
-    got = tags.custom_upload_tags(upload, masked, 40032, masked=True).collect()
+    got = tags.custom_upload_tags(upload, masked, 40032, {"hall_id": 1, "domain_id": 1}, masked=True).collect()
     assert {(r.user_id, r.tag_type): r.tag_enabled for r in got} == {(1, 4): False, (2, 4): False, (3, 4): True}
     assert tuple(tags.custom_upload_counts(upload).first()) == (2, 2)
