@@ -194,35 +194,44 @@ def lifecycle_step(before: Column, now: Column) -> Column:
     return step_of(before, now, DAY_RULES)
 
 
-def with_last_codes(log: DataFrame, on: date) -> DataFrame:
-    """The four latest distinct consecutive codes per member up to a day, side by side."""
-    until = log.filter(F.col("data_date") <= day(on))
-    runs = run_length_dedup(until, KEYS, "data_date", "tag_code")
-    newest = Window.partitionBy(*KEYS).orderBy(F.desc("data_date"))
-    ranked = last_k_per_group(runs, KEYS, [F.desc("data_date")], 4).withColumn("place", F.row_number().over(newest))
+def with_last_codes(log: DataFrame, start: date, end: date) -> DataFrame:
+    """The four latest distinct consecutive codes per member up to each day (``on``), side by side.
+
+    The log is read once; its rows count for every later day of the range.
+    """
+    later = F.sequence(F.greatest(F.col("data_date"), day(start)), day(end))
+    until = log.filter(F.col("data_date") <= day(end)).withColumn("on", F.explode(later))
+    keys = [*KEYS, "on"]
+    runs = run_length_dedup(until, keys, "data_date", "tag_code")
+    newest = Window.partitionBy(*keys).orderBy(F.desc("data_date"))
+    ranked = last_k_per_group(runs, keys, [F.desc("data_date")], 4).withColumn("place", F.row_number().over(newest))
     at = lambda i, c: F.max(F.when(F.col("place") == i, F.col(c)))
     names = ["this", "last", "last_two", "last_three"]
-    return ranked.groupBy(*KEYS).agg(
+    return ranked.groupBy(*keys).agg(
         at(1, "user_name").alias("user_name"),
         *[at(i, "tag_code").alias(f"{n}_tag_code") for i, n in enumerate(names, 1)],
         *[at(i, "data_date").alias(f"{n}_date") for i, n in enumerate(names, 1)])
 
 
 def lifecycle_day(log: DataFrame, members: DataFrame, calendar: DataFrame, on: date) -> DataFrame:
-    """Steps of the day from the change log.
+    return lifecycle_days(log, members, calendar, on, on)
+
+
+def lifecycle_days(log: DataFrame, members: DataFrame, calendar: DataFrame, start: date, end: date) -> DataFrame:
+    """Steps of each day of the range from the change log, in one plan.
 
     History shorter than the three looked-at days is filled for active members,
     each line seeing the result of the line before.
     """
-    codes = with_last_codes(log, on)
+    codes, on = with_last_codes(log, start, end), F.col("on")
     this, last, two, three = (F.col(f"{n}_tag_code") for n in ("this", "last", "last_two", "last_three"))
     changed = F.col("this_date")
     active = F.lit(C.ACTIVE)
     span_two = F.date_diff(changed, F.col("last_two_date"))
     span_three = F.date_diff(changed, F.col("last_three_date"))
     steady = lambda when: (when, this == C.ACTIVE)
-    one_day, two_days = changed == days_before(on, 1), changed == days_before(on, 2)
-    longer = changed <= days_before(on, 3)
+    one_day, two_days = changed == F.date_sub(on, 1), changed == F.date_sub(on, 2)
+    longer = changed <= F.date_sub(on, 3)
     fills = [
         ((last == C.ACTIVE, span_three > 3), "last_three_tag_code", active),
         ((last == C.ACTIVE, span_two > 2), "last_two_tag_code", active),
@@ -246,15 +255,15 @@ def lifecycle_day(log: DataFrame, members: DataFrame, calendar: DataFrame, on: d
         "last_day_step": lifecycle_step(two, last),
         "last_two_day_step": lifecycle_step(three, two),
     }).filter(F.col("this_day_step") != 0)
-    started = (changed == day(on)) | ((F.col("this_day_step") == 1) & (F.col("last_day_step") != 1))
+    started = (changed == on) | ((F.col("this_day_step") == 1) & (F.col("last_day_step") != 1))
     named = stepped.join(members.select(*KEYS, "ag_name"), KEYS)
-    fiscal = calendar.filter(F.col("date") == day(on)).agg(F.max(F.struct(*WEEK))).scalar()
-    return named.select(
-        *KEYS, "ag_name", "user_name", day(on).alias("data_date"),
+    fiscal = calendar.groupBy(F.col("date").alias("on")).agg(F.max(F.struct(*WEEK)).alias("fiscal"))
+    return salted_join(named, fiscal, ["on"], "left").select(
+        *KEYS, "ag_name", "user_name", on.alias("data_date"),
         *[F.coalesce(c, F.lit(0)).alias(f"{n}_tag_code")
           for n, c in (("this", this), ("last", last), ("last_two", two), ("last_three", three))],
         "this_day_step", "last_day_step", "last_two_day_step", started.alias("init_flag"),
-        *[fiscal[c].alias(c) for c in WEEK])
+        *[F.col("fiscal")[c].alias(c) for c in WEEK])
 
 
 def lifecycle_week_snapshot(log: DataFrame, calendar: DataFrame) -> DataFrame:

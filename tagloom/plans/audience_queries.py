@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from tagloom.functions.codes import KEYS
 from tagloom.operators import audience, masking
 from tagloom.operators.keyed import equal_parts
+from tagloom.plans.inputs import MEMBER_TENANT
 from tagloom.plans.registry import NOW, TENANT, TODAY, USER, query
 
+FIRST = "hall_id = 1 AND domain_id = 1"
 OPEN = "tag_enabled AND (sync_date_type = 2 OR (sync_date_type = 1 AND DATE '2024-01-31' BETWEEN sync_date_begin AND sync_date_end))"
 query("active_batches", f"SELECT * FROM batches WHERE {OPEN}")(lambda i: audience.active_batches(i["batches"], NOW))
 query("active_batches_edited", f"SELECT * FROM batches WHERE {OPEN} AND operator_time >= TIMESTAMP '2024-01-30 06:00:00'")(
@@ -43,7 +45,7 @@ query("batch_match_counts", " UNION ALL ".join(
     f"SELECT {n + 1} AS batch_id, COUNT(*) AS match_user_count FROM dw WHERE {c}" for n, c in enumerate(CONDITIONS)))(
     lambda i: audience.batch_match_counts(i["dw"], BATCHES))
 
-query("match_uploaded_names", f"SELECT {USER} FROM member_info WHERE user_name IN (SELECT user_name FROM upload)")(
+query("match_uploaded_names", f"SELECT {USER} FROM member_info WHERE {FIRST} AND user_name IN (SELECT user_name FROM upload)")(
     lambda i: audience.match_uploaded_names(i["upload"], i["member_info"], TENANT))
 query("match_by_step", f"""{ALL_USERS} WHERE user_id IN (SELECT user_id FROM dw_day WHERE this_day_step = 3 AND data_date = DATE '2024-01-29')""")(
     lambda i: audience.match_by_step(i["dw"], i["dw_day"], 3, date(2024, 1, 29)))
@@ -56,8 +58,8 @@ query("match_by_prediction", f"""{ALL_USERS} WHERE user_id IN (SELECT user_id FR
  HAVING AVG(action_score) * 100 BETWEEN 45 AND 55)""")(
     lambda i: audience.match_by_prediction(i["dw"], i["recommend_meta"], 45, 55, date(2024, 1, 5), date(2024, 1, 28)))
 query("match_top_spenders", f"""{ALL_USERS} WHERE user_id IN (SELECT user_id FROM bet_analysis
- WHERE data_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-28' GROUP BY user_id ORDER BY SUM(bet_amount) DESC, user_id LIMIT 40)""")(
-    lambda i: audience.match_top_spenders(i["dw"], i["bet_analysis"], 40, date(2024, 1, 5), date(2024, 1, 28)))
+ WHERE data_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-28' GROUP BY {USER} QUALIFY ROW_NUMBER() OVER (PARTITION BY hall_id, domain_id ORDER BY SUM(bet_amount) DESC, user_id) <= 15)""")(
+    lambda i: audience.match_top_spenders(i["dw"], i["bet_analysis"], 15, date(2024, 1, 5), date(2024, 1, 28)))
 
 DIFF = f"""SELECT {USER}, CASE WHEN m.user_id IS NOT NULL AND t.user_id IS NOT NULL THEN 'repeat'
  WHEN t.user_id IS NOT NULL THEN 'delete' ELSE 'new' END AS change
@@ -174,7 +176,7 @@ def copy(table: str, sql: str, source=None, start=COPY_START, end=COPY_END):
         rows = i[source] if " " not in source else i.sql(source)
         return masking.demo_copy(table, rows, TENANT, start, end)
 
-    query(f"demo_copy_{table}", sql, {"source": source} if " " in source else None)(build)
+    query(f"demo_copy_{table}", f"SELECT * FROM ({sql}) copied WHERE {FIRST}", {"source": source} if " " in source else None)(build)
 
 
 MEMBER_ROWS = f"""SELECT 1 AS hall_id, 1 AS domain_id, user_id, parent_username AS ag_name, username AS user_name, name AS name_real,
@@ -202,3 +204,29 @@ copy("user_recommend_meta_data", f"SELECT * FROM source WHERE {NY_DAY.format('up
 copy("smart_message_notification_data", f"{MESSAGES} WHERE {NY_DAY.format('updated_time')} {SPAN}", "messages",
      date(1997, 1, 1), date(1998, 12, 31))
 copy("ga_page_path", f"SELECT * FROM ga_page WHERE data_date {IN_DAYS}", "ga_page")
+RESULT_ROWS = """SELECT m.hall_id, m.domain_id, t.user_id, data_date, CAST(SUM(payoff) AS BIGINT) AS payoff,
+ CAST(SUM(premium) AS BIGINT) AS premium_amount, CAST(-SUM(premium) - SUM(payoff) AS BIGINT) AS profit_loss
+ FROM (SELECT user_id, data_date, payoff, 0 AS premium FROM wager_raw
+       UNION ALL SELECT user_id, data_date, 0, premium_amount FROM offers) t JOIN member_info m ON t.user_id = m.user_id
+ GROUP BY m.hall_id, m.domain_id, t.user_id, data_date"""
+copy("profit_loss", f"""SELECT * REPLACE ({scaled('payoff')}, {scaled('premium_amount')}, {scaled('profit_loss')}) FROM source
+ WHERE data_date {IN_DAYS}""", RESULT_ROWS)
+LOGIN_ROWS = """SELECT l.hall_id, l.domain_id, l.user_id, m.user_name, {0} FROM login_raw l JOIN member_info m ON l.user_id = m.user_id"""
+copy("vip_login", f"SELECT * REPLACE ({masked('user_name', 3)}) FROM source WHERE data_date {IN_DAYS}",
+     LOGIN_ROWS.format("l.data_date, CAST(hour(l.at_ts) AS INT) AS login_hour, l.ingress"))
+copy("login_location", f"SELECT * REPLACE ({masked('user_name', 3)}, {masked('last_ip', 3, '.***.***.***')}) FROM source",
+     LOGIN_ROWS.format("l.ip AS last_ip, l.country_code, l.city"))
+STEP_ROWS = """SELECT d.*, m.ag_name, m.user_name, CAST(data_date AS {NTZ}) + INTERVAL 3 HOUR AS updated_time
+ FROM dw_day d JOIN member_info m ON d.user_id = m.user_id"""
+copy("activated_tag_dw_day", f"""SELECT * REPLACE ({masked('ag_name', 3)}, {masked('user_name', 3)}) FROM source
+ WHERE {NY_DAY.format('updated_time')} {IN_DAYS}""", STEP_ROWS)
+WEB_ROWS = f"""SELECT {MEMBER_TENANT}, user_id, CAST(ts AS DATE) AS data_date, CAST(SUM(pageviews) AS BIGINT) AS page_views
+ FROM web_session GROUP BY user_id, CAST(ts AS DATE)"""
+copy("ga_data_set", f"SELECT * FROM source WHERE data_date {IN_DAYS}", WEB_ROWS)
+SCORE_ROWS = "SELECT hall_id, domain_id, user_id, CAST(COUNT(*) AS BIGINT) AS score FROM user_active GROUP BY hall_id, domain_id, user_id"
+copy("user_healthy_score", "SELECT * FROM source", SCORE_ROWS)
+JOURNEY_ROWS = f"""SELECT {MEMBER_TENANT}, user_id, CAST(ts AS DATE) AS data_date, CAST(COUNT(*) AS BIGINT) AS steps
+ FROM events GROUP BY user_id, CAST(ts AS DATE)"""
+copy("member_journey", f"SELECT * FROM source WHERE data_date {IN_DAYS}", JOURNEY_ROWS)
+DETAIL_ROWS = f"SELECT {MEMBER_TENANT}, user_id, event_id, event_type, CAST(ts AS DATE) AS data_date FROM events"
+copy("member_journey_detail", f"SELECT * FROM source WHERE data_date {IN_DAYS}", DETAIL_ROWS)

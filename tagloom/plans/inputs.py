@@ -16,12 +16,22 @@ BASE = "region nation customer supplier part orders lineitem events documents em
 
 FISCAL = """CAST(year(ts) AS INT) AS financial_year, CAST(month(ts) AS INT) AS financial_month,
        CAST(weekofyear(ts) AS INT) AS financial_week"""
-TENANT = "1 AS hall_id, 1 AS domain_id"
+TENANT = "1 AS hall_id, 1 AS domain_id"  # tables without members belong to the first tenant
+
+
+def tenant_of(member: str) -> str:
+    """Members of three halls; the first has two domains."""
+    return (f"CAST({member} % 4 % 3 + 1 AS INT) AS hall_id, CAST(CASE WHEN {member} % 4 = 3 THEN 2 ELSE 1 END AS INT) AS domain_id")
+
+
+MEMBER_TENANT = tenant_of("user_id")
+# a member who stops: what falls into the later days is dated three weeks earlier
+STOPPED_AT = "CASE WHEN user_id % 11 = 0 AND ts >= DATE '2024-01-10' THEN ts - INTERVAL 21 DAY ELSE ts END"
 
 INPUTS: dict[str, str] = {}
 
 INPUTS["member_info"] = f"""
-SELECT {TENANT}, c.c_custkey AS user_id,
+SELECT {tenant_of('c.c_custkey')}, c.c_custkey AS user_id,
        CASE WHEN c.c_custkey % 29 = 7 THEN NULL ELSE c.c_name END AS user_name,
        CASE WHEN c.c_custkey % 23 = 5 THEN NULL ELSE n.n_name END AS ag_name,
        c.c_nationkey AS user_level_id, c.c_mktsegment AS user_level,
@@ -65,14 +75,14 @@ SELECT o_custkey AS user_id, CAST(DATE '2023-07-01' + CAST(o_orderkey % 300 AS I
 FROM orders"""
 
 INPUTS["wager"] = f"""
-SELECT {TENANT}, event_id, user_id, ts AS at_ts, CAST(ts AS DATE) AS data_date,
+SELECT {MEMBER_TENANT}, event_id, user_id, ts AS at_ts, CAST(ts AS DATE) AS data_date,
        CAST(hour(ts) AS INT) AS bet_hour, CAST(event_id % 7 + 1 AS INT) AS lobby,
        CAST(event_id % 6 + 1 AS INT) AS lobby_group, concat('G', CAST(event_id % 20 AS STRING)) AS game_type,
        CAST(event_id % 4 AS INT) AS platform, CAST(ROUND(value * 100) AS BIGINT) * 10 AS valid_bet,
        CAST(ROUND(value * 100) AS BIGINT) * (event_id * 7919 % 21 - 11 + (user_id % 5 - 2) * 4) AS payoff,
        CAST(CASE WHEN event_id % 9 = 0 THEN 0 ELSE 1 END AS INT) AS self_result,
        ts + INTERVAL 30 HOUR AS settle_ts
-FROM events WHERE event_type IN ('click', 'view') AND NOT (user_id % 11 = 0 AND ts >= DATE '2024-01-10')"""
+FROM (SELECT event_id, user_id, value, {STOPPED_AT} AS ts FROM events WHERE event_type IN ('click', 'view')) dated"""
 
 INPUTS["wager_raw"] = f"""
 SELECT user_id, concat('AG', CAST(user_id % 5 AS STRING)) AS parent_username, CAST(event_id % 7 + 1 AS INT) AS lobby,
@@ -125,13 +135,13 @@ SELECT 1 AS hall_id, 1 AS domain_id, CAST(vendor_id AS INT) AS lobby, game_code
        kind % 3 = 0 AS is_pvp, kind % 4 = 1 AS is_pve FROM games"""
 
 INPUTS["deposit_record"] = f"""
-SELECT {TENANT}, user_id, CAST(ts AS DATE) AS data_date, {FISCAL},
+SELECT {MEMBER_TENANT}, user_id, CAST(ts AS DATE) AS data_date, {FISCAL},
        CAST(CASE WHEN user_id % 7 = 0 THEN 0 ELSE event_id % 3 END AS INT) AS status,
        CAST(ROUND(value * 100) AS BIGINT) * 10 AS amount, CAST(ROUND(value) AS BIGINT) AS fee, CAST(1 AS BIGINT) AS deposit_count
-FROM events WHERE event_type = 'purchase' AND NOT (user_id % 11 = 0 AND ts >= DATE '2024-01-10')"""
+FROM (SELECT event_id, user_id, value, {STOPPED_AT} AS ts FROM events WHERE event_type = 'purchase') dated"""
 
 INPUTS["withdraw_record"] = f"""
-SELECT {TENANT}, user_id, CAST(ts AS DATE) AS data_date, {FISCAL}, CAST(event_id % 3 AS INT) AS status,
+SELECT {MEMBER_TENANT}, user_id, CAST(ts AS DATE) AS data_date, {FISCAL}, CAST(event_id % 3 AS INT) AS status,
        CAST(ROUND(value * 100) AS BIGINT) * 8 AS real_amount, CAST(ROUND(value) AS BIGINT) AS fee,
        CAST(1 AS BIGINT) AS withdraw_count
 FROM events WHERE event_type = 'error'"""
@@ -148,7 +158,7 @@ FROM (SELECT hall_id, domain_id, user_id, data_date, amount, deposit_count, CAST
 GROUP BY hall_id, domain_id, user_id, data_date"""
 
 INPUTS["login_raw"] = f"""
-SELECT {TENANT}, user_id, concat('AG', CAST(user_id % 5 AS STRING)) AS parent_username, ts AS at_ts,
+SELECT {MEMBER_TENANT}, user_id, concat('AG', CAST(user_id % 5 AS STRING)) AS parent_username, ts AS at_ts,
        CAST(ts AS DATE) AS data_date, {FISCAL}, CAST(event_id % 17 AS INT) AS ingress,
        CASE event_id % 5 WHEN 0 THEN 'App' WHEN 1 THEN 'APP' WHEN 2 THEN NULL ELSE 'www' END AS host,
        CAST(CASE WHEN event_id % 4 = 0 THEN 0 ELSE 1 END AS INT) AS result,
@@ -170,7 +180,7 @@ SELECT 167772160 + s_suppkey * 131072 AS ip_from, 167772160 + s_suppkey * 131072
        concat('geo ', CAST(s_nationkey AS STRING)) AS geo_country, s_name AS geo_city FROM supplier"""
 
 INPUTS["ga_page"] = f"""
-SELECT {TENANT}, user_id, CAST(ts AS DATE) AS data_date,
+SELECT {MEMBER_TENANT}, user_id, CAST(ts AS DATE) AS data_date,
        CASE event_id % 5 WHEN 0 THEN '/deposit/step1' WHEN 1 THEN '/withdraw' WHEN 2 THEN '/'
                          WHEN 3 THEN concat('/my/deposit/', CAST(event_id % 3 AS STRING)) ELSE '/about' END AS page_path
 FROM events WHERE event_type = 'view'"""
@@ -211,7 +221,7 @@ SELECT c_custkey AS user_id, CAST(c_custkey % 10 AS INT) AS vip_id, CAST(c_custk
 INPUTS["vip_dim"] = "SELECT n_nationkey AS vip_id, concat('VIP ', n_name) AS name FROM nation"
 
 INPUTS["cash_entry"] = f"""
-SELECT {TENANT}, user_id, CAST(CASE event_id % 9 WHEN 0 THEN 1039 WHEN 1 THEN 1040 WHEN 2 THEN 2096 WHEN 3 THEN 2100
+SELECT {MEMBER_TENANT}, user_id, CAST(CASE event_id % 9 WHEN 0 THEN 1039 WHEN 1 THEN 1040 WHEN 2 THEN 2096 WHEN 3 THEN 2100
        WHEN 4 THEN 2508 WHEN 5 THEN 2525 WHEN 6 THEN 2514 WHEN 7 THEN 7001 ELSE 7002 END AS INT) AS opcode,
        ts AS created_at, CAST(ts AS DATE) AS data_date,
        CAST(ROUND(value * 100) AS BIGINT) * CASE WHEN event_id % 13 = 0 THEN -10 ELSE 10 END AS amount
@@ -236,14 +246,14 @@ SELECT {TENANT}, CAST(30000 + p_partkey AS INT) AS tag_code, p_name AS tag_name,
 FROM part"""
 
 INPUTS["dw"] = f"""
-SELECT {TENANT}, user_id, user_name, ag_name, user_level_id, user_level,
+SELECT {MEMBER_TENANT}, user_id, user_name, ag_name, user_level_id, user_level,
        concat('3001', CAST(user_id % 7 AS STRING), ',3002', CAST(user_id % 3 AS STRING), ',4000', CAST(user_id % 5 AS STRING)) AS tag_str,
        CASE WHEN user_id % 6 = 0 THEN NULL ELSE DATE '2024-01-01' + CAST(user_id % 30 AS INT) END AS last_activated_date,
        DATE '2024-01-01' + CAST(user_id % 28 AS INT) AS last_login_date
 FROM member_info WHERE user_id % 5 <> 4"""
 
 INPUTS["edits"] = f"""
-SELECT {TENANT}, user_id, CAST(CASE event_id % 3 WHEN 0 THEN 30015 WHEN 1 THEN 30019 ELSE 50100 END AS INT) AS tag_code,
+SELECT {MEMBER_TENANT}, user_id, CAST(CASE event_id % 3 WHEN 0 THEN 30015 WHEN 1 THEN 30019 ELSE 50100 END AS INT) AS tag_code,
        CAST(event_id % 4 AS INT) AS edit_type, ts AS updated_time
 FROM events WHERE event_type = 'error'"""
 
@@ -254,7 +264,7 @@ SELECT c_name AS user_name,
 FROM customer WHERE c_custkey % 3 <> 0"""
 
 INPUTS["arbitrage_info"] = f"""
-SELECT {TENANT}, user_id, CAST(CASE WHEN event_id % 3 = 0 THEN 20 ELSE 19 END AS INT) AS external_game_code,
+SELECT {MEMBER_TENANT}, user_id, CAST(CASE WHEN event_id % 3 = 0 THEN 20 ELSE 19 END AS INT) AS external_game_code,
        CAST(event_id % 100 AS INT) AS hedge_round_count, CAST(ts AS DATE) AS data_date
 FROM events"""
 
@@ -267,20 +277,21 @@ SELECT CAST(o_orderkey AS BIGINT) AS hall_id, CAST(o_custkey % 4 AS BIGINT) AS d
        o_orderdate AS created_time FROM orders"""
 
 INPUTS["activated_tag_day"] = f"""
-SELECT {TENANT}, e.user_id, m.user_name, data_date,
+SELECT m.hall_id, m.domain_id, e.user_id, m.user_name, data_date,
        CAST(50100 + (e.user_id + day(data_date) - day(data_date) % 4) * 5 % 9 AS INT) AS tag_code,
        CAST(data_date AS {{NTZ}}) + INTERVAL 2 HOUR AS updated_time
-FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) AS data_date FROM events
-      WHERE event_type = 'view' AND NOT (user_id % 6 = 0 AND ts >= DATE '2024-01-23')) e
+FROM (SELECT DISTINCT user_id,
+             CAST(CASE WHEN user_id % 6 = 0 AND ts >= DATE '2024-01-23' THEN ts - INTERVAL 14 DAY ELSE ts END AS DATE) AS data_date
+      FROM events WHERE event_type = 'view') e
 JOIN member_info m ON e.user_id = m.user_id"""
 
 INPUTS["activated_tag_ods_week"] = f"""
-SELECT {TENANT}, user_id, concat('Customer#', lpad(CAST(user_id AS STRING), 9, '0')) AS user_name, CAST(50100 + event_id % 9 AS INT) AS tag_code, CAST(year(ts) AS INT) AS fin_year,
+SELECT {MEMBER_TENANT}, user_id, concat('Customer#', lpad(CAST(user_id AS STRING), 9, '0')) AS user_name, CAST(50100 + event_id % 9 AS INT) AS tag_code, CAST(year(ts) AS INT) AS fin_year,
        CAST(month(ts) AS INT) AS fin_month, CAST(weekofyear(ts) AS INT) AS fin_week, ts AS created_time
 FROM events WHERE event_type = 'view'"""
 
 INPUTS["activated_tag_dw_week"] = f"""
-SELECT {TENANT}, user_id, concat('Customer#', lpad(CAST(user_id AS STRING), 9, '0')) AS user_name, CAST(event_id % 4 AS INT) AS last_week_step, CAST(event_id % 3 AS INT) AS this_week_step,
+SELECT {MEMBER_TENANT}, user_id, concat('Customer#', lpad(CAST(user_id AS STRING), 9, '0')) AS user_name, CAST(event_id % 4 AS INT) AS last_week_step, CAST(event_id % 3 AS INT) AS this_week_step,
        CAST(50100 + event_id % 7 AS INT) AS two_weeks_tag_code, CAST(50100 + event_id % 6 AS INT) AS one_weeks_tag_code,
        CAST(50100 + event_id % 5 AS INT) AS week_tag_code, CAST(year(ts) AS INT) AS fin_year,
        CAST(month(ts) AS INT) AS fin_month, CAST(weekofyear(ts) AS INT) AS fin_week, ts AS created_time
@@ -294,27 +305,27 @@ SELECT o_orderkey AS batch_id, CAST(o_orderkey % 3 AS INT) AS sync_date_type, o_
 FROM orders"""
 
 INPUTS["dw_day"] = f"""
-SELECT {TENANT}, c_custkey AS user_id, CAST(c_custkey % 8 AS INT) AS this_day_step,
+SELECT {tenant_of('c_custkey')}, c_custkey AS user_id, CAST(c_custkey % 8 AS INT) AS this_day_step,
        DATE '2024-01-28' + CAST(c_custkey % 3 AS INT) AS data_date FROM customer"""
 
 INPUTS["user_active"] = f"""
-SELECT {TENANT}, user_id, CAST(ts AS DATE) AS data_date, CAST(event_id % 9 AS DOUBLE) / 8 AS action_score FROM events"""
+SELECT {MEMBER_TENANT}, user_id, CAST(ts AS DATE) AS data_date, CAST(event_id % 9 AS DOUBLE) / 8 AS action_score FROM events"""
 
 INPUTS["recommend_meta"] = f"""
-SELECT {TENANT}, user_id, CAST(ts AS DATE) AS data_date, CAST(50001 + event_id % 2 AS INT) AS recommend_code,
+SELECT {MEMBER_TENANT}, user_id, CAST(ts AS DATE) AS data_date, CAST(50001 + event_id % 2 AS INT) AS recommend_code,
        CAST(event_id % 9 AS DOUBLE) / 8 AS action_score FROM events"""
 
-INPUTS["tagged"] = f"SELECT {TENANT}, c_custkey AS user_id FROM customer WHERE c_custkey % 3 <> 1"
+INPUTS["tagged"] = f"SELECT {tenant_of('c_custkey')}, c_custkey AS user_id FROM customer WHERE c_custkey % 3 <> 1"
 
 INPUTS["sync_group"] = f"""
-SELECT {TENANT}, CAST(c_custkey % 3 AS INT) AS batch_id, CAST(11 + c_custkey % 2 AS INT) AS tag_id, 'old' AS tag_name,
+SELECT {tenant_of('c_custkey')}, CAST(c_custkey % 3 AS INT) AS batch_id, CAST(11 + c_custkey % 2 AS INT) AS tag_id, 'old' AS tag_name,
        c_custkey AS user_id, CAST(c_custkey % 3 AS INT) AS group_id, c_custkey % 4 <> 0 AS latest_tag FROM customer"""
 
 INPUTS["campaigns"] = f"""
 SELECT {TENANT}, CAST(p_partkey AS INT) AS activity_id, p_name AS activity_name, CAST(p_size AS INT) AS status FROM part"""
 
 INPUTS["activity_member"] = f"""
-SELECT CAST(7 AS INT) AS activity_id, {TENANT}, c_name AS user_name FROM customer WHERE c_custkey % 4 = 0"""
+SELECT CAST(7 AS INT) AS activity_id, {tenant_of('c_custkey')}, c_name AS user_name FROM customer WHERE c_custkey % 4 = 0"""
 
 INPUTS["messages"] = f"""
 SELECT {TENANT}, message_id, kind, updated_time,

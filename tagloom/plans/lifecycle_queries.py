@@ -5,6 +5,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from tagloom.operators import lifecycle
+from tagloom.plans.inputs import with_inputs
 from tagloom.plans.registry import AS_OF, USER, query
 
 START, END = date(2024, 1, 10), date(2024, 4, 15)
@@ -142,13 +143,24 @@ def day_parts(on: str) -> dict[str, str]:
 
 
 DAY = "DATE '2024-01-25'"
-query("lifecycle_day", f"""
-SELECT {USER}, ag_name, s.user_name, {DAY} AS data_date, COALESCE(t0, 0) AS this_tag_code, COALESCE(t1, 0) AS last_tag_code,
+
+
+def day_sql(on: str) -> str:
+    return f"""
+SELECT {USER}, ag_name, s.user_name, {on} AS data_date, COALESCE(t0, 0) AS this_tag_code, COALESCE(t1, 0) AS last_tag_code,
        COALESCE(t2, 0) AS last_two_tag_code, COALESCE(t3, 0) AS last_three_tag_code, s0 AS this_day_step, s1 AS last_day_step,
-       s2 AS last_two_day_step, this_date = {DAY} OR (s0 = 1 AND s1 <> 1) AS init_flag, fin_year, fin_month, fin_week
+       s2 AS last_two_day_step, this_date = {on} OR (s0 = 1 AND s1 <> 1) AS init_flag, fin_year, fin_month, fin_week
 FROM (SELECT *, {step_sql('t1', 't0')} AS s0, {step_sql('t2', 't1')} AS s1, {step_sql('t3', 't2')} AS s2 FROM f{len(FILLS)}) s
-JOIN member_info USING ({USER}) LEFT JOIN calendar ON date = {DAY} WHERE s0 <> 0""", day_parts(DAY))(
+JOIN member_info USING ({USER}) LEFT JOIN calendar ON date = {on} WHERE s0 <> 0"""
+
+
+query("lifecycle_day", day_sql(DAY), day_parts(DAY))(
     lambda i: lifecycle.lifecycle_day(i["activated_tag_day"], i["member_info"], i["calendar"], date(2024, 1, 25)))
+DAYS = [f"DATE '2024-01-{d}'" for d in range(19, 26)]
+query("lifecycle_days", " UNION ALL ".join(
+    f"SELECT * FROM ({with_inputs(day_sql(d), 'TIMESTAMP', day_parts(d))}) d{n}" for n, d in enumerate(DAYS)))(
+    lambda i: lifecycle.lifecycle_days(
+        i["activated_tag_day"], i["member_info"], i["calendar"], date(2024, 1, 19), date(2024, 1, 25)))
 
 query("lifecycle_week_snapshot", f"""
 SELECT {USER}, user_name, tag_code, fin_year, fin_month, fin_week FROM (

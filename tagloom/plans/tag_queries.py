@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tagloom.functions import codes as C
 from tagloom.operators import activity, rules, tags
 from tagloom.operators.masking import MASKS, mask_columns
+from tagloom.plans.inputs import with_inputs
 from tagloom.plans.registry import AS_OF, NAMED, NOW, TENANT, TODAY, USER, query
 from tagloom.sources.sinks import materialise
 from tagloom.streaming.incremental import next_state
@@ -103,10 +104,14 @@ def tag_row(code, enabled="TRUE", tag_type=3) -> str:
     return f"SELECT DISTINCT {NAMED}, {code} AS tag_code, {tag_type} AS tag_type, {enabled} AS tag_enabled"
 
 
-@query("tag_churned", f"""
-{tag_row(30017, "last <= DATE '2024-01-30' - 5")}
+def churned_sql(days: int) -> str:
+    return f"""
+{tag_row(30017, f"last <= DATE '2024-01-30' - {days}")}
 FROM (SELECT {USER}, MAX(data_date) AS last FROM login_log WHERE data_date BETWEEN DATE '2024-01-30' - 31 AND DATE '2024-01-30'
-      GROUP BY {USER}) l JOIN member_info USING ({USER}) WHERE ag_name IS NOT NULL""")
+      GROUP BY {USER}) l JOIN member_info USING ({USER}) WHERE ag_name IS NOT NULL"""
+
+
+@query("tag_churned", churned_sql(5))
 def _(i):
     return tags.tag_churned(i["login_log"], i["member_info"], AS_OF, days=5)
 
@@ -274,12 +279,13 @@ query("tag_manual_edits", LATEST_EDITS.format("30015, 30019"))(lambda i: tags.ta
 
 UPLOADED = f"""SELECT {NAMED}, enable <> 0 AS enable, make_date(CAST(split_part(d, '-', 1) AS INT), CAST(split_part(d, '-', 2) AS INT),
  CAST(split_part(d, '-', 3) AS INT)) AS data_date
- FROM (SELECT *, replace(data_date, '/', '-') AS d FROM upload) u JOIN member_info m USING (user_name)"""
+ FROM (SELECT *, replace(data_date, '/', '-') AS d FROM upload) u JOIN member_info m USING (user_name)
+WHERE hall_id = 1 AND domain_id = 1"""
 query("tag_custom_upload", f"""
 SELECT {NAMED}, 40032 AS tag_code, 4 AS tag_type, enable AS tag_enabled FROM uploaded
 QUALIFY ROW_NUMBER() OVER (PARTITION BY {USER} ORDER BY data_date DESC, enable DESC) = 1""", {"uploaded": UPLOADED})(
     lambda i: tags.custom_upload_tags(i["upload"], i["member_info"], 40032, TENANT))
-MASKED = "SELECT * REPLACE (substr(user_name, 1, 3) || '*****' AS user_name) FROM member_info"
+MASKED = "SELECT * REPLACE (substr(user_name, 1, 3) || '*****' AS user_name) FROM member_info WHERE hall_id = 1 AND domain_id = 1"
 query("tag_custom_upload_masked", f"""
 SELECT {NAMED}, 40032 AS tag_code, 4 AS tag_type, enable <> 0 AS tag_enabled
 FROM masked JOIN (SELECT substr(user_name, 1, 3) || '*****' AS user_name, enable, make_date(CAST(split_part(d, '-', 1) AS INT),
@@ -322,7 +328,7 @@ def run_sql() -> str:
     """All rule statements, each with its own parts, merged into the stored tags."""
     from tagloom.plans.registry import REGISTRY
 
-    churned = REGISTRY["tag_churned"].sql.replace("- 5 AS tag_enabled", "- 30 AS tag_enabled")
+    churned = with_inputs(churned_sql(30), "TIMESTAMP")
     every = " UNION ALL ".join(
         f"SELECT {', '.join(C.ODS_COLUMNS)} FROM ({sql}) q{n}"
         for n, sql in enumerate([churned, *[REGISTRY[q].sql for q in RULE_QUERIES]]))

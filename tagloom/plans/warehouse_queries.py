@@ -84,8 +84,9 @@ LISTS = ", ".join(f"STRING_AGG({c}, ',' ORDER BY tag_code) AS {c}" for c in NAME
 WIDE = f"""SELECT {USER}, m.user_name, ag_name, tag_str, {', '.join(NAME_COLUMNS)}, user_level_id, user_level, m.register_date{{more}}
 FROM (SELECT {USER}, STRING_AGG(CAST(tag_code AS VARCHAR), ',' ORDER BY tag_code) AS tag_str, {LISTS}
       FROM ods LEFT JOIN names USING (hall_id, domain_id, tag_code)
-      WHERE tag_enabled AND user_id IN (SELECT user_id FROM ods WHERE tag_enabled {{trigger}}
-        AND {NY.format('updated_time')} >= (SELECT MAX({NY.format('updated_time')}) - 1 FROM ods)) GROUP BY {USER}) t
+      WHERE tag_enabled AND user_id IN (SELECT user_id FROM ods JOIN (SELECT hall_id, domain_id,
+          MAX({NY.format('updated_time')}) - 1 AS last_update FROM ods GROUP BY hall_id, domain_id) l USING (hall_id, domain_id)
+        WHERE tag_enabled {{trigger}} AND {NY.format('updated_time')} >= last_update) GROUP BY {USER}) t
 JOIN member_info m USING ({USER})"""
 query("ods_to_dw", WIDE.format(more="", trigger=""), {"names": TAG_NAMES})(
     lambda i: warehouse.ods_to_dw(i["ods"], i["member_info"], i["tag_dim"]))
@@ -100,8 +101,9 @@ SELECT {USER} FROM ods WHERE user_id IN (SELECT user_id FROM dw) GROUP BY {USER}
 
 
 def recent(table: str, column: str) -> str:
-    return f"""SELECT {USER}, MAX(data_date) AS day FROM {table}
- WHERE data_date >= (SELECT COALESCE(MAX({column}) - 60, DATE '1990-01-01') FROM dw) GROUP BY {USER}"""
+    return f"""SELECT {USER}, MAX(data_date) AS day FROM {table} JOIN (SELECT hall_id, domain_id,
+  COALESCE(MAX({column}) - 60, DATE '1990-01-01') AS earliest FROM dw GROUP BY hall_id, domain_id) f USING (hall_id, domain_id)
+ WHERE data_date >= earliest GROUP BY {USER}"""
 
 
 query("dw_last_dates", f"""
