@@ -61,6 +61,14 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new path in the shared checkpoint folder; it is deleted when the driver's session ends."""
+    path = f"{checkpoint_folder(spark)}/{uuid.uuid4()}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Cut the lineage by writing a table in the shared checkpoint folder.
 
@@ -68,6 +76,6 @@ def materialise(df: DataFrame) -> DataFrame:
     only the columns they need, and sizes are known to the planner.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_folder(spark)}/{uuid.uuid4()}"
+    path = scratch_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
