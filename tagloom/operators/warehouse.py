@@ -9,7 +9,7 @@ from tagloom.functions import codes as C
 from tagloom.functions.codes import KEYS, NEVER, TENANT_KEYS
 from tagloom.functions.columns import between_zones, moment, tenant_date
 from tagloom.operators.keyed import salted_join
-from tagloom.operators.merge import upsert
+from tagloom.operators.merge import delete_keys, upsert
 
 ODS_KEY = [*KEYS, "tag_code"]
 ENVIRONMENTS = {"local": "local", "demo": "dev", "prod": "prod"}
@@ -103,6 +103,21 @@ def dw_last_dates(bets: DataFrame, login: DataFrame, dw: DataFrame) -> DataFrame
     )
 
 
+def refresh_wide(
+    ods: DataFrame, dw: DataFrame, members: DataFrame, tag_dim: DataFrame, bets: DataFrame, login: DataFrame
+) -> DataFrame:
+    """The wide table after a rule run: members without enabled tags out, changed members in, last dates moved on.
+
+    A date that is not found in the days looked at stays as stored.
+    """
+    kept = delete_keys(dw, dw_stale_users(ods, dw), KEYS)
+    merged = upsert(kept, ods_to_dw(ods, members, tag_dim), KEYS)
+    names = ["last_activated_date", "last_login_date"]
+    dates = dw_last_dates(bets, login, merged).withColumnsRenamed({c: f"_{c}" for c in names})
+    return merged.join(dates, KEYS, "left").select(*[
+        F.coalesce(f"_{c}", c).alias(c) if c in names else F.col(c) for c in merged.columns])
+
+
 def seed_tag_dim(tag_dim: DataFrame, tenants: DataFrame, definitions: list[dict]) -> DataFrame:
     """Give every tenant all tag definitions (an expansion of each tenant row), upserted."""
     rows = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in d.items()]) for d in definitions])

@@ -100,9 +100,9 @@ SELECT {USER} FROM ods WHERE user_id IN (SELECT user_id FROM dw) GROUP BY {USER}
     lambda i: warehouse.dw_stale_users(i["ods"], i["dw"]))
 
 
-def recent(table: str, column: str) -> str:
+def recent(table: str, column: str, wide: str = "dw") -> str:
     return f"""SELECT {USER}, MAX(data_date) AS day FROM {table} JOIN (SELECT hall_id, domain_id,
-  COALESCE(MAX({column}) - 60, DATE '1990-01-01') AS earliest FROM dw GROUP BY hall_id, domain_id) f USING (hall_id, domain_id)
+  COALESCE(MAX({column}) - 60, DATE '1990-01-01') AS earliest FROM {wide} GROUP BY hall_id, domain_id) f USING (hall_id, domain_id)
  WHERE data_date >= earliest GROUP BY {USER}"""
 
 
@@ -111,6 +111,22 @@ SELECT {USER}, b.day AS last_activated_date, l.day AS last_login_date
 FROM ({recent('bet_analysis', 'last_activated_date')}) b FULL OUTER JOIN ({recent('login_log', 'last_login_date')}) l USING ({USER})
 WHERE user_id IN (SELECT user_id FROM dw)""")(lambda i: warehouse.dw_last_dates(i["bet_analysis"], i["login_log"], i["dw"]))
 
+FROM_WIDE = ", ".join(
+    f"CASE WHEN w.tag_str IS NOT NULL THEN w.{c} ELSE k.{c} END AS {c}" for c in ("user_name", "ag_name", "user_level_id", "user_level", "tag_str"))
+REFRESH = {
+    "names": TAG_NAMES, "wide": WIDE.format(more="", trigger=""),
+    "kept": f"""SELECT * FROM dw WHERE user_id NOT IN (
+ SELECT user_id FROM ods GROUP BY {USER} HAVING COUNT(*) FILTER (tag_enabled) = 0)""",
+    "merged": f"SELECT {USER}, {FROM_WIDE}, last_activated_date, last_login_date FROM kept k FULL OUTER JOIN wide w USING ({USER})",
+}
+query("refresh_wide", f"""
+SELECT {USER}, user_name, ag_name, user_level_id, user_level, tag_str, COALESCE(b.day, last_activated_date) AS last_activated_date,
+       COALESCE(l.day, last_login_date) AS last_login_date
+FROM merged LEFT JOIN ({recent('bet_analysis', 'last_activated_date', 'merged')}) b USING ({USER})
+LEFT JOIN ({recent('login_log', 'last_login_date', 'merged')}) l USING ({USER})""", REFRESH)(
+    lambda i: warehouse.refresh_wide(
+        i["ods"], i["dw"], i["member_info"], i["tag_dim"], i["bet_analysis"], i["login_log"]))
+
 DEFINITIONS = [
     {"tag_code": 30091, "tag_type": 3, "tag_name": "hesitating", "sort_index": 1, "can_access_env": "local,dev,prod"},
     {"tag_code": 30093, "tag_type": 3, "tag_name": "new member", "sort_index": 2, "can_access_env": "local,dev"},
