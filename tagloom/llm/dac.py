@@ -20,7 +20,6 @@ appears with the commit of its task and lives in any store Spark knows.
 from __future__ import annotations
 
 import struct
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -31,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.llm.tokens import encoder
-from tagloom.sources.sinks import checkpoint_folder
+from tagloom.sources.sinks import scratch_path
 
 BLOCK = 512
 MAGIC = b"DAC1"
@@ -126,10 +125,13 @@ class Reader:
 
 
 def write_corpus(
-    docs: DataFrame, vocabulary: str, id: str = "doc_id", text: str = "text", end_id: int = 0, file_ids: int = FILE_IDS
+    docs: DataFrame, vocabulary: str, id: str = "doc_id", text: str = "text", end_id: int = 0, file_ids: int = FILE_IDS,
+    path: str | None = None,
 ) -> str:
     """Encode whole texts, end each with ``end_id``, and write files in ascending order of ``id``; returns their folder.
 
+    Without ``path`` they go to the shared checkpoint folder, for this session only.
+
     Rows: ``part``, ``seq`` (files are in the order of both), ``ids`` (the document
     ids in the file), ``n_tokens``, ``file``. Null ids come first; rows that repeat
     an id are ordered by a hash of their text. A null text counts as empty. Files
@@ -171,7 +173,7 @@ def write_corpus(
     order = [F.col("_id").asc_nulls_first(), F.col("_h")]
     rows = docs.select(F.col(id).cast("long").alias("_id"), F.col(text).alias("_t"), F.xxhash64(text).alias("_h"))
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("_id", "_t")
-    path = f"{checkpoint_folder(spark)}/{uuid.uuid4()}"
+    path = path or scratch_path(spark)
     schema = "part int, seq int, ids array<bigint>, n_tokens bigint, file binary"
     ordered.mapInArrow(run, schema).write.option("compression", "zstd").parquet(path)
     return path
@@ -198,7 +200,8 @@ def read_digests(files: DataFrame) -> DataFrame:
         for batch in batches:
             for part, seq, names, file in zip(*batch.columns):
                 reader = Reader(file.as_py())
-                codes = [zlib.crc32(reader.document(k).tobytes()) for k in range(len(reader))]
+                tokens, at = reader.tokens(0, reader.size), reader.starts.tolist()  # all are wanted: one pass over the file
+                codes = [zlib.crc32(tokens[a:b]) for a, b in zip(at, at[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([part.as_py()] * len(reader), pa.int32()), pa.array([seq.as_py()] * len(reader), pa.int32()),
