@@ -9,6 +9,7 @@ from tagloom.operators import audience, masking
 from tagloom.operators.keyed import equal_parts
 from tagloom.plans.inputs import MEMBER_TENANT
 from tagloom.plans.registry import NOW, TENANT, TODAY, USER, query
+from tagloom.sources.sinks import materialise
 
 FIRST = "hall_id = 1 AND domain_id = 1"
 OPEN = "tag_enabled AND (sync_date_type = 2 OR (sync_date_type = 1 AND DATE '2024-01-31' BETWEEN sync_date_begin AND sync_date_end))"
@@ -96,6 +97,42 @@ for mode, table in [(1, "sync_group"), (2, "kept")]:
     query("sync_group_state" if mode == 2 else "sync_group_append", sync_sql(table), SYNC)(
         lambda i, mode=mode: audience.sync_group_state(i["sync_group"], i.sql(NEW_GROUP), i.sql(SYNC["matched"]), BATCH, mode))
 
+OPEN_BATCHES = {
+    0: "user_level_id IN (1, 2, 3, 5, 7, 8, 11, 13, 17, 19)",
+    1: "((tag_str LIKE '%30011%' AND tag_str LIKE '%30021%') OR tag_str LIKE '%30012%' OR tag_str LIKE '%30013%')",
+    2: "user_level_id IN (1, 2, 3, 5, 7, 8, 11, 13, 17, 19) AND user_level_id NOT IN (7, 13)",
+}
+
+
+def sync_parts() -> dict[str, str]:
+    """For each open batch its members, the new ones with their groups, the stored rows kept, and its state."""
+    parts = {}
+    for b, condition in OPEN_BATCHES.items():
+        own = f"SELECT * FROM sync_group WHERE batch_id = {b}"
+        parts[f"members{b}"] = f"SELECT {USER} FROM dw WHERE hall_id = {b + 1} AND domain_id = 1 AND {condition}"
+        parts[f"new{b}"] = f"""SELECT {USER}, CASE WHEN n >= 5 OR lead IS NULL THEN CASE WHEN place <= CEIL(n * 20 / 100.0) THEN 2 ELSE 1 END
+ WHEN lead >= 60 THEN 2 ELSE 1 END AS group_id
+ FROM (SELECT {USER}, ROW_NUMBER() OVER (ORDER BY md5(concat(CAST(user_id AS VARCHAR), ':3')), user_id) AS place, COUNT(*) OVER () AS n
+       FROM members{b} WHERE user_id NOT IN (SELECT user_id FROM ({own}) o)) p,
+      (SELECT (COUNT(*) FILTER (group_id = 1) - COUNT(*) FILTER (group_id = 2)) * 100.0 / NULLIF(COUNT(*), 0) AS lead FROM ({own}) o) l"""
+        stale = f" AND NOT (tag_id = 11 AND user_id NOT IN (SELECT user_id FROM members{b}))" if b % 2 else ""
+        parts[f"stored{b}"] = f"{own}{stale}"
+        parts[f"state{b}"] = f"""SELECT {GROUP_KEY}, COALESCE(n.tag_name, g.tag_name) AS tag_name, COALESCE(n.group_id, g.group_id) AS group_id,
+ CASE WHEN n.user_id IS NOT NULL THEN TRUE WHEN tag_id = 11 THEN FALSE ELSE g.latest_tag END AS latest_tag
+ FROM stored{b} g FULL OUTER JOIN (SELECT {USER}, {b} AS batch_id, 11 AS tag_id,
+  (SELECT tag_name FROM sync_batches WHERE batch_id = {b}) AS tag_name, group_id FROM new{b}) n USING ({GROUP_KEY})"""
+    return parts
+
+
+def synced(i):
+    return audience.sync_batches(i["sync_batches"], i["dw"], i["sync_group"], NOW, materialise, seed=3)
+
+
+query("tag_sync", " UNION ALL ".join(f"SELECT * FROM state{b}" for b in OPEN_BATCHES), sync_parts())(lambda i: synced(i)[1])
+MATCH_COUNT = "CASE batch_id " + " ".join(f"WHEN {b} THEN (SELECT COUNT(*) FROM members{b})" for b in OPEN_BATCHES) + " ELSE 0 END"
+query("tag_sync_batches", f"SELECT * REPLACE ({MATCH_COUNT} AS match_user_count) FROM sync_batches", sync_parts())(
+    lambda i: synced(i)[0])
+
 query("campaign_header", """
 SELECT * FROM campaigns UNION ALL SELECT 1, 1, MAX(activity_id) + 1, 'spring campaign', 2 FROM campaigns""")(
     lambda i: audience.campaign_header(

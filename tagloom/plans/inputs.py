@@ -304,6 +304,14 @@ SELECT o_orderkey AS batch_id, CAST(o_orderkey % 3 AS INT) AS sync_date_type, o_
        CAST(DATE '2024-01-29' + CAST(o_orderkey % 2 AS INT) AS {NTZ}) + INTERVAL 22 HOUR AS operator_time
 FROM orders"""
 
+INPUTS["sync_batches"] = """
+SELECT CAST(r_regionkey AS INT) AS batch_id, CAST(11 AS INT) AS tag_id, r_name AS tag_name, CAST(r_regionkey % 3 + 1 AS INT) AS hall_id,
+       CAST(1 AS INT) AS domain_id, CASE WHEN r_regionkey = 1 THEN NULL ELSE '1;2;3;5;7;8;11;13;17;19' END AS user_level_id,
+       CASE WHEN r_regionkey = 2 THEN '7,13' END AS user_level_exclude, CASE WHEN r_regionkey = 1 THEN '30011,30021;30012;30013' END AS tag_str,
+       CAST(r_regionkey % 2 + 1 AS INT) AS mode, CAST(2 AS INT) AS sync_date_type, r_regionkey < 3 AS tag_enabled,
+       DATE '2024-01-01' AS sync_date_begin, DATE '2024-02-01' AS sync_date_end, CAST(0 AS BIGINT) AS match_user_count
+FROM region"""
+
 INPUTS["dw_day"] = f"""
 SELECT {tenant_of('c_custkey')}, c_custkey AS user_id, CAST(c_custkey % 8 AS INT) AS this_day_step,
        DATE '2024-01-28' + CAST(c_custkey % 3 AS INT) AS data_date FROM customer"""
