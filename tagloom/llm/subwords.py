@@ -101,13 +101,20 @@ def train(
     share = float(weights @ labels + 1) / float(weights.sum() + 2)
     if len(set(labels.tolist())) < 2:
         return Model(np.zeros(buckets), float(np.log(share / (1 - share))))
-    counts = [word_counts(t) for t in texts]
-    names = list(dict.fromkeys(w for c in counts for w in c))
-    number = {w: i for i, w in enumerate(names)}
-    parts, starts = features(names, buckets)
+    number: dict[str, int] = {}
+    words, times = [], []
+    for t in texts:
+        counts = word_counts(t)
+        words.append(np.fromiter((number.setdefault(w, len(number)) for w in counts), np.int32, len(counts)))
+        times.append(np.fromiter(counts.values(), np.int32, len(counts)))
+    names = list(number)
+    del number
+    found = [features(names[at : at + 20_000], buckets) for at in range(0, len(names), 20_000)]
+    before = np.cumsum([0, *(len(ids) for ids, _ in found)])
+    parts = np.concatenate([ids.astype(np.int32) for ids, _ in found])
+    starts = np.concatenate([first + n for (_, first), n in zip(found, before)])
+    del names, found
     sizes = np.diff(np.append(starts, len(parts)))
-    words = [np.fromiter((number[w] for w in c), np.int64, len(c)) for c in counts]
-    times = [np.fromiter(c.values(), np.float64, len(c)) for c in counts]
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / dim, 1 / dim, (buckets, dim))
     out, bias = rng.normal(0, 0.1, (dim, 2)), np.array([0.0, 0.0])
