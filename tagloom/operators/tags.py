@@ -283,7 +283,8 @@ def tag_hedge_arbitrage(
     """Hedged rounds of one vendor: certain from ``rounds`` up, else likely.
 
     A likely tag is disabled where the certain one is enabled as well, today or
-    among the ``stored`` tag rows; a stored likely one goes when the certain one comes.
+    among the ``stored`` tag rows; a stored likely one goes when the certain one
+    comes, or was stored beside it, also without rounds today. Only ``members`` get rows.
     """
     code = F.when(F.col("hedge_round_count") < rounds, likely).otherwise(certain)
     flagged = (
@@ -296,13 +297,13 @@ def tag_hedge_arbitrage(
         enabled = stored.filter(F.col("tag_enabled") & F.col("tag_code").isin(likely, certain)).groupBy(*KEYS).agg(
             F.bool_or(F.col("tag_code") == likely).alias("was_likely"),
             F.bool_or(F.col("tag_code") == certain).alias("was_certain"))
-        flagged = flagged.drop("was_likely", "was_certain").join(enabled, KEYS, "left").fillna(
-            False, ["was_likely", "was_certain"])
+        flagged = flagged.drop("was_likely", "was_certain").join(enabled, KEYS, "full_outer").fillna(
+            False, ["likely", "certain", "was_likely", "was_certain"])
     off = F.col("certain") | F.col("was_certain")
     tags = flagged.select(
         *KEYS,
         F.explode(F.array_compact(F.array(
-            F.when(F.col("likely") | (F.col("certain") & F.col("was_likely")),
+            F.when(F.col("likely") | (off & F.col("was_likely")),
                    F.struct(F.lit(likely).alias("tag_code"), (~off).alias("tag_enabled"))),
             F.when(F.col("certain"), F.struct(F.lit(certain).alias("tag_code"), F.lit(True).alias("tag_enabled"))),
         ))).alias("tag"),

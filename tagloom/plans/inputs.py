@@ -239,6 +239,11 @@ SELECT hall_id, domain_id, user_id, user_name, {code} AS tag_code, {str(code)[0]
 FROM member_info WHERE user_id % {keep} <> 1"""
     for code, mod, days, keep in [(30015, 3, 4, 5), (40006, 4, 3, 3), (10001, 2, 4, 4), (30019, 3, 2, 6), (30017, 2, 5, 7)])
 
+INPUTS["hedge_stored"] = "\nUNION ALL".join(
+    f"""
+SELECT hall_id, domain_id, user_id, {code} AS tag_code, user_id % {mod} <> 0 AS tag_enabled FROM member_info WHERE user_id % {keep} <> 1"""
+    for code, mod, keep in [(40006, 4, 3), (40007, 5, 2)])
+
 INPUTS["tag_dim"] = f"""
 SELECT {TENANT}, CAST(30000 + p_partkey AS INT) AS tag_code, p_name AS tag_name, concat('cn ', p_name) AS tag_name_cn,
        concat('en ', p_name) AS tag_name_en, p_partkey % 9 <> 0 AS tag_enabled,

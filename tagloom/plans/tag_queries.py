@@ -218,6 +218,14 @@ query("tag_hedge_arbitrage", f"""
 {tag_row("code", f"NOT (code = 40006 AND user_id IN (SELECT user_id FROM hedged WHERE code = 40007))", 4)} FROM hedged""",
       {"hedged": HEDGED})(
     lambda i: tags.tag_hedge_arbitrage(i["arbitrage_info"], i["member_info"], AS_OF, 40006, 40007))
+HEDGE_STATE = f"""SELECT {USER}, code FROM hedged UNION SELECT {USER}, tag_code AS code FROM hedge_stored WHERE tag_enabled"""
+HEDGE_BOTH = f"""SELECT {USER} FROM hedge_state WHERE code IN (40006, 40007) GROUP BY {USER} HAVING COUNT(DISTINCT code) = 2"""
+query("tag_hedge_arbitrage_stored", f"""
+{tag_row("code", f"NOT (code = 40006 AND ({USER}) IN (SELECT ({USER}) FROM hedge_both))", 4)}
+FROM (SELECT {NAMED}, code FROM hedged UNION SELECT {NAMED}, 40006 AS code FROM hedge_both JOIN member_info USING ({USER})) t""",
+      {"hedged": HEDGED, "hedge_state": HEDGE_STATE, "hedge_both": HEDGE_BOTH})(
+    lambda i: tags.tag_hedge_arbitrage(
+        i["arbitrage_info"], i["member_info"], AS_OF, 40006, 40007, stored=i["hedge_stored"]))
 
 query("tag_continuous_deposit", f"""
 {tag_row(30057)} FROM (SELECT {NAMED} FROM deposits15 WHERE data_date BETWEEN DATE '2024-01-28' AND DATE '2024-01-30'
