@@ -76,11 +76,13 @@ class Tree:
             near_range=(a.min(), a.max()), far_range=(b.min(), b.max()),
         )
 
-    def search(self, queries: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, queries: np.ndarray, names: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
         """Rows of the ``k`` best distinct vectors of each query and their inner products, best first; row -1 if fewer.
 
-        Ties go to the vector with the smallest id.
+        Vectors that only the query's own id in ``names`` has are left out, however
+        many there are. Ties go to the vector with the smallest other id.
         """
+        self.names = names
         self.queries = queries.astype(np.float64)
         self.lengths = (self.queries**2).sum(1) + self.radius2
         self.scores = np.full((len(queries), k), -np.inf)
@@ -114,6 +116,12 @@ class Tree:
         scores = np.concatenate([self.scores[active], self.queries[active] @ self.vectors[rows].T], axis=1)
         found = np.concatenate([self.found[active], np.broadcast_to(rows, (len(active), len(rows)))], axis=1)
         smallest = np.where(found >= 0, self.copies[found, 0], np.iinfo(np.int64).max)
+        own = np.nonzero((found >= 0) & (smallest == self.names[active][:, None]))
+        if len(own[0]):
+            shared = self.has[found[own], 1]
+            smallest[own] = np.where(shared, self.copies[found[own], 1], np.iinfo(np.int64).max)
+            alone = own[0][~shared], own[1][~shared]
+            scores[alone], found[alone] = -np.inf, -1
         best = np.lexsort((smallest, -scores), axis=1)[:, :k]
         self.scores[active] = np.take_along_axis(scores, best, 1)
         self.found[active] = np.take_along_axis(found, best, 1)
@@ -187,7 +195,7 @@ def neighbours(
 
 
 def _answers(tree: Tree, keys, names, queries, k: int, factor: float) -> pa.RecordBatch:
-    rows, _ = tree.search(queries, k + 1, factor)
+    rows, _ = tree.search(queries, names, k + 1, factor)  # one more, as scores are added up in order only below
     out: list[tuple] = []
     for q, (key, name) in enumerate(zip(keys, names)):
         some = rows[q][rows[q] >= 0]

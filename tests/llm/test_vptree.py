@@ -58,3 +58,15 @@ def test_fewer_candidates_and_empty(spark):
     found = vptree.neighbours(table(spark, rows), F.col("vec_id") % 20 == 0).collect()
     assert [tuple(r) for r in found] == [(0, 1, 1, 0.5)]
     assert vptree.neighbours(table(spark, []), F.col("vec_id") % 20 == 0).collect() == []
+
+
+@pytest.mark.parametrize("leaf", [4, 256])
+def test_several_vectors_of_one_id_take_no_places(spark, monkeypatch, leaf):
+    monkeypatch.setattr(vptree, "LEAF", leaf)
+    rows = [(0, [10.0, x], 1, "x") for x in (0.0, 0.5, 1.0)] + [(i, [float(i), 1.0], 1, "x") for i in range(1, 10)]
+    got = vptree.neighbours(table(spark, rows), F.col("vec_id") % 20 == 0, k=3, shard_rows=5)
+    assert sorted(map(tuple, got.collect())) == brute(rows, 3, 20) and len(brute(rows, 3, 20)) == 9
+    rng = np.random.default_rng(leaf)  # shared vectors and ties as well
+    rows = [(int(i), [float(x) for x in rng.integers(-2, 3, 3)], 1, "x") for i in rng.integers(0, 30, 400)]
+    got = vptree.neighbours(table(spark, rows), F.col("vec_id") % 5 == 0, k=4, shard_rows=90)
+    assert sorted(map(tuple, got.collect())) == brute(rows, 4, 5)
