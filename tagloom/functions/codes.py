@@ -91,7 +91,7 @@ DEPOSIT_PREDICTION_CODE = 50001
 WHOLE_COLUMNS = [
     "hall_id", "domain_id", "user_id", "lobby", "lobby_group", "game_kind", "wagers_total", "user_level_id", "login_count",
     "deposit_count", "this_tag_code", "last_tag_code", "last_two_tag_code", "last_three_tag_code", "this_day_step",
-    "last_day_step", "last_two_day_step",
+    "last_day_step", "last_two_day_step", "id", "promotion_id",
 ]
 TEXT_COLUMNS = ["user_name", "game_type", "ag_name", "host"]
-AMOUNT_COLUMNS = ["balance", "deposit_amount", "bet_amount", "commissionable", "payoff"]
+AMOUNT_COLUMNS = ["balance", "deposit_amount", "bet_amount", "commissionable", "payoff", "amount"]

@@ -9,6 +9,7 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tagloom.functions import codes as C
 from tagloom.functions.codes import TENANT_KEYS
@@ -106,8 +107,29 @@ def tenant_columns(df: DataFrame, tenant: Mapping) -> DataFrame:
     return df.select(*constants, *[c for c in df.columns if c not in tenant])
 
 
+def _amount(column: Column, name: str, kind: T.DataType) -> Column:
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return column
+    if isinstance(kind, T.DecimalType):
+        digits = max(2, kind.scale)
+        size = max(16, kind.precision - kind.scale) + digits
+        return column.cast(f"decimal({size},{digits})") if size <= 38 else column
+    if isinstance(kind, T.IntegralType):
+        return column.cast("decimal(22,2)")
+    if name != "balance":
+        return column.cast("double")
+    rounded = column.cast("decimal(18,2)")
+    lost = F.concat(F.lit("a balance has more than two decimals: "), column).cast("string")
+    return F.when(column.cast("decimal(38,18)") != rounded, F.raise_error(lost)).otherwise(rounded)
+
+
 def conform_types(df: DataFrame) -> DataFrame:
-    """Cast loaded columns by name: whole numbers (NULL is 0), text, amounts, dates and times."""
+    """Cast loaded columns by name: whole numbers (NULL is 0), text, amounts, dates and times.
+
+    Amounts keep their digits: exact numbers have two decimals or more, floating
+    ones stay so, text becomes floating. A balance given as text has two decimals;
+    one with more digits is an error and not rounded.
+    """
     def conformed(name: str) -> Column:
         column = F.col(name)
         if name in C.WHOLE_COLUMNS:
@@ -115,7 +137,7 @@ def conform_types(df: DataFrame) -> DataFrame:
         elif name in C.TEXT_COLUMNS:
             column = column.cast("string")
         elif name in C.AMOUNT_COLUMNS:
-            column = column.cast("decimal(18,2)")
+            column = _amount(column, name, df.schema[name].dataType)
         elif name == "data_date":
             column = column.cast("date")
         elif name == "register_date":

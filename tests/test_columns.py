@@ -1,5 +1,7 @@
 from datetime import date, datetime
+from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from tagloom.functions import columns as X
@@ -71,3 +73,17 @@ def test_message_text(spark):
 def test_scale_amounts_is_exact(spark):
     df = spark.createDataFrame([(1, 12345), (2, None)], "id int, balance bigint")
     assert [str(r.balance) for r in scale_amounts(df).orderBy("id").collect()] == ["123.4500", "0.0000"]
+
+
+def test_conform_types_keeps_digits_and_knows_all_names(spark):
+    df = spark.createDataFrame(
+        [("7", None, Decimal("1.239"), 1.239, "1.239", 5, "3.50")],
+        "id string, promotion_id string, amount decimal(10,3), payoff double, bet_amount string, deposit_amount long, balance string")
+    got = X.conform_types(df).first()
+    assert got.asDict() == {
+        "id": 7, "promotion_id": 0, "amount": Decimal("1.239"), "payoff": 1.239, "bet_amount": 1.239,
+        "deposit_amount": Decimal("5.00"), "balance": Decimal("3.50")}
+    wide = spark.createDataFrame([(Decimal(10) ** 35, None)], "amount decimal(38,1), balance string")
+    assert X.conform_types(wide).first() == (Decimal(10) ** 35, None)
+    with pytest.raises(Exception, match="more than two decimals"):
+        X.conform_types(df.withColumn("balance", F.lit("3.505"))).collect()
