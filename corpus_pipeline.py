@@ -17,8 +17,9 @@ from tagloom.sources.sinks import materialise
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject; the score of an unlabelled document counts as any other."""
-    scored = subwords.score(docs, quality_model(spark, sf_dir), keep=tuple(docs.columns))
-    return scored.filter(F.col("score") >= REJECT_BELOW).drop("score")
+    name = "_".join([*docs.columns, "score"])  # longer than any, so that no name of theirs can clash
+    scored = subwords.score(docs, quality_model(spark, sf_dir), keep=tuple(docs.columns), name=name)
+    return scored.filter(F.col(name) >= REJECT_BELOW).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,9 +18,9 @@ def held_out(id: Column, modulus: int, remainder: int) -> Column:
 
 @dataclass
 class Sample:
-    """Texts with labels 0/1, languages, and weights that restore the shares of the classes."""
+    """Texts, or what they were cut to, with labels 0/1, languages, and weights that restore the shares of the classes."""
 
-    texts: list[str]
+    texts: list[str] | list[tuple[bytes, bytes]]
     labels: np.ndarray
     weights: np.ndarray
     langs: list[str | None]
@@ -26,13 +28,14 @@ class Sample:
 
 def training_sample(
     docs: DataFrame, labels: DataFrame, label: str, per_class: int, id: str = "doc_id", text: str = "text",
-    lang: str | None = None,
+    lang: str | None = None, cut: Callable[[str], tuple[bytes, bytes]] | None = None,
 ) -> Sample:
     """At most ``per_class`` labelled documents of each class, those with the smallest hashes of their ids.
 
     The bound holds at every size; only the ids taken are sent to the scan of the
-    documents. Of repeated labels the larger counts; null labels and ids and null
-    texts are left out. Whole texts are taken.
+    documents. Of repeated labels the larger counts, of documents with one id the
+    smallest text; null labels and ids and null texts are left out. Whole texts are
+    taken; with ``cut`` they stay in the tasks, and only what it makes of them is collected.
     """
     known = labels.filter(F.col(label).isin(0, 1) & F.col(id).isNotNull())
     known = known.groupBy(F.col(id).alias("_id")).agg(F.max(label).cast("int").alias("_y"))
@@ -44,12 +47,23 @@ def training_sample(
     if picked is None:
         return Sample([], np.zeros(0, np.int64), np.zeros(0), [])
     texts = docs.select(
-        F.col(id).alias("_id"), F.col(text).alias("_t"), (F.col(lang) if lang else F.lit(None)).alias("_l")
+        F.col(id).alias("_id"), F.col(text).alias("_t"), (F.col(lang) if lang else F.lit(None)).cast("string").alias("_l")
     ).filter(F.col("_t").isNotNull())
-    rows = texts.join(F.broadcast(picked), "_id").toPandas()  # at most per_class rows a class, whatever the size
-    rows = rows.sort_values(["_id", "_t"], kind="stable", ignore_index=True)
+    taken = texts.join(F.broadcast(picked), "_id").groupBy("_id", "_y").agg(F.min(F.struct("_t", "_l")).alias("_d"))
+    taken = taken.select("_id", "_y", "_d.*")
+    if cut is not None:
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for some in batches:
+                a, b = zip(*map(cut, some["_t"])) if len(some) else ((), ())
+                yield some[["_id", "_y", "_l"]].assign(_a=list(a), _b=list(b))
+
+        taken = taken.mapInPandas(run, taken.drop("_t").schema.add("_a", "binary").add("_b", "binary"))
+    rows = taken.toPandas()  # at most per_class rows a class, whatever the size
+    rows = rows.sort_values("_id", kind="stable", ignore_index=True)
     y = rows["_y"].to_numpy(np.int64)
     taken = np.bincount(y, minlength=2)
     rate = np.array([sizes.get(c, 0) / max(1, taken[c]) for c in (0, 1)])
     weights = rate[y] / max(1e-9, (rate * taken).sum() / max(1, len(y)))
-    return Sample(rows["_t"].tolist(), y, weights, [x if isinstance(x, str) else None for x in rows["_l"]])
+    found = rows["_t"].tolist() if cut is None else list(zip(rows["_a"], rows["_b"]))
+    return Sample(found, y, weights, [x if isinstance(x, str) else None for x in rows["_l"]])

@@ -109,7 +109,7 @@ REJECT_BELOW = 0.3
 def quality_model(spark: SparkSession, folder: str) -> subwords.Model:
     """Fitted on a bounded sample of the labelled documents that are not held out."""
     labels = table(spark, folder, "labels").filter(~labelled.held_out(F.col("doc_id"), 5, 0))
-    sample = labelled.training_sample(table(spark, folder, "documents"), labels, "quality", QUALITY_SAMPLE)
+    sample = labelled.training_sample(table(spark, folder, "documents"), labels, "quality", QUALITY_SAMPLE, cut=subwords.packed)
     return subwords.train(sample.texts, sample.labels, sample.weights)
 
 
@@ -130,7 +130,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """``flagged`` uses the calibrated threshold of the document's language; the language is no input of the score."""
     docs = table(spark, folder, "documents")
     labels = table(spark, folder, "labels").filter(~labelled.held_out(F.col("doc_id"), 4, 2))
-    sample = labelled.training_sample(docs, labels, "toxic", TOXIC_SAMPLE, lang="lang")
+    sample = labelled.training_sample(docs, labels, "toxic", TOXIC_SAMPLE, lang="lang", cut=convnet.packed)
     model = convnet.train(sample.texts, sample.labels, sample.weights, sample.langs)
     scored = convnet.score(docs, model, keep=("doc_id", "lang"))
     return scored.select(

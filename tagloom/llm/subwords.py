@@ -43,6 +43,13 @@ def word_counts(text: str | None) -> Counter:
     return counts
 
 
+def packed(text: str | None) -> tuple[bytes, bytes]:
+    """``word_counts`` for training: the words, separated by blanks, and their counts."""
+    counts = word_counts(text)
+    words = " ".join(counts).encode("utf-8", "surrogatepass")
+    return words, np.fromiter(counts.values(), np.int32, len(counts)).tobytes()
+
+
 def _parts(words: list[str], buckets: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each kind of part (the whole word, then n-grams): which word has it, and its bucket. ``buckets`` is a power of two."""
     marked = [f"<{w}>" for w in words]
@@ -94,19 +101,23 @@ class Model:
 
 
 def train(
-    texts: list[str], labels: np.ndarray, weights: np.ndarray, buckets: int = 1 << 18, dim: int = 8, epochs: int = 4,
+    texts: list[str] | list[tuple[bytes, bytes]], labels: np.ndarray, weights: np.ndarray, buckets: int = 1 << 18, dim: int = 8, epochs: int = 4,
     rate: float = 0.5, batch: int = 32, seed: int = 1,
 ) -> Model:
-    """Fit by stochastic gradient descent with a rate falling to zero. With one class or no texts the share decides."""
+    """Fit by stochastic gradient descent with a rate falling to zero. With one class or no texts the share decides.
+
+    ``texts`` may be ``packed`` before.
+    """
     share = float(weights @ labels + 1) / float(weights.sum() + 2)
     if len(set(labels.tolist())) < 2:
         return Model(np.zeros(buckets), float(np.log(share / (1 - share))))
     number: dict[str, int] = {}
     words, times = [], []
     for t in texts:
-        counts = word_counts(t)
-        words.append(np.fromiter((number.setdefault(w, len(number)) for w in counts), np.int32, len(counts)))
-        times.append(np.fromiter(counts.values(), np.int32, len(counts)))
+        own, counts = t if isinstance(t, tuple) else packed(t)
+        own = bytes(own).decode("utf-8", "surrogatepass").split(" ") if own else []
+        words.append(np.fromiter((number.setdefault(w, len(number)) for w in own), np.int32, len(own)))
+        times.append(np.frombuffer(counts, np.int32))
     names = list(number)
     del number
     found = [features(names[at : at + 20_000], buckets) for at in range(0, len(names), 20_000)]
@@ -192,8 +203,8 @@ class Scorer:
             known.update(zip(some, zip(values.tolist(), sizes.tolist())))
 
 
-def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per row of ``docs``: the columns ``keep`` and ``score`` (0 to 1) of the whole text.
+def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = (), name: str = "score") -> DataFrame:
+    """One row per row of ``docs``: the columns ``keep`` and the score (0 to 1) of the whole text, called ``name``.
 
     Null, empty and wordless texts get the share the model learned as its bias.
     """
@@ -207,4 +218,4 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ..
 
     plain = docs.select(F.col(text).alias("t"), *[F.col(k).alias(n) for k, n in zip(keep, names)])
     scored = plain.mapInPandas(run, plain.drop("t").schema.add("score", "double"))
-    return scored.select(*[F.col(n).alias(k) for k, n in zip(keep, names)], "score")
+    return scored.select(*[F.col(n).alias(k) for k, n in zip(keep, names)], F.col("score").alias(name))
