@@ -17,6 +17,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+SUFFIXES = (  # of several labels, under which names are registered: configuration, common ones only
+    "co.uk", "org.uk", "ac.uk", "gov.uk", "me.uk", "ltd.uk", "com.au", "net.au", "org.au", "edu.au", "gov.au", "co.nz", "org.nz",
+    "co.jp", "or.jp", "ne.jp", "ac.jp", "go.jp", "co.kr", "or.kr", "com.cn", "net.cn", "org.cn", "com.tw", "com.hk", "com.sg",
+    "com.my", "co.th", "co.id", "co.in", "com.br", "org.br", "com.ar", "com.mx", "com.co", "com.tr", "co.il", "co.za", "com.ua",
+)
 
 
 def ascii_lower(value: Column) -> Column:
@@ -49,13 +54,22 @@ def first_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) ->
     return rule, action
 
 
-def domain_of(host: Column) -> Column:
-    """Registered domain: the last two labels."""
-    return F.substring_index(host, ".", -2)
+def domain_of(host: Column, suffixes: Sequence[str] = SUFFIXES) -> Column:
+    """Registered domain: the suffix and the label before it, if there is one."""
+    return _last_labels(host, suffixes, 1)
 
 
-def suffix_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+def suffix_of(host: Column, suffixes: Sequence[str] = SUFFIXES) -> Column:
+    """The longest of ``suffixes`` that the host ends with or is, else its last label."""
+    return _last_labels(host, suffixes, 0)
+
+
+def _last_labels(host: Column, suffixes: Sequence[str], more: int) -> Column:
+    found = F.substring_index(host, ".", -1 - more)
+    for n in sorted({s.count(".") + 1 for s in suffixes}):
+        fits = F.substring_index(host, ".", -n).isin([s for s in suffixes if s.count(".") + 1 == n])
+        found = F.when(fits, F.substring_index(host, ".", -n - more)).otherwise(found)
+    return found
 
 
 def _weight(groups: DataFrame) -> Column:
@@ -72,25 +86,26 @@ def _weight(groups: DataFrame) -> Column:
     return seen.agg((1 / spread - 1).alias("w")).scalar()
 
 
-def reputations(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
+def reputations(outcomes: DataFrame, z: float = 1.645, suffixes: Sequence[str] = SUFFIXES) -> DataFrame:
     """Per host: ``n`` labelled pages, ``n_bad``, posterior mean ``bad_share`` and its lower bound ``bad_bound``.
 
     ``outcomes`` has ``host`` and ``bad`` (0, 1 or null for a page without label),
     a row for each page. Hosts without labelled pages take the posterior of
     their domain as prior. With no labels at all there is no bound, and no host is blocked.
+    ``suffixes`` are those of several labels.
     """
     hosts = outcomes.groupBy("host").agg(
         F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).cast("long").alias("bad")
-    ).withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))})
+    ).withColumns({"domain": domain_of(F.col("host"), suffixes), "suffix": suffix_of(F.col("host"), suffixes)})
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    evidence = suffixes.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
-    overall = suffixes.agg(
+    tops = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    evidence = tops.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    overall = tops.agg(
         ((F.coalesce(F.sum("bad"), F.lit(0)) + 1.0) / (F.coalesce(F.sum("n"), F.lit(0)) + 2.0)).alias("mu")
     ).scalar()
-    suffixes = suffixes.withColumn("mu", overall)
-    suffixes = suffixes.withColumn("w", _weight(suffixes))
-    domains = domains.join(suffixes.select("suffix", _share().alias("mu")), "suffix")
+    tops = tops.withColumn("mu", overall)
+    tops = tops.withColumn("w", _weight(tops))
+    domains = domains.join(tops.select("suffix", _share().alias("mu")), "suffix")
     domains = domains.withColumn("w", _weight(domains))
     hosts = hosts.join(domains.select("domain", _share().alias("mu")), "domain")
     hosts = hosts.withColumn("w", _weight(hosts))
@@ -108,20 +123,21 @@ def _share() -> Column:
 
 def judge(
     pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, str]], id: str = "page_id", url: str = "url",
-    max_bad: float = 0.25, z: float = 1.645,
+    max_bad: float = 0.25, z: float = 1.645, suffixes: Sequence[str] = SUFFIXES,
 ) -> DataFrame:
     """Per row of ``pages``: ``id``, ``host``, ``path``, ``rule`` and ``verdict`` (allow or block), ``bad_bound``.
 
     ``labels`` has the columns ``id`` and ``bad`` (0 or 1); of repeated labels the
     larger counts, null ones and ids do not. Repeated page rows count each. Null
     urls and urls without ``://`` have an empty host, which is judged like any
-    other. Other columns are not read. An empty table gives no rows.
+    other. Other columns are not read. An empty table gives no rows. ``suffixes`` are
+    those of several labels under which names are registered.
     """
     parsed = pages.select(
         F.col(id).alias("_id"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path")
     )
     known = labels.groupBy(F.col("id").alias("_id")).agg(F.max("bad").alias("bad"))
-    found = reputations(parsed.select("_id", "host").join(known, "_id", "left"), z).select("host", "bad_bound")
+    found = reputations(parsed.select("_id", "host").join(known, "_id", "left"), z, suffixes).select("host", "bad_bound")
     rule, action = first_rule(F.col("host"), F.col("path"), rules)
     by_method = F.when(F.col("bad_bound") > max_bad, "block").otherwise("allow")
     return parsed.join(found, "host").select(

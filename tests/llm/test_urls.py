@@ -46,6 +46,27 @@ def test_hosts_are_blocked_on_evidence_and_shrunk_without(spark):
     assert 0.5 < shares.bad_share < 1 and shares.n == 1
 
 
+def test_registrants_under_suffixes_of_several_labels_stay_apart(spark):
+    cases = {
+        "a.b.co.uk": ("b.co.uk", "co.uk"), "b.co.uk": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "uk": ("uk", "uk"),
+        "x.y.com.au": ("y.com.au", "com.au"), "notco.uk": ("notco.uk", "uk"), "a.b.net": ("b.net", "net"), "": ("", ""),
+    }
+    hosts = spark.createDataFrame([(h,) for h in cases], "host string")
+    got = hosts.select("host", urls.domain_of(hosts.host).alias("d"), urls.suffix_of(hosts.host).alias("s")).collect()
+    assert {r.host: (r.d, r.s) for r in got} == cases
+    long = hosts.select("host", urls.domain_of(hosts.host, ["b.co.uk"]).alias("d")).collect()
+    assert {r.host: r.d for r in long}["a.b.co.uk"] == "a.b.co.uk" and {r.host: r.d for r in long}["x.y.com.au"] == "com.au"
+    rows, labels = [], []
+    for host, n, bad in (("bad.co.uk", 300, 290), ("new.co.uk", 1, 0), *((f"good{k}.co.uk", 300, 3) for k in range(9))):
+        for k in range(n):
+            rows.append((len(rows), f"http://{host}/{k}", "x", 1))
+            labels.append((len(rows) - 1, int(k < bad)))
+    found = {r.host: r.bad_bound for r in judged(spark, rows, labels).collect()}
+    sub = [(len(rows) + 1, "http://new.bad.co.uk/", "x", 1)]
+    inside = {r.host: r.bad_bound for r in judged(spark, rows + sub, labels).collect()}
+    assert found["new.co.uk"] < 0.25 < inside["new.bad.co.uk"]  # a subdomain takes its registrant's prior, not the suffix's
+
+
 def test_repeats_nulls_and_empty(spark):
     rows = [(1, "http://a.net/", "x", 1)] * 2 + [(None, "http://a.net/", "x", 1)]
     assert judged(spark, rows, [(1, 1), (1, 0), (None, 1), (1, None)]).count() == 3
