@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import convnet, dac, decontaminate, doubling, labelled, packing, simhash, subwords, suffixes, urls, vptree
+from tagloom.llm import (
+    convnet, dac, decontaminate, doubling, labelled, mixing, packing, simhash, subwords, suffixes, urls, vptree,
+)
 from tagloom.llm.tokens import vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -227,3 +229,45 @@ def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(packing.token_counts(table(spark, folder, "documents"), vocabulary()))
+
+@query
+def op11_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    found = mixing.repetitions(table(spark, folder, "documents"), weights=(3, 1, 2), share=1.5, most=2.0, keep=("doc_id",))
+    return found.select(
+        F.col("kept.doc_id").alias("doc_id"), "size", "source_size", "target",
+        (F.col("size") * F.col("copies")).alias("taken"), "copies",
+    )
+
+
+ORACLE_SQL["op11_mixing"] = r"""
+WITH sized AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+        ('0x' || substr(md5(concat_ws(':', '42', coalesce(doc_id::VARCHAR, ''), md5(coalesce(text, '')))), 1, 13))::BIGINT
+            / power(16::DOUBLE, 13) AS coin
+    FROM documents
+), summed AS (
+    SELECT source, sum(size)::BIGINT AS size FROM sized GROUP BY source
+), weighed AS (
+    SELECT *, [3, 1, 2][(row_number() OVER (ORDER BY source IS NULL, source::BLOB) - 1) % 3 + 1] AS weight FROM summed
+), ordered AS (
+    SELECT *, row_number() OVER by_ratio AS place, sum(size) OVER () AS total,
+        coalesce(sum(size) OVER (by_ratio ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS filled,
+        sum(weight) OVER (by_ratio ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest
+    FROM weighed WINDOW by_ratio AS (ORDER BY size::DOUBLE / weight, source IS NULL, source::BLOB)
+), levels AS (
+    SELECT *, (1.5::DOUBLE * total::DOUBLE - 2.0::DOUBLE * filled::DOUBLE) / rest::DOUBLE AS level FROM ordered
+), chosen AS (
+    SELECT arg_min(level, place) AS level FROM levels WHERE weight * level <= 2.0::DOUBLE * size
+), targets AS (
+    SELECT source, size AS source_size, CASE WHEN weight * level > 2.0::DOUBLE * size THEN 2.0::DOUBLE * size
+        ELSE weight * level END AS target
+    FROM weighed, chosen
+), rates AS (
+    SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM targets
+), counted AS (
+    SELECT doc_id, size, source_size, target,
+        (floor(rate) + CASE WHEN coin < rate - floor(rate) THEN 1 ELSE 0 END)::BIGINT AS copies
+    FROM sized JOIN rates ON sized.source IS NOT DISTINCT FROM rates.source
+)
+SELECT doc_id, size, source_size, target, size * copies AS taken, copies FROM counted
+"""
