@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.llm import (
-    convnet, dac, decontaminate, doubling, labelled, mixing, packing, simhash, subwords, suffixes, urls, vptree,
+    convnet, dac, decontaminate, doubling, labelled, mixing, packing, prefix_trie, simhash, subwords, suffixes, urls, vptree,
 )
 from tagloom.llm.tokens import vocabulary
 
@@ -271,3 +271,48 @@ WITH sized AS (
 )
 SELECT doc_id, size, source_size, target, size * copies AS taken, copies FROM counted
 """
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.shared_prefixes(table(spark, folder, "conversations"), every=20, most=4)
+
+
+ORACLE_SQL["op13_prefix_trie"] = r"""
+WITH numbered AS (
+    SELECT conv_id AS c, [coalesce(role, ''), coalesce(text, '')] AS t,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+    FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+    SELECT c, list(t ORDER BY pos) AS turns, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
+        string_split(c::VARCHAR, ''), lambda d: list_transform(range(8), lambda i: (ascii(d) >> i::INTEGER) & 1)))),
+        lambda crc, bit: xor(crc >> 1, CASE WHEN xor(crc, bit) & 1 = 1 THEN 3988292384 ELSE 0 END)) AS crc
+    FROM numbered GROUP BY c
+), known AS (
+    SELECT c, turns, xor(crc, 4294967295) % 4 AS h FROM own
+), paths AS (
+    SELECT k.c, list_concat(coalesce(list_slice(b.turns, 1, k.h), []), list_slice(k.turns, k.h + 1, len(k.turns))) AS path
+    FROM known k LEFT JOIN known b ON b.c = k.c - k.c % 20
+), spread AS (
+    SELECT c, len(path) AS size, unnest(range(len(path) + 1)) AS depth, path FROM paths
+), cut AS (
+    SELECT c, size, depth, list_slice(path, 1, depth) AS prefix FROM spread
+), nodes AS (
+    SELECT depth, prefix, min(c) AS conv_id, count(*) AS n, CASE WHEN depth = 0 THEN NULL ELSE list_slice(prefix, 1, depth - 1) END AS up,
+        CASE WHEN depth = 0 THEN 0 ELSE len(regexp_extract_all(prefix[-1][2], '[^\x20\x09-\x0D]+')) END AS words,
+        sha256(coalesce(string_agg(CASE WHEN size = depth THEN c END::VARCHAR, ',' ORDER BY c), '')) AS ends_sha256
+    FROM cut GROUP BY depth, prefix
+), children AS (
+    SELECT up AS prefix, count(*) AS n_children FROM nodes WHERE up IS NOT NULL GROUP BY up
+), counted AS (
+    SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (prefix)
+), above AS (
+    SELECT list_slice(prefix, 1, a) AS prefix, n_children = 0 AS leaf, (n - 1) * words AS saved
+    FROM (SELECT *, unnest(range(depth + 1)) AS a FROM counted)
+), summed AS (
+    SELECT prefix, count_if(leaf)::BIGINT AS n_leaves, sum(saved) AS saved FROM above GROUP BY prefix
+)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n AS n_convs, v.n_children, s.n_leaves, s.saved::BIGINT AS saved_tokens,
+    v.ends_sha256
+FROM counted v JOIN summed s USING (prefix) LEFT JOIN counted p ON p.prefix = v.up
+"""
