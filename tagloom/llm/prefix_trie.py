@@ -223,6 +223,8 @@ def shard_nodes(seg, k1, k2, sizes, path, words, conv, more, segment: int, shard
         ], [c.split()[0] for c in NODES.split(", ")])
         children[:] = 0
         children[closed] = 1
+        for s, e in zip(start[is_open].tolist(), end[is_open].tolist()):  # counted in the open node, which passes it on
+            leaves[s:e] = saved[s:e] = 0
 
 
 def _shards(rows: DataFrame, segment: int, shards: int) -> DataFrame:
