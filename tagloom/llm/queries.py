@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.llm import (
-    convnet, dac, decontaminate, doubling, labelled, mixing, packing, prefix_trie, simhash, subwords, suffixes, urls, vptree,
+    alignment, convnet, dac, decontaminate, doubling, labelled, mixing, packing, prefix_trie, simhash, subwords, suffixes, urls, vptree,
 )
 from tagloom.llm.tokens import vocabulary
 
@@ -316,3 +316,9 @@ SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n AS n_convs, v.n_chil
     v.ends_sha256
 FROM counted v JOIN summed s USING (prefix) LEFT JOIN counted p ON p.prefix = v.up
 """
+
+
+@query
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    found = alignment.align(table(spark, folder, "documents"), digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
