@@ -3,7 +3,8 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
 from tagloom.session import local_session  # noqa: E402
 
@@ -21,9 +22,3 @@ def skewed(spark):
     spark.conf.set("tagloom.rowsPerTask", "20")
     yield spark
     spark.conf.unset("tagloom.rowsPerTask")
-
-
-def rows(df, *columns):
-    """Rows as sorted tuples, for comparison."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tagloom.operators import activity
 from tagloom.streaming.incremental import next_state, store_next_state
-from conftest import rows
+from tables import rows
 
 FIRST = date(2024, 1, 1)
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tagloom.operators import audience
 from tagloom.operators.keyed import equal_parts
-from conftest import rows
+from tables import rows
 
 KEY = "hall_id int, domain_id int, user_id long"
 

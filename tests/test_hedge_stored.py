@@ -2,7 +2,7 @@
 
 from datetime import date
 
-from conftest import rows
+from tables import rows
 
 from tagloom.operators import tags
 from tagloom.plans import REGISTRY, run

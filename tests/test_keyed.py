@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from tagloom.operators import keyed
-from conftest import rows
+from tables import rows
 
 
 def skewed_facts(spark, n=3000):

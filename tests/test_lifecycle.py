@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagloom.operators import lifecycle
-from conftest import rows
+from tables import rows
 
 CODES = [None, *range(50100, 50109)]
 

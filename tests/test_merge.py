@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tagloom.operators import merge
 from tagloom.operators.warehouse import apply_tag_batch
-from conftest import rows
+from tables import rows
 
 TARGET = [(1, "a", 10), (2, "b", 20), (3, None, 30)]
 

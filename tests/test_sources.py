@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagloom.sources import sinks, tables
-from conftest import rows
+from tables import rows
 
 
 def test_append_checked_counts(spark, tmp_path):

@@ -1,6 +1,6 @@
 from datetime import datetime
 
-from conftest import rows
+from tables import rows
 
 from tagloom.operators import audience
 from tagloom.sources.sinks import materialise

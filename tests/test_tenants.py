@@ -3,7 +3,7 @@
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
-from conftest import rows
+from tables import rows
 
 from tagloom.operators import activity, audience, facts, lifecycle, masking, tags, warehouse, web
 
