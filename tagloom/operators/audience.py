@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -12,7 +12,7 @@ from tagloom.functions import codes as C
 from tagloom.functions.codes import KEYS, TENANT_KEYS
 from tagloom.functions.columns import all_of, any_of, day, days_before, moment, of_tenant, tenant_date
 from tagloom.operators.keyed import hash_places, last_k_per_group, set_difference, set_intersection
-from tagloom.operators.merge import delete_keys, update, update_where, upsert
+from tagloom.operators.merge import delete_keys, update_where, upsert
 
 GROUP_KEY = ["hall_id", "domain_id", "batch_id", "tag_id", "user_id"]
 CAMPAIGN_MEMBER_KEY = ["activity_id", "hall_id", "domain_id", "user_name"]
@@ -130,8 +130,11 @@ def ab_split(users: DataFrame, existing: DataFrame, test_percent: int = 20, seed
 
 
 def sync_group_state(group: DataFrame, new: DataFrame, matched: DataFrame, batch: Mapping, mode: int) -> DataFrame:
-    """Stored campaign group after one sync: stale members out (mode 2), older rows no longer latest, new ones in."""
-    same_batch = F.col("batch_id") == batch["batch_id"]
+    """Stored campaign group after one sync: stale members out (mode 2), older rows no longer latest, new ones in.
+
+    A batch that names its tenant touches that tenant's rows only.
+    """
+    same_batch = all_of(F.col(k) == batch[k] for k in ["batch_id", *TENANT_KEYS] if batch.get(k) is not None)
     if mode == 2:
         stale = set_difference(group.filter(same_batch), matched, KEYS).select(
             *KEYS, F.lit(batch["batch_id"]).alias("batch_id"), F.lit(batch["tag_id"]).alias("tag_id"))
@@ -176,32 +179,6 @@ def batch_match_counts(dw: DataFrame, batches: Sequence[Mapping]) -> DataFrame:
     return counts.select(F.explode(pairs).alias("p")).select("p.*")
 
 
-def sync_batch(batch: Mapping, dw: DataFrame, group: DataFrame, mode: int, seed: int = 0) -> DataFrame:
-    """The stored groups after one batch: its members matched, compared with the stored ones, split and taken in."""
-    own = group.filter(F.col("batch_id") == batch["batch_id"])
-    matched = match_users(dw, batch)
-    sizes = own.groupBy("group_id").agg(F.count(F.lit(1)).alias("group_count"))
-    split = ab_split(set_difference(matched, own, KEYS), sizes, seed=seed)
-    return sync_group_state(group, split, matched, batch, mode)
-
-
-def sync_batches(
-    batches: DataFrame, dw: DataFrame, group: DataFrame, now, materialise: Callable[[DataFrame], DataFrame], seed: int = 0
-) -> tuple[DataFrame, DataFrame]:
-    """All open batches in turn: the batch rows with their numbers of matched members, and the stored groups.
-
-    Batches are configuration; the driver takes their rows, never members. Each
-    batch's state is a table, so that plans do not grow with their number.
-    """
-    rows = [r.asDict() for r in active_batches(batches, now).orderBy("batch_id").collect()]
-    if not rows:
-        return batches, group
-    counts = batch_match_counts(dw, rows)
-    for batch in rows:
-        group = materialise(sync_batch(batch, dw, group, batch["mode"], seed))
-    return update(batches, counts, ["batch_id"]), group
-
-
 def tagged_user_counts(memberships: DataFrame) -> DataFrame:
     return memberships.groupBy("hall_id", "domain_id", "tag_id").agg(F.count(F.lit(1)).alias("user_count"))
 

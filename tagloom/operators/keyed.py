@@ -186,6 +186,25 @@ def hash_places(df: DataFrame, keys: Sequence[str], on: str, seed: int = 0) -> t
     return placed.select(*keys, (F.col("_start") + F.col("_within")).alias("place")), total
 
 
+def hash_places_by(df: DataFrame, by: Sequence[str], keys: Sequence[str], on: str, seed: int = 0) -> DataFrame:
+    """As ``hash_places``, for each group of ``by`` on its own: distinct rows with ``place`` and ``total``.
+
+    A group is cut into ranges of its hashes, so that one holding most rows spreads as well.
+    """
+    names = list(dict.fromkeys([*by, *keys]))
+    hashed = df.select(*names).distinct().withColumn(
+        "_h", F.md5(F.concat_ws(":", F.col(on).cast("string"), F.lit(str(seed))))
+    ).withColumn("_range", F.substring("_h", 1, 4))
+    counts = hashed.groupBy(*by, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    group = Window.partitionBy(*by)
+    so_far = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    starts = counts.select(
+        *by, "_range", (F.sum("_n").over(so_far) - F.col("_n")).alias("_start"), F.sum("_n").over(group).alias("total"))
+    within = F.row_number().over(Window.partitionBy(*by, "_range").orderBy("_h", *keys))
+    return hashed.withColumn("_within", within).join(starts, [*by, "_range"]).select(
+        *names, (F.col("_start") + F.col("_within")).alias("place"), "total")
+
+
 def equal_parts(df: DataFrame, keys: Sequence[str], on: str, parts: int, seed: int = 0) -> DataFrame:
     """Distinct keys split into ``parts`` whose sizes differ by one at most."""
     placed, total = hash_places(df, keys, on, seed)

@@ -5,7 +5,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from tagloom.functions.codes import KEYS
-from tagloom.operators import audience, masking
+from tagloom.operators import audience, masking, sync
 from tagloom.operators.keyed import equal_parts
 from tagloom.plans.inputs import MEMBER_TENANT
 from tagloom.plans.registry import NOW, TENANT, TODAY, USER, query
@@ -97,41 +97,104 @@ for mode, table in [(1, "sync_group"), (2, "kept")]:
     query("sync_group_state" if mode == 2 else "sync_group_append", sync_sql(table), SYNC)(
         lambda i, mode=mode: audience.sync_group_state(i["sync_group"], i.sql(NEW_GROUP), i.sql(SYNC["matched"]), BATCH, mode))
 
-OPEN_BATCHES = {
-    0: "user_level_id IN (1, 2, 3, 5, 7, 8, 11, 13, 17, 19)",
-    1: "((tag_str LIKE '%30011%' AND tag_str LIKE '%30021%') OR tag_str LIKE '%30012%' OR tag_str LIKE '%30013%')",
-    2: "user_level_id IN (1, 2, 3, 5, 7, 8, 11, 13, 17, 19) AND user_level_id NOT IN (7, 13)",
+# -- all batches in one plan --------------------------------------------------------
+TENANT_OF = "hall_id, domain_id"
+BATCH_KEY = "hall_id, domain_id, batch_id"
+OF_BATCH = f"{BATCH_KEY}, user_id"
+RANGE = "data_date BETWEEN activated_date_begin AND activated_date_end"
+SYNC_RUN = {
+    "open_batches": f"SELECT * FROM sync_batches WHERE {OPEN}",
+    "fitting": f"""SELECT b.*, d.user_id FROM open_batches b JOIN dw d USING ({TENANT_OF}) WHERE file_name = ''
+ AND (b.ag_name IS NULL OR d.ag_name = b.ag_name)
+ AND (b.user_level_id IS NULL OR list_contains(string_split(b.user_level_id, ';'), CAST(d.user_level_id AS VARCHAR)))
+ AND (b.user_level_exclude IS NULL OR NOT list_contains(string_split(b.user_level_exclude, ','), CAST(d.user_level_id AS VARCHAR)))
+ AND (activated_date_begin IS NULL OR last_activated_date BETWEEN activated_date_begin AND activated_date_end)
+ AND (b.tag_str IS NULL OR len(list_filter(string_split(b.tag_str, ';'),
+      lambda g: len(list_filter(string_split(g, ','), lambda c: NOT contains(d.tag_str, c))) = 0)) > 0)
+ AND (b.tag_str_exclude IS NULL OR len(list_filter(string_split(replace(b.tag_str_exclude, ';', ','), ','), lambda c: contains(d.tag_str, c))) = 0)""",
+    "stepped": f"""SELECT * FROM fitting f WHERE user_step IS NULL OR EXISTS (SELECT 1 FROM dw_day s WHERE s.hall_id = f.hall_id
+ AND s.domain_id = f.domain_id AND s.user_id = f.user_id AND s.this_day_step = f.user_step AND s.data_date = DATE '2024-01-29')""",
+    "scores": f"""SELECT {USER}, AVG(action_score) AS score FROM user_active
+ WHERE data_date BETWEEN DATE '2024-01-23' AND DATE '2024-01-29' GROUP BY {USER}""",
+    "lively": f"""SELECT s.* FROM stepped s LEFT JOIN scores USING ({USER}) WHERE user_activity IS NULL OR score BETWEEN 0.34 AND 0.51
+ OR score BETWEEN 0.51 AND 0.68 OR score BETWEEN 0.85 AND 1""",
+    "likely": f"""SELECT {OF_BATCH} FROM lively JOIN recommend_meta USING ({USER})
+ WHERE deposit_predict_rate IS NOT NULL AND recommend_code = 50001 AND {RANGE} GROUP BY {OF_BATCH} HAVING AVG(action_score) * 100 BETWEEN 40 AND 60""",
+    "top_bets": f"""SELECT {OF_BATCH} FROM (SELECT {OF_BATCH}, bet_amount_rank, ROW_NUMBER() OVER (PARTITION BY {BATCH_KEY}
+   ORDER BY SUM(bet_amount) DESC, user_id) AS place FROM open_batches JOIN bet_analysis USING ({TENANT_OF}) WHERE {RANGE}
+   GROUP BY {OF_BATCH}, bet_amount_rank) t
+ WHERE place <= bet_amount_rank""",
+    "matched": f"""SELECT {OF_BATCH} FROM lively WHERE (deposit_predict_rate IS NULL OR ({OF_BATCH}) IN (SELECT ({OF_BATCH}) FROM likely))
+  AND (bet_amount_rank IS NULL OR ({OF_BATCH}) IN (SELECT ({OF_BATCH}) FROM top_bets))
+ UNION SELECT {OF_BATCH} FROM open_batches JOIN sync_uploads USING (file_name) JOIN (SELECT {USER}, user_name FROM member_info) m
+ USING ({TENANT_OF}, user_name)""",
+    "numbered": f"""SELECT * REPLACE (
+   COALESCE(tag_id, CAST((SELECT MAX(tag_id) FROM (SELECT tag_id FROM sync_tagged UNION SELECT tag_id FROM sync_batches) t)
+    + COUNT(*) FILTER (tag_id IS NULL) OVER so_far AS INT)) AS tag_id,
+   COALESCE(activity_id, CASE WHEN activity THEN CAST((SELECT MAX(activity_id) FROM campaigns)
+    + COUNT(*) FILTER (activity AND activity_id IS NULL) OVER so_far AS INT) END) AS activity_id), activity AND activity_id IS NULL AS new_campaign
+ FROM open_batches JOIN (SELECT {BATCH_KEY}, COUNT(*) AS matched FROM matched GROUP BY ALL) c USING ({BATCH_KEY})
+ WINDOW so_far AS (ORDER BY {BATCH_KEY})""",
+    "known": f"""SELECT {OF_BATCH} FROM numbered JOIN sync_group g USING ({BATCH_KEY}) WHERE ab_test
+ UNION SELECT {OF_BATCH} FROM numbered JOIN sync_tagged t USING ({TENANT_OF}, tag_id) WHERE NOT ab_test""",
+    "fresh": f"SELECT * FROM matched WHERE ({OF_BATCH}) NOT IN (SELECT ({OF_BATCH}) FROM known)",
+    "leads": f"""SELECT {BATCH_KEY}, (COUNT(*) FILTER (group_id = 1) - COUNT(*) FILTER (group_id = 2)) * 100.0 / COUNT(*) AS lead
+ FROM sync_group GROUP BY ALL""",
+    "added": f"""SELECT {OF_BATCH}, tag_id, tag_name, CASE WHEN NOT ab_test THEN 0 WHEN n >= 5 OR lead IS NULL THEN
+   CASE WHEN place <= CEIL(n * 20 / 100.0) THEN 2 ELSE 1 END WHEN lead >= 60 THEN 2 ELSE 1 END AS group_id
+ FROM (SELECT *, COUNT(*) OVER (PARTITION BY {BATCH_KEY}) AS n,
+        ROW_NUMBER() OVER (PARTITION BY {BATCH_KEY} ORDER BY md5(concat(CAST(user_id AS VARCHAR), ':3')), user_id) AS place FROM fresh) p
+ JOIN numbered USING ({BATCH_KEY}) LEFT JOIN leads USING ({BATCH_KEY})""",
+    "gone": f"""SELECT DISTINCT {OF_BATCH}, n.tag_id, ab_test, activity, activity_id FROM numbered n JOIN
+ (SELECT {OF_BATCH} FROM sync_group) g USING ({BATCH_KEY}) WHERE mode = 2 AND ({OF_BATCH}) NOT IN (SELECT ({OF_BATCH}) FROM matched)""",
+    "groups_after": f"""SELECT {GROUP_KEY}, COALESCE(a.tag_name, g.tag_name) AS tag_name, COALESCE(a.group_id, g.group_id) AS group_id,
+  a.user_id IS NOT NULL OR (latest_tag AND ({BATCH_KEY}, tag_id) NOT IN (SELECT ({BATCH_KEY}, tag_id) FROM numbered)) AS latest_tag
+ FROM (SELECT * FROM sync_group WHERE ({GROUP_KEY}) NOT IN (SELECT ({GROUP_KEY}) FROM gone)) g FULL OUTER JOIN added a USING ({GROUP_KEY})""",
+    "untagged": f"""SELECT {TENANT_OF}, tag_id, user_id FROM gone WHERE ab_test
+ UNION SELECT {TENANT_OF}, tag_id, user_id FROM numbered JOIN sync_tagged USING ({TENANT_OF}, tag_id)
+ WHERE mode = 2 AND NOT ab_test AND ({OF_BATCH}) NOT IN (SELECT ({OF_BATCH}) FROM matched)""",
+    "tagged_after": f"""SELECT {TENANT_OF}, tag_id, user_id FROM sync_tagged EXCEPT SELECT * FROM untagged
+ UNION SELECT {TENANT_OF}, tag_id, user_id FROM added WHERE group_id <> 2""",
+    "sizes_after": f"SELECT {TENANT_OF}, tag_id, COUNT(*) AS actual FROM tagged_after GROUP BY ALL",
+    "campaign_of": f"""SELECT activity_id, hall_id, domain_id, user_name FROM (SELECT {USER}, batch_id FROM added WHERE group_id <> 2) a
+ JOIN (SELECT {BATCH_KEY}, activity_id FROM numbered WHERE activity) n USING ({BATCH_KEY}) JOIN (SELECT {USER}, user_name FROM member_info) m
+ USING ({USER}) WHERE user_name IS NOT NULL""",
+    "campaign_gone": f"""SELECT activity_id, hall_id, domain_id, user_name FROM (SELECT {USER}, activity_id FROM gone WHERE activity) g
+ JOIN (SELECT {USER}, user_name FROM member_info) m USING ({USER}) WHERE user_name IS NOT NULL""",
 }
 
 
-def sync_parts() -> dict[str, str]:
-    """For each open batch its members, the new ones with their groups, the stored rows kept, and its state."""
-    parts = {}
-    for b, condition in OPEN_BATCHES.items():
-        own = f"SELECT * FROM sync_group WHERE batch_id = {b}"
-        parts[f"members{b}"] = f"SELECT {USER} FROM dw WHERE hall_id = {b + 1} AND domain_id = 1 AND {condition}"
-        parts[f"new{b}"] = f"""SELECT {USER}, CASE WHEN n >= 5 OR lead IS NULL THEN CASE WHEN place <= CEIL(n * 20 / 100.0) THEN 2 ELSE 1 END
- WHEN lead >= 60 THEN 2 ELSE 1 END AS group_id
- FROM (SELECT {USER}, ROW_NUMBER() OVER (ORDER BY md5(concat(CAST(user_id AS VARCHAR), ':3')), user_id) AS place, COUNT(*) OVER () AS n
-       FROM members{b} WHERE user_id NOT IN (SELECT user_id FROM ({own}) o)) p,
-      (SELECT (COUNT(*) FILTER (group_id = 1) - COUNT(*) FILTER (group_id = 2)) * 100.0 / NULLIF(COUNT(*), 0) AS lead FROM ({own}) o) l"""
-        stale = f" AND NOT (tag_id = 11 AND user_id NOT IN (SELECT user_id FROM members{b}))" if b % 2 else ""
-        parts[f"stored{b}"] = f"{own}{stale}"
-        parts[f"state{b}"] = f"""SELECT {GROUP_KEY}, COALESCE(n.tag_name, g.tag_name) AS tag_name, COALESCE(n.group_id, g.group_id) AS group_id,
- CASE WHEN n.user_id IS NOT NULL THEN TRUE WHEN tag_id = 11 THEN FALSE ELSE g.latest_tag END AS latest_tag
- FROM stored{b} g FULL OUTER JOIN (SELECT {USER}, {b} AS batch_id, 11 AS tag_id,
-  (SELECT tag_name FROM sync_batches WHERE batch_id = {b}) AS tag_name, group_id FROM new{b}) n USING ({GROUP_KEY})"""
-    return parts
-
-
-def synced(i):
-    return audience.sync_batches(i["sync_batches"], i["dw"], i["sync_group"], NOW, materialise, seed=3)
-
-
-query("tag_sync", " UNION ALL ".join(f"SELECT * FROM state{b}" for b in OPEN_BATCHES), sync_parts())(lambda i: synced(i)[1])
-MATCH_COUNT = "CASE batch_id " + " ".join(f"WHEN {b} THEN (SELECT COUNT(*) FROM members{b})" for b in OPEN_BATCHES) + " ELSE 0 END"
-query("tag_sync_batches", f"SELECT * REPLACE ({MATCH_COUNT} AS match_user_count) FROM sync_batches", sync_parts())(
-    lambda i: synced(i)[0])
+def sync_tables(i) -> sync.SyncTables:
+    return sync.SyncTables(
+        dw=i["dw"], members=i["member_info"], uploads=i["sync_uploads"], steps=i["dw_day"], activity=i["user_active"],
+        predictions=i["recommend_meta"], bets=i["bet_analysis"], groups=i["sync_group"], tagged=i["sync_tagged"],
+        campaigns=i["campaigns"], campaign_members=i["activity_member"])
+
+
+def synced(i) -> sync.Synced:
+    return sync.sync_batches(i["sync_batches"], sync_tables(i), NOW, TODAY, materialise, seed=3)
+
+
+query("match_batches", "SELECT * FROM matched", SYNC_RUN)(
+    lambda i: sync.match_batches(audience.active_batches(i["sync_batches"], NOW), sync_tables(i), TODAY, materialise))
+query("tag_sync", "SELECT * FROM groups_after", SYNC_RUN)(lambda i: synced(i).groups)
+query("tag_sync_batches", f"""
+SELECT b.* REPLACE (COALESCE(n.tag_id, b.tag_id) AS tag_id, COALESCE(n.matched, b.match_user_count) AS match_user_count,
+  CASE WHEN n.batch_id IS NULL THEN b.actual_user_count ELSE COALESCE(actual, 0) END AS actual_user_count,
+  CASE WHEN n.batch_id IS NULL THEN b.activity_id ELSE COALESCE(n.activity_id, 0) END AS activity_id,
+  CASE WHEN n.batch_id IS NULL THEN b.updated_time ELSE TIMESTAMP '2024-01-31 06:00:00' END AS updated_time)
+FROM sync_batches b LEFT JOIN numbered n ON b.hall_id = n.hall_id AND b.domain_id = n.domain_id AND b.batch_id = n.batch_id
+LEFT JOIN sizes_after s ON n.hall_id = s.hall_id AND n.domain_id = s.domain_id AND n.tag_id = s.tag_id""", SYNC_RUN)(
+    lambda i: synced(i).batches)
+query("tag_sync_tagged", "SELECT * FROM tagged_after", SYNC_RUN)(lambda i: synced(i).tagged)
+query("tag_sync_campaigns", f"""
+SELECT {TENANT_OF}, activity_id, COALESCE(n.activity_name, c.activity_name) AS activity_name,
+ CASE WHEN new_campaign THEN CAST(2 AS INT) ELSE status END AS status
+FROM campaigns c FULL OUTER JOIN (SELECT DISTINCT {TENANT_OF}, activity_id, activity_name, new_campaign FROM numbered WHERE activity) n
+USING ({TENANT_OF}, activity_id)""", SYNC_RUN)(lambda i: synced(i).campaigns)
+query("tag_sync_campaign_members", """
+SELECT * FROM activity_member EXCEPT SELECT * FROM campaign_gone UNION SELECT * FROM campaign_of""", SYNC_RUN)(
+    lambda i: synced(i).campaign_members)
 
 query("campaign_header", """
 SELECT * FROM campaigns UNION ALL SELECT 1, 1, MAX(activity_id) + 1, 'spring campaign', 2 FROM campaigns""")(

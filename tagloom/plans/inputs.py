@@ -309,13 +309,36 @@ SELECT o_orderkey AS batch_id, CAST(o_orderkey % 3 AS INT) AS sync_date_type, o_
        CAST(DATE '2024-01-29' + CAST(o_orderkey % 2 AS INT) AS {NTZ}) + INTERVAL 22 HOUR AS operator_time
 FROM orders"""
 
-INPUTS["sync_batches"] = """
-SELECT CAST(r_regionkey AS INT) AS batch_id, CAST(11 AS INT) AS tag_id, r_name AS tag_name, CAST(r_regionkey % 3 + 1 AS INT) AS hall_id,
-       CAST(1 AS INT) AS domain_id, CASE WHEN r_regionkey = 1 THEN NULL ELSE '1;2;3;5;7;8;11;13;17;19' END AS user_level_id,
-       CASE WHEN r_regionkey = 2 THEN '7,13' END AS user_level_exclude, CASE WHEN r_regionkey = 1 THEN '30011,30021;30012;30013' END AS tag_str,
-       CAST(r_regionkey % 2 + 1 AS INT) AS mode, CAST(2 AS INT) AS sync_date_type, r_regionkey < 3 AS tag_enabled,
-       DATE '2024-01-01' AS sync_date_begin, DATE '2024-02-01' AS sync_date_end, CAST(0 AS BIGINT) AS match_user_count
-FROM region"""
+# batch numbers repeat over the tenants; the last batch matches nobody
+INPUTS["sync_batches"] = f"""
+SELECT {tenant_of('n_nationkey')}, CAST((n_nationkey - n_nationkey % 4) / 4 AS INT) AS batch_id,
+       CASE WHEN n_nationkey % 12 = 5 THEN NULL ELSE CAST(11 + (n_nationkey - n_nationkey % 4) / 4 AS INT) END AS tag_id,
+       concat('batch ', CAST(n_nationkey AS STRING)) AS tag_name,
+       CASE WHEN n_nationkey = 8 THEN 'NATION_3' END AS ag_name,
+       CASE WHEN n_nationkey % 3 = 0 AND n_nationkey < 24 THEN '1;2;3;5;7;8;11;13;17;19' END AS user_level_id,
+       CASE WHEN n_nationkey % 6 = 0 THEN '7,13' END AS user_level_exclude,
+       CASE WHEN n_nationkey % 10 <> 9 THEN DATE '2024-01-05' END AS activated_date_begin,
+       CASE WHEN n_nationkey % 10 <> 9 THEN DATE '2024-01-28' END AS activated_date_end,
+       CASE WHEN n_nationkey = 24 THEN '99999' WHEN n_nationkey % 5 = 1 THEN '30011,30021;30012;30013' END AS tag_str,
+       CASE WHEN n_nationkey % 9 = 2 THEN '30010;30020,40001' END AS tag_str_exclude,
+       CASE WHEN n_nationkey % 7 = 3 THEN 'odd' WHEN n_nationkey % 7 = 4 THEN 'even' ELSE '' END AS file_name,
+       CAST(CASE WHEN n_nationkey % 8 = 5 THEN 3 END AS INT) AS user_step,
+       CASE WHEN n_nationkey % 6 = 4 THEN '2,3,5' END AS user_activity,
+       CASE WHEN n_nationkey % 9 = 7 THEN '40;60' END AS deposit_predict_rate,
+       CAST(CASE WHEN n_nationkey % 11 = 2 THEN 9 END AS INT) AS bet_amount_rank,
+       n_nationkey % 2 = 0 AS ab_test, n_nationkey % 4 < 2 AS activity,
+       CAST(CASE WHEN n_nationkey % 8 = 0 THEN 7 END AS INT) AS activity_id, concat('campaign ', n_name) AS activity_name,
+       CAST(n_nationkey % 3 % 2 + 1 AS INT) AS mode, CAST(CASE WHEN n_nationkey % 10 = 4 THEN 1 ELSE 2 END AS INT) AS sync_date_type,
+       n_nationkey % 8 <> 7 AS tag_enabled, DATE '2024-01-01' AS sync_date_begin, DATE '2024-02-01' AS sync_date_end,
+       CAST(0 AS BIGINT) AS match_user_count, CAST(3 AS BIGINT) AS actual_user_count,
+       CAST(DATE '2024-01-02' AS {{NTZ}}) AS updated_time
+FROM nation"""
+
+INPUTS["sync_uploads"] = """
+SELECT CASE WHEN c_custkey % 2 = 0 THEN 'even' ELSE 'odd' END AS file_name, c_name AS user_name FROM customer WHERE c_custkey % 5 <> 3"""
+
+INPUTS["sync_tagged"] = f"""
+SELECT {tenant_of('c_custkey')}, CAST(11 + c_custkey % 7 AS INT) AS tag_id, c_custkey AS user_id FROM customer WHERE c_custkey % 3 <> 1"""
 
 INPUTS["dw_day"] = f"""
 SELECT {tenant_of('c_custkey')}, c_custkey AS user_id, CAST(c_custkey % 8 AS INT) AS this_day_step,
