@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, Window
@@ -37,21 +38,51 @@ def deposit_days(deposits: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def bet_state(bets: DataFrame, members: DataFrame, n: int = ACTIVE_DAYS) -> DataFrame:
-    """First state of the turnover rows: old days are dropped before aggregating and joining."""
-    recent = last_n_active_days(
-        bets.filter(F.col("commissionable") > 0)
-        .select(*KEYS, "lobby_group", "lobby", "game_type", "data_date", "wagers_total", "bet_amount", "commissionable", "payoff"),
-        n=n)
-    return (
-        recent.groupBy(*KEYS, "lobby_group", "lobby", "game_type", "data_date", "top_activate_date")
-        .agg(*[F.sum(c).alias(c) for c in ("wagers_total", "bet_amount", "commissionable", "payoff")])
-        .join(named_members(members), KEYS)
-    )
+    """First state of the turnover rows."""
+    return active_sums(
+        bets.filter(F.col("commissionable") > 0), ["lobby_group", "lobby", "game_type"],
+        {c: c for c in ("wagers_total", "bet_amount", "commissionable", "payoff")}, n=n,
+    ).join(named_members(members), KEYS)
 
 
 def deposit_state(deposits: DataFrame, members: DataFrame, n: int = ACTIVE_DAYS) -> DataFrame:
+    """Rows of the deposit record, one for each member and day."""
     paid = deposits.filter(F.col("deposit_amount") > 0).select(*KEYS, "deposit_amount", "deposit_count", "data_date")
-    return last_n_active_days(paid, n=n).join(named_members(members), KEYS)
+    return newest_days(paid, n=n).join(named_members(members), KEYS)
+
+
+def newest_days(sums: DataFrame, keys: list[str] = KEYS, n: int = ACTIVE_DAYS) -> DataFrame:
+    """Rows dated on one of the member's n latest dates, for rows whose number per member and day is bounded by dimensions.
+
+    Spark drops rows beyond the n latest dates of a task before the shuffle.
+    """
+    newest = Window.partitionBy(*keys).orderBy(F.col("data_date").desc())
+    kept = sums.withColumn("_place", F.dense_rank().over(newest)).filter(F.col("_place") <= n)
+    return kept.withColumn("top_activate_date", F.min("data_date").over(Window.partitionBy(*keys))).drop("_place")
+
+
+def active_sums(
+    fact: DataFrame, dims: Sequence[str], sums: Mapping[str, str], keys: list[str] = KEYS, n: int = ACTIVE_DAYS
+) -> DataFrame:
+    """State of the n latest active days: sums per member, dimensions and day.
+
+    Rows combine to that grain before they move, so a member with most of all rows
+    is as small as any other when the days are compared. ``sums`` maps columns to names.
+    """
+    daily = fact.groupBy(*keys, *dims, "data_date").agg(*[F.sum(c).alias(name) for c, name in sums.items()])
+    return newest_days(daily, keys, n)
+
+
+def merge_active_sums(
+    a: DataFrame, b: DataFrame, dims: Sequence[str], sums: Sequence[str], keys: list[str] = KEYS, n: int = ACTIVE_DAYS
+) -> DataFrame:
+    """State of the rows of two states together, in whatever order their days lie.
+
+    A day among the n latest of both together is among the n latest of each that
+    has it, so nothing a state has dropped is missing.
+    """
+    columns = [*keys, *dims, "data_date", *sums]
+    return active_sums(a.select(*columns).unionByName(b.select(*columns)), dims, {c: c for c in sums}, keys, n)
 
 
 def last_n_active_days(fact: DataFrame, keys: list[str] = KEYS, n: int = ACTIVE_DAYS) -> DataFrame:
@@ -72,12 +103,12 @@ def advance_active_days(state: DataFrame, new_fact: DataFrame, keys: list[str] =
     """State after the rows newer than the latest date of their tenant.
 
     Rows dated on or before that date are not taken up again; a tenant without
-    state takes up all of its rows.
+    state takes up all of its rows. Both are sums per member, dimensions and day.
     """
     latest = state.groupBy(*TENANT_KEYS).agg(F.max("data_date").alias("_latest"))
     dated = salted_join(new_fact, latest, TENANT_KEYS, "left")
     fresh = dated.filter(F.col("_latest").isNull() | (F.col("data_date") > F.col("_latest"))).drop("_latest")
-    return last_n_active_days(state.drop("top_activate_date").unionByName(fresh), keys, n)
+    return newest_days(state.drop("top_activate_date").unionByName(fresh), keys, n)
 
 
 def min_active_days(fact: DataFrame, k: int = 3) -> DataFrame:

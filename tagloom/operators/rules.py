@@ -6,12 +6,15 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 from tagloom.functions import codes as C
+from tagloom.functions.codes import KEYS
 from tagloom.operators import tags as T
 from tagloom.operators.merge import update
-from tagloom.operators.warehouse import ODS_KEY, apply_tag_batch
+from tagloom.operators.profile import rule_tags
+from tagloom.operators.warehouse import ODS_KEY, apply_tag_batch, refresh_wide
 
 # tags whose stored rows stay enabled until replaced
 NOT_RESET = [C.CHURNED, C.REPEAT_DEPOSIT, C.APP_USER, C.LOGIN_UB, C.LOGIN_PC]
@@ -30,6 +33,8 @@ class RuleInputs:
     deposits15: DataFrame
     bet_time15: DataFrame
     cash15: DataFrame
+    arbitrage: DataFrame | None = None  # hedged rounds; without them the run sets no hedge tags
+    stored_tags: DataFrame | None = None
 
 
 @dataclass
@@ -43,42 +48,30 @@ class RuleSettings:
     turnover_drop_bands: dict = field(default_factory=lambda: C.TURNOVER_DROP_BANDS)
 
 
-def rule_tags(i: RuleInputs, s: RuleSettings) -> DataFrame:
-    """Rows of every rule, in the order of the rule book."""
-    return T.union_tags([
-        T.tag_churned(i.login, i.members, s.as_of),
-        T.tag_good_customer(i.bets15, i.deposits, s.good_customer_deposit, s.as_of),
-        T.tag_repeat_deposit(i.deposits, i.members, s.as_of),
-        T.tag_huge_winner(i.bets15),
-        T.tag_huge_loser(i.bets15),
-        T.tag_frequent_loser(i.bets15),
-        T.tag_game_lover(i.bets15),
-        T.tag_win_lose_reaction(i.bets15),
-        T.tag_app_user(i.login, i.members, s.as_of),
-        T.tag_bet_period(i.bet_time15),
-        T.tag_arbitrage_suspect(i.bets15, i.deposits15),
-        T.tag_login_ub(i.login, i.members, s.as_of),
-        T.tag_login_pc(i.login, i.members, s.as_of),
-        T.tag_continuous_deposit(i.deposits15, s.as_of),
-        T.tag_avg_deposit_band(i.deposits15, s.avg_deposit_bands),
-        T.tag_max_bet_band(i.bets15, s.max_bet_bands),
-        T.tag_turnover_drop_band(i.bets15, s.as_of, s.turnover_drop_bands),
-        T.tag_deposit_method(i.cash15, i.opcode_types),
-        T.tag_hesitate(i.login, i.login_raw, i.deposits15, i.bets15, i.ga_page, i.members, s.as_of),
-        T.tag_certified(i.members),
-        T.tag_term(i.bets15, s.today),
-    ])
-
-
-def run_tag_rules(
-    ods: DataFrame, inputs: RuleInputs, settings: RuleSettings, materialise: Callable[[DataFrame], DataFrame]
-) -> DataFrame:
+def run_tag_rules(ods: DataFrame, inputs: RuleInputs, settings: RuleSettings) -> DataFrame:
     """Stored tags after the run: rules, then manual edits, then good/bad conflicts.
 
-    Reset and replacement are one merge. The merged rows are read by the edit
-    update and twice by the conflict update, so they are materialised once.
+    Reset and replacement are one merge; conflicts are found among a member's own
+    rows, whose number the tag dictionary bounds.
     """
     reset = [c for c in T.rule_codes() if c not in NOT_RESET]
     merged = apply_tag_batch(ods, rule_tags(inputs, settings), reset, settings.now)
-    edited = materialise(update(merged, T.tag_manual_edits(inputs.edits, T.rule_codes()), ODS_KEY))
-    return update(edited, T.tag_disjoint(edited), ODS_KEY)
+    edited = update(merged, T.tag_manual_edits(inputs.edits, T.rule_codes()), ODS_KEY)
+    bad = F.max(F.col("tag_enabled") & F.col("tag_code").isin(C.BAD_CODES)).over(Window.partitionBy(*KEYS))
+    conflict = F.col("tag_enabled") & F.col("tag_code").isin(C.GOOD_CODES) & F.coalesce(bad, F.lit(False))
+    return edited.withColumn("tag_enabled", F.when(conflict, False).otherwise(F.col("tag_enabled")))
+
+
+@dataclass
+class TagDay:
+    ods: DataFrame
+    dw: DataFrame
+
+
+def run_tag_day(
+    ods: DataFrame, dw: DataFrame, tag_dim: DataFrame, bets: DataFrame, inputs: RuleInputs, settings: RuleSettings,
+    materialise: Callable[[DataFrame], DataFrame],
+) -> TagDay:
+    """The whole daily job: rules (with hedge tags if ``inputs`` has rounds), and the wide table brought up to date with them."""
+    after = materialise(run_tag_rules(ods, inputs, settings))
+    return TagDay(after, refresh_wide(after, dw, inputs.members, tag_dim, bets, inputs.login))

@@ -170,20 +170,24 @@ def tag_bet_period(bet_time15: DataFrame) -> DataFrame:
     return tag_bet_hour(bet_time15).unionByName(tag_bet_weekday(bet_time15))
 
 
-def tag_deposit_method(cash15: DataFrame, opcode_types: DataFrame, methods: dict = C.DEPOSIT_METHODS) -> DataFrame:
-    """Deposit method with the largest sum (tie: larger code), if above zero."""
-    sums = per_member(cash15, "opcode").agg(F.sum("amount").alias("amount"))
+def method_sums(sums: DataFrame, opcode_types: DataFrame, who: list[str], methods: dict = C.DEPOSIT_METHODS) -> DataFrame:
+    """Sums per member and method, from sums per member and operation code."""
     types = opcode_types.groupBy("opcode").agg(F.collect_set("type").alias("types"))
 
     def belongs(method):
         return F.col("opcode").isin(method) if isinstance(method, list) else holds(F.array_contains("types", method))
 
     methods_of = F.array_compact(F.array(*[F.when(belongs(m), F.lit(code)) for code, m in methods.items()]))
-    per_method = (
+    return (
         salted_join(sums, types, ["opcode"], "left")
-        .select(*WHO, "amount", F.explode(methods_of).alias("tag_code"))
-        .groupBy(*WHO, "tag_code").agg(F.sum("amount").alias("amount"))
+        .select(*who, "amount", F.explode(methods_of).alias("tag_code"))
+        .groupBy(*who, "tag_code").agg(F.sum("amount").alias("amount"))
     )
+
+
+def tag_deposit_method(cash15: DataFrame, opcode_types: DataFrame, methods: dict = C.DEPOSIT_METHODS) -> DataFrame:
+    """Deposit method with the largest sum (tie: larger code), if above zero."""
+    per_method = method_sums(per_member(cash15, "opcode").agg(F.sum("amount").alias("amount")), opcode_types, WHO, methods)
     top = best_by_group(
         per_method, KEYS, [F.col("amount"), F.col("tag_code")], ["user_name", "register_date", "tag_code", "amount"])
     return ods_rows(top.filter(F.col("amount") > 0))
@@ -218,7 +222,7 @@ def deposit_history(dep_all: DataFrame, as_of: date) -> DataFrame:
     )
 
 
-def _good_depositor(threshold) -> Column:
+def good_depositor(threshold) -> Column:
     return holds((F.col("deposit_count") >= 2) & (F.col("deposit_amount") >= threshold) & (F.col("kept") > 0))
 
 
@@ -231,7 +235,7 @@ def tag_good_customer(bets15: DataFrame, dep_all: DataFrame, threshold, as_of: d
         F.sum(F.when(F.col("bite"), F.col("commissionable")).otherwise(0)).alias("bite_commissionable"),
         F.size(F.collect_set("data_date")).alias("days")).filter(F.col("days") >= ACTIVE_DAYS_NEEDED)
     players = share.join(deposit_history(dep_all, as_of), KEYS, "left").filter(
-        (F.col("bite_commissionable") * 2 > F.col("commissionable")) & _good_depositor(threshold)).select(*WHO)
+        (F.col("bite_commissionable") * 2 > F.col("commissionable")) & good_depositor(threshold)).select(*WHO)
 
     losing_days = _result(bets15).filter(F.col("losses") * 10 >= F.col("days") * 6).select(*WHO)
     lobbies = per_member(bets15, "lobby").agg(F.sum("payoff").alias("payoff"))
@@ -254,7 +258,7 @@ def tag_good_customer_v1(
         F.sum("commissionable").alias("commissionable"), part("is_pvp").alias("pvp"), part("is_pve").alias("pve"))
     good = (
         (F.col("pvp") * 2 < F.col("commissionable")) & (F.col("pve") * 2 < F.col("commissionable"))
-        & _good_depositor(threshold)
+        & good_depositor(threshold)
     )
     return ods_rows(share.join(deposit_history(dep_all, as_of), KEYS, "left").filter(good), code)
 
@@ -276,6 +280,22 @@ def tag_arbitrage_suspect(bets15: DataFrame, deposits15: DataFrame) -> DataFrame
     return ods_rows(both.filter(holds(F.col("commissionable") < F.col("deposit_amount") * 2)), C.ARBITRAGE_SUSPECT)
 
 
+def hedge_flags(
+    arbitrage: DataFrame, as_of: date, likely: int, certain: int, vendor: int = 19, rounds: int = 50, stored: DataFrame | None = None
+) -> DataFrame:
+    """Per member: ``likely``, ``certain`` (hedged rounds of the day), ``was_likely``, ``was_certain`` (enabled stored tags)."""
+    code = F.when(F.col("hedge_round_count") < rounds, likely).otherwise(certain)
+    today = arbitrage.filter((F.col("external_game_code") == vendor) & (F.col("data_date") == day(as_of))).select(
+        *KEYS, (code == likely).alias("likely"), (code == certain).alias("certain"), F.lit(False).alias("was_likely"), F.lit(False).alias("was_certain"))
+    flags = ["likely", "certain", "was_likely", "was_certain"]
+    if stored is not None:
+        enabled = stored.filter(F.col("tag_enabled") & F.col("tag_code").isin(likely, certain))
+        today = today.unionByName(enabled.select(
+            *KEYS, F.lit(False).alias("likely"), F.lit(False).alias("certain"), (F.col("tag_code") == likely).alias("was_likely"),
+            (F.col("tag_code") == certain).alias("was_certain")))
+    return today.groupBy(*KEYS).agg(*[F.bool_or(f).alias(f) for f in flags])
+
+
 def tag_hedge_arbitrage(
     arbitrage: DataFrame, members: DataFrame, as_of: date, likely: int, certain: int, vendor: int = 19, rounds: int = 50,
     stored: DataFrame | None = None,
@@ -286,19 +306,7 @@ def tag_hedge_arbitrage(
     among the ``stored`` tag rows; a stored likely one goes when the certain one
     comes, or was stored beside it, also without rounds today. Only ``members`` get rows.
     """
-    code = F.when(F.col("hedge_round_count") < rounds, likely).otherwise(certain)
-    flagged = (
-        arbitrage.filter((F.col("external_game_code") == vendor) & (F.col("data_date") == day(as_of)))
-        .groupBy(*KEYS)
-        .agg(F.bool_or(code == likely).alias("likely"), F.bool_or(code == certain).alias("certain"))
-    )
-    flagged = flagged.withColumns({"was_likely": F.lit(False), "was_certain": F.lit(False)})
-    if stored is not None:
-        enabled = stored.filter(F.col("tag_enabled") & F.col("tag_code").isin(likely, certain)).groupBy(*KEYS).agg(
-            F.bool_or(F.col("tag_code") == likely).alias("was_likely"),
-            F.bool_or(F.col("tag_code") == certain).alias("was_certain"))
-        flagged = flagged.drop("was_likely", "was_certain").join(enabled, KEYS, "full_outer").fillna(
-            False, ["likely", "certain", "was_likely", "was_certain"])
+    flagged = hedge_flags(arbitrage, as_of, likely, certain, vendor, rounds, stored)
     off = F.col("certain") | F.col("was_certain")
     tags = flagged.select(
         *KEYS,

@@ -6,7 +6,7 @@ from tagloom.functions import codes as C
 from tagloom.operators import activity, rules, tags
 from tagloom.operators.masking import MASKS, mask_columns
 from tagloom.plans.inputs import with_inputs
-from tagloom.plans.registry import AS_OF, NAMED, NOW, TENANT, TODAY, USER, query
+from tagloom.plans.registry import AS_OF, NAMED, NOW, REGISTRY, TENANT, TODAY, USER, query
 from tagloom.sources.sinks import materialise
 from tagloom.streaming.incremental import next_state
 
@@ -51,22 +51,14 @@ def deposits15(i):
     return activity.deposit_state(i["deposit_withdraw_record"], i["member_info"])
 
 
-def recent_sums(df, i, *dims, amount):
-    """Sums per named member, day and ``dims`` over the last active days."""
-    recent = activity.last_n_active_days(df.select(*C.KEYS, *dims, "data_date", amount[0]))
-    return (
-        recent.groupBy(*C.KEYS, *dims, "data_date", "top_activate_date").agg(F.sum(amount[0]).alias(amount[1]))
-        .join(activity.named_members(i["member_info"]), C.KEYS)
-    )
-
-
 def bet_time15(i):
-    return recent_sums(i["wager"], i, "bet_hour", amount=("valid_bet", "commissionable")).withColumn(
-        "data_weekday", F.dayofweek("data_date"))
+    sums = activity.active_sums(i["wager"], ["bet_hour"], {"valid_bet": "commissionable"})
+    return sums.join(activity.named_members(i["member_info"]), C.KEYS).withColumn("data_weekday", F.dayofweek("data_date"))
 
 
 def cash15(i):
-    return recent_sums(i["cash_entry"], i, "opcode", amount=("amount", "amount"))
+    sums = activity.active_sums(i["cash_entry"], ["opcode"], {"amount": "amount"})
+    return sums.join(activity.named_members(i["member_info"]), C.KEYS)
 
 
 query("last_active_bets", "SELECT * FROM bets15", BETS15)(bets15)
@@ -218,12 +210,20 @@ query("tag_hedge_arbitrage", f"""
 {tag_row("code", f"NOT (code = 40006 AND user_id IN (SELECT user_id FROM hedged WHERE code = 40007))", 4)} FROM hedged""",
       {"hedged": HEDGED})(
     lambda i: tags.tag_hedge_arbitrage(i["arbitrage_info"], i["member_info"], AS_OF, 40006, 40007))
-HEDGE_STATE = f"""SELECT {USER}, code FROM hedged UNION SELECT {USER}, tag_code AS code FROM hedge_stored WHERE tag_enabled"""
-HEDGE_BOTH = f"""SELECT {USER} FROM hedge_state WHERE code IN (40006, 40007) GROUP BY {USER} HAVING COUNT(DISTINCT code) = 2"""
-query("tag_hedge_arbitrage_stored", f"""
+
+
+def hedge_parts(stored: str) -> dict[str, str]:
+    return {
+        "hedged": HEDGED,
+        "hedge_state": f"SELECT {USER}, code FROM hedged UNION SELECT {USER}, tag_code AS code FROM {stored} WHERE tag_enabled",
+        "hedge_both": f"SELECT {USER} FROM hedge_state WHERE code IN (40006, 40007) GROUP BY {USER} HAVING COUNT(DISTINCT code) = 2",
+    }
+
+
+HEDGE_SQL = f"""
 {tag_row("code", f"NOT (code = 40006 AND ({USER}) IN (SELECT ({USER}) FROM hedge_both))", 4)}
-FROM (SELECT {NAMED}, code FROM hedged UNION SELECT {NAMED}, 40006 AS code FROM hedge_both JOIN member_info USING ({USER})) t""",
-      {"hedged": HEDGED, "hedge_state": HEDGE_STATE, "hedge_both": HEDGE_BOTH})(
+FROM (SELECT {NAMED}, code FROM hedged UNION SELECT {NAMED}, 40006 AS code FROM hedge_both JOIN member_info USING ({USER})) t"""
+query("tag_hedge_arbitrage_stored", HEDGE_SQL, hedge_parts("hedge_stored"))(
     lambda i: tags.tag_hedge_arbitrage(
         i["arbitrage_info"], i["member_info"], AS_OF, 40006, 40007, stored=i["hedge_stored"]))
 
@@ -310,12 +310,12 @@ SELECT COUNT(*) FILTER (enable = 1) AS add_count, COUNT(*) FILTER (enable = 0) A
 
 
 # -- the whole run -------------------------------------------------------------
-def rule_inputs(i) -> rules.RuleInputs:
+def rule_inputs(i, hedge: bool = False) -> rules.RuleInputs:
     return rules.RuleInputs(
         members=i["member_info"], login=i["login_log"], login_raw=i["login_raw"], deposits=i["deposit_withdraw_record"],
         ga_page=i["ga_page"], edits=i["edits"], opcode_types=i["opcodes"],
-        bets15=materialise(bets15(i)), deposits15=materialise(deposits15(i)),
-        bet_time15=materialise(bet_time15(i)), cash15=materialise(cash15(i)))
+        bets15=materialise(bets15(i)), deposits15=deposits15(i), bet_time15=bet_time15(i), cash15=cash15(i),
+        arbitrage=i["arbitrage_info"] if hedge else None, stored_tags=i["ods"] if hedge else None)
 
 
 def rule_settings() -> rules.RuleSettings:
@@ -332,44 +332,34 @@ RULE_QUERIES = [
 ]
 
 
-def run_sql() -> str:
-    """All rule statements, each with its own parts, merged into the stored tags."""
-    from tagloom.plans.registry import REGISTRY
-
-    churned = with_inputs(churned_sql(30), "TIMESTAMP")
-    every = " UNION ALL ".join(
-        f"SELECT {', '.join(C.ODS_COLUMNS)} FROM ({sql}) q{n}"
-        for n, sql in enumerate([churned, *[REGISTRY[q].sql for q in RULE_QUERIES]]))
+def run_parts(hedge: bool = False) -> dict[str, str]:
+    """All rule statements, each with its own parts, and the stored tags after them (``tags_after``)."""
+    rule_sql = [with_inputs(churned_sql(30), "TIMESTAMP"), *[REGISTRY[q].sql for q in RULE_QUERIES]]
+    if hedge:
+        rule_sql.append(with_inputs(HEDGE_SQL, "TIMESTAMP", hedge_parts("ods")))
     reset = ", ".join(str(c) for c in tags.rule_codes() if c not in rules.NOT_RESET)
-    edited = LATEST_EDITS.format(", ".join(map(str, tags.rule_codes())))
-    key = f"{USER}, tag_code"
-    return f"""WITH new_tags AS ({every}), merged AS (
- SELECT {USER}, COALESCE(n.user_name, o.user_name) AS user_name, tag_code, COALESCE(n.tag_type, o.tag_type) AS tag_type,
+    return {
+        "new_tags": " UNION ALL ".join(f"SELECT {', '.join(C.ODS_COLUMNS)} FROM ({sql}) q{n}" for n, sql in enumerate(rule_sql)),
+        "edited": LATEST_EDITS.format(", ".join(map(str, tags.rule_codes()))),
+        "after_rules": f"""SELECT {USER}, CASE WHEN n.tag_type IS NOT NULL THEN n.user_name ELSE o.user_name END AS user_name, tag_code,
+        COALESCE(n.tag_type, o.tag_type) AS tag_type,
         COALESCE(n.tag_enabled, CASE WHEN tag_code IN ({reset}) THEN FALSE ELSE o.tag_enabled END) AS tag_enabled,
         COALESCE(n.register_date, o.register_date) AS register_date,
-        CASE WHEN n.tag_type IS NOT NULL OR tag_code IN ({reset}) THEN TIMESTAMP '2024-01-31 06:00:00' ELSE o.updated_time END AS updated_time,
-        n.tag_type IS NOT NULL AS fresh, n.user_name AS fresh_name
- FROM stored o FULL OUTER JOIN new_tags n USING ({key})),
- changed AS (SELECT m.* REPLACE (CASE WHEN e.user_id IS NOT NULL THEN e.tag_enabled ELSE m.tag_enabled END AS tag_enabled)
-             FROM merged m LEFT JOIN edited e USING ({key}))
-SELECT {USER}, CASE WHEN fresh THEN fresh_name ELSE user_name END AS user_name, tag_code, tag_type, register_date, updated_time,
-       CASE WHEN tag_code = 30015 AND tag_enabled AND user_id IN (SELECT user_id FROM changed WHERE tag_code IN ({BAD}) AND tag_enabled)
-            THEN FALSE ELSE tag_enabled END AS tag_enabled
-FROM changed""".replace("FROM stored o", "FROM (SELECT * FROM (" + _stored() + ")) o").replace(
-        "LEFT JOIN edited e", f"LEFT JOIN ({_whole(edited)}) e")
-
-
-def _whole(sql: str) -> str:
-    from tagloom.plans.inputs import with_inputs
-
-    return with_inputs(sql, "TIMESTAMP")
-
+        CASE WHEN n.tag_type IS NOT NULL OR tag_code IN ({reset}) THEN TIMESTAMP '2024-01-31 06:00:00' ELSE o.updated_time END AS updated_time
+ FROM ods o FULL OUTER JOIN new_tags n USING ({USER}, tag_code)""",
+        "changed": f"""SELECT m.* REPLACE (CASE WHEN e.user_id IS NOT NULL THEN e.tag_enabled ELSE m.tag_enabled END AS tag_enabled)
+             FROM after_rules m LEFT JOIN edited e USING ({USER}, tag_code)""",
+        "tags_after": f"""SELECT {USER}, user_name, tag_code, tag_type, register_date, updated_time,
+       CASE WHEN tag_code = 30015 AND tag_enabled AND ({USER}) IN (SELECT ({USER}) FROM changed WHERE tag_code IN ({BAD}) AND tag_enabled)
+            THEN FALSE ELSE tag_enabled END AS tag_enabled FROM changed""",
+    }
 
-def _stored() -> str:
-    return _whole("SELECT * FROM ods")
 
+def tag_day(i) -> rules.TagDay:
+    return rules.run_tag_day(
+        i["ods"], i["dw"], i["tag_dim"], i["bet_analysis"], rule_inputs(i, hedge=True), rule_settings(), materialise)
 
-from tagloom.plans.registry import REGISTRY, Query  # noqa: E402
 
-REGISTRY["run_tag_rules"] = Query(
-    lambda i: rules.run_tag_rules(i["ods"], rule_inputs(i), rule_settings(), materialise), run_sql())
+query("run_tag_rules", "SELECT * FROM tags_after", run_parts())(
+    lambda i: rules.run_tag_rules(i["ods"], rule_inputs(i), rule_settings()))
+query("run_tag_day", "SELECT * FROM tags_after", run_parts(hedge=True))(lambda i: tag_day(i).ods)

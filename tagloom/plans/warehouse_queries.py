@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tagloom.operators import merge, warehouse
 from tagloom.plans.registry import NOW, TENANT, USER, query
+from tagloom.plans.tag_queries import run_parts, tag_day
 
 ODS_KEY = ["hall_id", "domain_id", "user_id", "tag_code"]
 MEMBER_KEY = ["hall_id", "domain_id", "user_id"]
@@ -81,16 +82,21 @@ query("tag_dim_names", TAG_NAMES)(lambda i: warehouse.tag_dim_names(i["tag_dim"]
 
 NY = "CAST({0} - INTERVAL 5 HOUR AS DATE)"  # New York in January
 LISTS = ", ".join(f"STRING_AGG({c}, ',' ORDER BY tag_code) AS {c}" for c in NAME_COLUMNS)
-WIDE = f"""SELECT {USER}, m.user_name, ag_name, tag_str, {', '.join(NAME_COLUMNS)}, user_level_id, user_level, m.register_date{{more}}
+
+
+def wide(ods: str = "ods", more: str = "", trigger: str = "") -> str:
+    return f"""SELECT {USER}, m.user_name, ag_name, tag_str, {', '.join(NAME_COLUMNS)}, user_level_id, user_level, m.register_date{more}
 FROM (SELECT {USER}, STRING_AGG(CAST(tag_code AS VARCHAR), ',' ORDER BY tag_code) AS tag_str, {LISTS}
-      FROM ods LEFT JOIN names USING (hall_id, domain_id, tag_code)
-      WHERE tag_enabled AND user_id IN (SELECT user_id FROM ods JOIN (SELECT hall_id, domain_id,
-          MAX({NY.format('updated_time')}) - 1 AS last_update FROM ods GROUP BY hall_id, domain_id) l USING (hall_id, domain_id)
-        WHERE tag_enabled {{trigger}} AND {NY.format('updated_time')} >= last_update) GROUP BY {USER}) t
+      FROM {ods} LEFT JOIN names USING (hall_id, domain_id, tag_code)
+      WHERE tag_enabled AND user_id IN (SELECT user_id FROM {ods} JOIN (SELECT hall_id, domain_id,
+          MAX({NY.format('updated_time')}) - 1 AS last_update FROM {ods} GROUP BY hall_id, domain_id) l USING (hall_id, domain_id)
+        WHERE tag_enabled {trigger} AND {NY.format('updated_time')} >= last_update) GROUP BY {USER}) t
 JOIN member_info m USING ({USER})"""
-query("ods_to_dw", WIDE.format(more="", trigger=""), {"names": TAG_NAMES})(
+
+
+query("ods_to_dw", wide(), {"names": TAG_NAMES})(
     lambda i: warehouse.ods_to_dw(i["ods"], i["member_info"], i["tag_dim"]))
-query("ods_to_dw_one_tag", WIDE.format(more=", last_activated_date", trigger="AND tag_code = 10001")
+query("ods_to_dw_one_tag", wide(more=", last_activated_date", trigger="AND tag_code = 10001")
       + f" LEFT JOIN (SELECT {USER}, MAX(data_date) AS last_activated_date FROM bet_analysis GROUP BY {USER}) b USING ({USER})",
       {"names": TAG_NAMES})(
     lambda i: warehouse.ods_to_dw(i["ods"], i["member_info"], i["tag_dim"], 10001, i["bet_analysis"]))
@@ -113,19 +119,26 @@ WHERE user_id IN (SELECT user_id FROM dw)""")(lambda i: warehouse.dw_last_dates(
 
 FROM_WIDE = ", ".join(
     f"CASE WHEN w.tag_str IS NOT NULL THEN w.{c} ELSE k.{c} END AS {c}" for c in ("user_name", "ag_name", "user_level_id", "user_level", "tag_str"))
-REFRESH = {
-    "names": TAG_NAMES, "wide": WIDE.format(more="", trigger=""),
-    "kept": f"""SELECT * FROM dw WHERE user_id NOT IN (
- SELECT user_id FROM ods GROUP BY {USER} HAVING COUNT(*) FILTER (tag_enabled) = 0)""",
-    "merged": f"SELECT {USER}, {FROM_WIDE}, last_activated_date, last_login_date FROM kept k FULL OUTER JOIN wide w USING ({USER})",
-}
-query("refresh_wide", f"""
+
+
+def refresh(ods: str = "ods") -> dict[str, str]:
+    return {
+        "names": TAG_NAMES, "wide": wide(ods),
+        "kept": f"""SELECT * FROM dw WHERE user_id NOT IN (
+ SELECT user_id FROM {ods} GROUP BY {USER} HAVING COUNT(*) FILTER (tag_enabled) = 0)""",
+        "merged": f"SELECT {USER}, {FROM_WIDE}, last_activated_date, last_login_date FROM kept k FULL OUTER JOIN wide w USING ({USER})",
+    }
+
+
+REFRESHED = f"""
 SELECT {USER}, user_name, ag_name, user_level_id, user_level, tag_str, COALESCE(b.day, last_activated_date) AS last_activated_date,
        COALESCE(l.day, last_login_date) AS last_login_date
 FROM merged LEFT JOIN ({recent('bet_analysis', 'last_activated_date', 'merged')}) b USING ({USER})
-LEFT JOIN ({recent('login_log', 'last_login_date', 'merged')}) l USING ({USER})""", REFRESH)(
+LEFT JOIN ({recent('login_log', 'last_login_date', 'merged')}) l USING ({USER})"""
+query("refresh_wide", REFRESHED, refresh())(
     lambda i: warehouse.refresh_wide(
         i["ods"], i["dw"], i["member_info"], i["tag_dim"], i["bet_analysis"], i["login_log"]))
+query("run_tag_day_wide", REFRESHED, {**run_parts(hedge=True), **refresh("tags_after")})(lambda i: tag_day(i).dw)
 
 DEFINITIONS = [
     {"tag_code": 30091, "tag_type": 3, "tag_name": "hesitating", "sort_index": 1, "can_access_env": "local,dev,prod"},
