@@ -6,6 +6,7 @@ member attributes afterwards, so raw rows shuffle once, already combined.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 from functools import reduce
 
@@ -16,7 +17,7 @@ from tagloom.functions import codes as C
 from tagloom.functions.columns import (
     any_of, code_for, contains_any, day, days_before, ingest_timestamp, ip_to_long, zero_if_null,
 )
-from tagloom.operators.keyed import hot_key_join, latest_with_ties, salted_join
+from tagloom.operators.keyed import hot_key_join, in_ranges, latest_with_ties, salted_join
 
 FISCAL = ["financial_year", "financial_month", "financial_week"]
 USER_DAY = ["user_id", "data_date", *FISCAL]
@@ -395,22 +396,11 @@ def latest_login(login: DataFrame, start: date, end: date, role: int | None = PL
     return latest_with_ties(wanted, ["user_id", "data_date"], "at_ts").drop("at_ts")
 
 
-def login_location(logins: DataFrame, ip_ranges: DataFrame) -> DataFrame:
-    """Attach the geography of the address range holding each login's IP.
-
-    Each distinct address is looked up once: ranges are cut into /16 blocks,
-    which makes the range test an equality on the block plus a check inside it.
-    """
-    block = F.lit(65536)
+def login_location(logins: DataFrame, ip_ranges: DataFrame, materialise: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Attach the geography of the address range holding each login's IP; every distinct address is looked up once."""
     addresses = logins.select("ip").distinct().withColumn("ip_number", ip_to_long(F.col("ip")))
-    addresses = addresses.withColumn("block", F.floor(F.col("ip_number") / block))
-    ranges = ip_ranges.withColumn(
-        "block", F.explode(F.sequence(F.floor(F.col("ip_from") / block), F.floor(F.col("ip_to") / block))))
-    located = (
-        salted_join(addresses, ranges, ["block"])
-        .filter(F.col("ip_number").between(F.col("ip_from"), F.col("ip_to")))
-        .select("ip", "geo_country", "geo_city")
-    )
+    held = in_ranges(addresses, "ip_number", ip_ranges.select("ip_from", "ip_to", "geo_country", "geo_city"), "ip_from", "ip_to", materialise)
+    located = hot_key_join(addresses, held, ["ip_number"]).select("ip", "geo_country", "geo_city")
     return hot_key_join(logins, located, ["ip"], "left")
 
 

@@ -9,7 +9,7 @@ same path; a key is split by its own number of rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -132,22 +132,53 @@ def _ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], rank: C
 def latest_with_ties(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     """All rows carrying their key's largest ``column``.
 
-    Rows are limited per salt first, before the shuffle, and then compared with
-    the exact maximum, so that copies of the latest row (a third of all rows may
-    be such copies) spread over the salts. Rows with a null key are kept as
-    the window keeps them, by a null-safe comparison.
+    Rows beyond the first place are dropped before the shuffle. Keys with more
+    rows than a task should take (a third of all rows may be copies of the latest
+    row) are ranked per salt and then compared with their exact maximum, which is
+    repeated for those keys only. Rows with a null key are kept as the window
+    keeps them, by a null-safe comparison.
     """
     newest = [F.col(column).desc()]
-    salts = F.lit(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    limited = _ranked(df.withColumn("_salt", _salt(df, salts)), [*keys, "_salt"], newest, F.rank(), 1)
-    largest = df.groupBy(*keys).agg(F.max(column).alias(column)).select(
-        *[F.col(c).alias(f"_r_{c}") for c in [*keys, column]], F.explode(F.sequence(F.lit(0), salts - 1)).alias("_r_salt"))
-    on = F.col("_salt") == F.col("_r_salt")
-    for c in [*keys, column]:
+    hot = hot_keys(df, keys)
+    if hot is None:
+        return _ranked(df, keys, newest, F.rank(), 1)
+    limited = _ranked(spread_hot(df, keys, hot), [*keys, "_salt"], newest, F.rank(), 1)
+    largest = repeat_hot(df.groupBy(*keys).agg(F.max(column).alias(column)), keys, hot)
+    names = [*keys, column, "_salt"]
+    largest = largest.select(*[F.col(c).alias(f"_r_{c}") for c in names])
+    on = F.lit(True)
+    for c in names:
         on = on & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
     return limited.join(largest, on, "left_semi").drop("_salt")
 
 
+def in_ranges(
+    points: DataFrame, point: str, ranges: DataFrame, low: str, high: str, materialise: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Distinct points with the other columns of the range ``low`` to ``high`` that holds them; points in none are left out.
+
+    Ranges do not overlap. Range starts and points are sorted together into
+    partitions; within one, the last start before a point is its only candidate,
+    and where a partition begins inside a range, that range is carried in from the
+    partitions before (one row each). A range is one row however long it is.
+    """
+    values = [c for c in ranges.columns if c not in (low, high)]
+    starts = ranges.select(
+        F.col(low).cast("long").alias("at"), F.lit(0).alias("kind"), F.struct(F.col(high).cast("long").alias("high"), *values).alias("range"))
+    wanted = points.select(F.col(point).cast("long").alias("at")).filter(F.col("at").isNotNull()).distinct()
+    both = starts.unionByName(wanted.withColumn("kind", F.lit(1)), allowMissingColumns=True)
+    cut = materialise(both.repartitionByRange("at").withColumn("part", F.spark_partition_id()))
+    so_far = Window.partitionBy("part").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last_start = cut.filter("kind = 0").groupBy("part").agg(F.max_by("range", "at").alias("ends_with"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = cut.select("part").distinct().join(last_start, "part", "left").select(
+        "part", F.last("ends_with", ignorenulls=True).over(before).alias("carried"))
+    found = cut.withColumn("own", F.last("range", ignorenulls=True).over(so_far)).filter("kind = 1").join(carried, "part").select(
+        "at", F.coalesce("own", "carried").alias("range"))
+    return found.filter(F.col("at") <= F.col("range.high")).select(
+        F.col("at").alias(point), *[F.col(f"range.{v}").alias(v) for v in values])
+
+
 def run_length_dedup(df: DataFrame, keys: Sequence[str], order: str, column: str) -> DataFrame:
     """Keep the last row of every run of equal ``column`` values."""
     w = Window.partitionBy(*keys).orderBy(order)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from tagloom.functions import codes as C
 from tagloom.functions.codes import KEYS, NEVER
 from tagloom.functions.columns import all_of, any_of, day, days_before, holds, tenant_date
-from tagloom.operators.keyed import best_by_group, last_k_per_group, run_length_dedup, salted_join
+from tagloom.operators.keyed import best_by_group, salted_join
 
 WEEK = ["fin_year", "fin_month", "fin_week"]
 
@@ -101,7 +102,7 @@ def lifecycle_tag(members: DataFrame, operate: DataFrame, as_of: date) -> DataFr
 
 def lifecycle_changes(
     login: DataFrame, deposits: DataFrame, bets: DataFrame, members: DataFrame, start: date, end: date,
-    floor: date = date(2021, 1, 1), previous: DataFrame | None = None,
+    floor: date = date(2021, 1, 1), previous: DataFrame | None = None, state: DataFrame | None = None,
 ) -> DataFrame:
     """Members whose code differs from the day before, for every day of the range.
 
@@ -111,22 +112,32 @@ def lifecycle_changes(
 
     Members enter on the first day or when they register; activity dated before
     the entry counts only for members already registered on the first day.
-    ``previous`` holds the codes known before the range (NULL otherwise).
+    ``previous`` holds the codes known before the range (NULL otherwise). With a
+    ``state`` (see :func:`lifecycle_state`) of the days before, which also holds
+    the codes, only the activity of the range is read.
     """
     registered = lifecycle_members(members, date(1990, 1, 1), end).withColumn(
         "entry", F.greatest(F.col("register_day"), day(start)))
     who = [*KEYS, "user_name", "register_day", "entry"]
+    sums = ["login_date", "activated", "deposit_count", "wagers_total"]
+    inside = F.col("data_date") <= day(end)
+    if state is not None:
+        inside = F.col("data_date").between(day(start), day(end))
     active = (
-        activity_rows(login, deposits, bets).filter(F.col("data_date") <= day(end))
+        activity_rows(*[df.filter(inside) for df in (login, deposits, bets)])
         .join(registered, KEYS)
         .filter((F.col("data_date") >= F.col("register_day")) | (F.col("register_day") <= day(start)))
-        .select(*who, F.greatest("data_date", "entry").alias("on"), "login_date", "activated", "deposit_count", "wagers_total")
+        .select(*who, F.greatest("data_date", "entry").alias("on"), *sums)
     )
     entering = registered.select(
         *who, F.col("entry").alias("on"), F.lit(None).cast("date").alias("login_date"),
         F.lit(None).cast("date").alias("activated"), F.lit(0).cast("long").alias("deposit_count"),
         F.lit(0).cast("long").alias("wagers_total"))
-    daily = active.unionByName(entering).groupBy(*who, "on").agg(*_totals())
+    rows = active.unionByName(entering)
+    if state is not None:
+        rows = rows.unionByName(state.join(registered, KEYS).select(*who, F.col("entry").alias("on"), *sums))
+        previous = state
+    daily = rows.groupBy(*who, "on").agg(*_totals())
 
     by_day = Window.partitionBy(*KEYS).orderBy("on")
     so_far = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -157,6 +168,51 @@ def lifecycle_changes(
     )
 
 
+def lifecycle_state(
+    login: DataFrame, deposits: DataFrame, bets: DataFrame, members: DataFrame, start: date, end: date, state: DataFrame | None = None,
+) -> DataFrame:
+    """What is carried per member after a range of days: last login and active day, sums, the code of the last day, and that day.
+
+    With the ``state`` of the days before ``start`` only the range's activity is read.
+    """
+    registered = lifecycle_members(members, date(1990, 1, 1), end)
+    inside = F.col("data_date") <= day(end)
+    if state is not None:
+        inside = F.col("data_date").between(day(start), day(end))
+    counted = activity_rows(*[df.filter(inside) for df in (login, deposits, bets)]).join(registered, KEYS).filter(
+        (F.col("data_date") >= F.col("register_day")) | (F.col("register_day") <= day(start)))
+    sums = ["login_date", "activated", "deposit_count", "wagers_total"]
+    rows = counted.select(*KEYS, *sums)
+    if state is not None:
+        rows = rows.unionByName(state.select(*KEYS, *sums))
+    known = registered.join(rows.groupBy(*KEYS).agg(*_totals()), KEYS, "left").withColumns({
+        "deposit_count": F.coalesce("deposit_count", F.lit(0)), "wagers_total": F.coalesce("wagers_total", F.lit(0))})
+    code = lifecycle_code(
+        day(end), F.coalesce("activated", never()), F.greatest(F.col("register_day"), F.coalesce("login_date", never())),
+        F.col("deposit_count"), F.col("wagers_total"))
+    return known.select(*KEYS, *sums, code.alias("tag_code"), day(end).alias("through"))
+
+
+def advance_lifecycle(
+    login: DataFrame, deposits: DataFrame, bets: DataFrame, members: DataFrame, start: date, end: date, state: DataFrame | None,
+    materialise: Callable[[DataFrame], DataFrame], floor: date = date(2021, 1, 1),
+) -> tuple[DataFrame | None, DataFrame]:
+    """Change rows of the days up to ``end`` that are not done yet, and the state after them.
+
+    The state's day says which days are done: they are not read or written again,
+    and without new days there are no rows (None). ``start`` counts without a state.
+    """
+    if state is not None:
+        through = state.agg(F.max("through")).first()[0]
+        if through is not None:
+            start = through + timedelta(days=1)
+        if start > end:
+            return None, state
+    facts = (login, deposits, bets, members, start, end)
+    changes = lifecycle_changes(*facts, floor=floor, state=state)
+    return materialise(changes), materialise(lifecycle_state(*facts, state=state))
+
+
 # -- steps --------------------------------------------------------------------
 # (step, codes before, codes now); a later match overrides an earlier one
 DAY_RULES = [
@@ -194,23 +250,31 @@ def lifecycle_step(before: Column, now: Column) -> Column:
     return step_of(before, now, DAY_RULES)
 
 
-def with_last_codes(log: DataFrame, start: date, end: date) -> DataFrame:
-    """The four latest distinct consecutive codes per member up to each day (``on``), side by side.
+NAMES = ["this", "last", "last_two", "last_three"]
+
+
+def change_intervals(log: DataFrame, end: date) -> DataFrame:
+    """For each log row the days it is the latest one (``this_date`` to ``until``), with the codes of its run and the three before.
 
-    The log is read once; its rows count for every later day of the range.
+    A run is consecutive rows of one code; its date is that of its last row so
+    far. Everything comes from one sort per member; of several rows of a day the
+    largest code holds.
     """
-    later = F.sequence(F.greatest(F.col("data_date"), day(start)), day(end))
-    until = log.filter(F.col("data_date") <= day(end)).withColumn("on", F.explode(later))
-    keys = [*KEYS, "on"]
-    runs = run_length_dedup(until, keys, "data_date", "tag_code")
-    newest = Window.partitionBy(*keys).orderBy(F.desc("data_date"))
-    ranked = last_k_per_group(runs, keys, [F.desc("data_date")], 4).withColumn("place", F.row_number().over(newest))
-    at = lambda i, c: F.max(F.when(F.col("place") == i, F.col(c)))
-    names = ["this", "last", "last_two", "last_three"]
-    return ranked.groupBy(*keys).agg(
-        at(1, "user_name").alias("user_name"),
-        *[at(i, "tag_code").alias(f"{n}_tag_code") for i, n in enumerate(names, 1)],
-        *[at(i, "data_date").alias(f"{n}_date") for i, n in enumerate(names, 1)])
+    by_day = Window.partitionBy(*KEYS).orderBy("data_date", "tag_code")
+    so_far = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = log.filter(F.col("data_date") <= day(end)).select(*KEYS, "user_name", "data_date", "tag_code").withColumns({
+        "before": F.lag(F.struct("tag_code", "data_date")).over(by_day),
+        "until": F.coalesce(F.date_sub(F.lead("data_date").over(by_day), 1), day(end)),
+    })
+    rows = rows.withColumn("opens", F.col("before").isNull() | ~F.col("before.tag_code").eqNullSafe(F.col("tag_code")))
+    in_run = lambda column: F.last(F.when(F.col("opens"), F.col(column)), ignorenulls=True).over(so_far)
+    rows = rows.withColumn("p1", in_run("before"))
+    for n in (1, 2):
+        rows = rows.withColumn("earlier", F.lag(f"p{n}").over(by_day)).withColumn(f"p{n + 1}", in_run("earlier"))
+    return rows.select(
+        *KEYS, "user_name", F.col("tag_code").alias("this_tag_code"), F.col("data_date").alias("this_date"), "until",
+        *[F.col(f"p{n}.tag_code").alias(f"{NAMES[n]}_tag_code") for n in (1, 2, 3)],
+        *[F.col(f"p{n}.data_date").alias(f"{NAMES[n]}_date") for n in (1, 2, 3)])
 
 
 def lifecycle_day(log: DataFrame, members: DataFrame, calendar: DataFrame, on: date) -> DataFrame:
@@ -221,17 +285,24 @@ def lifecycle_days(log: DataFrame, members: DataFrame, calendar: DataFrame, star
     """Steps of each day of the range from the change log, in one plan.
 
     History shorter than the three looked-at days is filled for active members,
-    each line seeing the result of the line before.
+    each line seeing the result of the line before. What a day's row says depends
+    only on the change and on how many days ago it was: none, one, two or more.
+    So each change gives four phases at most, and only the days of phases with a
+    step are listed.
     """
-    codes, on = with_last_codes(log, start, end), F.col("on")
-    this, last, two, three = (F.col(f"{n}_tag_code") for n in ("this", "last", "last_two", "last_three"))
+    phased = change_intervals(log, end).withColumn("phase", F.explode(F.array(*[F.lit(n) for n in range(4)])))
+    first, last_day = F.date_add("this_date", F.col("phase")), F.col("until")
+    codes = phased.withColumns({
+        "first": F.greatest(first, day(start)),
+        "to": F.when(F.col("phase") < 3, F.least(first, last_day)).otherwise(last_day),
+    }).filter(F.col("first") <= F.col("to"))
+    this, last, two, three = (F.col(f"{n}_tag_code") for n in NAMES)
     changed = F.col("this_date")
     active = F.lit(C.ACTIVE)
     span_two = F.date_diff(changed, F.col("last_two_date"))
     span_three = F.date_diff(changed, F.col("last_three_date"))
     steady = lambda when: (when, this == C.ACTIVE)
-    one_day, two_days = changed == F.date_sub(on, 1), changed == F.date_sub(on, 2)
-    longer = changed <= F.date_sub(on, 3)
+    one_day, two_days, longer = F.col("phase") == 1, F.col("phase") == 2, F.col("phase") == 3
     fills = [
         ((last == C.ACTIVE, span_three > 3), "last_three_tag_code", active),
         ((last == C.ACTIVE, span_two > 2), "last_two_tag_code", active),
@@ -255,11 +326,11 @@ def lifecycle_days(log: DataFrame, members: DataFrame, calendar: DataFrame, star
         "last_day_step": lifecycle_step(two, last),
         "last_two_day_step": lifecycle_step(three, two),
     }).filter(F.col("this_day_step") != 0)
-    started = (changed == on) | ((F.col("this_day_step") == 1) & (F.col("last_day_step") != 1))
-    named = stepped.join(members.select(*KEYS, "ag_name"), KEYS)
+    started = (F.col("phase") == 0) | ((F.col("this_day_step") == 1) & (F.col("last_day_step") != 1))
+    named = stepped.join(members.select(*KEYS, "ag_name"), KEYS).withColumn("on", F.explode(F.sequence("first", "to")))
     fiscal = calendar.groupBy(F.col("date").alias("on")).agg(F.max(F.struct(*WEEK)).alias("fiscal"))
     return salted_join(named, fiscal, ["on"], "left").select(
-        *KEYS, "ag_name", "user_name", on.alias("data_date"),
+        *KEYS, "ag_name", "user_name", F.col("on").alias("data_date"),
         *[F.coalesce(c, F.lit(0)).alias(f"{n}_tag_code")
           for n, c in (("this", this), ("last", last), ("last_two", two), ("last_three", three))],
         "this_day_step", "last_day_step", "last_two_day_step", started.alias("init_flag"),

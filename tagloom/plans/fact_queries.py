@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tagloom.functions.columns import conform_types, tenant_columns
 from tagloom.operators import facts, web
 from tagloom.plans.registry import AS_OF, END, START, TENANT, TODAY, query
+from tagloom.sources.sinks import materialise
 
 RANGE = "BETWEEN DATE '2024-01-03' AND DATE '2024-01-27'"
 FISCAL = "financial_year, financial_month, financial_week"
@@ -249,7 +250,7 @@ SELECT l.*, geo_country, geo_city FROM (SELECT *, CAST(split_part(ip, '.', 1) AS
    + CAST(split_part(ip, '.', 4) AS BIGINT) AS num FROM latest) n
 JOIN latest l USING (user_id, data_date, ip) LEFT JOIN ip_ranges r ON num BETWEEN ip_from AND ip_to""", {"latest": LATEST})
 def _(i):
-    return facts.login_location(facts.latest_login(i["login_raw"], START, END), i["ip_ranges"])
+    return facts.login_location(facts.latest_login(i["login_raw"], START, END), i["ip_ranges"], materialise)
 
 
 HOURLY = """SELECT t.user_id, bet_hour, data_date, CAST(dayofweek(data_date) + 1 AS INT) AS data_weekday,

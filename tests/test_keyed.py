@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from tagloom.operators import keyed
+from tagloom.sources.sinks import materialise
 from tables import rows
 
 
@@ -84,3 +85,23 @@ def test_salts_repeat_on_recomputation(skewed):
     facts = skewed_facts(skewed).repartition(8, "v")
     spread = keyed.spread_hot(facts, ["k"], keyed.hot_keys(facts, ["k"], 30))
     assert rows(spread) == rows(spread)
+
+
+def test_latest_rows_are_not_repeated_without_hot_keys(spark):
+    df = spark.range(50).select((F.col("id") % 5).alias("k"), F.col("id").alias("v"))
+    plan = keyed.latest_with_ties(df, ["k"], "v")._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Join" not in plan
+
+
+def test_points_find_the_range_that_holds_them(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so that a range spans partitions
+    try:
+        ranges = [(0, 9, "a"), (20, 1 << 24, "b"), ((1 << 24) + 5, (1 << 24) + 5, "c")]
+        points = [-3, 0, 9, 10, 19, 20, 21, 21, *range(30, 400), 1 << 23, 1 << 24, (1 << 24) + 1, (1 << 24) + 5, 1 << 40, None]
+        df = spark.createDataFrame([(p,) for p in points], "p long").repartition(5)
+        held = keyed.in_ranges(df, "p", spark.createDataFrame(ranges, "f long, t long, name string"), "f", "t", materialise)
+        expected = sorted({(p, n) for p in points if p is not None for f, t, n in ranges if f <= p <= t})
+        assert rows(held) == sorted(expected, key=repr)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert rows(keyed.in_ranges(df, "p", spark.createDataFrame([], "f long, t long, name string"), "f", "t", materialise)) == []

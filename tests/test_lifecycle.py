@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagloom.operators import lifecycle
+from tagloom.sources.sinks import materialise
 from tables import rows
 
 CODES = [None, *range(50100, 50109)]
@@ -126,3 +127,72 @@ def test_day_steps(spark):
     repeated = day_row(spark, [(3, 50102), (9, 50101), (5, 50101)], on)
     assert (repeated.last_three_tag_code, repeated.this_day_step) == (50102, 1)
     assert day_row(spark, [(4, 50107)], on) is None
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_advancing_in_parts_equals_one_run(spark, seed):
+    login, paid, bet, members = random_activity(spark, seed)
+    start, end = date(2024, 1, 5), date(2024, 7, 20)
+    facts = (login, paid, bet)
+    whole = rows(lifecycle.lifecycle_changes(*facts, members, start, end))
+    rng = random.Random(seed)
+    cuts = sorted({start + timedelta(days=rng.randrange(190)) for _ in range(4)}) + [end]
+    state, log, began = None, [], start
+    for to in cuts:
+        # rows of days that are done are gone, and rows of later days are there already
+        new = facts if state is None else [df.filter(F.col("data_date") >= F.lit(began)) for df in facts]
+        changes, state = lifecycle.advance_lifecycle(*new, members, start, to, state, materialise)
+        log += rows(changes)
+        again, same = lifecycle.advance_lifecycle(*facts, members, start, to, state, materialise)
+        assert again is None and same is state
+        began = to + timedelta(days=1)
+    assert sorted(log, key=repr) == whole
+    replayed = {r[2]: r[5] for r in sorted(whole, key=lambda r: r[4])}
+    assert {r.user_id: r.tag_code for r in state.collect()} == replayed and len(replayed) == 25
+
+
+def plain_last_codes(log, on):
+    """Four latest runs of equal codes up to a day, each by its last row."""
+    runs = []
+    for d, code in sorted(log):
+        if d <= on:
+            if runs and runs[-1][1] == code:
+                runs[-1] = (d, code)
+            else:
+                runs.append((d, code))
+    runs = runs[::-1][:4]
+    return [*runs, *[(None, None)] * (4 - len(runs))]
+
+
+def test_intervals_replay_to_the_last_codes_of_each_day(spark):
+    rng = random.Random(8)
+    first, end = date(2024, 1, 1), date(2024, 2, 10)
+    logs = {u: sorted({first + timedelta(days=rng.randrange(40)): rng.choice([50100, 50101, 50102]) for _ in range(rng.randrange(1, 14))}.items())
+            for u in range(30)}
+    df = spark.createDataFrame([(1, 1, u, f"n{u}", d, c) for u, log in logs.items() for d, c in log],
+                               f"{KEY}, user_name string, data_date date, tag_code int")
+    found = {}
+    for r in lifecycle.change_intervals(df, end).collect():
+        d = r.this_date
+        while d <= r.until:
+            assert (r.user_id, d) not in found
+            found[r.user_id, d] = [(r[f"{n}_date"], r[f"{n}_tag_code"]) for n in lifecycle.NAMES]
+            d += timedelta(days=1)
+    expected = {(u, first + timedelta(days=k)): plain_last_codes(log, first + timedelta(days=k))
+                for u, log in logs.items() for k in range(41) if first + timedelta(days=k) >= log[0][0]}
+    assert found == expected
+
+
+def test_days_of_a_range_equal_the_single_days(spark):
+    rng = random.Random(5)
+    log = spark.createDataFrame(
+        [(1, 1, u, f"n{u}", date(2024, 1, 1) + timedelta(days=d), rng.choice([50102, 50102, 50101, 50104]))
+         for u in range(25) for d in sorted(rng.sample(range(40), rng.randrange(1, 8)))],
+        f"{KEY}, user_name string, data_date date, tag_code int")
+    members = spark.createDataFrame([(1, 1, u, "a") for u in range(25)], f"{KEY}, ag_name string")
+    calendar = spark.createDataFrame([(date(2024, 1, 1) + timedelta(days=d), 2024, 1, d // 7) for d in range(60)],
+                                     "date date, fin_year int, fin_month int, fin_week int")
+    days = [date(2024, 1, 28) + timedelta(days=k) for k in range(8)]
+    single = [r for d in days for r in rows(lifecycle.lifecycle_day(log, members, calendar, d))]
+    assert rows(lifecycle.lifecycle_days(log, members, calendar, days[0], days[-1])) == sorted(single, key=repr)
+    assert len(single) > 20
