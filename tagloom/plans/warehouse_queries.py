@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from tagloom.operators import merge, warehouse
 from tagloom.plans.registry import NOW, TENANT, USER, query
 from tagloom.plans.tag_queries import run_parts, tag_day
+from tagloom.sources import ledger
+from tagloom.sources.sinks import materialise
 
 ODS_KEY = ["hall_id", "domain_id", "user_id", "tag_code"]
 MEMBER_KEY = ["hall_id", "domain_id", "user_id"]
@@ -171,3 +173,36 @@ WHERE hall_id = 1 AND domain_id = 1 AND (tag_type = 3 OR tag_code IN (40006, 400
 query("snapshot_table", """
 SELECT hall_id, NULLIF(domain_id, 0) AS domain_id, name, created_time - INTERVAL 8 HOUR AS created_time FROM config_rows""")(
     lambda i: warehouse.snapshot_table(i["config_rows"], ["created_time"]))
+
+# -- shards: wager days of which some were done when a part of their rows had not come yet --------
+EARLY = "CASE WHEN day(data_date) % 4 = 1 THEN event_id % 5 <> 0 ELSE day(data_date) % 7 <> 3 END"
+WAGER_DAYS = f"""SELECT {USER}, data_date, CAST(COUNT(*) AS BIGINT) AS wagers_total, CAST(SUM(valid_bet) AS BIGINT) AS commissionable
+ FROM {{0}} GROUP BY {USER}, data_date"""
+SHARDS = {
+    "early": f"SELECT * FROM wager WHERE {EARLY}",
+    "ledger": f"""SELECT data_date AS shard, COUNT(*) AS row_count, 'done' AS state, CAST(DATE '2024-01-30' AS {{NTZ}}) AS done_at
+ FROM early GROUP BY data_date""",
+    "stored_days": WAGER_DAYS.format("early"),
+}
+STATES = """SELECT shard, n.row_count, l.row_count AS done_count, CASE WHEN l.row_count IS NULL THEN 'new' WHEN n.row_count IS NULL THEN 'gone'
+ WHEN n.row_count <> l.row_count THEN 'late' ELSE 'done' END AS state
+ FROM (SELECT data_date AS shard, COUNT(*) AS row_count FROM wager GROUP BY data_date) n FULL OUTER JOIN ledger l USING (shard)"""
+
+
+def wager_days(rows):
+    return rows.groupBy("hall_id", "domain_id", "user_id", "data_date").agg(
+        F.count(F.lit(1)).alias("wagers_total"), F.sum("valid_bet").alias("commissionable"))
+
+
+def shard_run(i):
+    early = i.sql(f"SELECT * FROM wager WHERE {EARLY}")
+    ledger_then = early.groupBy(F.col("data_date").alias("shard")).agg(F.count(F.lit(1)).alias("row_count")).withColumns(
+        {"state": F.lit("done"), "done_at": F.lit("2024-01-30").cast("timestamp_ntz")})
+    return ledger.run_shards(i["wager"], "data_date", ledger_then, wager_days(early), wager_days, NOW, materialise)
+
+
+query("shard_rows", WAGER_DAYS.format("wager"), SHARDS)(lambda i: shard_run(i).rows)
+query("shard_ledger", f"""
+SELECT shard, COALESCE(row_count, done_count) AS row_count, 'done' AS state,
+ CASE WHEN state = 'done' THEN TIMESTAMP '2024-01-30 00:00:00' ELSE TIMESTAMP '2024-01-31 06:00:00' END AS done_at FROM ({STATES}) s""", SHARDS)(
+    lambda i: shard_run(i).ledger)

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +31,37 @@ def replace_days(df: DataFrame, path: str, column: str = "data_date") -> None:
     balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
 
 
+def merge_partitions(
+    source: DataFrame, path: str, keys: Sequence[str], partitions: Sequence[str],
+    merge: Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame],
+) -> int:
+    """Merge into a table laid out by ``partitions`` (part of the keys): only those that ``source`` has are read and written.
+
+    The partitions' names are all the driver takes. Returns how many were written;
+    a partition that the merge leaves empty keeps its rows, so ``merge`` must not delete.
+    """
+    spark = source.sparkSession
+    values = source.select(*partitions).distinct().collect()
+    if not values:
+        return 0
+    touched = reduce(or_, [reduce(and_, [F.col(c).eqNullSafe(v[c]) for c in partitions]) for v in values])
+    target = spark.read.parquet(path)
+    merged = materialise(merge(target.filter(touched), source, keys).select(*target.columns))
+    balanced = merged.hint("rebalance", *[F.col(c) for c in partitions])
+    balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+    return len(values)
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, truncate: bool = False, parts: int = 8, **options: str) -> None:
+    """Append to a database table, or with ``truncate`` empty and fill it, keeping its definition.
+
+    Each of at most ``parts`` connections commits its own rows; for all or nothing,
+    write to a staging table and let the database rename or insert from it.
+    """
+    writer = df.coalesce(parts).write.format("jdbc").options(url=url, dbtable=table, truncate=str(truncate).lower(), **options)
+    writer.mode("overwrite" if truncate else "append").save()
+
+
 def append_checked(df: DataFrame, path: str) -> int:
     """Append and compare the growth of the table with the rows given."""
     spark = df.sparkSession
