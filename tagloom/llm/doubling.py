@@ -1,15 +1,18 @@
 """Substring dedup by level-wise doubling.
 
-The last level is ``width`` words; the one before is half of it. On the lower
-level the half-long windows that winnowing picks are counted: every full window
-holds one, and where that one is not repeated no full window can be. Repeated
-ones alone are extended to twice their length. Where all the windows around two
-of them agree at once (a hash of the whole stretch), they are decided together;
-the rest are hashed and compared one by one. No candidates are left after that:
-whatever is longer consists of windows of full length.
-
-Both comparisons are one shuffle by hash and one pass over sorted rows that
-keeps only the current group's first row, so a group may have any size.
+Windows of a quarter of ``width`` words are counted first, then of half, then of
+all of it; what is not repeated at one length is not looked at again. On the
+lowest level the windows that winnowing picks are enough: every full window holds
+one, at a place its content decides, and where that one is alone no full window
+can be repeated. Where all the full windows around two of them agree at once (a
+hash of the whole stretch), they are decided together. The rest are taken window
+by window: those whose first half is repeated are extended to twice that length
+and compared whole. No candidates are left after that: whatever is longer consists
+of windows of full length.
+
+Every comparison is one shuffle by hash and one pass over sorted rows that keeps
+only the current group's first row, so a group may have any size; the hashes of
+half and of full length travel together, so the last two levels share theirs.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.repeats import resolve, unpack
-from tagloom.llm.winnow import OTHER, SCHEMA, Powers, Records, Rolling, mix, numbered, sample, settle, union, word_tokens
+from tagloom.llm.winnow import SCHEMA, Powers, Records, Rolling, mix, numbered, sample, settle, union, word_tokens
 from tagloom.sources.sinks import materialise
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -98,7 +101,8 @@ def _stretches(doc, start, stop, key) -> pa.RecordBatch:
 
 
 def _single_windows(width: int):
-    """A record for each window of the open runs of the documents given."""
+    """A record for each window of the open runs of the documents given: the hash of its first half, and of all of it."""
+    half = -(-width // 2)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
@@ -113,9 +117,8 @@ def _single_windows(width: int):
                     count = np.array([m["stop"] for m in runs.as_py() if m["key"] is not None], np.int64)
                     places = np.unique(np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum()))
                     rolled = Rolling(tokens, powers)
-                    other = Rolling(mix(tokens ^ OTHER), powers)
                     found.append(Records(
-                        mix(rolled.some(places, places + width)), mix(other.some(places, places + width)),
+                        mix(rolled.some(places, places + half)), mix(rolled.some(places, places + width)),
                         np.full(len(places), doc, np.int64), places, np.ones(len(places), np.int64),
                     ))
                 if found:
@@ -164,7 +167,7 @@ def remove_repeats(
     results. Matches never cross rows. An empty table gives no rows.
     """
     rows = numbered(docs, id, text, (id, *keep))
-    found = sample(rows, word_tokens, width, -(-width // 2))
+    found = sample(rows, word_tokens, width, -(-width // 4))
     known = materialise(compare_sorted(found, width))
 
     def single(waiting: DataFrame) -> DataFrame:

@@ -87,16 +87,16 @@ def word_tokens(texts: list[bytes], powers: Powers) -> list[np.ndarray]:
     size = 0
     for t in texts:
         if len(t) > _PIECE:
-            found += _words_together(group, powers)
-            found.append(np.concatenate(_words_together(_pieces(t), powers)))
+            found += _words_together(group)
+            found.append(np.concatenate(_words_together(_pieces(t))))
             group, size = [], 0
             continue
         group.append(t)
         size += len(t)
         if size > _PIECE:
-            found += _words_together(group, powers)
+            found += _words_together(group)
             group, size = [], 0
-    return found + _words_together(group, powers)
+    return found + _words_together(group)
 
 
 def _pieces(text: bytes) -> list[bytes]:
@@ -112,21 +112,27 @@ def _pieces(text: bytes) -> list[bytes]:
     return [*found, text[at:]]
 
 
-def _words_together(texts: list[bytes], powers: Powers) -> list[np.ndarray]:
+def _words_together(texts: list[bytes]) -> list[np.ndarray]:
     if not texts:
         return []
     if sum(map(len, texts)) > 2 * _PIECE:
-        return [w for t in texts for w in _words_together([t], powers)] if len(texts) > 1 else _words_of(texts, powers)
-    return _words_of(texts, powers)
+        return [w for t in texts for w in _words_together([t])] if len(texts) > 1 else _words_of(texts)
+    return _words_of(texts)
 
 
-def _words_of(texts: list[bytes], powers: Powers) -> list[np.ndarray]:
+def _words_of(texts: list[bytes]) -> list[np.ndarray]:
     data = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
     inside = np.concatenate([[False], ~_IS_SPACE[data], [False]])
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     first, end = edges[::2], edges[1::2]
-    rolled = Rolling(_BYTE_VALUES[data], powers).some(first, end)
-    words = mix(rolled + (end - first).astype(np.uint64))
+    sizes = end - first
+    began = np.cumsum(sizes) - sizes
+    letters = data[inside[1:-1]].astype(np.uint64)
+    place = np.arange(len(letters)) - np.repeat(began, sizes)
+    # a value for each letter at its place: unlike powers of one base, sums of these have no pattern
+    values = mix(letters + (place.astype(np.uint64) << np.uint64(8)) + np.uint64(1))
+    sums = np.add.reduceat(values, began) if len(began) else np.zeros(0, np.uint64)
+    words = mix(sums + sizes.astype(np.uint64))
     ends = np.cumsum([len(t) + 1 for t in texts])
     return np.split(words, np.searchsorted(first, ends[:-1]))
 

@@ -39,6 +39,25 @@ def test_words(spark, seed):
         assert [tuple(s) for s in got.spans] == brute.runs(covered)
 
 
+def test_long_words_of_one_pattern_differ(spark):
+    """The Thue-Morse word over a and b and its complement: equal to any polynomial hash modulo a power of two."""
+    bits = [bin(i).count("1") % 2 for i in range(1 << 12)]
+    one, two = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    same = " ".join(f"w{i}" for i in range(19))
+    rows = [(1, f"{same} {one}", 1, "x"), (2, f"{same} {two}", 1, "x"), (3, f"{one} {same}", 1, "x"), (4, f"{same} {one}", 1, "x")]
+    found = {r.doc_id: r.n_removed for r in doubling.remove_repeats(docs(spark, rows), width=20).collect()}
+    assert found == {1: 0, 2: 0, 3: 0, 4: 20}
+
+
+@pytest.mark.parametrize("period,width", [(1, 20), (3, 20), (7, 5), (25, 20), (4, 3), (2, 1)])
+def test_periodic_texts(spark, period, width):
+    rows = [(i, " ".join(f"w{(k + i) % period}" for k in range(60 + i)) + f" end{i}", 1, "x") for i in range(5)]
+    found = {r.doc_id: r for r in doubling.remove_repeats(docs(spark, rows), width=width).collect()}
+    words = [t.split() for _, t, _, _ in rows]
+    for (i, *_), own, covered in zip(rows, words, brute.repeats(words, width)):
+        assert (found[i].n_words, found[i].n_removed) == (len(own), sum(covered))
+
+
 @pytest.mark.parametrize("seed,classes", [(0, 1000), (1, 1), (2, 2)])
 def test_bytes(spark, monkeypatch, seed, classes):
     monkeypatch.setattr(suffixes, "MOST_CLASSES", classes)
