@@ -4,17 +4,21 @@ Documents longer than the longest sequence are cut into pieces. Groups of about
 equal weight are packed on their own; their number grows with the corpus, so no
 task sees more than one group at a time. In a group, pieces go from the longest
 to the shortest into the open bin with the least room that still holds them. A
-piece that fits nowhere opens a new bin. Which size is worth opening depends on
-what follows, so a group is packed once for each permitted length, opening bins
-of at least that length, then every bin is downsized to the smallest permitted
-length that holds its contents, and the packing of the least total cost counts.
+piece that fits nowhere opens a new bin of the permitted length that promises the
+least cost per token: each length is filled, for trial, with the longest pieces
+still to come that fit, downsized, and its cost divided by its tokens. At the end
+every bin is downsized to the smallest permitted length that holds its contents.
+
+As a trial fill does not know which pieces older bins will take, the group is
+also packed with bins of at least one fixed length, for each, and the packing of
+the least total cost counts.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left, insort
 from collections import deque
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -34,20 +38,51 @@ _ROW_WEIGHT = 256
 def pack(lengths: Sequence[int], capacities: Sequence[int], overhead: float) -> tuple[list[int], list[int], list[int]]:
     """Pack pieces given from the longest to the shortest: bin and offset of each, and the capacity of each bin."""
     best = None
-    for least in capacities:
-        bins, offsets, used = _best_fit(lengths, [c for c in capacities if c >= least])
-        sizes = [capacities[bisect_left(capacities, u)] for u in used]
+    ways = [_least_cost(lengths, capacities, overhead), *(_at_least(c, lengths, capacities) for c in capacities)]
+    for opened in ways:
+        bins, offsets, used = best_fit(lengths, opened)
+        sizes = downsized(used, capacities)
         cost = sum(sizes) + overhead * len(sizes)
         if best is None or cost < best[0]:
             best = cost, bins, offsets, sizes
     return best[1:]
 
 
-def _best_fit(lengths: Sequence[int], openable: Sequence[int]) -> tuple[list[int], list[int], list[int]]:
+def downsized(used: Sequence[int], capacities: Sequence[int]) -> list[int]:
+    return [capacities[bisect_left(capacities, u)] for u in used]
+
+
+def _at_least(least: int, lengths: Sequence[int], capacities: Sequence[int]) -> Callable[[int], int]:
+    openable = [c for c in capacities if c >= least]
+    return lambda at: openable[bisect_left(openable, lengths[at])]
+
+
+def _least_cost(lengths: Sequence[int], capacities: Sequence[int], overhead: float) -> Callable[[int], int]:
+    """The length of a new bin for the piece at a place; a trial takes about as many steps as a bin has pieces."""
+    falling = [-n for n in lengths]
+    end = bisect_left(falling, 0)  # pieces of length 0 fill nothing
+
+    def opened(at: int) -> int:
+        n = lengths[at]
+        best_rate, best = None, capacities[bisect_left(capacities, n)]
+        for capacity in capacities[bisect_left(capacities, max(n, 1)) :] if n else ():
+            used, room, j = n, capacity - n, at + 1
+            while room and (j := bisect_left(falling, -room, j, end) if j < end else end) < end:
+                used, room, j = used + lengths[j], room - lengths[j], j + 1
+            rate = (capacities[bisect_left(capacities, used)] + overhead) / used
+            if best_rate is None or rate < best_rate:
+                best_rate, best = rate, capacity
+        return best
+
+    return opened
+
+
+def best_fit(lengths: Sequence[int], opened: Callable[[int], int]) -> tuple[list[int], list[int], list[int]]:
+    """Bin and offset of each piece and what each bin holds; ``opened`` gives the length of a new bin for a place."""
     rooms: list[int] = []  # sorted, each once
     with_room: dict[int, deque[int]] = {}  # bins, the first opened or refilled first
     bins, offsets, used = [], [], []
-    for n in lengths:
+    for i, n in enumerate(lengths):
         at = bisect_left(rooms, n)
         if at < len(rooms):
             room = rooms[at]
@@ -55,7 +90,7 @@ def _best_fit(lengths: Sequence[int], openable: Sequence[int]) -> tuple[list[int
             if not with_room[room]:
                 del with_room[room], rooms[at]
         else:
-            room, own = openable[bisect_left(openable, n)], len(used)
+            room, own = opened(i), len(used)
             used.append(0)
         bins.append(own)
         offsets.append(used[own])
