@@ -49,8 +49,10 @@ def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
-ORACLE_SQL["op2_url_filter"] = """
-WITH parsed AS (
+ORACLE_SQL["op2_url_filter"] = f"""
+WITH two_labels AS (
+    SELECT unnest([{', '.join(repr(s) for s in urls.SUFFIXES)}]) AS name
+), parsed AS (
     SELECT page_id,
         coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1),
             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
@@ -60,10 +62,11 @@ WITH parsed AS (
     SELECT doc_id AS page_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad
     FROM labels GROUP BY doc_id
 ), hosts AS (
-    SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad,
-        array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS domain,
-        string_split(host, '.')[-1] AS suffix
-    FROM parsed LEFT JOIN known USING (page_id) GROUP BY host
+    SELECT host, n, bad, array_to_string(list_slice(labels, -1 - size, -1), '.') AS domain,
+        array_to_string(list_slice(labels, -size, -1), '.') AS suffix
+    FROM (SELECT *, CASE WHEN array_to_string(list_slice(labels, -2, -1), '.') IN (SELECT name FROM two_labels) THEN 2 ELSE 1 END AS size
+          FROM (SELECT host, string_split(host, '.') AS labels, count(bad) AS n, coalesce(sum(bad), 0) AS bad
+                FROM parsed LEFT JOIN known USING (page_id) GROUP BY host))
 ), domains0 AS (
     SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY domain, suffix
 ), suffixes0 AS (

@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.sources.sinks import materialise
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SUFFIXES = (  # of several labels, under which names are registered: configuration, common ones only
     "co.uk", "org.uk", "ac.uk", "gov.uk", "me.uk", "ltd.uk", "com.au", "net.au", "org.au", "edu.au", "gov.au", "co.nz", "org.nz",
@@ -72,7 +74,7 @@ def _last_labels(host: Column, suffixes: Sequence[str], more: int) -> Column:
     return found
 
 
-def _weight(groups: DataFrame) -> Column:
+def _weight(groups: DataFrame) -> float:
     """Weight of the beta prior: rows have ``n``, ``bad`` and the parent's share ``mu``.
 
     Pearson's statistic of the groups about their parents is, under a
@@ -83,7 +85,7 @@ def _weight(groups: DataFrame) -> Column:
     over = (F.col("bad") - F.col("n") * F.col("mu")) ** 2 / (F.col("n") * F.col("mu") * (1 - F.col("mu")))
     spread = (F.sum(over) - F.count("n")) / F.greatest(F.sum("n") - F.count("n"), F.lit(1))
     spread = F.least(F.greatest(F.coalesce(spread, F.lit(0.001)), F.lit(0.001)), F.lit(0.5))
-    return seen.agg((1 / spread - 1).alias("w")).scalar()
+    return seen.agg((1 / spread - 1).alias("w")).first()["w"]
 
 
 def reputations(outcomes: DataFrame, z: float = 1.645, suffixes: Sequence[str] = SUFFIXES) -> DataFrame:
@@ -92,23 +94,22 @@ def reputations(outcomes: DataFrame, z: float = 1.645, suffixes: Sequence[str] =
     ``outcomes`` has ``host`` and ``bad`` (0, 1 or null for a page without label),
     a row for each page. Hosts without labelled pages take the posterior of
     their domain as prior. With no labels at all there is no bound, and no host is blocked.
-    ``suffixes`` are those of several labels.
+    ``suffixes`` are those of several labels. Hosts are counted once, into a table;
+    the driver takes five numbers of it.
     """
-    hosts = outcomes.groupBy("host").agg(
+    hosts = materialise(outcomes.groupBy("host").agg(
         F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).cast("long").alias("bad")
-    ).withColumns({"domain": domain_of(F.col("host"), suffixes), "suffix": suffix_of(F.col("host"), suffixes)})
+    ).withColumns({"domain": domain_of(F.col("host"), suffixes), "suffix": suffix_of(F.col("host"), suffixes)}))
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     tops = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    evidence = tops.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
-    overall = tops.agg(
-        ((F.coalesce(F.sum("bad"), F.lit(0)) + 1.0) / (F.coalesce(F.sum("n"), F.lit(0)) + 2.0)).alias("mu")
-    ).scalar()
-    tops = tops.withColumn("mu", overall)
-    tops = tops.withColumn("w", _weight(tops))
+    seen = tops.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).first()
+    evidence = F.lit(seen["n"])
+    tops = tops.withColumn("mu", F.lit((seen["bad"] + 1.0) / (seen["n"] + 2.0)))
+    tops = tops.withColumn("w", F.lit(_weight(tops)))
     domains = domains.join(tops.select("suffix", _share().alias("mu")), "suffix")
-    domains = domains.withColumn("w", _weight(domains))
+    domains = domains.withColumn("w", F.lit(_weight(domains)))
     hosts = hosts.join(domains.select("domain", _share().alias("mu")), "domain")
-    hosts = hosts.withColumn("w", _weight(hosts))
+    hosts = hosts.withColumn("w", F.lit(_weight(hosts)))
     total = F.col("n") + F.col("w")
     share = _share()
     return hosts.select(

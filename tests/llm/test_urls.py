@@ -73,12 +73,54 @@ def test_repeats_nulls_and_empty(spark):
     assert judged(spark, []).collect() == []
 
 
+def test_sql_agrees_where_hosts_are_blocked(spark, tmp_path):
+    """Hosts of different reputation, also under suffixes of two labels, which the given tables do not have."""
+    duckdb = pytest.importorskip("duckdb")
+    rows, labels = [], []
+    hosts = [("bad.co.uk", 200, 190), ("x.bad.co.uk", 1, 1), ("fine.co.uk", 200, 2), ("y.fine.co.uk", 1, 1), ("bad.net", 90, 80),
+             ("z.bad.net", 4, 0), ("good.org", 50, 50), ("shop.com.au", 60, 1), ("other.com", 40, 10), ("co.uk", 3, 0)]
+    for host, n, bad in hosts:
+        for k in range(n):
+            rows.append((len(rows), f"https://{host}/p{k}", "<html>"))
+            labels.append((len(rows) - 1, int(k >= bad), 0))
+    rows += [(len(rows), "http://new.bad.co.uk/", ""), (len(rows) + 1, "http://new.fine.co.uk/", ""), (len(rows) + 2, None, "")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    found = QUERIES["op2_url_filter"](spark, str(tmp_path)).collect()
+    verdicts = {(r.host, r.verdict) for r in found}
+    assert verdicts >= {("bad.co.uk", "block"), ("new.bad.co.uk", "block"), ("bad.net", "block"), ("good.org", "allow"),
+                        ("fine.co.uk", "allow"), ("new.fine.co.uk", "allow"), ("shop.com.au", "allow")}
+    con = duckdb.connect()
+    for t in ("pages", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    expected = con.execute(ORACLE_SQL["op2_url_filter"]).fetchall()
+    assert sorted(map(repr, expected)) == sorted(repr(tuple(r)) for r in found)
+
+
+def test_plan_is_small(spark):
+    rows = [(k, f"http://h{k % 7}.a{k % 3}.net/", "x", 1) for k in range(50)]
+    plan = judged(spark, rows, [(k, k % 2) for k in range(50)])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") < 20
+
+
+def test_very_long_urls_and_equally_long_rules(spark):
+    long = "http://a.org/" + "x" * 100_000
+    host = ".".join(["l"] * 20_000) + ".com"
+    pages = spark.createDataFrame([(1, long), (2, f"http://{host}/fr/"), (3, "http://c.com/ab/")], "page_id long, url string")
+    none = spark.createDataFrame([], "id long, bad int")
+    found = {r.page_id: r for r in urls.judge(pages, none, [*URL_RULES, ("allow", "com/ab"), ("block", "com/a/")]).collect()}
+    assert found[1].rule == "org/" and len(found[1].path) == 100_001 and found[2].host == host and found[2].rule == "com/fr/"
+    # of equally long rules the smaller text wins
+    tied = urls.judge(pages, none, [("block", "com/ab"), ("allow", "c.com/")]).filter("page_id = 3").first()
+    assert (tied.rule, tied.verdict) == ("c.com/", "allow")
+
+
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test data not present")
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_queries_equal_their_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "benchmark", "labels"):
+    for t in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{FOLDER}/{t}.parquet'")
     df = QUERIES[name](spark, FOLDER)
     columns = sorted(df.columns)
