@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.llm.urls import ascii_lower
+from tagloom.operators.keyed import hot_key_join
 from tagloom.sources.sinks import materialise
 
 SHINGLE = 5
@@ -50,7 +51,10 @@ def item_windows(items: DataFrame, id: str, text: str, window: int) -> DataFrame
 
 
 def _positions(docs: DataFrame, sizes: list[int], first: int) -> DataFrame:
-    """A row for each shingle of each document: ``at`` and the hash ``h``; with ``first`` -1 also one row at -1."""
+    """A row for each shingle of each document: ``at`` and the hash ``h``; with ``first`` -1 also one row at -1.
+
+    That row's hash is of the row's number, so that these rows do not meet.
+    """
     spread = docs.select("*", F.explode(F.sequence(F.lit(first), F.size("words"))).alias("at"))
     size = F.col("size")
     if len(sizes) > 1:
@@ -62,7 +66,9 @@ def _positions(docs: DataFrame, sizes: list[int], first: int) -> DataFrame:
         key = F.when(size == s, _hash(F.col("words"), F.col("at"), s)).otherwise(key)
     inside = (F.col("at") >= 0) & (F.col("at") + size <= F.size("words"))
     marker = (F.col("at") == -1) & (size == sizes[0])
-    return spread.filter(inside | marker).withColumn("h", F.when(F.col("at") >= 0, key).otherwise(F.lit(0)).cast("long"))
+    if first < 0:
+        key = F.when(F.col("at") >= 0, key).otherwise(F.xxhash64("row"))
+    return spread.filter(inside | marker).withColumn("h", key.cast("long"))
 
 
 def find_windows(docs: DataFrame, windows: DataFrame, keep: list[str], words: str) -> DataFrame:
@@ -94,12 +100,7 @@ def find_windows(docs: DataFrame, windows: DataFrame, keep: list[str], words: st
     rarest = ranked.groupBy("wid").agg(
         F.min_by(F.struct("w", "offset", "h", "n"), F.struct(F.coalesce("n", F.lit(0)), "h", "offset")).alias("p")
     )
-    prefix = rarest.filter(F.col("p.n") > 0).select("wid", "p.w", "p.offset", "p.h")
-    marker = windows.sparkSession.range(1).select(
-        F.lit(None).cast("long").alias("wid"), F.lit(None).cast("array<string>").alias("w"),
-        F.lit(None).cast("int").alias("offset"), F.lit(0).cast("long").alias("h"),
-    )
-    prefix = materialise(prefix.unionByName(marker))
+    prefix = materialise(rarest.filter(F.col("p.n") > 0).select("wid", "p.w", "p.offset", F.col("p.h").alias("prefix_h")))
     spread = _positions(numbered, sizes, -1).withColumn("n_words", F.size("words"))
     if prefix.count() <= MOST_WINDOWS:
         prefix, around = F.broadcast(prefix), None
@@ -111,9 +112,8 @@ def find_windows(docs: DataFrame, windows: DataFrame, keep: list[str], words: st
     local = start if around is None else start - around
     fits = (start >= 0) & (start + F.size("w") <= F.col("n_words"))
     same = F.slice("words", F.when(fits, local + 1).otherwise(F.lit(1)), F.size("w")) == F.col("w")
-    met = spread.join(prefix, "h").filter(
-        ((F.col("at") == -1) & F.col("wid").isNull()) | ((F.col("at") >= 0) & F.col("wid").isNotNull() & fits & same)
-    )
+    met = spread.join(prefix, (F.col("h") == F.col("prefix_h")) & (F.col("at") >= 0), "left").filter(
+        (F.col("at") == -1) | (F.col("wid").isNotNull() & fits & same))
     return materialise(met.select(
         *keep, "row", F.col("n_words").cast("long").alias("n_words"), F.when(F.col("at") >= 0, start).alias("start"), "wid"
     ))
@@ -140,10 +140,7 @@ def contamination(
     open_ = F.greatest("start", F.coalesce(F.max("end").over(before), F.lit(0)))
     covered = hits.select("row", F.greatest(F.col("end") - open_, F.lit(0)).alias("new"))
     covered = covered.groupBy("row").agg(F.sum("new").cast("long").alias("n_hit"))
-    met = found.filter(F.col("start").isNotNull()).select("row", "wid").distinct().join(windows.select("wid", "items"), "wid")
-    names = met.select("row", F.explode_outer("items").alias("item")).groupBy("row").agg(
-        F.array_sort(F.collect_set("item")).alias("items")
-    )
+    names = _item_lists(found.filter(F.col("start").isNotNull()).select("row", "wid"), windows)
     rows = found.filter(F.col("start").isNull()).select(*kept, "row", "n_words")
     joined = rows.join(covered, "row", "left").join(names, "row", "left")
     return joined.select(
@@ -152,6 +149,23 @@ def contamination(
     )
 
 
+def _item_lists(met: DataFrame, windows: DataFrame) -> DataFrame:
+    """``items`` of each ``row``: the ids of all windows met, sorted.
+
+    A window may belong to many items and to many documents. Windows with equal
+    items are one list, rows with equal sets of lists one class, and a class's
+    lists are joined once.
+    """
+    same_items = Window.partitionBy("items")
+    listed = materialise(windows.filter(F.size("items") > 0).select("wid", F.min("wid").over(same_items).alias("list"), "items"))
+    classes = materialise(met.join(listed.select("wid", "list"), "wid").groupBy("row").agg(
+        F.array_sort(F.collect_set("list")).alias("lists")))
+    members = classes.select("lists").distinct().select("lists", F.explode("lists").alias("list"))
+    joined = members.join(listed.filter("wid = list").select("list", "items"), "list").select("lists", F.explode("items").alias("item"))
+    whole = joined.groupBy("lists").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    return hot_key_join(classes, whole, ["lists"]).select("row", "items")
+
+
 def contaminated(n_hit: Column, n_words: Column) -> Column:
     """At least a twentieth of the words are hit."""
     return (n_hit > 0) & (20 * n_hit >= n_words)

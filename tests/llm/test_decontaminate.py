@@ -50,3 +50,15 @@ def test_long_texts_empty_tables_and_clean(spark):
     assert sorted((r.doc_id, r.text[:5]) for r in kept.collect()) == [(1, "other"), (2, "fine"), (3, "word0")]
     assert {r.n_hit for r in run(spark, docs, [], 13)[2]} == {0}
     assert run(spark, [], [(7, passage, 1)], 13)[2] == []
+
+
+def test_a_window_of_many_items_in_many_documents(spark):
+    passage = " ".join(f"word{i}" for i in range(13))
+    other = " ".join(f"more{i}" for i in range(13))
+    items = [(i, passage + (f" {other}" if i % 2 else ""), 1) for i in range(40)] + [(99, other, 1)]
+    docs = [(k, [passage, other, f"{passage} {other}", f"{other} {passage}"][k % 4], "x", 1) for k in range(60)]
+    _, _, found = run(spark, docs, items, 13)
+    everyone = sorted(str(i) for i in range(40))
+    odd = sorted([str(i) for i in range(1, 40, 2)] + ["99"])
+    expected = [everyone, odd, sorted({*everyone, *odd}), sorted({*everyone, *odd})]
+    assert all(r["items"] == expected[r.doc_id % 4] for r in found) and len(found) == 60
