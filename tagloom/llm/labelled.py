@@ -7,9 +7,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tagloom.sources.sinks import materialise
+
 
 def held_out(id: Column, modulus: int, remainder: int) -> Column:
     """Whether crc32 of the id as text leaves ``remainder``; false for a null id."""
@@ -28,7 +30,7 @@ class Sample:
 
 def training_sample(
     docs: DataFrame, labels: DataFrame, label: str, per_class: int, id: str = "doc_id", text: str = "text",
-    lang: str | None = None, cut: Callable[[str], tuple[bytes, bytes]] | None = None,
+    lang: str | None = None, cut: Callable[[str], tuple[bytes, bytes]] | None = None, most_bytes: int = 1 << 26,
 ) -> Sample:
     """At most ``per_class`` labelled documents of each class, those with the smallest hashes of their ids.
 
@@ -36,6 +38,8 @@ def training_sample(
     documents. Of repeated labels the larger counts, of documents with one id the
     smallest text; null labels and ids and null texts are left out. Whole texts are
     taken; with ``cut`` they stay in the tasks, and only what it makes of them is collected.
+    What is collected of a class, in the order of the hashes, ends before it exceeds
+    ``most_bytes`` (the first document always counts), so very long texts do not fill the driver.
     """
     known = labels.filter(F.col(label).isin(0, 1) & F.col(id).isNotNull())
     known = known.groupBy(F.col(id).alias("_id")).agg(F.max(label).cast("int").alias("_y"))
@@ -59,7 +63,13 @@ def training_sample(
                 yield some[["_id", "_y", "_l"]].assign(_a=list(a), _b=list(b))
 
         taken = taken.mapInPandas(run, taken.drop("_t").schema.add("_a", "binary").add("_b", "binary"))
-    rows = taken.toPandas()  # at most per_class rows a class, whatever the size
+    parts = [F.col(c) for c in ("_t", "_a", "_b") if c in taken.columns]
+    taken = materialise(taken.withColumn("_n", sum((F.octet_length(c) for c in parts), F.lit(0)).cast("long")))
+    in_order = Window.partitionBy("_y").orderBy(F.xxhash64("_id"), "_id")  # at most per_class ids and sizes
+    total, place = F.sum("_n").over(in_order), F.row_number().over(in_order)
+    fits = taken.select("_id", "_y", total.alias("_total"), place.alias("_place")).filter(
+        (F.col("_total") <= most_bytes) | (F.col("_place") == 1)).select("_id")
+    rows = taken.drop("_n").join(fits, "_id").toPandas()  # bounded in rows and in bytes, whatever the size
     rows = rows.sort_values("_id", kind="stable", ignore_index=True)
     y = rows["_y"].to_numpy(np.int64)
     taken = np.bincount(y, minlength=2)

@@ -121,7 +121,7 @@ def pack_documents(
     lengths: DataFrame, id: str = "doc_id", length: str = "n_tokens", capacities: Sequence[int] = CAPACITIES,
     overhead: float = OVERHEAD, group_weight: int = GROUP_WEIGHT,
 ) -> DataFrame:
-    """Place every row of ``lengths``; a row longer than the largest capacity takes several pieces.
+    """Place every row of ``lengths`` (ids are whole numbers); a row longer than the largest capacity takes several pieces.
 
     Returns ``id``, ``piece`` (from 0), ``start`` (of the piece in its document),
     ``n_tokens``, ``bin``, ``capacity`` (of the bin) and ``offset`` (of the piece in

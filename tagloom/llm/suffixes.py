@@ -11,20 +11,25 @@ equal stretches the later is repeated, whichever came first.
 
 Where suffixes agree in their first bytes only, the strings around them are
 compared in a second family that holds each string by itself.
+
+``add_documents`` keeps the family between runs: its levels are tables, and a new
+batch of documents is scanned against them.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.llm.repeats import resolve, unpack
 from tagloom.llm.winnow import OTHER, SCHEMA, Powers, Records, Rolling, byte_tokens, mix, numbered, sample, settle, union
 from tagloom.sources.sinks import materialise
+from tagloom.sources.versions import publish, published_version, read_published
 
 BATCH = 1 << 17
 MOST_CLASSES = 1000  # a fingerprint with more different surroundings is compared string by string over all tasks
@@ -249,3 +254,79 @@ def remove_repeats(
         F.col("c0").alias(id), *[F.col(f"c{i + 1}").alias(k) for i, k in enumerate(keep)], F.col("n").alias("n_bytes"),
         F.col("removed").alias("n_removed"), "spans", "kept",
     )
+
+
+LEVEL = "key bigint, context bigint, doc bigint, start bigint, n bigint"
+
+
+def _manifest(spark: SparkSession, root: str) -> list:
+    """Folders of the levels (the oldest first, with their rows) and of the texts: some dozens of rows at any size."""
+    if published_version(spark, root) is None:
+        return []
+    return read_published(spark, root, "manifest").orderBy("place").collect()
+
+
+def _store_level(records: DataFrame, root: str) -> tuple[str, int]:
+    """Write a level, sorted by fingerprints; its folder and its number of rows."""
+    path = f"{root}/levels/{uuid.uuid4()}"
+    records.repartitionByRange("key", "context").sortWithinPartitions("key", "context").write.parquet(path)
+    return path, records.sparkSession.read.parquet(path).count()
+
+
+def add_documents(
+    docs: DataFrame, root: str, id: str = "doc_id", text: str = "text", width: int = 100, keep: tuple[str, ...] = (),
+    digest: bool = False,
+) -> DataFrame:
+    """``remove_repeats`` for a new batch of documents against all batches added to the index in ``root`` before.
+
+    Returns the rows of the batch, as if it had been judged together with the earlier
+    ones, and adds it to the index. Ids are whole numbers, distinct, and larger than
+    those of earlier batches. Of the stored levels only records whose first half the
+    batch has as well are read on; texts of earlier documents are compared where the
+    halves agree and the surroundings do not. The batch's new records become a level
+    of their own, and levels of about equal size are merged, so that there are only
+    logarithmically many. Levels and texts count from the moment the new version of
+    the index is published: a failed batch changes nothing.
+    """
+    spark = docs.sparkSession
+    rows = docs.select(
+        F.col(id).cast("long").alias("doc"), F.col(text).alias("text"), *[F.col(k).alias(f"c{i}") for i, k in enumerate((id, *keep))])
+    base, stored = published_version(spark, root), _manifest(spark, root)
+    ids = rows.agg(F.min("doc").alias("first"), F.count("doc").alias("n"), F.count_distinct("doc").alias("distinct"),
+                   F.count(F.lit(1)).alias("all"), F.max("doc").alias("last")).first()
+    newest = max((r["last"] for r in stored), default=None)
+    if not ids["n"] == ids["distinct"] == ids["all"] or (ids["n"] and newest is not None and ids["first"] <= newest):
+        raise ValueError("ids must be distinct and larger than those of earlier batches")
+    levels = [(r["path"], r["rows"]) for r in stored if r["kind"] == "level"]
+    texts = [r["path"] for r in stored if r["kind"] == "texts"]
+
+    found = materialise(sample(rows, byte_tokens, width, width // 2))
+    own = found.filter("NOT done").drop("done")
+    index = spark.read.schema(LEVEL).parquet(*[p for p, _ in levels]) if levels else spark.createDataFrame([], LEVEL)
+    met = index.join(own.select("key").distinct(), "key", "left_semi").withColumn("done", F.lit(False))
+    known = match_suffixes(found.unionByName(met.select(*found.columns)), width)
+    is_new = F.lit(True) if newest is None else F.col("doc") > newest
+    known = materialise(known.filter(is_new | F.col("key").isNotNull()))
+    asked = rows
+    if texts:
+        waiting = known.filter(~is_new).select("doc").distinct()
+        asked = rows.unionByName(
+            spark.read.schema("doc bigint, text string").parquet(*texts).join(waiting, "doc", "left_semi"), allowMissingColumns=True)
+    done = resolve(asked, known, _cut, digest, lambda open_: compare_strings(open_, width)).filter(is_new)
+
+    classes = own.groupBy("key", "context").agg(F.min(F.struct("doc", "start", "n")).alias("first")).select("key", "context", "first.*")
+    levels.append(_store_level(classes.join(index, ["key", "context"], "left_anti"), root))
+    while len(levels) > 1 and levels[-2][1] <= 2 * levels[-1][1]:
+        (a, _), (b, _) = levels.pop(), levels.pop()
+        levels.append(_store_level(spark.read.schema(LEVEL).parquet(a, b), root))
+    path = f"{root}/texts/{uuid.uuid4()}"
+    rows.select("doc", "text").write.parquet(path)
+    result = materialise(done.select(
+        F.col("c0").alias(id), *[F.col(f"c{i + 1}").alias(k) for i, k in enumerate(keep)], F.col("n").alias("n_bytes"),
+        F.col("removed").alias("n_removed"), "spans", "kept"))
+    last = max((x for x in (newest, ids["last"]) if x is not None), default=None)
+    entries = [("level", p, n) for p, n in levels] + [("texts", p, 0) for p in [*texts, path]]
+    manifest = spark.createDataFrame(
+        [(k, *e, last) for k, e in enumerate(entries)], "place int, kind string, path string, rows bigint, last bigint")
+    publish({"manifest": manifest.coalesce(1)}, root, based_on=base)
+    return result

@@ -53,6 +53,8 @@ class Encoder:
         self.merge = self.whole.model.tokenize
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.split, self.plain = re.compile(PIECES).findall, re.compile(PLAIN).fullmatch
+        if not _splits_by_pieces(self.whole):
+            self.plain = lambda text: None  # every text goes to the library whole
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -78,5 +80,17 @@ class Encoder:
             return b"".join(map(known.__getitem__, pieces))
 
 
+def _splits_by_pieces(whole) -> bool:
+    """Whether a tokenizer cuts texts by the fixed pattern and then merges bytes; others cut or change them in their own way."""
+    from tokenizers import models, pre_tokenizers
+
+    cut, model = whole.pre_tokenizer, whole.model
+    return (
+        isinstance(cut, pre_tokenizers.ByteLevel) and cut.use_regex and not cut.add_prefix_space and whole.normalizer is None
+        and isinstance(model, models.BPE) and not model.continuing_subword_prefix and not model.end_of_word_suffix
+        and not model.dropout and not model.byte_fallback and not model.ignore_merges
+    )
+
+
 def _named(piece: str) -> str:
     return piece.encode().decode("latin-1").translate(_BYTE_NAMES)

@@ -136,7 +136,7 @@ def neighbours(
     table: DataFrame, is_query: Column, k: int = 20, factor: float = 1.0, id: str = "vec_id", vector: str = "embedding",
     shard_rows: int = SHARD_ROWS,
 ) -> DataFrame:
-    """The ``k`` nearest rows of ``table`` for each of its rows that meets ``is_query``, by largest inner product.
+    """The ``k`` nearest rows of ``table`` (ids are whole numbers) for each of its rows that meets ``is_query``, by largest inner product.
 
     Returns ``query_id``, ``rank`` (from 1), ``id`` and ``score`` (in double
     precision); fewer rows if there are fewer candidates; ties go to the smaller

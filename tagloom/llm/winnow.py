@@ -282,7 +282,7 @@ def sample(docs: DataFrame, tokens: Callable, width: int, gram: int, most: int =
 
 
 def numbered(docs: DataFrame, id: str, text: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``doc`` (in the order of the ids), ``text`` and the columns ``keep`` under the names c0, c1, ...
+    """``doc`` (in the order of the ids, which are whole numbers), ``text`` and the columns ``keep`` under the names c0, c1, ...
 
     ``doc`` is the id itself if ids are distinct and not null. Otherwise rows
     with one id are ordered by a hash of their texts (null ids come first), and

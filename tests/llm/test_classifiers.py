@@ -117,3 +117,11 @@ def test_held_out_accuracy(spark, name, label, least):
     found = QUERIES[name](spark, FOLDER).join(spark.read.parquet(f"{FOLDER}/labels.parquet"), "doc_id")
     row = found.filter("held_out").agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("predicted") == F.col(label)).cast("int")).alias("right")).first()
     assert row.n > 500 and row.right >= least
+
+
+def test_score_may_have_any_name(spark):
+    texts, labels = toy(60)
+    model = convnet.train(texts, labels, np.ones(len(texts)), [None] * len(texts), buckets=1 << 10, epochs=1)
+    docs = spark.createDataFrame([("good", 7)], "text string, score int")
+    row = convnet.score(docs, model, keep=("score",), name="own").first()
+    assert row.score == 7 and 0 <= row.own <= 1

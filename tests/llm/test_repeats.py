@@ -93,6 +93,22 @@ def test_family_keeps_the_earliest_place_in_any_order():
     assert len(family.levels) <= 8
 
 
+@pytest.mark.parametrize("seed", [0, 3])
+def test_batches_added_one_by_one_equal_one_run(spark, tmp_path, seed):
+    rows = [(3 * i, t + "é" * (i % 3), 1, f"k{i}") for i, t in enumerate(texts(seed))]
+    rows[7] = (21, None, 1, "null")
+    whole = {r.doc_id: r for r in suffixes.remove_repeats(docs(spark, rows), width=24, keep=("key",)).collect()}
+    root, found = f"{tmp_path}/index", {}
+    cuts = [0, 6, 10, 14, 15, 15, 30, len(rows)]  # an empty batch as well
+    for a, b in zip(cuts, cuts[1:]):
+        found |= {r.doc_id: r for r in suffixes.add_documents(docs(spark, rows[a:b]), root, width=24, keep=("key",)).collect()}
+    assert found == whole
+    sizes = [r["rows"] for r in suffixes._manifest(spark, root) if r["kind"] == "level"]
+    assert all(a > 2 * b for a, b in zip(sizes, sizes[1:])) and len(sizes) <= 5
+    with pytest.raises(ValueError):
+        suffixes.add_documents(docs(spark, [(3, "again", 1, "x")]), root, width=24)
+
+
 @pytest.mark.parametrize("remove,width", [(doubling.remove_repeats, 5), (suffixes.remove_repeats, 16)])
 def test_nulls_repeats_empty_and_long_texts(spark, remove, width):
     long = " ".join(f"word{i}" for i in range(60_000))

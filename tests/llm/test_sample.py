@@ -43,3 +43,16 @@ def test_quality_stage_with_a_column_named_score(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "a b", "mine", 2)], "doc_id long, text string, score string, n_chars int")
     found = corpus_pipeline.quality(spark, docs, "")
     assert found.columns == docs.columns and found.collect() == docs.collect()
+
+
+def test_sample_is_bounded_in_bytes(spark):
+    rows = [(i, "x" * (10 if i % 2 else 1000)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    whole = labelled.training_sample(docs, labels, "quality", 25)
+    bounded = labelled.training_sample(docs, labels, "quality", 25, most_bytes=4500)
+    assert sorted(map(len, whole.texts)) == [10] * 25 + [1000] * 25
+    assert sorted(map(len, bounded.texts)) == [10] * 25 + [1000] * 4
+    assert set(bounded.texts) <= set(whole.texts)
+    one = labelled.training_sample(docs, labels, "quality", 25, most_bytes=1)
+    assert sorted(map(len, one.texts)) == [10, 1000]

@@ -152,3 +152,10 @@ def test_queries(spark):
     for r in packed:
         sums[r.doc_id] = sums.get(r.doc_id, 0) + r.n_tokens
     assert sums == {i: len(x) for (i, _), x in zip(texts, ids)}
+
+
+def test_a_vocabulary_with_another_way_of_cutting_goes_to_the_library():
+    path = vocabulary("word_bpe_49k.json")
+    whole, encode = tokenizers.Tokenizer.from_file(path), encoder(path)
+    for text in ("Hello, World!  12 a_b", "don't\n\nSTOP", " é ü", "x"):
+        assert np.frombuffer(encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
