@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -15,6 +16,7 @@ def local_session(cores: str | int = "*", name: str = "tagloom") -> SparkSession
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.checkpoint.dir", os.environ.get("TAGLOOM_CHECKPOINTS", f"{tempfile.gettempdir()}/tagloom-checkpoints"))
         .config("spark.driver.memory", os.environ.get("TAGLOOM_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )

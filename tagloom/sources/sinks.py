@@ -95,14 +95,27 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession) -> str:
-    """A new path in the shared checkpoint folder; it is deleted when the driver's session ends."""
+    """A new path in the shared checkpoint folder; it is deleted by ``drop_scratch``, or when the driver's session ends."""
     path = f"{checkpoint_folder(spark)}/{uuid.uuid4()}"
+    _SCRATCH.append(path)
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
     return path
 
 
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables made so far, once the results that read them are written or collected; returns their number."""
+    paths, _SCRATCH[:] = list(_SCRATCH), []
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Cut the lineage by writing a table in the shared checkpoint folder.
 

@@ -53,6 +53,14 @@ def test_materialise_reads_back_from_the_checkpoint_folder(spark):
     assert all(folder in f for f in cut.inputFiles())
 
 
+def test_scratch_tables_can_be_dropped_within_a_session(spark):
+    sinks.drop_scratch(spark)
+    cut = sinks.materialise(spark.range(3))
+    files = [f.split(":")[-1] for f in cut.inputFiles()]
+    assert all(os.path.exists(f) for f in files) and sinks.drop_scratch(spark) == 1
+    assert not any(os.path.exists(f) for f in files) and sinks.drop_scratch(spark) == 0
+
+
 def test_checkpoint_folder_must_be_shared_on_a_cluster():
     session = Mock()
     session.sparkContext.master = "yarn"
