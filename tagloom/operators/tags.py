@@ -21,8 +21,7 @@ from tagloom.functions.codes import KEYS, ODS_COLUMNS, WHO
 from tagloom.functions.columns import (
     band_by_threshold, code_for, day, days_before, holds, iso_date, mask_prefix, of_tenant,
 )
-from tagloom.operators.activity import deposit_page_visits
-from tagloom.operators.keyed import best_by_group, hot_key_join, last_k_per_group, salted_join
+from tagloom.operators.keyed import best_by_group, hot_key_join, salted_join
 
 
 def exact(number: str) -> Column:
@@ -363,34 +362,30 @@ def tag_hesitate(
     """Interested without acting.
 
     Never deposited but logged in, or looked at deposit pages, three times in
-    two weeks; or no bet and no deposit after the fifth-last login day.
+    two weeks; or no bet and no deposit after the fifth-last login day. All signs
+    of a member are one list of rows and one grouping.
     """
-    logged_in = (
-        login.filter(F.col("data_date") >= days_before(as_of, days)).groupBy(*KEYS)
-        .agg(F.sum("login_count").alias("n")).filter(F.col("n") >= visits)
-    )
-    browsed = (
-        deposit_page_visits(ga_page, members, as_of, days).groupBy(*KEYS)
-        .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= visits)
-    )
-    login_days = login_raw.filter(F.col("result") == 1).select(*KEYS, "data_date").distinct()
-    oldest = (
-        last_k_per_group(login_days, KEYS, [F.col("data_date").desc()], recent_logins)
-        .groupBy(*KEYS).agg(F.min("data_date").alias("oldest"))
-    )
-    signal = lambda df, interested, day_: df.select(*KEYS, interested.alias("interested"), day_.alias("oldest"))
-    no_day = F.lit(None).cast("date")
-    signals = (
-        signal(logged_in, F.lit(True), no_day).unionByName(signal(browsed, F.lit(True), no_day))
-        .unionByName(signal(oldest, F.lit(False), F.col("oldest")))
-        .groupBy(*KEYS).agg(F.bool_or("interested").alias("interested"), F.max("oldest").alias("oldest"))
-    )
-    paid = deposits15.groupBy(*KEYS).agg(F.sum("deposit_count").alias("deposits"), F.max("data_date").alias("paid_on"))
-    bet = bets15.groupBy(*KEYS).agg(F.max("data_date").alias("bet_on"))
-    never_paid = F.coalesce("deposits", F.lit(0)) == 0
+    nothing = {
+        "logins": F.lit(None).cast("long"), "visits": F.lit(None).cast("long"), "login_day": F.lit(None).cast("date"),
+        "deposits": F.lit(None).cast("long"), "paid_on": F.lit(None).cast("date"), "bet_on": F.lit(None).cast("date"),
+    }
+    signs = lambda df, **given: df.select(*KEYS, *[c.alias(n) for n, c in {**nothing, **given}.items()])
+    pages = ga_page.filter(F.col("page_path").contains("deposit") & (F.col("data_date") >= days_before(as_of, days)))
+    rows = reduce(DataFrame.unionByName, [
+        signs(login.filter(F.col("data_date") >= days_before(as_of, days)), logins=F.col("login_count")),
+        signs(pages.select(*KEYS, "page_path", "data_date").distinct(), visits=F.lit(1).cast("long")),
+        signs(login_raw.filter(F.col("result") == 1), login_day=F.col("data_date")),
+        signs(deposits15, deposits=F.col("deposit_count"), paid_on=F.col("data_date")),
+        signs(bets15, bet_on=F.col("data_date")),
+    ])
+    latest_days = F.slice(F.sort_array(F.collect_set("login_day"), asc=False), 1, recent_logins)
+    found = rows.groupBy(*KEYS).agg(
+        F.sum("logins").alias("logins"), F.sum("visits").alias("visits"), F.array_min(latest_days).alias("oldest"),
+        F.sum("deposits").alias("deposits"), F.max("paid_on").alias("paid_on"), F.max("bet_on").alias("bet_on"))
+    known = found.join(members.select(*WHO), KEYS)
+    interested = holds(F.col("logins") >= visits) | holds((F.col("visits") >= visits) & F.col("user_name").isNotNull())
     idle = holds((F.col("oldest") >= F.col("paid_on")) & (F.col("oldest") >= F.col("bet_on")))
-    found = signals.join(paid, KEYS, "left").join(bet, KEYS, "left").filter((F.col("interested") & never_paid) | idle)
-    return ods_rows(found.select(*KEYS).join(members.select(*WHO), KEYS), C.HESITATE)
+    return ods_rows(known.filter((interested & (F.coalesce("deposits", F.lit(0)) == 0)) | idle), C.HESITATE)
 
 
 def tag_term(bets15: DataFrame, today: date, terms: list = C.TERM) -> DataFrame:
