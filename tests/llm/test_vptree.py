@@ -39,7 +39,7 @@ def test_exact_with_ties_copies_and_unusable_vectors(spark, monkeypatch, leaf, s
         (580, [float("nan"), 1.0, 1.0, 1.0], 1, "x"), (600, [float("inf")] * 4, 1, "x"), (None, [1.0] * 4, 1, "x"),
         (620, [2.0, 1.0], 1, "x"), (621, [1.0, 1.0], 1, "x"),
     ]
-    got = vptree.neighbours(table(spark, rows), F.col("vec_id") % 20 == 0, k=7, shard_rows=90)
+    got = vptree.neighbours(table(spark, rows), F.col("vec_id") % 20 == 0, k=7, shard_rows=90, cell_rows=20)
     assert sorted(map(tuple, got.collect())) == brute(rows, 7, 20)
 
 
@@ -64,9 +64,42 @@ def test_fewer_candidates_and_empty(spark):
 def test_several_vectors_of_one_id_take_no_places(spark, monkeypatch, leaf):
     monkeypatch.setattr(vptree, "LEAF", leaf)
     rows = [(0, [10.0, x], 1, "x") for x in (0.0, 0.5, 1.0)] + [(i, [float(i), 1.0], 1, "x") for i in range(1, 10)]
-    got = vptree.neighbours(table(spark, rows), F.col("vec_id") % 20 == 0, k=3, shard_rows=5)
+    got = vptree.neighbours(table(spark, rows), F.col("vec_id") % 20 == 0, k=3, shard_rows=5, cell_rows=4)
     assert sorted(map(tuple, got.collect())) == brute(rows, 3, 20) and len(brute(rows, 3, 20)) == 9
     rng = np.random.default_rng(leaf)  # shared vectors and ties as well
     rows = [(int(i), [float(x) for x in rng.integers(-2, 3, 3)], 1, "x") for i in rng.integers(0, 30, 400)]
-    got = vptree.neighbours(table(spark, rows), F.col("vec_id") % 5 == 0, k=4, shard_rows=90)
+    got = vptree.neighbours(table(spark, rows), F.col("vec_id") % 5 == 0, k=4, shard_rows=30, cell_rows=10)
     assert sorted(map(tuple, got.collect())) == brute(rows, 4, 5)
+
+
+def clustered(spark, n, seed=3):
+    """Clusters of about 50 vectors each, so that their number grows with the table."""
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(max(1, n // 50), 8)) * 10
+    centres *= 30 / np.linalg.norm(centres, axis=1, keepdims=True)
+    vectors = centres[np.arange(n) % len(centres)] + rng.normal(size=(n, 8)) * 0.3
+    return [(i, [float(x) for x in v], 1, "x") for i, v in enumerate(vectors.astype(np.float32))]
+
+
+@pytest.mark.parametrize("n", [300, 1500])
+def test_routes_are_exact_on_clusters_and_few(spark, monkeypatch, n):
+    routes = []
+    whole = vptree._routed
+
+    def counted(*given):
+        routes.append(vptree.materialise(whole(*given)))
+        return routes[-1]
+
+    monkeypatch.setattr(vptree, "_routed", counted)
+    rows = clustered(spark, n)
+    got = vptree.neighbours(table(spark, rows), F.col("vec_id") % 20 == 0, k=7, shard_rows=60, cell_rows=30)
+    assert sorted(map(tuple, got.collect())) == brute(rows, 7, 20)
+    cells, queries = n // 30, len(range(0, n, 20))
+    assert routes[0].count() <= queries * max(2, cells // 3)  # of each query's other cells
+
+
+def test_relaxed_routes_keep_recall_on_clusters(spark):
+    rows = clustered(spark, 2000)
+    exact = {(q, v) for q, _, v, _ in brute(rows, 10, 20)}
+    found = vptree.neighbours(table(spark, rows), F.col("vec_id") % 20 == 0, k=10, factor=1.5, cell_rows=40).collect()
+    assert len(exact & {(r.query_id, r.vec_id) for r in found}) >= 0.9 * len(exact)
