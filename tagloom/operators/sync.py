@@ -247,3 +247,18 @@ def sync_batches(
         F.coalesce("activity_id", F.lit(0)).alias("activity_id"), moment(now).alias("updated_time"))
     changed = update(batches, results.select(*BATCH, *[c for c in results.columns if c in batches.columns and c not in BATCH]), BATCH)
     return Synced(changed, groups, tagged, campaigns, campaign_members)
+
+
+def update_match_counts(
+    batches: DataFrame, t: SyncTables, now, today: date, materialise: Callable[[DataFrame], DataFrame], edited_within: int = 86400
+) -> DataFrame:
+    """Batch rows in which those open and edited within so many seconds carry how many members they match, also none.
+
+    This preview asks for files, tags, levels, agents, dates, step and activity, not for predictions and ranks.
+    """
+    edited = with_options(active_batches(batches, now, edited_within)).withColumns({
+        c: F.lit(None).cast(OPTIONAL[c]) for c in ("deposit_predict_rate", "bet_amount_rank")})
+    counts = match_batches(edited, t, today, materialise).groupBy(*BATCH).agg(F.count(F.lit(1)).alias("match_user_count"))
+    found = edited.select(*BATCH).join(counts, BATCH, "left").select(
+        *BATCH, F.coalesce("match_user_count", F.lit(0)).alias("match_user_count"), moment(now).alias("updated_time"))
+    return update(batches, found.select(*[c for c in found.columns if c in batches.columns]), BATCH)

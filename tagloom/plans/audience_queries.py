@@ -196,6 +196,17 @@ query("tag_sync_campaign_members", """
 SELECT * FROM activity_member EXCEPT SELECT * FROM campaign_gone UNION SELECT * FROM campaign_of""", SYNC_RUN)(
     lambda i: synced(i).campaign_members)
 
+EDITED = {name: SYNC_RUN[name] for name in ("fitting", "stepped", "scores", "lively")}
+EDITED = {"open_batches": f"SELECT * FROM sync_batches WHERE {OPEN} AND operator_time >= TIMESTAMP '2024-01-30 06:00:00'", **EDITED, "counted": f"""
+SELECT {BATCH_KEY}, COUNT(*) AS n FROM (SELECT {OF_BATCH} FROM lively UNION SELECT {OF_BATCH} FROM open_batches JOIN sync_uploads USING (file_name)
+ JOIN (SELECT {USER}, user_name FROM member_info) m USING ({TENANT_OF}, user_name)) t GROUP BY ALL"""}
+query("sync_match_counts", f"""
+SELECT b.* REPLACE (CASE WHEN o.batch_id IS NULL THEN b.match_user_count ELSE COALESCE(n, 0) END AS match_user_count,
+  CASE WHEN o.batch_id IS NULL THEN b.updated_time ELSE TIMESTAMP '2024-01-31 06:00:00' END AS updated_time)
+FROM sync_batches b LEFT JOIN (SELECT {BATCH_KEY}, n FROM open_batches LEFT JOIN counted USING ({BATCH_KEY})) o
+ON b.hall_id = o.hall_id AND b.domain_id = o.domain_id AND b.batch_id = o.batch_id""", EDITED)(
+    lambda i: sync.update_match_counts(i["sync_batches"], sync_tables(i), NOW, TODAY, materialise))
+
 query("campaign_header", """
 SELECT * FROM campaigns UNION ALL SELECT 1, 1, MAX(activity_id) + 1, 'spring campaign', 2 FROM campaigns""")(
     lambda i: audience.campaign_header(

@@ -331,7 +331,8 @@ SELECT {tenant_of('n_nationkey')}, CAST((n_nationkey - n_nationkey % 4) / 4 AS I
        CAST(n_nationkey % 3 % 2 + 1 AS INT) AS mode, CAST(CASE WHEN n_nationkey % 10 = 4 THEN 1 ELSE 2 END AS INT) AS sync_date_type,
        n_nationkey % 8 <> 7 AS tag_enabled, DATE '2024-01-01' AS sync_date_begin, DATE '2024-02-01' AS sync_date_end,
        CAST(0 AS BIGINT) AS match_user_count, CAST(3 AS BIGINT) AS actual_user_count,
-       CAST(DATE '2024-01-02' AS {{NTZ}}) AS updated_time
+       CAST(DATE '2024-01-02' AS {{NTZ}}) AS updated_time,
+       CAST(DATE '2024-01-30' - CAST(n_nationkey % 2 AS INT) AS {{NTZ}}) + INTERVAL 22 HOUR AS operator_time
 FROM nation"""
 
 INPUTS["sync_uploads"] = """

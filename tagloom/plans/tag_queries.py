@@ -206,11 +206,6 @@ FULL OUTER JOIN (SELECT {NAMED}, SUM(deposit_amount) AS d FROM deposits15 GROUP
 
 HEDGED = f"""SELECT DISTINCT {NAMED}, CASE WHEN hedge_round_count < 50 THEN 40006 ELSE 40007 END AS code
  FROM arbitrage_info JOIN member_info USING ({USER}) WHERE external_game_code = 19 AND data_date = DATE '2024-01-30'"""
-query("tag_hedge_arbitrage", f"""
-{tag_row("code", f"NOT (code = 40006 AND user_id IN (SELECT user_id FROM hedged WHERE code = 40007))", 4)} FROM hedged""",
-      {"hedged": HEDGED})(
-    lambda i: tags.tag_hedge_arbitrage(i["arbitrage_info"], i["member_info"], AS_OF, 40006, 40007))
-
 
 def hedge_parts(stored: str) -> dict[str, str]:
     return {
@@ -223,9 +218,11 @@ def hedge_parts(stored: str) -> dict[str, str]:
 HEDGE_SQL = f"""
 {tag_row("code", f"NOT (code = 40006 AND ({USER}) IN (SELECT ({USER}) FROM hedge_both))", 4)}
 FROM (SELECT {NAMED}, code FROM hedged UNION SELECT {NAMED}, 40006 AS code FROM hedge_both JOIN member_info USING ({USER})) t"""
-query("tag_hedge_arbitrage_stored", HEDGE_SQL, hedge_parts("hedge_stored"))(
-    lambda i: tags.tag_hedge_arbitrage(
-        i["arbitrage_info"], i["member_info"], AS_OF, 40006, 40007, stored=i["hedge_stored"]))
+# against all stored tags as in the daily job, and against stored hedge tags of more kinds
+for name, table in [("tag_hedge_arbitrage", "ods"), ("tag_hedge_arbitrage_stored", "hedge_stored")]:
+    query(name, HEDGE_SQL, hedge_parts(table))(
+        lambda i, table=table: tags.tag_hedge_arbitrage(
+            i["arbitrage_info"], i["member_info"], AS_OF, *C.EXPORTED_EXTRA_CODES, stored=i[table]))
 
 query("tag_continuous_deposit", f"""
 {tag_row(30057)} FROM (SELECT {NAMED} FROM deposits15 WHERE data_date BETWEEN DATE '2024-01-28' AND DATE '2024-01-30'

@@ -138,3 +138,16 @@ def test_plan_does_not_grow_with_the_batches(spark):
         spark.createDataFrame([batch(1, k, 5, tag_str="30021") for k in range(n)], BATCHES), t, TODAY, materialise
     )._jdf.queryExecution().optimizedPlan().toString().count("\n")
     assert plan(1) == plan(40)
+
+
+def test_counts_of_edited_batches_include_none(spark):
+    given = [batch(1, 1, 5, tag_str="30021"), batch(1, 2, 5, tag_str="99999", match_user_count=4), batch(2, 1, 5, match_user_count=4),
+             batch(2, 3, 5, tag_str="30021", bet_amount_rank=1)]
+    times = {(1, 1): 30, (1, 2): 30, (2, 1): 20, (2, 3): 30}
+    df = spark.createDataFrame(
+        [(*b.values(), datetime(2024, 1, times[b["hall_id"], b["batch_id"]], 12), None) for b in given],
+        f"{BATCHES}, operator_time timestamp_ntz, updated_time timestamp_ntz")
+    found = sync.update_match_counts(df, tables(spark), NOW, TODAY, materialise)
+    assert found.columns == df.columns
+    assert rows(found, "hall_id", "batch_id", "match_user_count", "updated_time") == sorted(
+        [(1, 1, 3, NOW), (1, 2, 0, NOW), (2, 1, 4, None), (2, 3, 3, NOW)], key=repr)
