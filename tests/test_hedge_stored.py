@@ -6,6 +6,8 @@ from tables import rows
 
 from tagloom.operators import tags
 from tagloom.plans import REGISTRY, run
+from tagloom.plans.inputs import Inputs
+from tagloom.plans.registry import AS_OF
 
 DAY = date(2024, 1, 20)
 
@@ -29,7 +31,9 @@ def test_registered_query_reads_stored_rows(spark):
     assert "hedge_stored" in REGISTRY["tag_hedge_arbitrage_stored"].sql
     folder = "/root/testdata/sf0.01"
     key = ["user_id", "tag_code"]
-    today = {r[:2]: r[2] for r in rows(run("tag_hedge_arbitrage")(spark, folder), *key, "tag_enabled")}
+    i = Inputs(spark, folder)
+    day_alone = tags.tag_hedge_arbitrage(i["arbitrage_info"], i["member_info"], AS_OF, 40006, 40007)
+    today = {r[:2]: r[2] for r in rows(day_alone, *key, "tag_enabled")}
     whole = {r[:2]: r[2] for r in rows(run("tag_hedge_arbitrage_stored")(spark, folder), *key, "tag_enabled")}
     assert set(today) < set(whole)
     assert [k for k in today if today[k] and not whole[k]]  # a certain tag of an earlier day
