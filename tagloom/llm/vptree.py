@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tagloom.sources.sinks import materialise
 
 SHARD_ROWS = 16_384
-CELL_ROWS = 1024  # rows for each outer vantage point, as long as there are no more than MOST_POINTS
+CELL_ROWS = 4096  # rows for each outer vantage point, as long as there are no more than MOST_POINTS
 MOST_POINTS = 256
 LEAF = 256
 _BLOCK = 1024
@@ -361,6 +361,7 @@ def _answers(tree: Tree, keys, names, queries, k: int, factor: float, floor: np.
         products = tree.vectors[some] * queries[q].astype(np.float64)
         scores = np.repeat(products.cumsum(1)[:, -1], tree.copies.shape[1])  # added up in order, like a plain loop
         ids, has = tree.copies[some].ravel(), tree.has[some].ravel() & (tree.copies[some].ravel() != name)
+        has &= scores >= floor[q] - _SLACK * (1 + abs(floor[q])) if np.isfinite(floor[q]) else True  # the others have k better ones
         ids, scores = ids[has], scores[has]
         best = np.lexsort((ids, -scores))[:k]
         out.append((np.full(len(best), key), np.full(len(best), name), ids[best], scores[best]))
