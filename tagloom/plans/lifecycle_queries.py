@@ -96,7 +96,7 @@ def _(i):
     return lifecycle.lifecycle_changes(*facts_of(i), i["member_info"], START, END)
 
 CHANGE_SQL = REGISTRY["lifecycle_changes"].sql
-STEPS = [date(2024, 1, 20), date(2024, 1, 21), date(2024, 1, 21), date(2024, 1, 22), date(2024, 2, 10), END]
+STEPS = [date(2024, 1, 20), date(2024, 1, 21), date(2024, 1, 21), END]
 
 
 @query("lifecycle_advance", f"SELECT * FROM ({CHANGE_SQL}) changes")
