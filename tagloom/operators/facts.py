@@ -17,7 +17,7 @@ from tagloom.functions import codes as C
 from tagloom.functions.columns import (
     any_of, code_for, contains_any, day, days_before, ingest_timestamp, ip_to_long, zero_if_null,
 )
-from tagloom.operators.keyed import hot_key_join, in_ranges, latest_with_ties, salted_join
+from tagloom.operators.keyed import dimension_join, hot_key_join, in_ranges, latest_with_ties, salted_join
 
 FISCAL = ["financial_year", "financial_month", "financial_week"]
 USER_DAY = ["user_id", "data_date", *FISCAL]
@@ -170,7 +170,7 @@ def game_flags(name: str) -> list[Column]:
 def game_dict(games: DataFrame, vendors: DataFrame) -> DataFrame:
     """Games with their vendor, where the vendor's kind does not contradict."""
     return (
-        salted_join(games.withColumn("lobby", F.col("vendor_id")), vendors_by_kind(vendors), ["lobby"])
+        dimension_join(games.withColumn("lobby", F.col("vendor_id")), vendors_by_kind(vendors), ["lobby"])
         .filter(fits_vendor(F.col("kind")))
         .select(
             "lobby", "lobby_name", "lobby_name_cn", "lobby_name_en",
@@ -189,7 +189,7 @@ def game_dict_by_lobby(games: DataFrame, lobbies: DataFrame) -> DataFrame:
     names = lobbies.select(
         "lobby", F.col("tc_name").alias("lobby_name"), F.col("sc_name").alias("lobby_name_cn"),
         F.col("en_name").alias("lobby_name_en"))
-    return salted_join(games, names, ["lobby"]).select(
+    return dimension_join(games, names, ["lobby"]).select(
         "lobby", "lobby_name", "lobby_name_cn", "lobby_name_en", "lobby_group",
         code_for(F.col("lobby_group"), C.LOBBY_GROUP_NAMES, None).alias("lobby_group_name"),
         F.col("game_code").alias("game_type"),
@@ -221,19 +221,18 @@ def bet_analysis(
     row per (vendor, code).
     """
     dims = ["user_id", "parent_username", "lobby", "game_code", "kind", "device", "data_date", *FISCAL]
-    totals = bet_totals(
-        wager.filter(in_range("data_date", start, end) & (F.col("game_code") != C.SETTLEMENT_GAME)), dims
-    )
+    wanted = wager.filter(in_range("data_date", start, end) & (F.col("game_code") != C.SETTLEMENT_GAME))
+    totals = bet_totals(wanted, dims)
     members = member_levels(players(users)).drop("ag_name")
     game_names = games.select(
         F.col("vendor_id").alias("lobby"), "game_code", F.col("zh_tw_name").alias("game_name"),
         F.col("zh_cn_name").alias("game_name_cn"), F.col("game_name").alias("game_name_en"),
     )
-    named = salted_join(
+    named = dimension_join(
         totals.join(members, "user_id"), vendors_by_kind(vendors), ["lobby"], "left",
-        condition=lambda d: fits_vendor(F.col("kind")),
+        condition=lambda d: fits_vendor(F.col("kind")), counted=wanted,
     )
-    return salted_join(named, game_names, ["lobby", "game_code"], "left").select(
+    return dimension_join(named, game_names, ["lobby", "game_code"], "left", counted=wanted).select(
         "user_id", F.col("parent_username").alias("ag_name"),
         "lobby", "lobby_name", "lobby_name_cn", "lobby_name_en",
         F.col("game_code").alias("game_type"), F.col("kind").alias("game_kind"),
@@ -251,12 +250,13 @@ def bet_analysis_by_lobby(
     """Turnover of the lobby-group family: no member join, group NULL counts as 0."""
     dims = ["user_id", "parent_username", "lobby", "lobby_name", "lobby_group", "lobby_group_name", "game_code", "game_name",
             "platform", "data_date", *FISCAL, "level_id", "level_name"]
-    totals = bet_totals(wager.filter(in_range("data_date", start, end)), dims)
+    wanted = wager.filter(in_range("data_date", start, end))
+    totals = bet_totals(wanted, dims)
     names = games.select("lobby", "game_code", F.col("sc_name").alias("game_name_cn"), F.col("en_name").alias("game_name_en"))
     vendor = lobbies.select("lobby", F.col("sc_name").alias("lobby_name_cn"), F.col("en_name").alias("lobby_name_en"))
     # the vendor hangs on the matched game, so unmatched games have no vendor names
-    dictionary = salted_join(names, vendor, ["lobby"], "left")
-    return salted_join(totals, dictionary, ["lobby", "game_code"], "left").select(
+    dictionary = dimension_join(names, vendor, ["lobby"], "left")
+    return dimension_join(totals, dictionary, ["lobby", "game_code"], "left", counted=wanted).select(
         "user_id", F.col("parent_username").alias("ag_name"), "lobby", "lobby_name", "lobby_name_cn", "lobby_name_en",
         zero_if_null("lobby_group"), "lobby_group_name", F.col("game_code").alias("game_type"),
         "game_name", "game_name_cn", "game_name_en",
@@ -308,12 +308,12 @@ def offer_applicant(
     Both sides are counted per key first; every application pairs with every
     grant of its key, hence the product of the counts.
     """
-    applied = applicants.filter(in_range("data_date", start, end)).groupBy("promotion_id", *USER_DAY).agg(
-        F.count("user_id").alias("applications"))
+    wanted = applicants.filter(in_range("data_date", start, end))
+    applied = wanted.groupBy("promotion_id", *USER_DAY).agg(F.count("user_id").alias("applications"))
     granted = dispatch.filter(in_range("data_date", start, end)).groupBy("promotion_id", "user_id", "data_date", "premium_total", "premium_amount").agg(
         F.count(F.lit(1)).alias("grants"))
     names = promotions.select("promotion_id", F.col("name").alias("promotion_name"))
-    named = salted_join(applied, names, ["promotion_id"])
+    named = dimension_join(applied, names, ["promotion_id"], counted=wanted)
     key = ["promotion_id", "user_id", "data_date"]
     # an outer join could not split a key with very many different premiums
     paid = hot_key_join(granted, named, key)

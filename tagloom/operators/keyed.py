@@ -16,14 +16,17 @@ from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 1_000_000  # of one key; ``tagloom.rowsPerTask`` sets another
 MOST_HOT = 10_000
+MOST_BROADCAST = 100_000  # rows of a dimension; larger ones are sorted whatever the planner's estimate of their size
 
 
 def salted_join(
     fact: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "inner", condition=None, salts: int | None = None
 ) -> DataFrame:
-    """Join to a dimension of few rows on a key of few values (day, game, promotion, code).
+    """Join to a dimension whose rows are bounded by the calendar, the tenants or a fixed code table (day, week, code).
 
-    The dimension is repeated per salt and the fact rows of one value spread over
+    Dimensions that grow with the input go through ``dimension_join``: here the
+    dimension is repeated per salt, and the planner, which does not see the
+    repeats, may broadcast it. The fact rows of one value spread over
     the salts, one for each shuffle partition unless given; as the output is
     partitioned by the salt, nothing later relies on it and adaptive execution is
     free to split partitions further. Small dimensions are broadcast by Spark's
@@ -93,16 +96,35 @@ def repeat_hot(dim: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame
     return _with_salts(dim, keys, hot).withColumn("_salt", F.explode(salts)).drop("_salts")
 
 
-def hot_key_join(fact: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+def hot_key_join(
+    fact: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "inner", condition=None, counted: DataFrame | None = None,
+    hint: str | None = None,
+) -> DataFrame:
     """Join row-level ``fact`` to a large ``dim`` with few rows per key.
 
     Only keys found hot are salted, so the large side is not repeated as a
-    whole; without hot keys it is a plain join.
+    whole; without hot keys it is a plain join. ``counted`` has the rows whose keys
+    are counted, if those of ``fact`` are dear to compute: more rows of a key than
+    ``fact`` has only mean more salts. ``condition`` is that of ``salted_join``.
     """
-    hot = hot_keys(fact, keys)
-    if hot is None:
-        return fact.join(dim, list(keys), how)
-    return spread_hot(fact, keys, hot).join(repeat_hot(dim, keys, hot), [*keys, "_salt"], how).drop("_salt")
+    hot = hot_keys(fact if counted is None else counted, keys)
+    on, left, right = list(keys), fact, dim
+    if hot is not None:
+        on, left, right = [*keys, "_salt"], spread_hot(fact, keys, hot), repeat_hot(dim, keys, hot)
+    return _join(left, right.hint(hint) if hint else right, on, how, condition).drop("_salt")
+
+
+def dimension_join(
+    fact: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "inner", condition=None, counted: DataFrame | None = None
+) -> DataFrame:
+    """Join to a dimension that may grow with the input (games, vendors, promotions, tag names).
+
+    It is repeated for hot keys only. The planner compares the compressed size of
+    its files with the limit of broadcasts, so a dimension of more than
+    ``MOST_BROADCAST`` rows is never sent through the driver.
+    """
+    large = dim.limit(MOST_BROADCAST + 1).count() > MOST_BROADCAST
+    return hot_key_join(fact, dim, keys, how, condition, counted, "merge" if large else None)
 
 
 def best_by_group(
