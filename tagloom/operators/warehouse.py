@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tagloom.functions import codes as C
 from tagloom.functions.codes import KEYS, NEVER, TENANT_KEYS
 from tagloom.functions.columns import between_zones, moment, tenant_date
-from tagloom.operators.keyed import salted_join
+from tagloom.operators.keyed import dimension_join, salted_join
 from tagloom.operators.merge import delete_keys, upsert
 
 ODS_KEY = [*KEYS, "tag_code"]
@@ -64,7 +64,7 @@ def ods_to_dw(
         F.date_sub(F.max(tenant_date(F.col("updated_time"))), 1).alias("last_update"))
     outputs = [out for out, _, _ in tag_name_columns()]
     trigger = F.lit(True) if tag_code is None else F.col("tag_code") == tag_code
-    named = salted_join(
+    named = dimension_join(
         ods.filter("tag_enabled").select(*KEYS, "tag_code", F.when(trigger, tenant_date(F.col("updated_time"))).alias("day")),
         tag_dim_names(tag_dim), ["hall_id", "domain_id", "tag_code"], "left")
     gathered = named.groupBy(*KEYS).agg(
