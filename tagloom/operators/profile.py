@@ -18,7 +18,7 @@ from tagloom.functions import codes as C
 from tagloom.functions.codes import KEYS, ODS_COLUMNS, WHO
 from tagloom.functions.columns import day, days_before
 from tagloom.operators import tags as T
-from tagloom.operators.keyed import salted_join
+from tagloom.operators.keyed import hot_key_join
 
 
 def _by_dimension(rows: DataFrame, dims: Sequence[str], sums: Sequence[str], more: Sequence[Column] = ()) -> DataFrame:
@@ -35,7 +35,7 @@ def _of(dim: str, value: Column) -> Column:
 def bet_profile(bets15: DataFrame, as_of: date) -> DataFrame:
     """Totals, days in order, lobbies, favourite group, largest turnover and weekly sums of the last active days."""
     game = ["hall_id", "domain_id", "lobby", "lobby_group", "game_type"]
-    bitten = salted_join(bets15, T.bite_games(bets15).withColumn("bite", F.lit(True)), game, "left")
+    bitten = hot_key_join(bets15, T.bite_games(bets15).withColumn("bite", F.lit(True)), game, "left")
     rows = bitten.select(
         *KEYS, "data_date", "lobby", "lobby_group", "commissionable", "payoff",
         F.when(F.col("bite"), F.col("commissionable")).otherwise(0).alias("bitten"))

@@ -21,7 +21,7 @@ from tagloom.functions.codes import KEYS, ODS_COLUMNS, WHO
 from tagloom.functions.columns import (
     band_by_threshold, code_for, day, days_before, holds, iso_date, mask_prefix, of_tenant,
 )
-from tagloom.operators.keyed import best_by_group, hot_key_join, salted_join
+from tagloom.operators.keyed import best_by_group, dimension_join, hot_key_join, salted_join
 
 
 def exact(number: str) -> Column:
@@ -228,7 +228,7 @@ def good_depositor(threshold) -> Column:
 def tag_good_customer(bets15: DataFrame, dep_all: DataFrame, threshold, as_of: date) -> DataFrame:
     """Depositors playing mostly house-favourable games, or members losing on most days and lobbies."""
     game = ["hall_id", "domain_id", "lobby", "lobby_group", "game_type"]
-    bitten = salted_join(bets15, bite_games(bets15).withColumn("bite", F.lit(True)), game, "left")
+    bitten = hot_key_join(bets15, bite_games(bets15).withColumn("bite", F.lit(True)), game, "left")
     share = per_member(bitten).agg(
         F.sum("commissionable").alias("commissionable"),
         F.sum(F.when(F.col("bite"), F.col("commissionable")).otherwise(0)).alias("bite_commissionable"),
@@ -249,7 +249,7 @@ def tag_good_customer_v1(
     bets15: DataFrame, game_flags: DataFrame, dep_all: DataFrame, threshold, as_of: date, code: int = C.GOOD_CUSTOMER
 ) -> DataFrame:
     """Older rule: less than half of the turnover each in pvp and pve games."""
-    flagged = salted_join(
+    flagged = dimension_join(
         bets15, game_flags.filter(F.col("is_pvp") | F.col("is_pve")).select("hall_id", "domain_id", "lobby", "game_type", "is_pvp", "is_pve"),
         ["hall_id", "domain_id", "lobby", "game_type"], "left")
     part = lambda flag: F.sum(F.when(F.col(flag), F.col("commissionable")).otherwise(0))

@@ -192,7 +192,7 @@ query("tag_good_customer_v1", f"""
   SUM(CASE WHEN is_pve THEN commissionable ELSE 0 END) AS pve
   FROM bets15 LEFT JOIN game_flags USING (hall_id, domain_id, lobby, game_type) GROUP BY {NAMED}) s JOIN history USING ({USER})
 WHERE 2 * pvp < c AND 2 * pve < c AND n >= 2 AND amount >= {GOOD_DEPOSIT} AND kept > 0""", {**BETS15, "history": HISTORY})(
-    lambda i: tags.tag_good_customer_v1(bets15(i), i["game_flags"], i["deposit_withdraw_record"], GOOD_DEPOSIT, AS_OF))
+    lambda i: tags.tag_good_customer_v1(materialise(bets15(i)), i["game_flags"], i["deposit_withdraw_record"], GOOD_DEPOSIT, AS_OF))
 
 query("tag_repeat_deposit", f"""
 {tag_row(30016)} FROM (SELECT {USER} FROM deposit_withdraw_record WHERE data_date <= DATE '2024-01-30' GROUP BY {USER}

@@ -1,6 +1,8 @@
+from datetime import date
+
 from pyspark.sql import functions as F
 
-from tagloom.operators import keyed
+from tagloom.operators import facts, keyed, tags, warehouse
 from tagloom.sources.sinks import materialise
 from tables import rows
 
@@ -105,3 +107,60 @@ def test_points_find_the_range_that_holds_them(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert rows(keyed.in_ranges(df, "p", spark.createDataFrame([], "f long, t long, name string"), "f", "t", materialise)) == []
+
+
+def test_growing_dimension_is_repeated_for_hot_keys_only(skewed, monkeypatch):
+    facts = skewed_facts(skewed)
+    dim = skewed.range(2500).select(F.col("id").alias("k"), (F.col("id") % 5).alias("x"))
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    for most, broadcast in ((100_000, True), (2000, False)):
+        monkeypatch.setattr(keyed, "MOST_BROADCAST", most)
+        for how in ("inner", "left"):
+            joined = keyed.dimension_join(facts, dim, ["k"], how)
+            assert rows(joined) == rows(facts.join(dim, ["k"], how))
+            assert ("strategy=merge" in plan(joined)) != broadcast
+        near = keyed.dimension_join(facts, dim, ["k"], "left", lambda d: (F.col("v") % 5) == d("x"), counted=facts.unionAll(facts))
+        joined = facts.join(dim.withColumnRenamed("k", "dk"), (F.col("k") == F.col("dk")) & (F.col("v") % 5 == F.col("x")), "left")
+        assert rows(near) == rows(joined.drop("dk"))
+    hot = keyed.hot_keys(facts, ["k"])
+    assert keyed.repeat_hot(dim, ["k"], hot).count() == 2499 + 50
+
+
+def test_dictionaries_are_not_repeated_over_the_shuffle_partitions(spark):
+    """Vendors, games, promotions and tag names grow with the input; repeats are unseen by the size check of broadcasts."""
+    users = spark.createDataFrame([(1, "a", 1, "l", 1)], "user_id long, parent_username string, level_id int, level_name string, role int")
+    vendors = spark.createDataFrame([(1, "v", "v", "v")], "id long, tc_name string, sc_name string, en_name string")
+    games = spark.createDataFrame(
+        [(1, "G1", "a", "b", "c", 1)], "vendor_id long, game_code string, zh_tw_name string, zh_cn_name string, game_name string, kind int")
+    wager = spark.createDataFrame([], """user_id long, parent_username string, lobby int, lobby_name string, lobby_group int,
+        lobby_group_name string, game_code string, game_name string, kind int, device int, platform int, data_date date,
+        financial_year int, financial_month int, financial_week int, level_id int, level_name string, wagers_total long, bet long,
+        valid_bet long, payoff long, win_rate double""")
+    lobbies = vendors.withColumnRenamed("id", "lobby")
+    lobby_games = games.selectExpr(
+        "vendor_id AS lobby", "game_code", "kind AS lobby_group", "zh_tw_name AS tc_name", "zh_cn_name AS sc_name", "game_name AS en_name")
+    asked = spark.createDataFrame([], "user_id long, promotion_id long, data_date date, financial_year int, financial_month int, financial_week int")
+    granted = spark.createDataFrame([], "user_id long, promotion_id long, premium_total long, premium_amount long, data_date date")
+    promotions = spark.createDataFrame([(1, "p")], "promotion_id long, name string")
+    bets = spark.createDataFrame([], """hall_id int, domain_id int, user_id long, user_name string, register_date date, lobby int,
+        lobby_group int, game_type string, data_date date, wagers_total long, commissionable long, payoff long""")
+    flags = spark.createDataFrame([], "hall_id int, domain_id int, lobby int, game_type string, is_pvp boolean, is_pve boolean")
+    money = spark.createDataFrame([], """hall_id int, domain_id int, user_id long, data_date date, deposit_amount long,
+        deposit_count long, withdraw_amount long""")
+    stored = spark.createDataFrame([], "hall_id int, domain_id int, user_id long, tag_code int, tag_enabled boolean, updated_time timestamp_ntz")
+    members = spark.createDataFrame([], """hall_id int, domain_id int, user_id long, user_name string, ag_name string,
+        user_level_id int, user_level string, register_date date""")
+    names = spark.createDataFrame([(1, 1, 1, "n", "n", "n", True, "prod")], """hall_id int, domain_id int, tag_code int, tag_name string,
+        tag_name_cn string, tag_name_en string, tag_enabled boolean, can_access_env string""")
+    on = date(2024, 1, 30)
+    repeated = "explode(sequence(0, 7"
+    for found in (
+        facts.game_dict(games, vendors), facts.game_dict_by_lobby(lobby_games, lobbies),
+        facts.bet_analysis(wager, users, vendors, games, {0: "web"}, on, on),
+        facts.bet_analysis_by_lobby(wager, lobbies, lobby_games, {0: "web"}, on, on),
+        facts.offer_applicant(asked, promotions, granted, on, on),
+        tags.tag_good_customer_v1(bets, flags, money, 1, on), tags.tag_good_customer(bets, money, 1, on),
+    ):
+        assert repeated not in found._jdf.queryExecution().logical().toString().lower()
+    wide = warehouse.ods_to_dw(stored, members, names)._jdf.queryExecution().logical().toString().lower()
+    assert wide.count(repeated) == 1  # the day of each tenant's latest update
