@@ -125,3 +125,54 @@ def test_score_may_have_any_name(spark):
     docs = spark.createDataFrame([("good", 7)], "text string, score int")
     row = convnet.score(docs, model, keep=("score",), name="own").first()
     assert row.score == 7 and 0 <= row.own <= 1
+
+
+def tables_of(spark, n, seed=1):
+    texts, y = toy(n, seed)
+    docs = [(i, t, ["en", "fr", None][i % 3]) for i, t in enumerate(texts)]
+    odd = [(3, None, "en"), (None, "vile", "en"), (5, "~later", "en"), (n + 1, "not labelled", "en"), (n + 2, None, "en")]
+    labels = [(i, int(v)) for i, v in enumerate(y)] + [(4, 1), (7, None), (None, 1), (n + 2, 1), (n + 3, 0)]
+    return (spark.createDataFrame(docs + odd, "doc_id long, text string, lang string"), spark.createDataFrame(labels, "doc_id long, toxic int"), texts, y)
+
+
+def test_blocks_hold_every_labelled_document_once(spark):
+    docs, labels, texts, y = tables_of(spark, 300)
+    cut = lambda t: (t.encode(), b"")
+    for size, most in ((4096, 1 << 24), (40, 1 << 24), (40, 500)):
+        blocks = labelled.training_blocks(docs, labels, "toxic", cut, lang="lang", size=size, most_bytes=most)
+        found = [d for r in blocks.collect() for d in r.docs]
+        assert sorted((d.a.decode(), d.y) for d in found) == sorted((t, 1 if i == 4 else int(v)) for i, (t, v) in enumerate(zip(texts, y)))
+        assert 30 < sum(d.held for d in found) < 90
+        again = labelled.training_blocks(docs.repartition(7), labels.repartition(3), "toxic", cut, lang="lang", size=size, most_bytes=most)
+        assert sorted(map(repr, again.collect())) == sorted(map(repr, blocks.collect()))
+        assert most > 500 or all(len(r.docs) == 1 or sum(len(d.a) for d in r.docs) <= most for r in blocks.collect())
+    assert labelled.training_blocks(docs, labels.limit(0), "toxic", cut).collect() == []
+
+
+def test_fit_over_blocks_learns_from_every_text(spark):
+    docs, labels, _, _ = tables_of(spark, 900)
+    unseen, y = toy(200, seed=9)
+    for size in (2000, 200):
+        blocks = labelled.training_blocks(docs, labels, "toxic", lambda t: convnet.packed(t, 1 << 12), lang="lang", size=size)
+        model = convnet.fit(blocks, buckets=1 << 12)
+        assert ((convnet.Scorer(model)(unseen) >= 0.5) == y).mean() > 0.95
+        assert None in model.thresholds and set(model.thresholds) <= {None, "en", "fr"}
+    same = convnet.fit(blocks, buckets=1 << 12)
+    assert np.allclose(same.vectors, model.vectors, atol=1e-5) and same.thresholds.keys() == model.thresholds.keys()
+    alone = convnet.fit(labelled.training_blocks(docs, labels.filter("toxic = 1"), "toxic", convnet.packed))
+    assert alone.thresholds == {None: 0.5}
+    none = convnet.fit(labelled.training_blocks(docs, labels.limit(0), "toxic", convnet.packed))
+    assert 0 <= convnet.Scorer(none)(["x"])[0] <= 1
+
+
+def test_toxicity_is_fitted_on_no_sample(spark, monkeypatch, tmp_path):
+    docs, labels, _, _ = tables_of(spark, 60)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    monkeypatch.setattr(labelled, "training_sample", None)
+    seen, fit = [], convnet.fit
+    monkeypatch.setattr(convnet, "fit", lambda blocks, **k: seen.append(blocks.selectExpr("sum(size(docs))").first()[0]) or fit(blocks, **k))
+    assert QUERIES["op10_toxicity"](spark, str(tmp_path)).count() == docs.count()
+    import zlib
+
+    assert seen == [sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(60))]
