@@ -37,6 +37,14 @@ def activity_rows(login: DataFrame, deposits: DataFrame, bets: DataFrame) -> Dat
     return union.groupBy(*KEYS, "data_date").agg(*_totals())
 
 
+def _new_activity(
+    login: DataFrame, deposits: DataFrame, bets: DataFrame, start: date, end: date, state: DataFrame | None
+) -> DataFrame:
+    """Activity up to ``end``; with the state of the days before ``start``, that of the range."""
+    inside = F.col("data_date") <= day(end) if state is None else F.col("data_date").between(day(start), day(end))
+    return activity_rows(*[df.filter(inside) for df in (login, deposits, bets)])
+
+
 def _totals() -> list[Column]:
     return [
         F.max("login_date").alias("login_date"), F.max("activated").alias("activated"),
@@ -102,7 +110,7 @@ def lifecycle_tag(members: DataFrame, operate: DataFrame, as_of: date) -> DataFr
 
 def lifecycle_changes(
     login: DataFrame, deposits: DataFrame, bets: DataFrame, members: DataFrame, start: date, end: date,
-    floor: date = date(2021, 1, 1), previous: DataFrame | None = None, state: DataFrame | None = None,
+    floor: date = date(2021, 1, 1), previous: DataFrame | None = None, state: DataFrame | None = None, activity: DataFrame | None = None,
 ) -> DataFrame:
     """Members whose code differs from the day before, for every day of the range.
 
@@ -114,18 +122,17 @@ def lifecycle_changes(
     the entry counts only for members already registered on the first day.
     ``previous`` holds the codes known before the range (NULL otherwise). With a
     ``state`` (see :func:`lifecycle_state`) of the days before, which also holds
-    the codes, only the activity of the range is read.
+    the codes, only the activity of the range is read. ``activity`` is that of the
+    range, if it is there already.
     """
     registered = lifecycle_members(members, date(1990, 1, 1), end).withColumn(
         "entry", F.greatest(F.col("register_day"), day(start)))
     who = [*KEYS, "user_name", "register_day", "entry"]
     sums = ["login_date", "activated", "deposit_count", "wagers_total"]
-    inside = F.col("data_date") <= day(end)
-    if state is not None:
-        inside = F.col("data_date").between(day(start), day(end))
+    if activity is None:
+        activity = _new_activity(login, deposits, bets, start, end, state)
     active = (
-        activity_rows(*[df.filter(inside) for df in (login, deposits, bets)])
-        .join(registered, KEYS)
+        activity.join(registered, KEYS)
         .filter((F.col("data_date") >= F.col("register_day")) | (F.col("register_day") <= day(start)))
         .select(*who, F.greatest("data_date", "entry").alias("on"), *sums)
     )
@@ -170,16 +177,16 @@ def lifecycle_changes(
 
 def lifecycle_state(
     login: DataFrame, deposits: DataFrame, bets: DataFrame, members: DataFrame, start: date, end: date, state: DataFrame | None = None,
+    activity: DataFrame | None = None,
 ) -> DataFrame:
     """What is carried per member after a range of days: last login and active day, sums, the code of the last day, and that day.
 
     With the ``state`` of the days before ``start`` only the range's activity is read.
     """
     registered = lifecycle_members(members, date(1990, 1, 1), end)
-    inside = F.col("data_date") <= day(end)
-    if state is not None:
-        inside = F.col("data_date").between(day(start), day(end))
-    counted = activity_rows(*[df.filter(inside) for df in (login, deposits, bets)]).join(registered, KEYS).filter(
+    if activity is None:
+        activity = _new_activity(login, deposits, bets, start, end, state)
+    counted = activity.join(registered, KEYS).filter(
         (F.col("data_date") >= F.col("register_day")) | (F.col("register_day") <= day(start)))
     sums = ["login_date", "activated", "deposit_count", "wagers_total"]
     rows = counted.select(*KEYS, *sums)
@@ -201,6 +208,7 @@ def advance_lifecycle(
 
     The state's day says which days are done: they are not read or written again,
     and without new days there are no rows (None). ``start`` counts without a state.
+    The facts are read once, reduced to members and days, for both.
     """
     if state is not None:
         through = state.agg(F.max("through")).first()[0]
@@ -209,8 +217,9 @@ def advance_lifecycle(
         if start > end:
             return None, state
     facts = (login, deposits, bets, members, start, end)
-    changes = lifecycle_changes(*facts, floor=floor, state=state)
-    return materialise(changes), materialise(lifecycle_state(*facts, state=state))
+    activity = materialise(_new_activity(login, deposits, bets, start, end, state))
+    changes = lifecycle_changes(*facts, floor=floor, state=state, activity=activity)
+    return materialise(changes), materialise(lifecycle_state(*facts, state=state, activity=activity))
 
 
 # -- steps --------------------------------------------------------------------

@@ -196,3 +196,18 @@ def test_days_of_a_range_equal_the_single_days(spark):
     single = [r for d in days for r in rows(lifecycle.lifecycle_day(log, members, calendar, d))]
     assert rows(lifecycle.lifecycle_days(log, members, calendar, days[0], days[-1])) == sorted(single, key=repr)
     assert len(single) > 20
+
+
+def test_advancing_reads_the_facts_once(spark, tmp_path):
+    login, paid, bet, members = random_activity(spark, 3)
+    login.write.parquet(f"{tmp_path}/login")
+    read, state = [], None
+
+    def noted(df):
+        read.append(any(f"{tmp_path}/login" in f for f in df.inputFiles()))
+        return materialise(df)
+
+    for end in (date(2024, 3, 1), date(2024, 7, 20)):
+        _, state = lifecycle.advance_lifecycle(
+            spark.read.parquet(f"{tmp_path}/login"), paid, bet, members, date(2024, 1, 5), end, state, noted)
+    assert sum(read) == 2
