@@ -156,9 +156,9 @@ def write_corpus(
             )
 
         for batch in batches:
-            for name, value in zip(batch.column(0), batch.column(1)):
-                code = encode(value.as_py()) + end
-                names.append(name.as_py())
+            for name, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                code = encode(value) + end
+                names.append(name)
                 pieces.append(code)
                 sizes.append(len(code) // 4)
                 total += sizes[-1]

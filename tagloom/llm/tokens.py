@@ -13,6 +13,7 @@ import re
 import sys
 import types
 from array import array
+from collections.abc import Callable
 
 # fixed values: the vocabulary's own pre-tokenisation pattern, its classes written out for the plain characters
 LETTERS, DIGITS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾"
@@ -55,7 +56,7 @@ class Encoder:
         self.split, self.plain = re.compile(PIECES).findall, re.compile(PLAIN).fullmatch
         if not _splits_by_pieces(self.whole):
             self.plain = lambda text: None  # every text goes to the library whole
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = _Known(self._new)
         self.older: dict[str, bytes] = {}
 
     def __call__(self, text: str | None) -> bytes:
@@ -63,21 +64,28 @@ class Encoder:
             return b""
         if not self.plain(text) or any(s in text for s in self.special):
             return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
-        pieces, known = self.split(text), self.known
-        try:
-            return b"".join(map(known.__getitem__, pieces))
-        except KeyError:
-            if len(known) > _CACHE:  # what is in use comes back from the older half
-                self.older, self.known = known, {}
-                known = self.known
-            older = self.older
-            for p in set(pieces).difference(known):
-                code = older.get(p)
-                if code is None:
-                    named = p.replace(" ", "\u0120") if p.isascii() and p.isprintable() else _named(p)
-                    code = array("I", [t.id for t in self.merge(named)]).tobytes()
-                known[p] = code
-            return b"".join(map(known.__getitem__, pieces))
+        if len(self.known) > _CACHE:  # what is in use comes back from the older half
+            self.older, self.known = self.known, _Known(self._new)
+        return b"".join(map(self.known.__getitem__, self.split(text)))
+
+    def _new(self, piece: str) -> bytes:
+        code = self.older.get(piece)
+        if code is None:
+            named = piece.replace(" ", "\u0120") if piece.isascii() and piece.isprintable() else _named(piece)
+            code = array("I", [t.id for t in self.merge(named)]).tobytes()
+        return code
+
+
+class _Known(dict):
+    """Codes by piece; a piece that is missing is made on the way."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, piece: str) -> bytes:
+        code = self[piece] = self.make(piece)
+        return code
 
 
 def _splits_by_pieces(whole) -> bool:
