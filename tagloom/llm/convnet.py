@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -264,24 +265,35 @@ def fit(
     Each epoch is a job: every block starts from the epoch's model and makes one
     pass over its texts, and a parameter then moves by the mean over the blocks
     that changed it. Tasks add up their blocks and Spark adds up the tasks, so the
-    driver gets one row for each vector, whatever the size. One block alone is
+    driver gets one row for each vector, whatever the size; it sends back those that
+    have changed since the start. One block alone is
     the plain method of ``train``. Thresholds come from the counts of all texts set apart
     by score, to four digits.
     """
     if buckets > 1 << 16:
         raise ValueError("at most 65,536 buckets")
-    share = F.when(~F.col("d.held"), F.col("d.y"))
-    sizes = blocks.select(F.explode("docs").alias("d")).agg(F.count(share).alias("n"), F.coalesce(F.sum(share), F.lit(0)).alias("ones")).first()
-    model = _fresh(np.random.default_rng(seed), (sizes["ones"] + 1) / (sizes["n"] + 2), buckets, dim, filters)
+    used = F.when(~F.col("d.held"), F.col("d.y"))
+    sizes = blocks.select(F.explode("docs").alias("d")).agg(F.count(used).alias("n"), F.coalesce(F.sum(used), F.lit(0)).alias("ones")).first()
+    share = (sizes["ones"] + 1) / (sizes["n"] + 2)
+
+    def fresh() -> Model:
+        return _fresh(np.random.default_rng(seed), share, buckets, dim, filters)
+
+    model = fresh()
     if not 0 < sizes["ones"] < sizes["n"]:
         return _constant(model)
     like = _parameters(model)
     values, squares = _rows(like), _rows(_no_squares(model))
-    number = len(values)
+    changed = np.zeros(len(values), np.bool_)
 
-    def step(epoch: int, values: np.ndarray, squares: np.ndarray):
+    def step(epoch: int, sent: Broadcast):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            moved, grown, times = np.zeros_like(values), np.zeros_like(squares), np.zeros(number, np.int64)
+            first = fresh()
+            like = _parameters(first)
+            values, squares = _rows(like), _rows(_no_squares(first))
+            at, *known = sent.value
+            values[at], squares[at] = known
+            moved, grown, times = np.zeros_like(values), np.zeros_like(squares), np.zeros(len(values), np.int64)
             for some in batches:
                 for block, docs in zip(some["block"], some["docs"]):
                     docs = [d for d in docs if not d["held"]]
@@ -304,11 +316,15 @@ def fit(
     names = [f"{kind}{i}" for kind in "vq" for i in range(dim)]
     schema = "k long, n long, " + ", ".join(f"{c} float" for c in names)
     for epoch in range(epochs):
-        steps = blocks.select("block", "docs").mapInPandas(step(epoch, values, squares), schema)
+        at = np.flatnonzero(changed)  # the others are those that ``fresh`` gives
+        sent = blocks.sparkSession.sparkContext.broadcast((at, values[at].astype(np.float32), squares[at].astype(np.float32)))
+        steps = blocks.select("block", "docs").mapInPandas(step(epoch, sent), schema)
         total = steps.groupBy("k").agg(*[F.sum(c).alias(c) for c in ("n", *names)]).orderBy("k").toPandas()
+        sent.destroy()
         hit, mean = total["k"].to_numpy(), total[names].to_numpy() / total["n"].to_numpy()[:, None]
-        values[hit] += mean[:, :dim]
-        squares[hit] += mean[:, dim:]
+        values[hit] = (values[hit] + mean[:, :dim]).astype(np.float32)
+        squares[hit] = (squares[hit] + mean[:, dim:]).astype(np.float32)
+        changed[hit] = True
     model = _model(_parts(values, like), {})
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
