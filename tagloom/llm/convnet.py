@@ -18,14 +18,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.llm.labelled import OVER_BLOCKS, block_rows
+from tagloom.session import settings
+
 WIDTHS = (1, 2, 3)
 _WORD = re.compile(r"\w+")
 _CHUNK = 1 << 15
 _CACHE = 150_000
+_ROWS = 8192
 _BASE = 0xD6E8FEB86659FD93
 _SHIFTS = np.arange(4, dtype=np.uint64) * np.uint64(16)
 
@@ -84,24 +89,32 @@ class Model:
     bias: float
     thresholds: dict[str | None, float]  # by language; None for any other
 
-    def projections(self, buckets: np.ndarray) -> np.ndarray:
-        """Rows of words (four buckets each) times all filter rows, width by width, offset by offset."""
+    def means(self, buckets: np.ndarray) -> np.ndarray:
+        """Embeddings of words, from the four buckets of each."""
+        total = self.vectors.take(buckets[:, 0], axis=0)
+        for k in range(1, buckets.shape[1]):
+            total += self.vectors.take(buckets[:, k], axis=0)
+        total /= buckets.shape[1]
+        return total
+
+    def projections(self, means: np.ndarray) -> np.ndarray:
+        """Embeddings times all filter rows, width by width, offset by offset."""
         flat = np.concatenate([f.transpose(1, 0, 2).reshape(f.shape[1], -1) for f in self.filters], axis=1)
-        return (self.vectors[buckets].mean(1) @ flat).astype(np.float32)
+        return (means @ flat).astype(np.float32)
 
 
 def _convolve(rows: np.ndarray, filters: int) -> np.ndarray:
     """Filter values at each position but the last two, from projected rows."""
     n = len(rows) - WIDTHS[-1] + 1
-    found, at = [], 0
-    for width in WIDTHS:
-        total = rows[:n, at : at + filters].copy()
+    found, at = np.empty((n, len(WIDTHS) * filters), rows.dtype), 0
+    for k, width in enumerate(WIDTHS):
+        total = found[:, k * filters : (k + 1) * filters]
+        total[:] = rows[:n, at : at + filters]
         for offset in range(1, width):
             low = at + offset * filters
             total += rows[offset : offset + n, low : low + filters]
-        found.append(total)
         at += width * filters
-    return np.concatenate(found, axis=1)
+    return found
 
 
 def _pool(table: np.ndarray, ids: list[np.ndarray], filters: int) -> tuple[np.ndarray, np.ndarray]:
@@ -113,7 +126,7 @@ def _pool(table: np.ndarray, ids: list[np.ndarray], filters: int) -> tuple[np.nd
 
     def flush() -> None:
         starts = np.cumsum([0, *(len(p) for p in pieces)])
-        values = _convolve(table[np.concatenate(pieces)], filters)
+        values = _convolve(table.take(np.concatenate(pieces), axis=0), filters)
         for k, doc in enumerate(owners):
             part = values[starts[k] : starts[k + 1] - len(pad)]
             at = part.argmax(0)
@@ -155,20 +168,36 @@ def _no_squares(model: Model) -> list[np.ndarray]:
     return [np.full(x.shape, 1e-6) for x in (model.vectors, *model.filters, model.offsets, model.out, np.zeros(1))]
 
 
+class _Numbers:
+    """The distinct values of an array in ascending order, and which of them each value is; all are below ``limit``."""
+
+    def __init__(self, limit: int):
+        self.seen, self.place = np.zeros(limit, np.bool_), np.zeros(limit, np.int64)
+
+    def __call__(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        self.seen[values] = True
+        found = np.flatnonzero(self.seen)
+        self.seen[found] = False
+        self.place[found] = np.arange(len(found))
+        return found, self.place[values]
+
+
 def _pass(
     model: Model, squares: list[np.ndarray], ids: list[np.ndarray], bucket: np.ndarray, used: np.ndarray, labels: np.ndarray,
     weights: np.ndarray, rate: float, batch: int,
 ) -> None:
     """One pass over the texts ``used``, in that order; changes the model and ``squares``, the sums of squared gradients."""
     filters, dim = model.filters[0].shape[2], model.vectors.shape[1]
+    number, place = _Numbers(len(bucket)), _Numbers(len(model.vectors))
     for at in range(0, len(used), batch):
         pick = used[at : at + batch]
-        rows, back = np.unique(np.concatenate([[0], *(ids[i] for i in pick)]), return_inverse=True)
-        table = model.projections(bucket[rows])
+        rows, back = number(np.concatenate([np.zeros(1, np.int32), *(ids[i] for i in pick)]))
+        means = model.means(bucket.take(rows, axis=0))
+        table = model.projections(means)
         table[0] = 0
         cuts = np.cumsum([1, *(len(ids[i]) for i in pick)])
-        local = [back[a:b] for a, b in zip(cuts, cuts[1:])]
-        best, where = _pool(table, local, filters)
+        starts, ends = cuts[:-1, None], cuts[1:, None]
+        best, where = _pool(table, [back[a:b] for a, b in zip(cuts, cuts[1:])], filters)
         best = best + model.offsets
         hidden = np.maximum(best, 0)
         odds = 1 / (1 + np.exp(-np.clip(hidden @ model.out + model.bias, -50, 50)))
@@ -184,22 +213,18 @@ def _pass(
             cols = slice(k * filters, (k + 1) * filters)
             change = np.zeros(model.filters[k].shape)
             for offset in range(width):
-                spot = where[:, cols] + offset
-                word = np.array([
-                    [own[p] if p < len(own) else 0 for p in line] for own, line in zip(local, spot.tolist())
-                ])
+                spot = starts + where[:, cols] + offset
+                word = back[np.where(spot < ends, spot, 0)]  # back[0] is the padding
                 inside = (word > 0) * grad[:, cols]
-                four = bucket[rows[word]]
-                vector = model.vectors[four].mean(2)
-                change[offset] = np.einsum("df,dfv->vf", inside, vector)
-                touched.append(four.reshape(-1, 4))
-                pull = inside[:, :, None] * model.filters[k][offset].T[None]
-                pulls.append(pull.reshape(-1, dim))
+                change[offset] = np.einsum("df,dfv->vf", inside, means[word])
+                doc, kind = np.nonzero(inside)
+                touched.append(bucket[rows[word[doc, kind]]])
+                pulls.append(inside[doc, kind, None] * model.filters[k][offset].T[kind])
             _adapt(model.filters[k], change, squares[1 + k], rate)
         four, pull = np.concatenate(touched), np.concatenate(pulls) / 4
-        some, spot = np.unique(four.ravel(), return_inverse=True)
-        total = np.zeros((len(some), dim))
-        np.add.at(total, spot, np.repeat(pull, 4, axis=0))
+        some, spot = place(four.ravel())
+        cells = spot[:, None] * dim + np.arange(dim)
+        total = np.bincount(cells.ravel(), np.repeat(pull, 4, axis=0).ravel(), len(some) * dim).reshape(-1, dim)
         old = squares[0][some] + total**2
         squares[0][some] = old
         model.vectors[some] -= rate * total / np.sqrt(old)
@@ -264,16 +289,19 @@ def fit(
 
     Each epoch is a job: every block starts from the epoch's model and makes one
     pass over its texts, and a parameter then moves by the mean over the blocks
-    that changed it. Tasks add up their blocks and Spark adds up the tasks, so the
-    driver gets one row for each vector, whatever the size; it sends back those that
-    have changed since the start. One block alone is
-    the plain method of ``train``. Thresholds come from the counts of all texts set apart
-    by score, to four digits.
+    that changed it. A core gets one task, which has one block at a time in memory
+    and adds up its blocks; Spark adds up the tasks, so that what an epoch shuffles
+    does not grow with the input and the driver gets one row for each vector. It
+    sends back those that have changed since the start. One block alone is the plain
+    method of ``train``. Thresholds come from the counts of all texts set apart by
+    score, to four digits.
     """
     if buckets > 1 << 16:
         raise ValueError("at most 65,536 buckets")
     used = F.when(~F.col("d.held"), F.col("d.y"))
-    sizes = blocks.select(F.explode("docs").alias("d")).agg(F.count(used).alias("n"), F.coalesce(F.sum(used), F.lit(0)).alias("ones")).first()
+    spark = blocks.sparkSession
+    with settings(spark, OVER_BLOCKS):
+        sizes = blocks.select(F.explode("docs").alias("d")).agg(F.count(used).alias("n"), F.coalesce(F.sum(used), F.lit(0)).alias("ones")).first()
     share = (sizes["ones"] + 1) / (sizes["n"] + 2)
 
     def fresh() -> Model:
@@ -287,57 +315,60 @@ def fit(
     changed = np.zeros(len(values), np.bool_)
 
     def step(epoch: int, sent: Broadcast):
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first = fresh()
             like = _parameters(first)
             values, squares = _rows(like), _rows(_no_squares(first))
             at, *known = sent.value
             values[at], squares[at] = known
             moved, grown, times = np.zeros_like(values), np.zeros_like(squares), np.zeros(len(values), np.int64)
-            for some in batches:
-                for block, docs in zip(some["block"], some["docs"]):
-                    docs = [d for d in docs if not d["held"]]
-                    if not docs:
-                        continue
-                    ids, bucket = _numbered([(d["a"], d["b"]) for d in docs])
-                    own, sums = _model(_parts(values, like), {}), _parts(squares, like)
-                    used = np.random.default_rng([seed, epoch, block & 0x7FFFFFFF]).permutation(len(docs))
-                    _pass(own, sums, ids, bucket, used, np.array([d["y"] for d in docs]), np.ones(len(docs)), rate, batch)
-                    more = _rows(sums) - squares
-                    moved += _rows(_parameters(own)) - values
-                    grown += more
-                    times += more.any(1)
+            for block, y, _, texts in block_rows(batches, held=False):
+                if not texts:
+                    continue
+                ids, bucket = _numbered(texts)
+                own, sums = _model(_parts(values, like), {}), _parts(squares, like)
+                used = np.random.default_rng([seed, epoch, block & 0x7FFFFFFF]).permutation(len(texts))
+                _pass(own, sums, ids, bucket, used, y, np.ones(len(texts)), rate, batch)
+                more = _rows(sums) - squares
+                moved += _rows(_parameters(own)) - values
+                grown += more
+                times += more.any(1)
             hit = np.flatnonzero(times)
-            found = pd.DataFrame({"k": hit, "n": times[hit]})
-            yield found.join(pd.DataFrame(np.concatenate([moved[hit], grown[hit]], axis=1).astype(np.float32), columns=names))
+            for at in range(0, len(hit), _ROWS):
+                some = hit[at : at + _ROWS]
+                found = np.concatenate([moved[some], grown[some]], axis=1).astype(np.float32)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (some, times[some], *found.T.copy())], ["k", "n", *names])
 
         return run
 
     names = [f"{kind}{i}" for kind in "vq" for i in range(dim)]
     schema = "k long, n long, " + ", ".join(f"{c} float" for c in names)
+    cores = spark.sparkContext.defaultParallelism
     for epoch in range(epochs):
         at = np.flatnonzero(changed)  # the others are those that ``fresh`` gives
-        sent = blocks.sparkSession.sparkContext.broadcast((at, values[at].astype(np.float32), squares[at].astype(np.float32)))
-        steps = blocks.select("block", "docs").mapInPandas(step(epoch, sent), schema)
-        total = steps.groupBy("k").agg(*[F.sum(c).alias(c) for c in ("n", *names)]).orderBy("k").toPandas()
+        sent = spark.sparkContext.broadcast((at, values[at].astype(np.float32), squares[at].astype(np.float32)))
+        with settings(spark, OVER_BLOCKS):
+            steps = blocks.coalesce(cores).mapInArrow(step(epoch, sent), schema)
+            total = steps.groupBy("k").agg(*[F.sum(c).alias(c) for c in ("n", *names)]).toArrow()
         sent.destroy()
-        hit, mean = total["k"].to_numpy(), total[names].to_numpy() / total["n"].to_numpy()[:, None]
+        hit = total["k"].to_numpy()
+        mean = np.stack([total[c].to_numpy() for c in names], axis=1) / total["n"].to_numpy()[:, None]
         values[hit] = (values[hit] + mean[:, :dim]).astype(np.float32)
         squares[hit] = (squares[hit] + mean[:, dim:]).astype(np.float32)
         changed[hit] = True
     model = _model(_parts(values, like), {})
 
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for some in batches:
-            for docs in some["docs"]:
-                docs = [d for d in docs if d["held"]]
-                for at in range(0, len(docs), 200):
-                    part = docs[at : at + 200]
-                    ids, bucket = _numbered([(d["a"], d["b"]) for d in part])
-                    yield pd.DataFrame({"s": _scores(model, bucket, ids).round(4), "y": [d["y"] for d in part], "l": [d["l"] for d in part]})
-
-    scored = blocks.select("docs").mapInPandas(judge, "s double, y int, l string").groupBy("s", "y", "l").agg(F.count(F.lit(1)).alias("n"))
-    found = scored.toPandas()  # scores of four digits, by language
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, y, langs, texts in block_rows(batches, held=True):
+            for at in range(0, len(texts), 200):
+                ids, bucket = _numbered(texts[at : at + 200])
+                scores = _scores(model, bucket, ids).round(4)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(scores), pa.array(y[at : at + 200], pa.int32()), pa.array(langs[at : at + 200], pa.string())], ["s", "y", "l"])
+
+    with settings(spark, OVER_BLOCKS):
+        scored = blocks.mapInArrow(judge, "s double, y int, l string").groupBy("s", "y", "l").agg(F.count(F.lit(1)).alias("n"))
+        found = scored.toPandas()  # scores of four digits, by language
     model.thresholds = _thresholds(
         found["s"].to_numpy(), found["y"].to_numpy(np.int64), found["n"].to_numpy(float), [x if isinstance(x, str) else None for x in found["l"]],
         counts=found["n"].to_numpy(np.int64))
@@ -346,7 +377,7 @@ def fit(
 
 def _scores(model: Model, bucket: np.ndarray, ids: list[np.ndarray]) -> np.ndarray:
     rows, back = np.unique(np.concatenate([[0], *ids]), return_inverse=True)
-    table = model.projections(bucket[rows])
+    table = model.projections(model.means(bucket[rows]))
     table[0] = 0
     cuts = np.cumsum([1, *map(len, ids)])
     best, _ = _pool(table, [back[a:b] for a, b in zip(cuts, cuts[1:])], model.filters[0].shape[2])
@@ -406,7 +437,7 @@ class Scorer:
             fresh = list(set().union(*docs).difference(number))
             if fresh:
                 number.update(zip(fresh, range(len(number) + 1, len(number) + len(fresh) + 1)))
-                rows = self.model.projections(parts(fresh, len(self.model.vectors)))
+                rows = self.model.projections(self.model.means(parts(fresh, len(self.model.vectors))))
                 if len(number) + 1 > len(self.table):
                     larger = np.zeros((2 * (len(number) + 1), self.table.shape[1]), np.float32)
                     larger[: len(self.table)] = self.table

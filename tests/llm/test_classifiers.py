@@ -176,3 +176,63 @@ def test_toxicity_is_fitted_on_no_sample(spark, monkeypatch, tmp_path):
     import zlib
 
     assert seen == [sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(60))]
+
+
+def test_rows_of_blocks_are_small_and_each_hash_has_a_file(spark):
+    docs = spark.range(2000).selectExpr("id doc_id", "repeat(cast(id as string), 100) text", "cast(null as string) lang")
+    labels = spark.range(2000).selectExpr("id doc_id", "cast(id % 2 as int) toxic")
+    cut = lambda t: (t.encode() * 10, b"x")
+    blocks = labelled.training_blocks(docs, labels, "toxic", cut, size=250, most_bytes=1 << 20)
+    sizes = blocks.selectExpr("aggregate(docs, 0L, (n, d) -> n + length(d.a))").collect()
+    assert max(n for n, in sizes) <= 1 << 18
+    files = blocks.selectExpr("block >> 8 AS s", "input_file_name() AS f").distinct().collect()
+    assert len(files) == 8 == len({r.f for r in files})
+    rows = blocks.collect()
+    for held in (False, True):
+        batches = blocks.toArrow().to_batches(max_chunksize=2)
+        found = list(labelled.block_rows(iter(batches), held))
+        assert [x[0] for x in found] == [r.block for r in rows if r["last"]]
+        assert [t for *_, texts in found for t in texts] == [(bytes(d.a), b"x") for r in rows for d in r.docs if d.held == held]
+        assert all(len(y) == len(langs) == len(texts) for _, y, langs, texts in found)
+
+
+def test_an_epoch_shuffles_as_much_for_more_blocks_and_leaves_nothing(spark, monkeypatch):
+    import glob
+    import tempfile
+
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    docs, labels, _, _ = tables_of(spark, 600)
+    seen, plain = [], DataFrame.mapInArrow
+    monkeypatch.setattr(DataFrame, "mapInArrow", lambda self, *a, **k: seen.append(self.rdd.getNumPartitions()) or plain(self, *a, **k))
+    blocks = labelled.training_blocks(docs, labels, "toxic", lambda t: convnet.packed(t, 1 << 8), size=20)
+    seen.clear()
+    shuffled = lambda: set(glob.glob(f"{tempfile.gettempdir()}/blockmgr-*/*/shuffle_*.data"))
+    before, settings = shuffled(), {k: spark.conf.get(k, None) for k in labelled.OVER_BLOCKS}
+    convnet.fit(blocks, epochs=2, buckets=1 << 8)
+    cores = spark.sparkContext.defaultParallelism
+    assert len(blocks.inputFiles()) == 31 > cores and len(seen) == 3 and max(seen[:2]) <= cores
+    assert not shuffled() - before
+    assert settings == {k: spark.conf.get(k, None) for k in labelled.OVER_BLOCKS}
+
+
+def test_numbers_are_those_of_unique():
+    number = convnet._Numbers(50)
+    for values in ([3, 0, 3, 49], [7], [], [1, 1, 0]):
+        values = np.array(values, np.int64)
+        for got, want in zip(number(values), np.unique(values, return_inverse=True)):
+            assert got.tolist() == want.tolist()
+
+
+def test_texts_are_read_in_the_splits_of_the_session(spark, monkeypatch):
+    docs, labels, _, _ = tables_of(spark, 60)
+    seen, plain = [], labelled.materialise
+
+    def spy(df):
+        seen.append([spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.parquet.columnarReaderBatchSize")])
+        return plain(df)
+
+    before = [spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.parquet.columnarReaderBatchSize")]
+    monkeypatch.setattr(labelled, "materialise", spy)
+    labelled.training_blocks(docs, labels, "toxic", convnet.packed)
+    assert seen == [before]
